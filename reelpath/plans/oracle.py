@@ -41,3 +41,237 @@ ORACLE_SQL: dict[str, str] = {
                array_to_string(list_sort(list(itemIndex)), ',') AS actual_items
         FROM truth GROUP BY userIndex"""),
 }
+
+_ALL_TYPES = "('MOVIE', 'EPISODE', 'VIDEO', 'TVSHOW', 'SEASON')"
+_GROUP = """CASE WHEN lower(content_content_type) IN ('episode', 'tvshow', 'tv_show', 'season', 'series')
+                 THEN 'tv_show'
+                 WHEN lower(content_content_type) IN ('movie', 'film') THEN 'movie'
+                 ELSE 'other' END"""
+_SPP = f"""SELECT userId, content_id, duration_secs, content_content_type,
+                  round(sum(total_play_time_sec), 6) AS total_playtime_combined,
+                  count(*) AS num_sessions
+           FROM consumption WHERE content_content_type IN {_ALL_TYPES}
+           GROUP BY userId, content_id, duration_secs, content_content_type"""
+_PER_USER = "SELECT userId, count(DISTINCT item_id) AS distinct_content_count FROM playtime GROUP BY userId"
+
+
+def _hist(expr: str, scale: str) -> str:
+    return f"""SELECT '{scale}' AS scale,
+                  CAST(CASE WHEN hi > lo THEN least(floor((v - lo) / (hi - lo) * 50), 49) ELSE 0 END
+                       AS INTEGER) AS bin,
+                  count(*) AS n
+           FROM (SELECT {expr} AS v FROM playtime) x
+                CROSS JOIN (SELECT min({expr}) AS lo, max({expr}) AS hi FROM playtime
+                            WHERE total_play_time_sec IS NOT NULL AND NOT isnan(total_play_time_sec))
+           WHERE v IS NOT NULL AND NOT isnan(v)
+           GROUP BY 1, 2"""
+
+
+_thr_ge = ", ".join(f"count_if(distinct_content_count >= {t}) AS users_ge_{t}"
+                    for t in (1, 2, 3, 5, 10, 20, 50, 100))
+_thr_eq = ", ".join(f"count_if(distinct_content_count = {t}) AS users_eq_{t}"
+                    for t in (1, 2, 3, 5, 10, 20))
+_QS = (0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
+_FQS = (0.0, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 1.0)
+
+
+def _qcols(col: str, qs=_FQS) -> str:
+    def name(q):
+        return f"p{int(round(q * 100)):02d}" if q < 1 else "p100"
+    return ", ".join(f"quantile_disc({col}, {q}) AS {name(q)}" for q in qs)
+
+
+ORACLE_SQL.update({
+    "sessions_per_pair": with_stages(f"""
+        SELECT userId, content_id, round(duration_secs, 6) AS duration_secs, content_content_type,
+               round(total_playtime_combined, 6) AS total_playtime_combined, num_sessions
+        FROM ({_SPP})"""),
+    "repeat_watchers": with_stages("""
+        SELECT userId, item_id, count(*) AS watch_count FROM playtime
+        GROUP BY userId, item_id HAVING count(*) > 1"""),
+    "completion_ratings": with_stages(f"""
+        SELECT userId, item_id, content_content_type,
+               round(tp, 6) AS total_playtime_combined, round(td, 6) AS total_duration_combined,
+               round(tp / NULLIF(td, 0), 6) AS completion_rate,
+               CAST(CASE WHEN content_content_type IN ('MOVIE', 'EPISODE') THEN
+                      CASE WHEN tp / NULLIF(td, 0) >= 0.8 THEN 4 WHEN tp / NULLIF(td, 0) >= 0.6 THEN 3
+                           WHEN tp / NULLIF(td, 0) >= 0.4 THEN 2 WHEN tp / NULLIF(td, 0) >= 0.2 THEN 1
+                           ELSE 0 END
+                    ELSE 0 END AS INTEGER) AS rating_label_custom
+        FROM (SELECT userId, item_id, content_content_type,
+                     round(sum(least(total_playtime_combined, duration_secs)), 6) AS tp,
+                     round(sum(duration_secs), 6) AS td
+              FROM ({_SPP}) c LEFT JOIN parent_map p USING (content_id)
+              WHERE content_content_type IN ('MOVIE', 'EPISODE') AND total_playtime_combined > 300
+              GROUP BY userId, item_id, content_content_type)"""),
+    "zscore_likes": with_stages(f"""
+        SELECT userId, content_id, round(z, 6) AS playtime_z_user,
+               CASE WHEN z > 1 THEN 1 ELSE 0 END AS user_likes
+        FROM (SELECT s.userId, s.content_id,
+                     (s.total_playtime_combined - m.user_mean) / NULLIF(m.user_std, 0) AS z
+              FROM ({_SPP}) s JOIN (SELECT userId, avg(total_playtime_combined) AS user_mean,
+                                           stddev_samp(total_playtime_combined) AS user_std
+                                    FROM ({_SPP}) GROUP BY userId) m USING (userId))"""),
+    "content_type_mix": with_stages(f"""
+        SELECT a.type_group, a.n_rows, a.n_pairs, round(a.total_watch, 2) AS total_watch,
+               round(b.mean_user_watch, 6) AS mean_user_watch, b.users
+        FROM (SELECT {_GROUP} AS type_group, count(*) AS n_rows,
+                     count(DISTINCT (userId, content_id)) AS n_pairs,
+                     sum(total_play_time_sec) AS total_watch
+              FROM consumption GROUP BY 1) a
+        JOIN (SELECT type_group, avg(w) AS mean_user_watch, count(*) AS users
+              FROM (SELECT {_GROUP} AS type_group, userId, sum(total_play_time_sec) AS w
+                    FROM consumption GROUP BY 1, 2) GROUP BY 1) b USING (type_group)"""),
+    "dominant_type": with_stages(f"""
+        SELECT dominant_type, count(*) AS users FROM (
+          SELECT userId, min(type_group) AS dominant_type FROM (
+            SELECT userId, type_group, w, max(w) OVER (PARTITION BY userId) AS mw FROM (
+              SELECT userId, {_GROUP} AS type_group, round(sum(total_play_time_sec), 6) AS w
+              FROM consumption GROUP BY 1, 2))
+          WHERE w = mw GROUP BY userId)
+        GROUP BY dominant_type"""),
+    "items_per_user_hist": with_stages(f"""
+        SELECT distinct_content_count, count(*) AS users FROM ({_PER_USER})
+        GROUP BY distinct_content_count"""),
+    "user_thresholds": with_stages(f"SELECT {_thr_ge}, {_thr_eq} FROM ({_PER_USER})"),
+    "watch_quantiles": with_stages(" UNION ALL ".join(
+        f"SELECT CAST({q} AS DOUBLE) AS quantile, round(quantile_disc(watch_time, {q}), 6) AS value "
+        f"FROM wt" for q in _QS),
+        {"wt": """SELECT userId, round(sum(total_play_time_sec), 6) AS watch_time FROM playtime
+                  GROUP BY userId HAVING round(sum(total_play_time_sec), 6) > 0"""}),
+    "shared_sessions": with_stages("""
+        SELECT user_session_id, count(DISTINCT userId) AS n_users FROM consumption
+        GROUP BY user_session_id HAVING count(DISTINCT userId) > 1"""),
+    "multi_row_users": with_stages("""
+        SELECT userId, count(*) AS n_rows FROM consumption GROUP BY userId HAVING count(*) > 1"""),
+    "id_audit": with_stages("""
+        SELECT (SELECT count(*) FROM playtime) AS n_rows,
+               (SELECT count(DISTINCT (userId, item_id)) FROM playtime) AS n_pairs,
+               (SELECT count(DISTINCT userId) FROM playtime WHERE day = DATE '2024-01-30') AS day_keys,
+               (SELECT count(DISTINCT userId) FROM playtime
+                WHERE day BETWEEN DATE '2024-01-01' AND DATE '2024-01-22') AS window_keys,
+               (SELECT count(*) FROM (SELECT userId FROM playtime WHERE day = DATE '2024-01-30'
+                                      INTERSECT
+                                      SELECT userId FROM playtime
+                                      WHERE day BETWEEN DATE '2024-01-01' AND DATE '2024-01-22')) AS both_keys"""),
+    "playtime_histogram": with_stages(
+        _hist("total_play_time_sec", "raw") + "\nUNION ALL\n"
+        + _hist("ln(1 + total_play_time_sec)", "log1p")),
+    "column_profile": with_stages(" UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n "
+        f"FROM search_events GROUP BY 2" for c in
+        ["events_meta_action", "events_meta_source_name", "events_appid",
+         "events_meta_asset_name", "eventtype", "events_os", "events_dt"])),
+    "overlap_distribution": with_stages("""
+        SELECT overlap, count(*) AS users FROM (
+          SELECT u.userId, CAST(coalesce(h.overlap, 0) AS BIGINT) AS overlap
+          FROM (SELECT DISTINCT userId FROM pt_train INTERSECT SELECT DISTINCT userId FROM pt_test) u
+          LEFT JOIN (SELECT userId, count(*) AS overlap FROM
+                       (SELECT DISTINCT userId, item_id FROM pt_train
+                        INTERSECT SELECT DISTINCT userId, item_id FROM pt_test) GROUP BY userId) h
+          USING (userId))
+        GROUP BY overlap"""),
+    "clean_consumption": with_stages(f"""
+        SELECT (SELECT count(*) FROM consumption WHERE content_content_type IN {_ALL_TYPES}
+                AND total_play_time_sec > 300) AS kept_rows,
+               count_if(userId IS NULL) AS null_users,
+               count_if(total_play_time_sec > 86400) AS outlier_rows,
+               count_if(total_play_time_sec > duration_secs) AS over_duration_rows
+        FROM consumption"""),
+    "valid_users": with_stages("""
+        SELECT userId, content_id, user_session_id, total_play_time_sec FROM (
+          SELECT userId, content_id, user_session_id,
+                 coalesce(total_play_time_sec, 0) AS total_play_time_sec,
+                 row_number() OVER (PARTITION BY userId, content_id
+                                    ORDER BY user_session_id, coalesce(total_play_time_sec, 0)) AS rn
+          FROM consumption WHERE userId IS NOT NULL AND trim(userId) <> '' AND content_id IS NOT NULL)
+        WHERE rn = 1"""),
+    "decayed_playtime": with_stages("""
+        SELECT * FROM (
+          SELECT userId, item_id, round(sum(total_play_time_sec * decay_factor), 6) AS decayed_playtime,
+                 round(max(decay_factor), 6) AS recent_decay_factor
+          FROM pt_train GROUP BY userId, item_id)
+        WHERE decayed_playtime IS NOT NULL AND NOT isnan(decayed_playtime)"""),
+    "log_weights": with_stages("""
+        SELECT userId, item_id, round(total_playtime_combined, 6) AS total_playtime_combined,
+               round(ln(1 + total_playtime_combined), 6) AS log_playtime FROM pt_stats"""),
+    "idf_weights": with_stages("""
+        SELECT item_id, item_users, total_users,
+               round(ln((total_users + 1) / (item_users + 1)), 6) AS idf
+        FROM (SELECT item_id, count(DISTINCT userId) AS item_users FROM merged_train GROUP BY item_id)
+             CROSS JOIN (SELECT count(DISTINCT userId) AS total_users FROM merged_train)"""),
+    "p95_capped_users": with_stages("""
+        SELECT w.userId, w.item_id, round(w.confidence, 6) AS confidence, c.distinct_content_count
+        FROM weighted_train w
+        JOIN (SELECT userId, count(*) AS distinct_content_count FROM weighted_train GROUP BY userId) c
+          USING (userId)
+        CROSS JOIN (SELECT quantile_disc(n, 0.95) AS cap FROM
+                      (SELECT userId, count(*) AS n FROM weighted_train GROUP BY userId))
+        WHERE c.distinct_content_count >= 3 AND c.distinct_content_count <= cap"""),
+    "custom_users": with_stages("""
+        SELECT userId, item_id, round(max(confidence), 6) AS confidence,
+               round(max(recent_decay_factor), 6) AS recent_decay_factor
+        FROM (SELECT userId, item_id, confidence, recent_decay_factor FROM merged_train
+              UNION ALL
+              SELECT * FROM (VALUES ('persona_a', '1', 4.0::DOUBLE, 1.0::DOUBLE),
+                                    ('persona_a', '2', 4.0::DOUBLE, 1.0::DOUBLE),
+                                    ('persona_a', '3', 4.0::DOUBLE, 1.0::DOUBLE),
+                                    ('persona_b', '4', 4.0::DOUBLE, 1.0::DOUBLE),
+                                    ('persona_b', '5', 4.0::DOUBLE, 1.0::DOUBLE),
+                                    ('1', '1', 4.0::DOUBLE, 1.0::DOUBLE),
+                                    ('1', '5', 4.0::DOUBLE, 1.0::DOUBLE))
+                       AS t(userId, item_id, confidence, recent_decay_factor))
+        GROUP BY userId, item_id"""),
+    "leak_scrubbed_test": with_stages("""
+        SELECT userId, item_id FROM merged_test
+        EXCEPT ALL SELECT t.userId, t.item_id FROM merged_test t
+        JOIN merged_train m USING (userId, item_id)"""),
+    "signal_bounds": with_stages("""
+        SELECT round(min(confidence), 6) AS min_value, round(max(confidence), 6) AS max_value,
+               round(avg(confidence), 6) AS mean_value, round(stddev_samp(confidence), 6) AS stddev_value,
+               count(*) AS n_rows, count_if(confidence <= 0.1) AS n_le_0_1,
+               count_if(confidence >= 3.0) AS n_ge_3
+        FROM weighted_train"""),
+    "funnel_shape": with_stages("""
+        SELECT cells, users, items,
+               round(CASE WHEN users * items > 0 THEN (1 - cells / (users * items)) * 100
+                          ELSE 100 END, 6) AS sparsity_pct,
+               round(CASE WHEN items > 0 THEN users / items ELSE 0 END, 6) AS users_per_item
+        FROM (SELECT count(*) AS cells, count(DISTINCT userIndex) AS users,
+                     count(DISTINCT itemIndex) AS items FROM indexed_train)"""),
+    "funnel_users": with_stages(f"""
+        SELECT {_qcols('u_count')},
+               count_if(u_count = 1) AS single_item_users, count_if(u_count < 5) AS cold_users,
+               count(*) AS users,
+               round(max(u_count) / (SELECT count(DISTINCT itemIndex) FROM indexed_train) * 100, 6)
+                   AS max_user_catalogue_pct
+        FROM (SELECT userIndex, count(*) AS u_count FROM indexed_train GROUP BY userIndex)"""),
+    "funnel_items": with_stages(f"""
+        SELECT q.*, s.single_user_items, s.cold_items,
+               round(s.top, 6) AS top10_traffic_pct, round(s.bottom, 6) AS bottom50_traffic_pct
+        FROM (SELECT {_qcols('i_count')} FROM ic) q
+        CROSS JOIN (SELECT count_if(i_count = 1) AS single_user_items,
+                           count_if(i_count < 5) AS cold_items,
+                           coalesce(sum(CASE WHEN i_count >= p90 THEN i_count END), 0)
+                               / sum(i_count) * 100 AS top,
+                           coalesce(sum(CASE WHEN i_count <= p50 THEN i_count END), 0)
+                               / sum(i_count) * 100 AS bottom
+                    FROM ic CROSS JOIN (SELECT quantile_disc(i_count, 0.9) AS p90,
+                                               quantile_disc(i_count, 0.5) AS p50 FROM ic)) s""",
+        {"ic": "SELECT itemIndex, count(*) AS i_count FROM indexed_train GROUP BY itemIndex"}),
+    "funnel_signal": with_stages("""
+        SELECT round(min(confidence), 6) AS min_value, round(max(confidence), 6) AS max_value,
+               round(avg(confidence), 6) AS mean_value, round(stddev_samp(confidence), 6) AS stddev_value,
+               count(*) AS n_rows, count_if(confidence <= 0.1) AS n_le_0_1,
+               count_if(confidence >= 3.0) AS n_ge_3,
+               round(count_if(confidence <= 0.1) / count(*) * 100, 6) AS pct_le_0_1,
+               round(count_if(confidence >= 3.0) / count(*) * 100, 6) AS pct_ge_3
+        FROM indexed_train"""),
+    "confidence_spread": with_stages("""
+        SELECT conf_rounded, n, round(n / (SELECT count(*) FROM indexed_train) * 100, 6) AS pct
+        FROM (SELECT round(confidence, 1) AS conf_rounded, count(*) AS n FROM indexed_train GROUP BY 1
+              ORDER BY n DESC, conf_rounded LIMIT 15)"""),
+    "string_indexed": with_stages("""
+        SELECT item_id, CAST(dense_rank() OVER (ORDER BY item_id) - 1 AS INTEGER) AS item_label
+        FROM (SELECT DISTINCT item_id FROM playtime)"""),
+})

@@ -109,3 +109,263 @@ def ground_truth(spark, sf_dir):
     return t.select("userIndex", F.size("actual_items").alias("n_items"),
                     F.array_join(F.col("actual_items").cast("array<string>"), ",")
                     .alias("actual_items"))
+
+
+# ------------------------------------------------------------------ consumption roll-ups
+
+@query("sessions_per_pair")
+def sessions_per_pair(spark, sf_dir):
+    """A2 + F2: playtime and sessions per (user, content, duration, type)."""
+    from reelpath.operators.interactions import sessions_per_pair as spp
+    return rounded(spp(_wb(spark, sf_dir).view("consumption")))
+
+
+@query("repeat_watchers")
+def repeat_watchers(spark, sf_dir):
+    """A4: (user, item) pairs watched on more than one row."""
+    from reelpath.operators.interactions import repeat_watchers as rw
+    return rw(_wb(spark, sf_dir).view("playtime"))
+
+
+@query("completion_ratings")
+def completion_ratings(spark, sf_dir):
+    """A5 + C2 + F9 + J11: series/movie completion and 0-4 rating."""
+    from reelpath.operators.interactions import completion_ratings as cr
+    wb = _wb(spark, sf_dir)
+    return rounded(cr(wb.view("consumption"), wb.view("parent_map")))
+
+
+@query("zscore_likes")
+def zscore_likes(spark, sf_dir):
+    """Per-user z-score of content playtime and the like flag."""
+    from reelpath.operators.interactions import sessions_per_pair as spp
+    from reelpath.operators.scoring import zscore_likes as zl
+    z = zl(spp(_wb(spark, sf_dir).view("consumption")))
+    return rounded(z.select("userId", "content_id", "playtime_z_user", "user_likes"))
+
+
+@query("content_type_mix")
+def content_type_mix(spark, sf_dir):
+    """A11 + A12 + A13 + C13: rows, pairs, users and watch time per type group."""
+    from reelpath.operators.diagnose import content_type_mix as ctm
+    return rounded(ctm(_wb(spark, sf_dir).view("consumption")))
+
+
+@query("dominant_type")
+def dominant_type(spark, sf_dir):
+    """Users per dominant type group."""
+    from reelpath.operators.diagnose import dominant_type as dt
+    return dt(_wb(spark, sf_dir).view("consumption"))
+
+
+@query("items_per_user_hist")
+def items_per_user_hist(spark, sf_dir):
+    """A6 + A7: users per distinct-item count."""
+    from reelpath.operators.diagnose import count_of_counts, items_per_user
+    return count_of_counts(items_per_user(_wb(spark, sf_dir).view("playtime")))
+
+
+@query("user_thresholds")
+def user_thresholds(spark, sf_dir):
+    """A8 + A9: users at or above / exactly at item-count thresholds."""
+    from reelpath.operators.diagnose import items_per_user, user_thresholds as ut
+    return ut(items_per_user(_wb(spark, sf_dir).view("playtime")))
+
+
+@query("watch_quantiles")
+def watch_quantiles(spark, sf_dir):
+    """A10 + A17: quantiles of total watch time per user."""
+    from reelpath.operators.diagnose import quantile_rows, user_watch_time
+    return rounded(quantile_rows(user_watch_time(_wb(spark, sf_dir).view("playtime")),
+                                 "watch_time"))
+
+
+@query("shared_sessions")
+def shared_sessions(spark, sf_dir):
+    """Sessions used by more than one user."""
+    from reelpath.operators.diagnose import shared_sessions as ss
+    return ss(_wb(spark, sf_dir).view("consumption"))
+
+
+@query("multi_row_users")
+def multi_row_users(spark, sf_dir):
+    """Users with more than one consumption row."""
+    from reelpath.operators.diagnose import multi_row_users as mru
+    return mru(_wb(spark, sf_dir).view("consumption"))
+
+
+@query("id_audit")
+def id_audit(spark, sf_dir):
+    """A18 + A19 + U3: rows vs pairs; base-day users vs train-window users."""
+    from reelpath.operators.diagnose import day_window_audit, pair_audit, side_by_side
+    from reelpath.sources.scan import day_window
+    wb = _wb(spark, sf_dir)
+    pt = wb.view("playtime")
+    base_day = day_window(pt, wb.split.base_date, 0, 1)
+    train = day_window(pt, wb.split.base_date, wb.split.test_days,
+                       wb.split.test_days + wb.split.train_days)
+    return side_by_side(pair_audit(pt), day_window_audit(base_day, train, "userId"))
+
+
+@query("playtime_histogram")
+def playtime_histogram(spark, sf_dir):
+    """50-bin histograms of raw and log1p playtime over all rows."""
+    from reelpath.operators.diagnose import histogram
+    pt = _wb(spark, sf_dir).view("playtime")
+    return (histogram(pt, "total_play_time_sec").withColumn("scale", F.lit("raw"))
+            .unionByName(histogram(pt, "total_play_time_sec", log=True)
+                         .withColumn("scale", F.lit("log1p"))))
+
+
+PROFILE_COLUMNS = ["events_meta_action", "events_meta_source_name", "events_appid",
+                   "events_meta_asset_name", "eventtype", "events_os", "events_dt"]
+
+
+@query("column_profile")
+def column_profile(spark, sf_dir):
+    """Distinct values and counts of seven search-log columns."""
+    from reelpath.operators.diagnose import column_profile as cp
+    return cp(_wb(spark, sf_dir).view("search_events"), PROFILE_COLUMNS)
+
+
+@query("overlap_distribution")
+def overlap_distribution(spark, sf_dir):
+    """A25 + U5: users per |train items ∩ test items|."""
+    from reelpath.operators.diagnose import overlap_distribution as od
+    train, test = _wb(spark, sf_dir).playtime_windows()
+    return od(train, test)
+
+
+OUTLIER_SECONDS = 86400.0
+
+
+@query("clean_consumption")
+def clean_consumption(spark, sf_dir):
+    """F2 + F9 + F14 + F15: kept rows, null users, outliers."""
+    from reelpath.operators.clean import allowed_types, min_playtime
+    cons = _wb(spark, sf_dir).view("consumption")
+    kept = min_playtime(allowed_types(cons))
+    from reelpath.operators.diagnose import side_by_side
+    return side_by_side(
+        kept.agg(F.count(F.lit(1)).alias("kept_rows")),
+        cons.agg(F.count_if(F.col("userId").isNull()).alias("null_users"),
+                 F.count_if(F.col("total_play_time_sec") > OUTLIER_SECONDS).alias("outlier_rows"),
+                 F.count_if(F.col("total_play_time_sec") > F.col("duration_secs"))
+                 .alias("over_duration_rows")))
+
+
+@query("valid_users")
+def valid_users(spark, sf_dir):
+    """F4 + F16 + F17: non-blank users, filled playtime, one row per pair."""
+    from reelpath.operators.clean import dedupe_min, valid_users as vu
+    cons = _wb(spark, sf_dir).view("consumption")
+    rows = (vu(cons).select("userId", "content_id", "user_session_id",
+                            F.coalesce("total_play_time_sec", F.lit(0.0)).alias("total_play_time_sec"))
+            .na.drop(subset=["content_id"]))
+    return dedupe_min(rows, ["userId", "content_id"], "user_session_id")
+
+
+@query("decayed_playtime")
+def decayed_playtime(spark, sf_dir):
+    """A3: decay-weighted playtime per train pair."""
+    from reelpath.operators.interactions import decayed_playtime as dp
+    return rounded(dp(_wb(spark, sf_dir).playtime_windows()[0]))
+
+
+@query("log_weights")
+def log_weights(spark, sf_dir):
+    """log1p of summed playtime as an implicit weight."""
+    from reelpath.operators.scoring import log_weights as lw
+    s = _wb(spark, sf_dir).playtime_stats().select("userId", "item_id", "total_playtime_combined")
+    return rounded(lw(s))
+
+
+@query("idf_weights")
+def idf_weights(spark, sf_dir):
+    """ln((N+1)/(n_i+1)) per item over the merged train pairs."""
+    from reelpath.operators.scoring import idf_weights as iw
+    return rounded(iw(_wb(spark, sf_dir).merged_train()))
+
+
+@query("p95_capped_users")
+def p95_capped_users(spark, sf_dir):
+    """users with >= 3 items and at most the users' 95th-percentile count."""
+    from reelpath.operators.scoring import p95_capped_users as cap
+    return rounded(cap(_wb(spark, sf_dir).weighted_train(), 3)
+                   .select("userId", "item_id", "confidence", "distinct_content_count"))
+
+
+# Fixed persona rows for C11 (shapes the reference accepts and skips)
+PERSONAS = [
+    {"userId": "persona_a", "watch_history": "1, 2, ,3"},
+    {"userID": "persona_b", "watch_history": ["4", " 5 ", " "]},
+    {"userId": "persona_c", "watch_history": 7},
+    {"userId": "1", "watch_history": "1,5"},
+]
+
+
+@query("custom_users")
+def custom_users(spark, sf_dir):
+    """C11 + S12: persona histories injected into the merged train pairs."""
+    from reelpath.operators.scoring import custom_user_rows, inject_custom_users
+    wb = _wb(spark, sf_dir)
+    return rounded(inject_custom_users(wb.merged_train(), custom_user_rows(spark, PERSONAS)))
+
+
+@query("leak_scrubbed_test")
+def leak_scrubbed_test(spark, sf_dir):
+    """Test pairs that were not already in train."""
+    from reelpath.operators.clean import drop_keys
+    wb = _wb(spark, sf_dir)
+    return drop_keys(wb.merged_test(), wb.merged_train().select("userId", "item_id"),
+                     ["userId", "item_id"])
+
+
+@query("signal_bounds")
+def signal_bounds(spark, sf_dir):
+    """A21 + A22: bounds and conditional counts of the final train weights."""
+    from reelpath.operators.diagnose import signal_bounds as sb
+    return rounded(sb(_wb(spark, sf_dir).weighted_train()))
+
+
+@query("funnel_shape")
+def funnel_shape(spark, sf_dir):
+    """Matrix shape of the indexed train frame."""
+    from reelpath.operators.diagnose import funnel_shape as fs
+    return rounded(fs(_wb(spark, sf_dir).indexed()[0]))
+
+
+@query("funnel_users")
+def funnel_users(spark, sf_dir):
+    """User-side skew of the indexed train frame."""
+    from reelpath.operators.diagnose import funnel_users as fu
+    return rounded(fu(_wb(spark, sf_dir).indexed()[0]))
+
+
+@query("funnel_items")
+def funnel_items(spark, sf_dir):
+    """Item-side skew of the indexed train frame."""
+    from reelpath.operators.diagnose import funnel_items as fi
+    return rounded(fi(_wb(spark, sf_dir).indexed()[0]))
+
+
+@query("funnel_signal")
+def funnel_signal(spark, sf_dir):
+    """Confidence spread of the indexed train frame."""
+    from reelpath.operators.diagnose import funnel_signal as fsg
+    return rounded(fsg(_wb(spark, sf_dir).indexed()[0]))
+
+
+@query("confidence_spread")
+def confidence_spread(spark, sf_dir):
+    """A23 + T2: 15 most common rounded confidences."""
+    from reelpath.operators.diagnose import confidence_spread as cs
+    return rounded(cs(_wb(spark, sf_dir).indexed()[0]))
+
+
+@query("string_indexed")
+def string_indexed(spark, sf_dir):
+    """StringIndexer (alphabetAsc) over the item ids of the playtime log."""
+    from reelpath.operators.indexing import string_index
+    pt = _wb(spark, sf_dir).view("playtime").select("item_id")
+    return string_index(pt, "item_id", "item_label").distinct()
