@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reelpath.plans.oracle_stages import with_stages
+from reelpath.plans.oracle_stages import metrics_cte, with_stages
 
 _R = "round({0}, 6) AS {0}"
 
@@ -275,3 +275,135 @@ ORACLE_SQL.update({
         SELECT item_id, CAST(dense_rank() OVER (ORDER BY item_id) - 1 AS INTEGER) AS item_label
         FROM (SELECT DISTINCT item_id FROM playtime)"""),
 })
+
+
+def _freq_pct() -> str:
+    return " UNION ALL ".join(
+        f"SELECT CAST({q} AS DOUBLE) AS quantile, round(quantile_disc(s, {q}), 6) AS value FROM fs"
+        for q in _QS)
+
+
+_FS = {"fc": "SELECT itemIndex, count(*) AS t FROM sim_top50 GROUP BY itemIndex",
+       "fs": """SELECT itemIndex, CASE WHEN hi > lo THEN (t - lo) / (hi - lo) * CAST(99 AS DOUBLE) + 1
+                                  ELSE CAST(1 AS DOUBLE) END AS s
+                FROM fc CROSS JOIN (SELECT min(t) AS lo, max(t) AS hi FROM fc)"""}
+
+_COVER = """SELECT count(*) AS total_items, count_if(t > 0) AS covered_items,
+                   round(CASE WHEN count(*) > 0 THEN count_if(t > 0) / count(*) ELSE 0 END, 6) AS coverage,
+                   {k} AS k
+            FROM (SELECT l.itemIndex, coalesce(c.t, 0) AS t FROM item_lookup l
+                  LEFT JOIN (SELECT itemIndex, count(*) AS t FROM {src} GROUP BY itemIndex) c USING (itemIndex))"""
+
+_SKEW_Q = (0.5, 0.9, 0.95, 0.99, 1.0)
+
+
+def _popq(metric: str, expr: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT CAST({q} AS DOUBLE) AS quantile, round(quantile_disc({expr}, {q}), 6) AS value, "
+        f"'{metric}' AS metric FROM popularity WHERE popularity_score > 0" for q in _QS)
+
+
+ORACLE_SQL.update({
+    "similarity_recs": with_stages("""
+        SELECT userIndex, itemIndex, CAST(rank AS INTEGER) AS rank, round(total_score, 6) AS total_score
+        FROM sim_top15"""),
+    "ranking_metrics": with_stages("""
+        SELECT count(*) AS users, round(avg(precision_at_k), 6) AS precision_at_k,
+               round(avg(recall_at_k), 6) AS recall_at_k, round(avg(ap), 6) AS map FROM pm""",
+        {"pm": metrics_cte("sim_top15", 15)}),
+    "cohort_metrics": with_stages("""
+        SELECT cohort, count(*) AS users, round(avg(ap), 6) AS map, round(avg(recall_at_k), 6) AS recall_at_k,
+               round(avg(precision_at_k), 6) AS precision_at_k
+        FROM (SELECT *, CASE WHEN n_actual <= 3 THEN '1-3' WHEN n_actual <= 10 THEN '4-10' ELSE '>10' END
+                        AS cohort FROM pm) GROUP BY cohort
+        UNION ALL
+        SELECT 'all', count(*), round(avg(ap), 6), round(avg(recall_at_k), 6), round(avg(precision_at_k), 6)
+        FROM pm""", {"pm": metrics_cte("sim_top15", 15)}),
+    "catalogue_coverage": with_stages(_COVER.format(k=15, src="sim_top15") + " UNION ALL "
+                                      + _COVER.format(k=50, src="sim_top50")),
+    "frequency_scores": with_stages(_freq_pct(), _FS),
+    "top10_domination": with_stages("""
+        SELECT t.itemIndex, t.times_recommended,
+               round(t.times_recommended / s.slots * 100, 6) AS slot_pct,
+               round(s.top / s.slots * 100, 6) AS top_n_pct, l.item_id, ti.title
+        FROM tt t CROSS JOIN (SELECT (SELECT count(*) FROM sim_top15) AS slots,
+                                     (SELECT sum(times_recommended) FROM tt) AS top) s
+        JOIN item_lookup l USING (itemIndex) LEFT JOIN titles ti USING (item_id)""",
+        {"tt": """SELECT itemIndex, count(*) AS times_recommended FROM sim_top15 GROUP BY itemIndex
+                  ORDER BY times_recommended DESC, itemIndex LIMIT 10"""}),
+    "output_skew": with_stages(f"""
+        SELECT b.users, b.total_recs, c.unique_items, c.catalogue_items,
+               {", ".join(f"q.p{int(round(q * 100)):02d}" if q < 1 else "q.p100" for q in _SKEW_Q)},
+               round(c.unique_items / c.catalogue_items * 100, 6) AS coverage_pct,
+               round(x.top / b.total_recs * 100, 6) AS top1_slot_pct,
+               x.top / b.total_recs * 100 > 30 AS collapse_alarm
+        FROM (SELECT count(DISTINCT userIndex) AS users, count(*) AS total_recs FROM sim_top15) b
+        CROSS JOIN (SELECT (SELECT count(*) FROM rc) AS unique_items,
+                           (SELECT count(DISTINCT itemIndex) FROM item_lookup) AS catalogue_items) c
+        CROSS JOIN (SELECT {_qcols('t', _SKEW_Q)} FROM rc) q
+        CROSS JOIN (SELECT coalesce(sum(CASE WHEN t >= p99 THEN t END), 0) AS top
+                    FROM rc CROSS JOIN (SELECT quantile_disc(t, 0.99) AS p99 FROM rc)) x""",
+        {"rc": "SELECT itemIndex, count(*) AS t FROM sim_top15 GROUP BY itemIndex"}),
+    "popularity_amplification": with_stages("""
+        SELECT round(sum(t * coalesce(p.popularity_score, 1)) / sum(t), 6) AS avg_popularity_score,
+               sum(t * coalesce(p.popularity_score, 1)) / sum(t) > 75 AS amplification_alarm
+        FROM (SELECT itemIndex, count(*) AS t FROM sim_top15 GROUP BY itemIndex) r
+        LEFT JOIN (SELECT l.itemIndex, p.popularity_score FROM popularity p JOIN item_lookup l USING (item_id)) p
+        USING (itemIndex)"""),
+    "resurrection": with_stages("""
+        SELECT niche_items, niche_recommended,
+               round(CASE WHEN niche_items > 0 THEN niche_recommended / niche_items * 100 ELSE 0 END, 6)
+                   AS resurrection_pct
+        FROM (SELECT count(*) AS niche_items,
+                     count_if(itemIndex IN (SELECT itemIndex FROM sim_top15)) AS niche_recommended
+              FROM tc WHERE n <= (SELECT quantile_disc(n, 0.5) FROM tc))""",
+        {"tc": "SELECT itemIndex, count(*) AS n FROM indexed_train GROUP BY itemIndex"}),
+    "popularity_percentiles": with_stages(
+        _popq("popularity_score", "CAST(popularity_score AS DOUBLE)") + " UNION ALL "
+        + _popq("user_count", "CAST(user_count AS DOUBLE)") + " UNION ALL "
+        + _popq("popularity_penalty", "popularity_penalty")),
+    "evaluated_users": with_stages("""
+        SELECT p.userIndex, p.n_predicted, t.n_actual
+        FROM (SELECT userIndex, count(*) AS n_predicted FROM sim_top15 GROUP BY userIndex) p
+        JOIN (SELECT userIndex, count(*) AS n_actual FROM truth
+              WHERE userIndex IN (SELECT userIndex FROM indexed_train) GROUP BY userIndex) t
+        USING (userIndex)"""),
+    "top_watched": with_stages("""
+        SELECT userId, item_id, CAST(rank_watched AS INTEGER) AS rank_watched,
+               round(total_playtime_combined, 6) AS total_playtime_combined
+        FROM (SELECT *, row_number() OVER (PARTITION BY userId
+                                           ORDER BY total_playtime_combined DESC, item_id) AS rank_watched
+              FROM pt_stats) WHERE rank_watched <= 5"""),
+    "watched_vs_recommended": with_stages("""
+        SELECT w.userId, CAST(w.rank_watched AS INTEGER) AS rank_watched, w.item_id AS watched_item,
+               r.item_id AS recommended_item
+        FROM (SELECT *, row_number() OVER (PARTITION BY userId
+                                           ORDER BY total_playtime_combined DESC, item_id) AS rank_watched
+              FROM pt_stats) w
+        JOIN (SELECT u.userId, i.item_id, s.rank FROM sim_top5 s JOIN user_lookup u USING (userIndex)
+              JOIN item_lookup i USING (itemIndex)) r
+          ON w.userId = r.userId AND w.rank_watched = r.rank
+        WHERE w.rank_watched <= 5"""),
+    "seen_excluded": with_stages(_NOVEL := """
+        SELECT userIndex, itemIndex, CAST(row_number() OVER (PARTITION BY userIndex ORDER BY rank) AS INTEGER) AS rank
+        FROM sim_raw_top30 s
+        WHERE NOT EXISTS (SELECT 1 FROM indexed_train t WHERE t.userIndex = s.userIndex
+                                                           AND t.itemIndex = s.itemIndex)
+        QUALIFY row_number() OVER (PARTITION BY userIndex ORDER BY rank) <= 15"""),
+    "novel_by_arrays": with_stages(_NOVEL),
+    "titled_recs": with_stages("""
+        SELECT u.userId, i.item_id, ti.title, round(s.total_score, 6) AS total_score,
+               CAST(s.rank AS INTEGER) AS rank
+        FROM sim_top15 s JOIN user_lookup u USING (userIndex) JOIN item_lookup i USING (itemIndex)
+        LEFT JOIN titles ti USING (item_id)"""),
+    "qualified_user": with_stages("""
+        SELECT userId, count(item_id) AS distinct_content_count FROM merged_train GROUP BY userId
+        HAVING count(item_id) >= 3 ORDER BY md5('42:' || userId), userId LIMIT 1"""),
+    "user_recs": with_stages("""
+        SELECT u.userId, i.item_id, ti.title, ti.original_language, p.popularity_score,
+               CAST(s.rank AS INTEGER) AS rank, round(s.total_score, 6) AS total_score
+        FROM sim_top15 s JOIN user_lookup u USING (userIndex) JOIN item_lookup i USING (itemIndex)
+        LEFT JOIN titles ti USING (item_id) LEFT JOIN popularity p USING (item_id)
+        WHERE u.userId = (SELECT userId FROM merged_train GROUP BY userId HAVING count(item_id) >= 3
+                          ORDER BY md5('42:' || userId), userId LIMIT 1)"""),
+})

@@ -105,9 +105,63 @@ STAGES: dict[str, str] = {
                      SELECT CAST(unnest(XstreamContentIds) AS VARCHAR) AS item_id, title,
                             CAST(OriginalLanguage AS VARCHAR) AS original_language, Genres
                      FROM catalogue_movie WHERE len(XstreamContentIds) > 0 AND published)""",
+    # ---- 1 -> 1 item rules over (user, day) baskets of the train window
+    "bk": f"""SELECT DISTINCT userId, day, item_id FROM interactions
+              WHERE day BETWEEN {TRAIN_FROM} AND {TRAIN_TO}""",
+    "bk_n": "SELECT count(*) AS n FROM (SELECT DISTINCT userId, day FROM bk)",
+    "bk_items": "SELECT item_id, count(*) AS f FROM bk GROUP BY item_id",
+    "bk_pairs": """SELECT a.item_id, b.item_id AS rec_item_id, count(*) AS f
+                   FROM bk a JOIN bk b ON a.userId = b.userId AND a.day = b.day
+                                      AND a.item_id <> b.item_id
+                   GROUP BY 1, 2""",
+    "rules11": """SELECT p.item_id, p.rec_item_id, p.f / a.f AS confidence,
+                         (p.f / a.f) / (c.f / n.n) AS lift, p.f / n.n AS support
+                  FROM bk_pairs p JOIN bk_items a ON a.item_id = p.item_id
+                                  JOIN bk_items c ON c.item_id = p.rec_item_id
+                                  CROSS JOIN bk_n n
+                  WHERE p.f >= ceil(CAST(0.0005 AS DOUBLE) * n.n) AND p.f / a.f >= 0.01""",
+    # ---- M8: similarity scores, seen removed, indexed, top k
+    "sim_raw": """SELECT a.userId, r.rec_item_id,
+                         round(sum(r.confidence * a.recent_decay_factor), 9) AS total_score
+                  FROM als_input a JOIN rules11 r USING (item_id) GROUP BY 1, 2""",
+    "sim_scores": """SELECT * FROM sim_raw s WHERE NOT EXISTS (
+                       SELECT 1 FROM als_input a WHERE a.userId = s.userId AND a.item_id = s.rec_item_id)""",
+    "sim_indexed": """SELECT u.userIndex, i.itemIndex, s.total_score FROM sim_scores s
+                      JOIN user_lookup u USING (userId) JOIN item_lookup i ON i.item_id = s.rec_item_id""",
+    "sim_ranked": """SELECT *, row_number() OVER (PARTITION BY userIndex
+                                                 ORDER BY total_score DESC, itemIndex) AS rank
+                     FROM sim_indexed""",
+    "sim_top15": "SELECT * FROM sim_ranked WHERE rank <= 15",
+    "sim_top50": "SELECT * FROM sim_ranked WHERE rank <= 50",
+    "sim_top5": "SELECT * FROM sim_ranked WHERE rank <= 5",
+    "sim_raw_indexed": """SELECT u.userIndex, i.itemIndex, s.total_score FROM sim_raw s
+                          JOIN user_lookup u USING (userId) JOIN item_lookup i ON i.item_id = s.rec_item_id""",
+    "sim_raw_top30": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY userIndex
+                                                 ORDER BY total_score DESC, itemIndex) AS rank
+                                      FROM sim_raw_indexed) WHERE rank <= 30""",
+    "titles": "SELECT item_id, min(title) AS title, min(original_language) AS original_language FROM metadata GROUP BY item_id",
 }
 
 
+def metrics_cte(preds: str, k: int) -> str:
+    """Per-user ranking metrics of ``preds`` (userIndex, itemIndex, rank) against ``truth``."""
+    return f"""
+      SELECT u.userIndex, t.n_actual, CAST(coalesce(h.hits, 0) AS BIGINT) AS hits,
+             coalesce(h.hits, 0) / {k} AS precision_at_k,
+             coalesce(h.hits, 0) / t.n_actual AS recall_at_k,
+             coalesce(h.ps, 0) / t.n_actual AS ap
+      FROM (SELECT DISTINCT userIndex FROM {preds} WHERE rank <= {k}) u
+      JOIN (SELECT userIndex, count(*) AS n_actual FROM truth GROUP BY userIndex) t USING (userIndex)
+      LEFT JOIN (SELECT userIndex, count(*) AS hits, sum(cum / rank) AS ps FROM (
+                   SELECT p.userIndex, p.rank,
+                          count(*) OVER (PARTITION BY p.userIndex ORDER BY p.rank
+                                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
+                   FROM {preds} p
+                   WHERE p.rank <= {k} AND EXISTS (SELECT 1 FROM truth t
+                                      WHERE t.userIndex = p.userIndex AND t.itemIndex = p.itemIndex))
+                 GROUP BY userIndex) h USING (userIndex)"""
+
+
 def with_stages(body: str, extra: dict[str, str] | None = None) -> str:
     """Full DuckDB query: fixtures, stages, optional extra CTEs, then ``body``."""
     parts = [fixture_ctes()]

@@ -369,3 +369,188 @@ def string_indexed(spark, sf_dir):
     from reelpath.operators.indexing import string_index
     pt = _wb(spark, sf_dir).view("playtime").select("item_id")
     return string_index(pt, "item_id", "item_label").distinct()
+
+
+# ------------------------------------------------------------------ similarity recommender
+
+K = 15
+
+
+def _names(wb: Workbench, ranked: DataFrame) -> DataFrame:
+    """Decode (userIndex, itemIndex) back to (userId, item_id)."""
+    users, items = wb.lookups()
+    return ranked.join(users, "userIndex").join(items, "itemIndex")
+
+
+@query("similarity_recs")
+def similarity_recs(spark, sf_dir):
+    """M8 + J12 + J4 + W4: item-rule similarity, decayed, seen removed, top 15."""
+    top = _wb(spark, sf_dir).sim_top(K)
+    return rounded(top.select("userIndex", "itemIndex", F.col("rank").cast("int").alias("rank"),
+                              "total_score"))
+
+
+@query("ranking_metrics")
+def ranking_metrics(spark, sf_dir):
+    """precision@15, recall@15 and MAP of the similarity recs."""
+    from reelpath.operators.evaluate import ranking_metrics as rm
+    wb = _wb(spark, sf_dir)
+    return rounded(rm(wb.sim_top(K), wb.ground_truth(), K))
+
+
+@query("cohort_metrics")
+def cohort_metrics(spark, sf_dir):
+    """Metrics by truth-size cohort."""
+    from reelpath.operators.evaluate import cohort_metrics as cm
+    wb = _wb(spark, sf_dir)
+    return rounded(cm(wb.sim_top(K), wb.ground_truth(), K))
+
+
+@query("catalogue_coverage")
+def catalogue_coverage(spark, sf_dir):
+    """E5 + J15: catalogue coverage of the top-15 and top-50 lists."""
+    from reelpath.operators.evaluate import catalogue_coverage as cc
+    wb = _wb(spark, sf_dir)
+    items = wb.lookups()[1]
+    return rounded(cc(wb.sim_top(K), items).withColumn("k", F.lit(K))
+                   .unionByName(cc(wb.sim_top(50), items).withColumn("k", F.lit(50))))
+
+
+@query("frequency_scores")
+def frequency_scores(spark, sf_dir):
+    """E6 + C14: percentiles of the 1-100 recommendation-frequency score (top 50)."""
+    from reelpath.operators.evaluate import frequency_percentiles
+    return rounded(frequency_percentiles(_wb(spark, sf_dir).sim_top(50)))
+
+
+@query("top10_domination")
+def top10_domination(spark, sf_dir):
+    """The 10 most recommended items and their share of all slots."""
+    from reelpath.operators.evaluate import top_domination
+    wb = _wb(spark, sf_dir)
+    top = top_domination(wb.sim_top(K))
+    titles = wb.metadata().groupBy("item_id").agg(F.min("title").alias("title"))
+    return rounded(top.join(wb.lookups()[1], "itemIndex").join(titles, "item_id", "left"))
+
+
+@query("output_skew")
+def output_skew(spark, sf_dir):
+    """Utilisation and skew of the top-15 lists."""
+    from reelpath.operators.evaluate import output_skew as osk
+    wb = _wb(spark, sf_dir)
+    return rounded(osk(wb.sim_top(K), wb.lookups()[1]))
+
+
+def _popularity_idx(wb: Workbench) -> DataFrame:
+    return wb.popularity().join(wb.lookups()[1], "item_id")
+
+
+@query("popularity_amplification")
+def popularity_amplification(spark, sf_dir):
+    """E14 + J8: mean popularity score of recommended slots."""
+    from reelpath.operators.evaluate import popularity_amplification as pa
+    wb = _wb(spark, sf_dir)
+    return rounded(pa(wb.sim_top(K), _popularity_idx(wb)))
+
+
+@query("resurrection")
+def resurrection(spark, sf_dir):
+    """Share of niche train items that get recommended."""
+    from reelpath.operators.evaluate import resurrection as rs
+    wb = _wb(spark, sf_dir)
+    return rounded(rs(wb.sim_top(K), wb.indexed()[0]))
+
+
+@query("popularity_percentiles")
+def popularity_percentiles(spark, sf_dir):
+    """Quantiles of popularity score, user count and penalty."""
+    from reelpath.operators.evaluate import popularity_percentiles as pp
+    return rounded(pp(_wb(spark, sf_dir).popularity()))
+
+
+@query("evaluated_users")
+def evaluated_users(spark, sf_dir):
+    """Per evaluated user, predicted and actual counts."""
+    from reelpath.operators.evaluate import evaluated_users as eu
+    wb = _wb(spark, sf_dir)
+    return eu(wb.sim_top(K), wb.ground_truth(), wb.indexed()[0])
+
+
+@query("top_watched")
+def top_watched(spark, sf_dir):
+    """Each user's five most-watched train items."""
+    from reelpath.operators.recommend import top_watched as tw
+    t = tw(_wb(spark, sf_dir).playtime_stats())
+    return rounded(t.select("userId", "item_id", F.col("rank_watched").cast("int").alias("rank_watched"),
+                            "total_playtime_combined"))
+
+
+@query("watched_vs_recommended")
+def watched_vs_recommended(spark, sf_dir):
+    """M16 + J10: k-th most watched beside k-th recommended, k = 1..5."""
+    from reelpath.operators.recommend import top_watched as tw, watched_vs_recommended as wvr
+    wb = _wb(spark, sf_dir)
+    watched = tw(wb.playtime_stats()).select("userId", F.col("item_id").alias("watched_item"),
+                                               F.col("rank_watched").cast("int").alias("rank_watched"))
+    recs = (_names(wb, wb.sim_top(5))
+            .select("userId", F.col("item_id").alias("recommended_item"),
+                    F.col("rank").cast("int").alias("rank_reco")))
+    return wvr(watched, recs).select("userId", "rank_watched", "watched_item", "recommended_item")
+
+
+@query("seen_excluded")
+def seen_excluded(spark, sf_dir):
+    """J4 + U4 + F18: raw top-30 candidates (seen included), seen pairs
+    removed by anti-join, first 15 kept."""
+    from reelpath.operators.recommend import drop_seen
+    wb = _wb(spark, sf_dir)
+    raw = wb.sim_top(30, drop_seen=False)
+    from reelpath.operators.recommend import top_k
+    novel = (drop_seen(raw, wb.indexed()[0], ["userIndex", "itemIndex"])
+             .withColumnRenamed("rank", "rank_raw").withColumn("_s", -F.col("rank_raw")))
+    out = top_k(novel, K, score_col="_s", rank_col="rank")
+    return out.select("userIndex", "itemIndex", F.col("rank").cast("int").alias("rank"))
+
+
+@query("novel_by_arrays")
+def novel_by_arrays(spark, sf_dir):
+    """M5 + T5: the same novelty filter with array lambdas (must equal seen_excluded)."""
+    from reelpath.operators.recommend import as_arrays, novel_by_arrays as nba, watched_sets
+    wb = _wb(spark, sf_dir)
+    raw = wb.sim_top(30, drop_seen=False)
+    arrays = (raw.groupBy("userIndex")
+              .agg(F.array_sort(F.collect_list(F.struct("rank", "itemIndex"))).alias("recommendations")))
+    novel = nba(arrays, watched_sets(wb.indexed()[0]), K)
+    return novel.select("userIndex", F.posexplode("predicted_items").alias("p", "itemIndex")) \
+        .select("userIndex", "itemIndex", (F.col("p") + 1).cast("int").alias("rank"))
+
+
+@query("titled_recs")
+def titled_recs(spark, sf_dir):
+    """I4 + J6 + J13 + M9: top-15 decoded to user and item names with titles."""
+    wb = _wb(spark, sf_dir)
+    titles = wb.metadata().groupBy("item_id").agg(F.min("title").alias("title"))
+    named = _names(wb, wb.sim_top(K)).join(titles, "item_id", "left")
+    return rounded(named.select("userId", "item_id", "title", "total_score",
+                                F.col("rank").cast("int").alias("rank")))
+
+
+@query("qualified_user")
+def qualified_user(spark, sf_dir):
+    """M15 + T4: one user with >= 3 train items, picked by a seeded hash."""
+    from reelpath.operators.recommend import pick_user
+    return pick_user(_wb(spark, sf_dir).merged_train(), 3)
+
+
+@query("user_recs")
+def user_recs(spark, sf_dir):
+    """The picked user's recommendations with titles and popularity."""
+    from reelpath.operators.recommend import pick_user, user_recommendations
+    wb = _wb(spark, sf_dir)
+    user = pick_user(wb.merged_train(), 3)
+    recs = _names(wb, wb.sim_top(K)).select("userId", "itemIndex", "rank", "total_score")
+    meta = wb.metadata().groupBy("item_id").agg(F.min("title").alias("title"),
+                                                F.min("original_language").alias("original_language"))
+    out = user_recommendations(user, recs, wb.lookups()[1], meta, wb.popularity())
+    return rounded(out.select("userId", "item_id", "title", "original_language", "popularity_score",
+                              F.col("rank").cast("int").alias("rank"), "total_score"))

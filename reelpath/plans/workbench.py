@@ -109,6 +109,49 @@ class Workbench:
     def ground_truth(self) -> DataFrame:
         return self._get("truth", lambda: indexing.ground_truth_rows(self.indexed()[1]))
 
+    # ---- item-item rules and similarity recommendations
+    def rule_baskets(self) -> DataFrame:
+        """Items per (user, day) over the train window of all interactions."""
+        from reelpath.operators.search_rules import baskets
+        from reelpath.sources.scan import day_window
+        s = self.split
+        rows = day_window(self.view("interactions"), s.base_date, s.test_days,
+                          s.test_days + s.train_days)
+        return self._get("rule_baskets", lambda: baskets(rows, ["userId", "day"], "item_id"))
+
+    def rule_model(self):
+        from reelpath.operators.search_rules import fit_rules
+        return self._get("rule_model", lambda: fit_rules(self.rule_baskets()))
+
+    def sim_pairs(self) -> DataFrame:
+        from reelpath.operators.search_rules import rule_pairs
+        return self._get("sim_pairs", lambda: rule_pairs(self.rule_model()).select(
+            "item_id", "rec_item_id", F.col("confidence").alias("raw_score")))
+
+    def sim_scores(self, drop_seen: bool = True) -> DataFrame:
+        from reelpath.operators import recommend
+        return self._get(("sim_scores", drop_seen), lambda: recommend.similarity_scores(
+            self.als_input(), self.sim_pairs()) if drop_seen else self._raw_sim_scores())
+
+    def _raw_sim_scores(self) -> DataFrame:
+        from reelpath.operators.recommend import SCORE_DIGITS
+        cand = (self.als_input().select("userId", "item_id", "recent_decay_factor")
+                .join(self.sim_pairs(), "item_id"))
+        return (cand.groupBy("userId", "rec_item_id")
+                .agg(F.round(F.sum(F.col("raw_score") * F.col("recent_decay_factor")),
+                             SCORE_DIGITS).alias("total_score")))
+
+    def sim_indexed(self, drop_seen: bool = True) -> DataFrame:
+        from reelpath.operators.recommend import index_candidates
+        users, items = self.lookups()
+        return self._get(("sim_indexed", drop_seen), lambda: index_candidates(
+            self.sim_scores(drop_seen), users, items))
+
+    def sim_top(self, k: int = 15, drop_seen: bool = True) -> DataFrame:
+        from reelpath.operators.recommend import top_k
+        return self._get(("sim_top", k, drop_seen), lambda: top_k(
+            self.sim_indexed(drop_seen), k, score_col="total_score"))
+
     # ---- catalogue
     def metadata(self) -> DataFrame:
         from reelpath.operators.clean import catalogue_items
