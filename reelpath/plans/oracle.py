@@ -407,3 +407,157 @@ ORACLE_SQL.update({
         WHERE u.userId = (SELECT userId FROM merged_train GROUP BY userId HAVING count(item_id) >= 3
                           ORDER BY md5('42:' || userId), userId LIMIT 1)"""),
 })
+
+
+_ACTIONS = ("('search_input', 'text_input', 'voice_search', 'search_click', 'voice search', "
+            "'search_result_consumed', 'tab_click', 'tile_click', 'banner_cta_click', "
+            "'item_search', 'autosuggest_click')")
+SEARCH = {
+    "se_dist": f"""SELECT DISTINCT * FROM search_events
+                   WHERE day BETWEEN DATE '2024-01-23' AND DATE '2024-01-30'
+                     AND events_meta_search_session_id IS NOT NULL""",
+    "idm": """SELECT temp_uid, day AS um_day, min(reg_uid) AS reg_uid FROM identity_map
+              WHERE temp_uid IS NOT NULL GROUP BY temp_uid, day""",
+    "resolved": f"""SELECT e.* EXCLUDE (events_uid), coalesce(i.reg_uid, e.events_uid) AS uid
+                    FROM se_dist e LEFT JOIN idm i ON e.events_uid = i.temp_uid AND e.day = i.um_day
+                    WHERE e.events_meta_action IN {_ACTIONS}""",
+    "flagged": """SELECT *,
+          CASE WHEN (events_meta_action IN ('tile_click', 'banner_cta_click')
+                     AND events_meta_source_name IN ('search_page', 'searchLayout'))
+                    OR events_meta_action = 'search_result_consumed' THEN 1 ELSE 0 END AS consumption,
+          CASE WHEN events_meta_action IN ('search_input', 'text_input', 'voice_search', 'search_click',
+                                           'voice search')
+                    OR (events_meta_action = 'tab_click' AND lower(events_meta_asset_name) = 'search'
+                        AND lower(events_appid) = 'largescreen') THEN 1 ELSE 0 END AS session,
+          CASE WHEN events_meta_action IN ('item_search', 'autosuggest_click')
+                    AND events_meta_asset_name IN ('autosuggest', 'auto_suggestion')
+                    AND eventtype = 'click' THEN 1 ELSE 0 END AS autosuggest
+        FROM resolved""",
+    "sess_rows": """SELECT * FROM flagged WHERE session = 1 AND uid IS NOT NULL AND uid <> ''
+                    AND lower(uid) <> 'nan' AND events_meta_keyword IS NOT NULL""",
+    "sess_kw": """SELECT events_meta_search_session_id, uid, events_meta_keyword, events_ts FROM (
+                    SELECT *, row_number() OVER (PARTITION BY events_meta_search_session_id
+                        ORDER BY length(events_meta_keyword) DESC, events_ts DESC,
+                                 events_meta_keyword DESC, uid DESC) AS rn
+                    FROM sess_rows) WHERE rn = 1""",
+    "multi": """SELECT * FROM sess_kw WHERE uid IN (SELECT uid FROM sess_kw GROUP BY uid
+                                                    HAVING count(*) >= 3)""",
+    "kb": "SELECT DISTINCT uid, events_meta_keyword AS search_key FROM multi WHERE length(events_meta_keyword) > 3",
+    "kb_n": "SELECT count(DISTINCT uid) AS n FROM kb",
+    "kb_min": "SELECT ceil(CAST(0.01 AS DOUBLE) * n) AS m FROM kb_n",
+    "kb_items": "SELECT search_key, count(*) AS f FROM kb GROUP BY search_key",
+    "kb_pairs": """SELECT a.search_key AS antecedent, b.search_key AS consequent, count(*) AS f
+                   FROM kb a JOIN kb b ON a.uid = b.uid AND a.search_key <> b.search_key GROUP BY 1, 2""",
+    "kw_rules": """SELECT p.antecedent, p.consequent, p.f / a.f AS confidence,
+                          (p.f / a.f) / (c.f / n.n) AS lift, p.f / n.n AS support
+                   FROM kb_pairs p JOIN kb_items a ON a.search_key = p.antecedent
+                                   JOIN kb_items c ON c.search_key = p.consequent
+                                   CROSS JOIN kb_n n CROSS JOIN kb_min m
+                   WHERE p.f >= m.m AND p.f / a.f >= 0.1""",
+}
+
+_QITEM = {"qi": """SELECT f.id AS q_id, f.features AS q_vec
+                  FROM (SELECT item_id FROM popularity ORDER BY user_count DESC, item_id LIMIT 1) t
+                  JOIN factors f ON CAST(t.item_id AS INTEGER) = f.id"""}
+
+
+def _dot(a: str, b: str) -> str:
+    return f"list_dot_product(CAST({a} AS DOUBLE[]), CAST({b} AS DOUBLE[]))"
+
+
+def _cos(a: str, b: str) -> str:
+    den = f"(sqrt({_dot(a, a)}) * sqrt({_dot(b, b)}))"
+    return f"CASE WHEN {den} > 0 THEN {_dot(a, b)} / {den} END"
+
+
+_PICK = """SELECT userId FROM merged_train GROUP BY userId HAVING count(item_id) >= 3
+           ORDER BY md5('42:' || userId), userId LIMIT 1"""
+_PROFILES = {
+    "hist_all": "SELECT userId, CAST(item_id AS INTEGER) AS vec_id FROM merged_train",
+    "prof": """SELECT userId, list(v ORDER BY pos) AS profile FROM (
+                 SELECT userId, pos, avg(CAST(v AS DOUBLE)) AS v FROM (
+                   SELECT h.userId, unnest(generate_series(1, len(f.features))) AS pos,
+                          unnest(f.features) AS v
+                   FROM hist_all h JOIN factors f ON h.vec_id = f.id)
+                 GROUP BY userId, pos)
+               GROUP BY userId""",
+    "pu": _PICK,
+}
+
+ORACLE_SQL.update({
+    "search_flags": with_stages("""
+        SELECT events_meta_search_session_id, events_ts, uid, events_meta_action,
+               consumption, session, autosuggest FROM flagged""", SEARCH),
+    "resolved_users": with_stages("""
+        SELECT uid, count(*) AS n_rows, count(DISTINCT events_meta_search_session_id) AS n_sessions
+        FROM flagged GROUP BY uid""", SEARCH),
+    "search_sequence": with_stages("""
+        SELECT events_meta_search_session_id, events_ts, events_meta_keyword, events_meta_action,
+               CAST(row_number() OVER (PARTITION BY events_meta_search_session_id
+                    ORDER BY events_ts, events_meta_action, events_meta_keyword) AS INTEGER) AS sequence_order
+        FROM flagged WHERE session = 1""", SEARCH),
+    "session_keyword": with_stages("SELECT * FROM sess_kw", SEARCH),
+    "multi_search_baskets": with_stages("""
+        SELECT uid, CAST(count(*) AS INTEGER) AS n_items,
+               array_to_string(list_sort(list(search_key)), ',') AS items
+        FROM kb GROUP BY uid""", SEARCH),
+    "multi_search_share": with_stages("""
+        SELECT count(*) AS searching_users, count_if(n >= 3) AS multi_search_users,
+               round(count_if(n >= 3) / count(*) * 100, 6) AS multi_search_pct
+        FROM (SELECT uid, count(*) AS n FROM sess_kw GROUP BY uid)""", SEARCH),
+    "frequent_itemsets": with_stages("""
+        SELECT search_key AS items, f AS freq FROM kb_items WHERE f >= (SELECT m FROM kb_min)
+        UNION ALL
+        SELECT a.search_key || ',' || b.search_key AS items, count(*) AS freq
+        FROM kb a JOIN kb b ON a.uid = b.uid AND a.search_key < b.search_key
+        GROUP BY 1 HAVING count(*) >= (SELECT m FROM kb_min)""", SEARCH),
+    "association_rules": with_stages("""
+        SELECT antecedent, consequent, round(confidence, 6) AS confidence, round(lift, 6) AS lift,
+               round(support, 6) AS support FROM kw_rules""", SEARCH),
+    "related_keywords": with_stages("""
+        SELECT antecedent AS keyword, consequent AS related, CAST(rank AS INTEGER) AS rank,
+               round(confidence, 6) AS confidence, round(lift, 6) AS lift
+        FROM (SELECT *, row_number() OVER (PARTITION BY antecedent ORDER BY lift DESC, consequent) AS rank
+              FROM kw_rules) WHERE rank <= 5""", SEARCH),
+    "cosine_neighbours": with_stages(f"""
+        SELECT q_id, id, round(score, 6) AS score FROM (
+          SELECT q.q_id, f.id, {_cos('f.features', 'q.q_vec')} AS score
+          FROM factors f CROSS JOIN qi q WHERE f.id <> q.q_id)
+        WHERE score IS NOT NULL ORDER BY score DESC, id LIMIT 10""", _QITEM),
+    "dot_neighbours": with_stages(f"""
+        SELECT q_id, id, round(score, 6) AS score FROM (
+          SELECT q.q_id, f.id, {_dot('f.features', 'q.q_vec')} AS score
+          FROM factors f CROSS JOIN qi q WHERE f.id <> q.q_id)
+        WHERE score IS NOT NULL ORDER BY score DESC, id LIMIT 10""", _QITEM),
+    "profile_vector_recs": with_stages(f"""
+        SELECT userId, id, round(score, 6) AS score FROM (
+          SELECT p.userId, f.id, {_dot('f.features', 'p.profile')} AS score
+          FROM factors f CROSS JOIN (SELECT * FROM prof WHERE userId IN (SELECT userId FROM pu)) p
+          WHERE f.id NOT IN (SELECT vec_id FROM hist_all WHERE userId IN (SELECT userId FROM pu)))
+        ORDER BY score DESC, id LIMIT 10""", _PROFILES),
+    "taste_neighbours": with_stages(f"""
+        SELECT query_user, userId, round(score, 6) AS score FROM (
+          SELECT q.userId AS query_user, p.userId, {_cos('p.profile', 'q.profile')} AS score
+          FROM prof p CROSS JOIN (SELECT * FROM prof WHERE userId IN (SELECT userId FROM pu)) q
+          WHERE p.userId <> q.userId)
+        WHERE score IS NOT NULL ORDER BY score DESC, userId LIMIT 10""", _PROFILES),
+    "item_features": with_stages("""
+        SELECT DISTINCT item_id, feature FROM (
+          SELECT item_id, unnest(list_distinct(['lang:' || coalesce(original_language, 'Unknown')]
+                 || list_transform(CASE WHEN len(g) > 0 THEN g ELSE ['Unknown'] END, lambda x: 'genre:' || x)))
+                 AS feature
+          FROM (SELECT item_id, original_language,
+                       list_filter(list_transform(string_split(regexp_replace(CAST(Genres AS VARCHAR),
+                                   '[\\[\\]''"]', '', 'g'), ','), lambda x: trim(x)), lambda x: x <> '') AS g
+                FROM metadata))
+        WHERE item_id IN (SELECT item_id FROM item_lookup)"""),
+    "sampled_users": with_stages("""
+        SELECT userId, item_id, 'train' AS split FROM tr
+        UNION ALL
+        SELECT t.userId, t.item_id, 'test' AS split FROM merged_test t
+        WHERE t.userId IN (SELECT userId FROM su)
+          AND NOT EXISTS (SELECT 1 FROM tr WHERE tr.userId = t.userId AND tr.item_id = t.item_id)""",
+        {"su": """SELECT DISTINCT userId FROM merged_train
+                  WHERE ('0x' || substr(md5('42:' || userId), 1, 8))::BIGINT % 100 < 5""",
+         "tr": "SELECT userId, item_id FROM merged_train WHERE userId IN (SELECT userId FROM su)"}),
+})

@@ -554,3 +554,192 @@ def user_recs(spark, sf_dir):
     out = user_recommendations(user, recs, wb.lookups()[1], meta, wb.popularity())
     return rounded(out.select("userId", "item_id", "title", "original_language", "popularity_score",
                               F.col("rank").cast("int").alias("rank"), "total_score"))
+
+
+# ------------------------------------------------------------------ search sessions and keyword rules
+
+SEARCH_MIN_SUPPORT = 0.01     # the rule class defaults; keyword baskets are per user
+SEARCH_MIN_CONFIDENCE = 0.1
+
+
+def _search_rows(wb: Workbench) -> DataFrame:
+    """Search log over the last ``test_days`` days, users resolved, flagged."""
+    from reelpath.operators.search_rules import resolve_users, search_flags
+    from reelpath.sources.scan import day_window
+    ev = day_window(wb.view("search_events"), wb.split.base_date, 0, wb.split.test_days)
+    return search_flags(resolve_users(ev, wb.view("identity_map")))
+
+
+def _keyword_baskets(wb: Workbench) -> DataFrame:
+    from reelpath.operators.clean import long_keywords
+    from reelpath.operators.search_rules import baskets, multi_searchers, session_keyword
+    return wb._get("kw_baskets", lambda: baskets(
+        long_keywords(multi_searchers(session_keyword(_search_rows(wb)))), "uid", "search_key"))
+
+
+def _keyword_model(wb: Workbench):
+    from reelpath.operators.search_rules import fit_rules
+    return wb._get("kw_model", lambda: fit_rules(_keyword_baskets(wb), SEARCH_MIN_SUPPORT,
+                                                 SEARCH_MIN_CONFIDENCE))
+
+
+@query("search_flags")
+def search_flags_q(spark, sf_dir):
+    """C12 + F19 + J9: flagged search rows with resolved user ids."""
+    return _search_rows(_wb(spark, sf_dir)).select(
+        "events_meta_search_session_id", "events_ts", "uid", "events_meta_action",
+        "consumption", "session", "autosuggest")
+
+
+@query("resolved_users")
+def resolved_users(spark, sf_dir):
+    """Rows and sessions per resolved user id."""
+    rows = _search_rows(_wb(spark, sf_dir))
+    return rows.groupBy("uid").agg(F.count(F.lit(1)).alias("n_rows"),
+                                   F.countDistinct("events_meta_search_session_id").alias("n_sessions"))
+
+
+@query("search_sequence")
+def search_sequence_q(spark, sf_dir):
+    """Order of events inside each search session."""
+    from reelpath.operators.search_rules import search_sequence
+    s = search_sequence(_search_rows(_wb(spark, sf_dir)))
+    return s.withColumn("sequence_order", F.col("sequence_order").cast("int"))
+
+
+@query("session_keyword")
+def session_keyword_q(spark, sf_dir):
+    """W8 + F5: one keyword per search session (longest, then latest)."""
+    from reelpath.operators.search_rules import session_keyword
+    return session_keyword(_search_rows(_wb(spark, sf_dir)))
+
+
+@query("multi_search_baskets")
+def multi_search_baskets_q(spark, sf_dir):
+    """R7 + R1 + W9 + F10: keyword baskets of users with >= 3 search sessions."""
+    b = _keyword_baskets(_wb(spark, sf_dir))
+    return b.select("uid", F.size("items").alias("n_items"),
+                    F.array_join("items", ",").alias("items"))
+
+
+@query("multi_search_share")
+def multi_search_share_q(spark, sf_dir):
+    """Share of searching users with >= 3 search sessions."""
+    from reelpath.operators.search_rules import session_keyword
+    sessions = session_keyword(_search_rows(_wb(spark, sf_dir)))
+    per_user = sessions.groupBy("uid").agg(F.count(F.lit(1)).alias("n"))
+    return rounded(per_user.agg(F.count(F.lit(1)).alias("searching_users"),
+                                F.count_if(F.col("n") >= 3).alias("multi_search_users"))
+                   .withColumn("multi_search_pct",
+                               F.col("multi_search_users") / F.col("searching_users") * 100.0))
+
+
+@query("frequent_itemsets")
+def frequent_itemsets_q(spark, sf_dir):
+    """R2 + R3: frequent keyword sets of size 1 and 2."""
+    from reelpath.operators.search_rules import frequent_itemsets
+    fi = frequent_itemsets(_keyword_model(_wb(spark, sf_dir)), max_size=2)
+    return fi.select(F.array_join(F.array_sort("items"), ",").alias("items"),
+                     F.col("freq").cast("long").alias("freq"))
+
+
+@query("association_rules")
+def association_rules_q(spark, sf_dir):
+    """One-to-one keyword rules with confidence, lift and support."""
+    from reelpath.operators.search_rules import rule_pairs
+    r = rule_pairs(_keyword_model(_wb(spark, sf_dir)))
+    return rounded(r.select(F.col("item_id").alias("antecedent"), F.col("rec_item_id").alias("consequent"),
+                            "confidence", "lift", "support"))
+
+
+@query("related_keywords")
+def related_keywords_q(spark, sf_dir):
+    """For every keyword, the five related keywords with the highest lift."""
+    from reelpath.operators.search_rules import association_rules, related_keywords
+    r = related_keywords(association_rules(_keyword_model(_wb(spark, sf_dir)), one_to_one=True))
+    from pyspark.sql import Window
+    w = Window.partitionBy("keyword").orderBy(F.col("lift").desc(), F.col("consequent")[0])
+    top = r.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= 5)
+    return rounded(top.select("keyword", F.col("consequent")[0].alias("related"),
+                              F.col("rank").cast("int").alias("rank"), "confidence", "lift"))
+
+
+@query("rule_predictions")
+def rule_predictions_q(spark, sf_dir):
+    """Keywords suggested by the rules for each user's basket."""
+    from reelpath.operators.search_rules import apply_rules
+    wb = _wb(spark, sf_dir)
+    p = apply_rules(_keyword_model(wb), _keyword_baskets(wb))
+    return p.select("uid", F.array_join(F.array_sort("prediction"), ",").alias("prediction"))
+
+
+# ------------------------------------------------------------------ latent vectors
+
+def _query_item(wb: Workbench) -> DataFrame:
+    """The most popular train item (ties -> smallest id) as the query vector."""
+    top = wb.popularity().orderBy(F.col("user_count").desc(), F.col("item_id")).limit(1)
+    f = wb.view("factors")
+    return (top.join(f, top.item_id.cast("int") == f.id)
+            .select(F.col("id").alias("q_id"), F.col("features").alias("q_vec")))
+
+
+@query("cosine_neighbours")
+def cosine_neighbours(spark, sf_dir):
+    """The 10 vectors closest (cosine) to the most popular item's vector."""
+    from reelpath.operators.vectors import nearest
+    wb = _wb(spark, sf_dir)
+    return rounded(nearest(_query_item(wb), wb.view("factors"), 10, "cosine"))
+
+
+@query("dot_neighbours")
+def dot_neighbours(spark, sf_dir):
+    """The 10 vectors with the largest dot product with the same query."""
+    from reelpath.operators.vectors import nearest
+    wb = _wb(spark, sf_dir)
+    return rounded(nearest(_query_item(wb), wb.view("factors"), 10, "dot"))
+
+
+def _history(wb: Workbench) -> DataFrame:
+    return wb.merged_train().select("userId", F.col("item_id").cast("int").alias("vec_id"))
+
+
+@query("profile_vector_recs")
+def profile_vector_recs(spark, sf_dir):
+    """The picked user's mean history vector against all unseen vectors."""
+    from reelpath.operators.recommend import pick_user
+    from reelpath.operators.vectors import profile_recommendations, profile_vectors
+    wb = _wb(spark, sf_dir)
+    user = pick_user(wb.merged_train(), 3)
+    hist = _history(wb).join(user.select("userId"), "userId", "left_semi")
+    prof = profile_vectors(hist, wb.view("factors"))
+    return rounded(profile_recommendations(prof, wb.view("factors"), hist, 10))
+
+
+@query("taste_neighbours")
+def taste_neighbours_q(spark, sf_dir):
+    """The 10 users whose profile vectors are closest to the picked user's."""
+    from reelpath.operators.recommend import pick_user
+    from reelpath.operators.vectors import profile_vectors, taste_neighbours
+    wb = _wb(spark, sf_dir)
+    profiles = profile_vectors(_history(wb), wb.view("factors"))
+    return rounded(taste_neighbours(profiles, pick_user(wb.merged_train(), 3), 10))
+
+
+# ------------------------------------------------------------------ features and samples
+
+@query("item_features")
+def item_features_q(spark, sf_dir):
+    """Language and genre features of the indexed items."""
+    from reelpath.operators.features import item_features
+    wb = _wb(spark, sf_dir)
+    return item_features(wb.metadata(), wb.lookups()[1])
+
+
+@query("sampled_users")
+def sampled_users(spark, sf_dir):
+    """T3 + M18 + J5 + J16: train and scrubbed test rows of a 5% user sample."""
+    from reelpath.operators.features import sampled_train_test
+    wb = _wb(spark, sf_dir)
+    tr, te = sampled_train_test(wb.merged_train(), wb.merged_test())
+    return (tr.select("userId", "item_id", F.lit("train").alias("split"))
+            .unionByName(te.select("userId", "item_id", F.lit("test").alias("split"))))
