@@ -561,3 +561,11 @@ ORACLE_SQL.update({
                   WHERE ('0x' || substr(md5('42:' || userId), 1, 8))::BIGINT % 100 < 5""",
          "tr": "SELECT userId, item_id FROM merged_train WHERE userId IN (SELECT userId FROM su)"}),
 })
+
+
+ORACLE_SQL.update({
+    "partitioned_scan": with_stages("""
+        SELECT userId, item_id, day, total_play_time_sec, day AS path_day FROM pt_train0"""),
+    "bundle_roundtrip": with_stages("""
+        SELECT userIndex, itemIndex, round(confidence, 6) AS confidence FROM indexed_train"""),
+})

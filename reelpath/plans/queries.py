@@ -743,3 +743,133 @@ def sampled_users(spark, sf_dir):
     tr, te = sampled_train_test(wb.merged_train(), wb.merged_test())
     return (tr.select("userId", "item_id", F.lit("train").alias("split"))
             .unionByName(te.select("userId", "item_id", F.lit("test").alias("split"))))
+
+
+# ------------------------------------------------------------------ sources and sinks
+
+@query("partitioned_scan")
+def partitioned_scan(spark, sf_dir):
+    """The playtime log written day-partitioned to the shared folder,
+    read back as one pruned scan of the train window; the day is also taken
+    from each row's file path (S5)."""
+    from reelpath.session import scratch_path
+    from reelpath.sources.bundle import write_table
+    from reelpath.sources.scan import day_from_path, read_days
+    wb = _wb(spark, sf_dir)
+    root = write_table(wb.view("playtime"), scratch_path(spark, "playtime_by_day"), ["day"])
+    s = wb.split
+    train = read_days(spark, root, s.base_date, s.test_days, s.test_days + s.train_days)
+    return day_from_path(train, "path_day").select(
+        "userId", "item_id", "day", "total_play_time_sec", "path_day")
+
+
+BUNDLE_TABLES = ("indexed_train", "indexed_test", "user_lookup", "item_lookup",
+                 "combined_train", "combined_test", "metadata", "item_popularity")
+
+
+@query("bundle_roundtrip")
+def bundle_roundtrip(spark, sf_dir):
+    """S8-S10 + S12: the prepared tables saved as one bundle and reloaded;
+    the reloaded indexed train frame equals its source."""
+    from reelpath.session import scratch_path
+    from reelpath.sources.bundle import load_bundle, save_bundle
+    wb = _wb(spark, sf_dir)
+    users, items = wb.lookups()
+    itrain, itest = wb.indexed()
+    folder = scratch_path(spark, "data_bundle")
+    save_bundle({"indexed_train": itrain, "indexed_test": itest, "user_lookup": users,
+                 "item_lookup": items, "combined_train": wb.merged_train(),
+                 "combined_test": wb.merged_test(), "metadata": wb.metadata(),
+                 "item_popularity": wb.popularity(), "custom_rows": None}, folder)
+    loaded = load_bundle(spark, folder, list(BUNDLE_TABLES))
+    return rounded(loaded["indexed_train"])
+
+
+# ------------------------------------------------------------------ ALS
+
+# The best point of the reference's published grid
+ALS_PARAMS = {"rank": 100, "max_iter": 15, "alpha": 10.0, "reg_param": 1.0}
+RAW_N = 50
+
+
+def _als_novel(wb: Workbench, params: dict, k: int = K) -> DataFrame:
+    from reelpath.operators.recommend import (flatten_recs, popularity_rerank, raw_recommendations,
+                                              train_als)
+    itrain = wb.indexed()[0]
+    model = train_als(itrain, **params)
+    flat = flatten_recs(raw_recommendations(model, RAW_N))
+    counts = wb.popularity().join(wb.lookups()[1], "item_id").select("itemIndex", "user_count")
+    return popularity_rerank(flat, itrain, counts, k)
+
+
+@query("als_novel_recs")
+def als_novel_recs(spark, sf_dir):
+    """M1 + M3 + M4 + M6 + M7: implicit ALS, top 50, seen removed,
+    popularity re-ranked, top 15 (rows check: seeds fix it on one layout)."""
+    top = _als_novel(_wb(spark, sf_dir), ALS_PARAMS)
+    return top.select("userIndex", "itemIndex", F.col("rank").cast("int").alias("rank"),
+                      F.round("score", 6).alias("score"))
+
+
+@query("als_explicit")
+def als_explicit(spark, sf_dir):
+    """M2 + M3 + M4: explicit ALS (rank 50) on the confidence labels, top 10."""
+    from reelpath.operators.recommend import flatten_recs, raw_recommendations, train_als
+    wb = _wb(spark, sf_dir)
+    model = train_als(wb.indexed()[0], rank=50, max_iter=10, reg_param=0.1, implicit=False)
+    flat = flatten_recs(raw_recommendations(model, 10))
+    return flat.select("userIndex", "itemIndex", F.round("als_rating", 6).alias("als_rating"),
+                       F.col("model_rank").cast("int").alias("model_rank"))
+
+
+@query("head_to_head")
+def head_to_head(spark, sf_dir):
+    """Ranking metrics of ALS and of the similarity recommender on the
+    same truth, one row per model."""
+    from reelpath.operators.evaluate import ranking_metrics as rm
+    wb = _wb(spark, sf_dir)
+    truth = wb.ground_truth()
+    als = rm(_als_novel(wb, ALS_PARAMS), truth, K).withColumn("model", F.lit("als"))
+    sim = rm(wb.sim_top(K), truth, K).withColumn("model", F.lit("similarity"))
+    return rounded(als.unionByName(sim))
+
+
+# a small grid around the published best point
+GRID = {"alpha": [2.0, 10.0], "max_iter": [10]}
+
+
+@query("grid_sweep")
+def grid_sweep(spark, sf_dir):
+    """The parameter grid, one metrics row per point (coverage of the
+    top 50, precision/recall/MAP of the re-ranked top 15); a failing point
+    yields a row with status 'failed' instead of stopping the sweep."""
+    from itertools import product
+
+    from reelpath.operators.evaluate import catalogue_coverage, ranking_metrics as rm
+    from reelpath.operators.recommend import (flatten_recs, popularity_rerank, raw_recommendations,
+                                              train_als)
+    wb = _wb(spark, sf_dir)
+    itrain = wb.indexed()[0]
+    items = wb.lookups()[1]
+    counts = wb.popularity().join(items, "item_id").select("itemIndex", "user_count")
+    truth = wb.ground_truth()
+    keys = sorted(GRID)
+    rows = None
+    for values in product(*[GRID[k] for k in keys]):
+        params = dict(ALS_PARAMS, **dict(zip(keys, values)))
+        label = F.lit(",".join(f"{k}={v}" for k, v in zip(keys, values)))
+        try:
+            model = train_als(itrain, **params)
+            flat = flatten_recs(raw_recommendations(model, RAW_N))
+            top = popularity_rerank(flat, itrain, counts, K)
+            point = (rm(top, truth, K)
+                     .crossJoin(catalogue_coverage(flat, items).select("coverage"))
+                     .withColumn("status", F.lit("ok")))
+        except Exception:  # noqa: BLE001 -- isolate a failing point
+            point = spark.createDataFrame(
+                [(0, None, None, None, None, "failed")],
+                "users long, precision_at_k double, recall_at_k double, map double, "
+                "coverage double, status string")
+        point = point.withColumn("params", label)
+        rows = point if rows is None else rows.unionByName(point)
+    return rounded(rows)
