@@ -12,15 +12,14 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelpath.operators.ranking import dense_ids
+from reelpath.operators.ranking import dense_ids, dense_ids_many
 
 
 def build_lookups(train: DataFrame, user_col: str = "userId",
                   item_col: str = "item_id") -> tuple[DataFrame, DataFrame]:
     """``(userId, userIndex int)`` and ``(item_id, itemIndex int)``."""
-    users = dense_ids(train.select(user_col), user_col, "userIndex")
-    items = dense_ids(train.select(item_col), item_col, "itemIndex")
-    return users, items
+    ids = dense_ids_many({"userIndex": (train, user_col), "itemIndex": (train, item_col)})
+    return ids["userIndex"], ids["itemIndex"]
 
 
 def encode(train: DataFrame, test: DataFrame, users: DataFrame, items: DataFrame,

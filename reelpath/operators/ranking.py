@@ -160,3 +160,26 @@ def dense_ids(keys: DataFrame, key_col: str, id_col: str, base: int = 0,
     ranked = rank_within(distinct, ["_rp_all"], [key_col], "_rp_rn", ties="row",
                          num_partitions=num_partitions)
     return ranked.select(key_col, (F.col("_rp_rn") - 1 + base).cast("int").alias(id_col))
+
+
+def dense_ids_many(frames: dict[str, tuple[DataFrame, str]], base: int = 0,
+                   num_partitions: int | None = None) -> dict[str, DataFrame]:
+    """I2 for several key sets in one range-partitioned pass.
+
+    ``frames`` maps a name to ``(frame, key_col)``; keys are cast to string and
+    numbered per name (group = name), so users and items share one sampling
+    job, one checkpoint and one offset table.  Each result has the original
+    key column (original type) and ``<name>`` as the id column."""
+    union = None
+    for name, (df, key) in frames.items():
+        part = df.select(F.lit(name).alias("_rp_kind"), F.col(key).cast("string").alias("_rp_key"))
+        union = part if union is None else union.unionByName(part)
+    ranked = rank_within(union.distinct(), ["_rp_kind"], ["_rp_key"], "_rp_rn", ties="row",
+                         num_partitions=num_partitions)
+    out = {}
+    for name, (df, key) in frames.items():
+        key_type = df.schema[key].dataType
+        out[name] = (ranked.filter(F.col("_rp_kind") == name)
+                     .select(F.col("_rp_key").cast(key_type).alias(key),
+                             (F.col("_rp_rn") - 1 + base).cast("int").alias(name)))
+    return out

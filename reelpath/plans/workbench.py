@@ -93,8 +93,12 @@ class Workbench:
             self.decayed_train(), self.popularity()) if self.penalize else self.decayed_train())
 
     def als_input(self) -> DataFrame:
-        return self._get("als_input", lambda: scoring.active_users(
-            self.weighted_train(), self.min_items))
+        """Final train pairs, materialised once in the shared checkpoint folder
+        (S9): the lookups, the encoded frames and the recommenders all read
+        the files instead of recomputing the funnel."""
+        from reelpath.sources.bundle import cut_lineage
+        return self._get("als_input", lambda: cut_lineage(scoring.active_users(
+            self.weighted_train(), self.min_items), "als_input"))
 
     # ---- ids
     def lookups(self) -> tuple[DataFrame, DataFrame]:
