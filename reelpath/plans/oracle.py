@@ -569,3 +569,8 @@ ORACLE_SQL.update({
     "bundle_roundtrip": with_stages("""
         SELECT userIndex, itemIndex, round(confidence, 6) AS confidence FROM indexed_train"""),
 })
+
+
+ORACLE_SQL["streaming_rollup"] = with_stages("""
+    SELECT userId, item_id, day, round(sum(total_play_time_sec), 6) AS playtime, count(*) AS n_rows
+    FROM playtime GROUP BY userId, item_id, day""")

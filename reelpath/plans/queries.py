@@ -873,3 +873,20 @@ def grid_sweep(spark, sf_dir):
         point = point.withColumn("params", label)
         rows = point if rows is None else rows.unionByName(point)
     return rounded(rows)
+
+
+# ------------------------------------------------------------------ streaming
+
+@query("streaming_rollup")
+def streaming_rollup(spark, sf_dir):
+    """A1 as a stream: the events file read by a Structured Streaming file
+    source (trigger ``availableNow``), per-batch partial sums written
+    idempotently, totals per (user, item, day) summed from the partials."""
+    from reelpath.session import scratch_path
+    from reelpath.streaming.rollup import events_to_playtime, rollup_view, start_rollup
+    schema = _wb(spark, sf_dir).table("events").schema
+    out = scratch_path(spark, "playtime_rollup")
+    q = start_rollup(spark, f"{sf_dir.rstrip('/')}/events.parque[t]", schema, out,
+                     scratch_path(spark, "playtime_rollup_ckpt"), events_to_playtime)
+    q.awaitTermination()
+    return rollup_view(spark, out)

@@ -50,7 +50,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------- Spark side
 
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    return interactions_from(table(spark, sf_dir, "events"))
+
+
+def interactions_from(ev: DataFrame) -> DataFrame:
+    """The interactions mapping over any frame shaped like ``events``
+    (a batch read or a streaming micro-batch)."""
     return ev.select(
         F.col("user_id").cast("string").alias("userId"),
         F.get_json_object("props", "$.k").alias("item_id"),
