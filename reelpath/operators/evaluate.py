@@ -175,3 +175,13 @@ def evaluated_users(preds: DataFrame, truth: DataFrame, train: DataFrame,
     tn = t.groupBy(user_col).agg(F.count(F.lit(1)).alias("n_actual"))
     pn = preds.groupBy(user_col).agg(F.count(F.lit(1)).alias("n_predicted"))
     return pn.join(tn, user_col)
+
+
+def recall_by_arrays(preds: DataFrame, truth: DataFrame) -> DataFrame:
+    """U5 / E2 on the array form: ``size(array_intersect(predicted, actual)) /
+    size(actual)`` per user (``predicted_items``, ``actual_items`` arrays),
+    averaged over users present in both."""
+    j = preds.join(truth, "userIndex").dropna()
+    return j.agg(F.avg(F.size(F.array_intersect("predicted_items", "actual_items"))
+                       / F.size("actual_items")).alias("avg_recall"),
+                 F.count(F.lit(1)).alias("users"))

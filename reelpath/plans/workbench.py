@@ -127,10 +127,16 @@ class Workbench:
         from reelpath.operators.search_rules import fit_rules
         return self._get("rule_model", lambda: fit_rules(self.rule_baskets()))
 
-    def sim_pairs(self) -> DataFrame:
+    def similar_items(self) -> DataFrame:
+        """The similar-items table in its stored shape
+        (item_id, similar_items array<struct<item_id, score>>)."""
+        from reelpath.operators.recommend import similar_items
         from reelpath.operators.search_rules import rule_pairs
-        return self._get("sim_pairs", lambda: rule_pairs(self.rule_model()).select(
-            "item_id", "rec_item_id", F.col("confidence").alias("raw_score")))
+        return self._get("similar_items", lambda: similar_items(rule_pairs(self.rule_model())))
+
+    def sim_pairs(self) -> DataFrame:
+        from reelpath.operators.recommend import explode_similar
+        return self._get("sim_pairs", lambda: explode_similar(self.similar_items()))
 
     def sim_scores(self, drop_seen: bool = True) -> DataFrame:
         from reelpath.operators import recommend

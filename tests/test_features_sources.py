@@ -75,3 +75,15 @@ def test_model_bundle_and_csv_export(spark):
     assert m2.rank == 3 and raw2.count() == raw.count() and novel2.count() == 2
     out = bundle.export_sample_csv(train, folder + "/csv", fraction=1.0, n=10)
     assert len([f for f in os.listdir(out) if f.endswith(".csv")]) >= 1
+
+
+def test_union_fold_and_single_day(spark):
+    root = tempfile.mkdtemp(prefix="reelpath-days-")
+    d1 = spark.createDataFrame([("u", 1.0, dt.date(2024, 1, 1))], "userId string, v double, day date")
+    d2 = spark.createDataFrame([("u", "x", dt.date(2024, 1, 2))], "userId string, extra string, day date")
+    folded = scan.union_days([d1, d2])
+    assert set(folded.columns) == {"userId", "v", "day", "extra"} and folded.count() == 2
+    bundle.write_table(d1.unionByName(d1.withColumn("day", F.lit(dt.date(2024, 1, 2)))),
+                       f"{root}/log", ["day"])
+    one = scan.read_single_day(spark, f"{root}/log", "2024-01-02").collect()
+    assert [r.day for r in one] == [dt.date(2024, 1, 2)]

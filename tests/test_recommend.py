@@ -85,3 +85,19 @@ def test_pick_user_is_repeatable(spark):
     a = recommend.pick_user(df, 3).first().userId
     b = recommend.pick_user(df.repartition(7), 3).first().userId
     assert a == b
+
+
+def test_array_recall_equals_row_recall(spark):
+    from reelpath.operators.indexing import ground_truth
+    preds, truth = _preds_truth(spark)
+    arrays = recommend.as_arrays(preds)
+    a = evaluate.recall_by_arrays(arrays, ground_truth(truth)).first()
+    b = evaluate.ranking_metrics(preds, truth, 3).first()
+    assert a.users == b.users and abs(a.avg_recall - b.recall_at_k) < 1e-12
+
+
+def test_similar_items_roundtrip(spark):
+    pairs = spark.createDataFrame([("a", "b", 0.5), ("a", "c", 0.25), ("b", "a", 1.0)],
+                                  "item_id string, rec_item_id string, confidence double")
+    back = recommend.explode_similar(recommend.similar_items(pairs))
+    assert sorted(back.collect()) == sorted(pairs.toDF("item_id", "rec_item_id", "raw_score").collect())
