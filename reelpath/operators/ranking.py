@@ -163,7 +163,8 @@ def dense_ids(keys: DataFrame, key_col: str, id_col: str, base: int = 0,
 
 
 def dense_ids_many(frames: dict[str, tuple[DataFrame, str]], base: int = 0,
-                   num_partitions: int | None = None) -> dict[str, DataFrame]:
+                   num_partitions: int | None = None,
+                   materialize: bool = True) -> dict[str, DataFrame]:
     """I2 for several key sets in one range-partitioned pass.
 
     ``frames`` maps a name to ``(frame, key_col)``; keys are cast to string and
@@ -176,6 +177,10 @@ def dense_ids_many(frames: dict[str, tuple[DataFrame, str]], base: int = 0,
         union = part if union is None else union.unionByName(part)
     ranked = rank_within(union.distinct(), ["_rp_kind"], ["_rp_key"], "_rp_rn", ties="row",
                          num_partitions=num_partitions)
+    if materialize:
+        # one small lookup table in the shared folder; every later join reads it
+        from reelpath.sources.bundle import cut_lineage
+        ranked = cut_lineage(ranked, "dense_ids")
     out = {}
     for name, (df, key) in frames.items():
         key_type = df.schema[key].dataType

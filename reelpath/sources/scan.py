@@ -82,9 +82,9 @@ def split_windows(df: DataFrame, split: Split = DEFAULT_SPLIT, decay: bool = Fal
 
     With ``decay`` the train rows get ``days_ago`` and ``decay_factor``
     (newest 1.0 down to 0.5) and test rows a constant 1.0.  With
-    ``common_users`` each side keeps only users present in the other; done as
-    semi-joins against the other side's user keys (partial aggregation keeps a
-    hot user to one row per map task before the shuffle).
+    ``common_users`` each side keeps only users present in both windows: one
+    grouped min/max of "is test day" per user (partial aggregation keeps a hot
+    user to one row per map task) and a semi-join of each side against it.
     """
     test = day_window(df, split.base_date, 0, split.test_days, day_col)
     train = day_window(df, split.base_date, split.test_days,
@@ -95,8 +95,13 @@ def split_windows(df: DataFrame, split: Split = DEFAULT_SPLIT, decay: bool = Fal
                  .withColumn("decay_factor", linear_decay(F.col("days_ago"), split)))
         test = test.withColumn("decay_factor", F.lit(1.0))
     if common_users:
-        train_users = train.select(user_col).distinct()
-        test_users = test.select(user_col).distinct()
-        train, test = (train.join(test_users, user_col, "left_semi"),
-                       test.join(train_users, user_col, "left_semi"))
+        # one aggregate over both windows finds users present in each
+        first_test, _ = window_bounds(split.base_date, 0, split.test_days)
+        both = day_window(df, split.base_date, 0, split.test_days + split.train_days, day_col)
+        in_test = F.col(day_col) >= F.lit(first_test).cast("date")
+        users = (both.groupBy(user_col)
+                 .agg(F.max(in_test.cast("int")).alias("_t"), F.min(in_test.cast("int")).alias("_f"))
+                 .filter((F.col("_t") == 1) & (F.col("_f") == 0)).select(user_col))
+        train = train.join(users, user_col, "left_semi")
+        test = test.join(users, user_col, "left_semi")
     return train, test
