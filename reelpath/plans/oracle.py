@@ -67,9 +67,9 @@ def _hist(expr: str, scale: str) -> str:
            GROUP BY 1, 2"""
 
 
-_thr_ge = ", ".join(f"count_if(distinct_content_count >= {t}) AS users_ge_{t}"
+_thr_ge = ", ".join(f"CAST(count_if(distinct_content_count >= {t}) AS BIGINT) AS users_ge_{t}"
                     for t in (1, 2, 3, 5, 10, 20, 50, 100))
-_thr_eq = ", ".join(f"count_if(distinct_content_count = {t}) AS users_eq_{t}"
+_thr_eq = ", ".join(f"CAST(count_if(distinct_content_count = {t}) AS BIGINT) AS users_eq_{t}"
                     for t in (1, 2, 3, 5, 10, 20))
 _QS = (0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 _FQS = (0.0, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 1.0)
@@ -174,9 +174,9 @@ ORACLE_SQL.update({
     "clean_consumption": with_stages(f"""
         SELECT (SELECT count(*) FROM consumption WHERE content_content_type IN {_ALL_TYPES}
                 AND total_play_time_sec > 300) AS kept_rows,
-               count_if(userId IS NULL) AS null_users,
-               count_if(total_play_time_sec > 86400) AS outlier_rows,
-               count_if(total_play_time_sec > duration_secs) AS over_duration_rows
+               CAST(count_if(userId IS NULL) AS BIGINT) AS null_users,
+               CAST(count_if(total_play_time_sec > 86400) AS BIGINT) AS outlier_rows,
+               CAST(count_if(total_play_time_sec > duration_secs) AS BIGINT) AS over_duration_rows
         FROM consumption"""),
     "valid_users": with_stages("""
         SELECT userId, content_id, user_session_id, total_play_time_sec FROM (
@@ -229,8 +229,8 @@ ORACLE_SQL.update({
     "signal_bounds": with_stages("""
         SELECT round(min(confidence), 6) AS min_value, round(max(confidence), 6) AS max_value,
                round(avg(confidence), 6) AS mean_value, round(stddev_samp(confidence), 6) AS stddev_value,
-               count(*) AS n_rows, count_if(confidence <= 0.1) AS n_le_0_1,
-               count_if(confidence >= 3.0) AS n_ge_3
+               count(*) AS n_rows, CAST(count_if(confidence <= 0.1) AS BIGINT) AS n_le_0_1,
+               CAST(count_if(confidence >= 3.0) AS BIGINT) AS n_ge_3
         FROM weighted_train"""),
     "funnel_shape": with_stages("""
         SELECT cells, users, items,
@@ -241,7 +241,7 @@ ORACLE_SQL.update({
                      count(DISTINCT itemIndex) AS items FROM indexed_train)"""),
     "funnel_users": with_stages(f"""
         SELECT {_qcols('u_count')},
-               count_if(u_count = 1) AS single_item_users, count_if(u_count < 5) AS cold_users,
+               CAST(count_if(u_count = 1) AS BIGINT) AS single_item_users, CAST(count_if(u_count < 5) AS BIGINT) AS cold_users,
                count(*) AS users,
                round(max(u_count) / (SELECT count(DISTINCT itemIndex) FROM indexed_train) * 100, 6)
                    AS max_user_catalogue_pct
@@ -250,8 +250,8 @@ ORACLE_SQL.update({
         SELECT q.*, s.single_user_items, s.cold_items,
                round(s.top, 6) AS top10_traffic_pct, round(s.bottom, 6) AS bottom50_traffic_pct
         FROM (SELECT {_qcols('i_count')} FROM ic) q
-        CROSS JOIN (SELECT count_if(i_count = 1) AS single_user_items,
-                           count_if(i_count < 5) AS cold_items,
+        CROSS JOIN (SELECT CAST(count_if(i_count = 1) AS BIGINT) AS single_user_items,
+                           CAST(count_if(i_count < 5) AS BIGINT) AS cold_items,
                            coalesce(sum(CASE WHEN i_count >= p90 THEN i_count END), 0)
                                / sum(i_count) * 100 AS top,
                            coalesce(sum(CASE WHEN i_count <= p50 THEN i_count END), 0)
@@ -262,10 +262,10 @@ ORACLE_SQL.update({
     "funnel_signal": with_stages("""
         SELECT round(min(confidence), 6) AS min_value, round(max(confidence), 6) AS max_value,
                round(avg(confidence), 6) AS mean_value, round(stddev_samp(confidence), 6) AS stddev_value,
-               count(*) AS n_rows, count_if(confidence <= 0.1) AS n_le_0_1,
-               count_if(confidence >= 3.0) AS n_ge_3,
-               round(count_if(confidence <= 0.1) / count(*) * 100, 6) AS pct_le_0_1,
-               round(count_if(confidence >= 3.0) / count(*) * 100, 6) AS pct_ge_3
+               count(*) AS n_rows, CAST(count_if(confidence <= 0.1) AS BIGINT) AS n_le_0_1,
+               CAST(count_if(confidence >= 3.0) AS BIGINT) AS n_ge_3,
+               round(CAST(count_if(confidence <= 0.1) AS BIGINT) / count(*) * 100, 6) AS pct_le_0_1,
+               round(CAST(count_if(confidence >= 3.0) AS BIGINT) / count(*) * 100, 6) AS pct_ge_3
         FROM indexed_train"""),
     "confidence_spread": with_stages("""
         SELECT conf_rounded, n, round(n / (SELECT count(*) FROM indexed_train) * 100, 6) AS pct
@@ -288,8 +288,8 @@ _FS = {"fc": "SELECT itemIndex, count(*) AS t FROM sim_top50 GROUP BY itemIndex"
                                   ELSE CAST(1 AS DOUBLE) END AS s
                 FROM fc CROSS JOIN (SELECT min(t) AS lo, max(t) AS hi FROM fc)"""}
 
-_COVER = """SELECT count(*) AS total_items, count_if(t > 0) AS covered_items,
-                   round(CASE WHEN count(*) > 0 THEN count_if(t > 0) / count(*) ELSE 0 END, 6) AS coverage,
+_COVER = """SELECT count(*) AS total_items, CAST(count_if(t > 0) AS BIGINT) AS covered_items,
+                   round(CASE WHEN count(*) > 0 THEN CAST(count_if(t > 0) AS BIGINT) / count(*) ELSE 0 END, 6) AS coverage,
                    {k} AS k
             FROM (SELECT l.itemIndex, coalesce(c.t, 0) AS t FROM item_lookup l
                   LEFT JOIN (SELECT itemIndex, count(*) AS t FROM {src} GROUP BY itemIndex) c USING (itemIndex))"""
@@ -355,7 +355,7 @@ ORACLE_SQL.update({
                round(CASE WHEN niche_items > 0 THEN niche_recommended / niche_items * 100 ELSE 0 END, 6)
                    AS resurrection_pct
         FROM (SELECT count(*) AS niche_items,
-                     count_if(itemIndex IN (SELECT itemIndex FROM sim_top15)) AS niche_recommended
+                     CAST(count_if(itemIndex IN (SELECT itemIndex FROM sim_top15)) AS BIGINT) AS niche_recommended
               FROM tc WHERE n <= (SELECT quantile_disc(n, 0.5) FROM tc))""",
         {"tc": "SELECT itemIndex, count(*) AS n FROM indexed_train GROUP BY itemIndex"}),
     "popularity_percentiles": with_stages(
@@ -502,8 +502,8 @@ ORACLE_SQL.update({
                array_to_string(list_sort(list(search_key)), ',') AS items
         FROM kb GROUP BY uid""", SEARCH),
     "multi_search_share": with_stages("""
-        SELECT count(*) AS searching_users, count_if(n >= 3) AS multi_search_users,
-               round(count_if(n >= 3) / count(*) * 100, 6) AS multi_search_pct
+        SELECT count(*) AS searching_users, CAST(count_if(n >= 3) AS BIGINT) AS multi_search_users,
+               round(CAST(count_if(n >= 3) AS BIGINT) / count(*) * 100, 6) AS multi_search_pct
         FROM (SELECT uid, count(*) AS n FROM sess_kw GROUP BY uid)""", SEARCH),
     "frequent_itemsets": with_stages("""
         SELECT search_key AS items, f AS freq FROM kb_items WHERE f >= (SELECT m FROM kb_min)
