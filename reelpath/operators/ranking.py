@@ -7,8 +7,11 @@ data.  The functions here give the same numbers without that bottleneck:
 1. range-partition on ``(g, v)`` and sort inside partitions -- a hot group
    is spread over many partitions, while equal ``(g, v)`` keys always land in
    the same partition;
-2. a per-partition pass (``mapInPandas`` over the sorted Arrow batches)
-   numbers rows inside each ``(partition, g)`` run;
+2. rows are numbered inside each ``(partition, g)`` run: for ``row_number``
+   by position (``monotonically_increasing_id`` of the sorted partition minus
+   the run's first position); for ``rank`` with ties by one pass over the
+   sorted Arrow batches (``mapInPandas``), which carries tie runs across
+   batches;
 3. the result is checkpointed to the shared checkpoint folder, so both uses
    below see identical partitions even after an executor loss;
 4. a small table of counts per ``(partition, g)`` -- at most #groups +
@@ -107,11 +110,21 @@ def _numbered(df: DataFrame, group_cols: list[str], order_cols: list[str], ties:
     keyed = (df.repartitionByRange(n, *group_cols, *order_cols)
              .sortWithinPartitions(*group_cols, *order_cols)
              .withColumn(_PID, F.spark_partition_id()))
-    schema = StructType(keyed.schema.fields + [StructField(_LOCAL, LongType(), False)])
-    local = keyed.mapInPandas(_local_numbers(group_cols, order_cols, ties), schema)
     from reelpath.session import checkpoint_root
     checkpoint_root(spark)
-    local = local.checkpoint(eager=True)
+    if ties == "row":
+        # row numbers need no Python: the position inside the sorted partition
+        # minus the first position of the (partition, group) run
+        local = keyed.withColumn("_rp_pos", F.monotonically_increasing_id()).checkpoint(eager=True)
+        first = local.groupBy(_PID, *group_cols).agg(F.min("_rp_pos").alias("_rp_first"))
+        cond = [local[k].eqNullSafe(first[k]) for k in [_PID] + group_cols]
+        local = (local.join(first, cond, "inner").drop(*[first[k] for k in [_PID] + group_cols])
+                 .withColumn(_LOCAL, F.col("_rp_pos") - F.col("_rp_first") + 1)
+                 .drop("_rp_pos", "_rp_first"))
+    else:
+        schema = StructType(keyed.schema.fields + [StructField(_LOCAL, LongType(), False)])
+        local = keyed.mapInPandas(_local_numbers(group_cols, order_cols, ties), schema)
+        local = local.checkpoint(eager=True)
     runs = local.groupBy(_PID, *group_cols).agg(F.count(F.lit(1)).alias("_rp_n"))
     by_group = Window.partitionBy(*group_cols)
     before = by_group.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
