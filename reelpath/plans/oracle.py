@@ -574,3 +574,8 @@ ORACLE_SQL.update({
 ORACLE_SQL["streaming_rollup"] = with_stages("""
     SELECT userId, item_id, day, round(sum(total_play_time_sec), 6) AS playtime, count(*) AS n_rows
     FROM playtime GROUP BY userId, item_id, day""")
+
+
+ORACLE_SQL["search_rows"] = with_stages("""
+    SELECT DISTINCT uid, events_meta_keyword AS search_key FROM sess_rows
+    WHERE length(events_meta_keyword) > 3""", SEARCH)

@@ -890,3 +890,12 @@ def streaming_rollup(spark, sf_dir):
                      scratch_path(spark, "playtime_rollup_ckpt"), events_to_playtime)
     q.awaitTermination()
     return rollup_view(spark, out)
+
+
+@query("search_rows")
+def search_rows(spark, sf_dir):
+    """F5 + F10: valid search-session rows (uid not null/empty/'NaN', keyword
+    present), distinct (uid, keyword) pairs with keywords longer than 3."""
+    from reelpath.operators.clean import long_keywords, valid_search_rows
+    rows = _search_rows(_wb(spark, sf_dir)).filter(F.col("session") == 1)
+    return long_keywords(valid_search_rows(rows))
