@@ -61,3 +61,23 @@ def test_group_count_equals_window_count(spark):
     ours = with_group_count(df, "g", "n").select("id", "n")
     ref = df.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("g"))).select("id", "n")
     assert sorted(ours.collect()) == sorted(ref.collect())
+
+
+def test_hot_group_is_spread_over_partitions(spark):
+    """One group with a third of the rows must not land in one task."""
+    from reelpath.operators.ranking import _PID, _numbered
+    n = 3000
+    rows = [(i, "hot" if i % 3 == 0 else f"g{i % 50}", float(i % 97)) for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, g string, v double")
+    joined, _ = _numbered(df, ["g"], ["v"], "min", 8)
+    sizes = [r["count"] for r in joined.filter(F.col("g") == "hot").groupBy(_PID).count().collect()]
+    assert len(sizes) >= 3 and max(sizes) < n // 3 * 0.6
+
+
+def test_top_k_uses_map_side_group_limit(spark):
+    from reelpath.operators.recommend import top_k
+    df = spark.range(1000).select((F.col("id") % 3).cast("int").alias("userIndex"),
+                                  F.col("id").cast("int").alias("itemIndex"),
+                                  F.rand(1).alias("score"))
+    plan = top_k(df, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
