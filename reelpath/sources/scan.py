@@ -59,6 +59,30 @@ def read_days(spark: SparkSession, root: str, base_date: str, from_ago: int, to_
     return day_window(df, base_date, from_ago, to_ago)
 
 
+def read_day_list(spark: SparkSession, root: str, days: list[str],
+                  schema: StructType | None = None) -> DataFrame | None:
+    """Read the listed ``day=`` folders in one scan; missing days are
+    skipped.  One glob (``day={d1,d2,..}``) with ``basePath`` keeps the ``day``
+    column; no per-day probing.  With no day present: a typed empty frame when
+    ``schema`` is given, else ``None``."""
+    if not days:
+        return spark.createDataFrame([], schema) if schema is not None else None
+    pattern = f"{root.rstrip('/')}/day={{{','.join(days)}}}"
+    reader = spark.read.option("basePath", root)
+    if schema is not None:
+        reader = reader.schema(schema)
+    try:
+        return reader.parquet(pattern)
+    except Exception:  # noqa: BLE001 -- the glob matched nothing
+        return spark.createDataFrame([], schema) if schema is not None else None
+
+
+def window_days(base_date: str, from_ago: int, to_ago: int) -> list[str]:
+    """The ISO dates of the window ``[from_ago, to_ago)`` days back."""
+    base = date.fromisoformat(base_date)
+    return [(base - timedelta(days=i)).isoformat() for i in range(from_ago, to_ago)]
+
+
 def read_single_day(spark: SparkSession, root: str, day: str) -> DataFrame:
     """One day of a partitioned root (partition filter, not a leaf path)."""
     return spark.read.parquet(root).filter(F.col("day") == F.lit(day).cast("date"))

@@ -87,3 +87,16 @@ def test_union_fold_and_single_day(spark):
                        f"{root}/log", ["day"])
     one = scan.read_single_day(spark, f"{root}/log", "2024-01-02").collect()
     assert [r.day for r in one] == [dt.date(2024, 1, 2)]
+
+
+def test_day_list_scan_skips_missing_days(spark):
+    root = tempfile.mkdtemp(prefix="reelpath-list-")
+    rows = [("u", 1.0, dt.date(2024, 1, 30) - dt.timedelta(days=d)) for d in (0, 1, 3)]
+    df = spark.createDataFrame(rows, "userId string, v double, day date")
+    bundle.write_table(df, f"{root}/log", ["day"])
+    days = scan.window_days("2024-01-30", 0, 3)          # 30, 29, 28 (28 missing)
+    got = scan.read_day_list(spark, f"{root}/log", days)
+    assert sorted(r.day for r in got.collect()) == [dt.date(2024, 1, 29), dt.date(2024, 1, 30)]
+    assert scan.read_day_list(spark, f"{root}/log", ["2023-01-01"]) is None
+    typed = scan.read_day_list(spark, f"{root}/log", ["2023-01-01"], schema=df.schema)
+    assert typed.count() == 0 and typed.columns == df.columns
