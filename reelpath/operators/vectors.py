@@ -2,12 +2,14 @@
 
 Similarity of one query vector against a whole table of vectors is a
 broadcast of one row (a proven size) and a projection -- no pairwise join.
-Profile vectors (mean of a user's history vectors) are a grouped average per
-vector position, so a heavy user is reduced by partial aggregation.
+Profile vectors (mean of a user's history vectors) are a grouped vector mean
+(``Summarizer``), so a heavy user is reduced by partial aggregation.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,14 +57,13 @@ def profile_vectors(history: DataFrame, vectors: DataFrame, user_col: str = "use
                     vec_col: str = "features") -> DataFrame:
     """Per user, the mean of the history items' vectors.
 
-    ``history`` rows are (user, vec_id); positions are averaged with a grouped
-    aggregate and the array is rebuilt in position order."""
-    exploded = (history.join(vectors, history[item_id_col] == vectors[id_col])
-                .select(user_col, F.posexplode(vec_col).alias("pos", "v")))
-    per_pos = exploded.groupBy(user_col, "pos").agg(F.avg(F.col("v").cast("double")).alias("v"))
-    return (per_pos.groupBy(user_col)
-            .agg(F.array_sort(F.collect_list(F.struct("pos", "v"))).alias("_pv"))
-            .select(user_col, F.col("_pv.v").alias("profile")))
+    ``history`` rows are (user, vec_id).  The mean is ``Summarizer.mean`` -- a
+    typed vector aggregate with partial aggregation -- so each history row
+    carries one vector instead of being exploded into one row per dimension."""
+    joined = (history.join(vectors, history[item_id_col] == vectors[id_col])
+              .select(user_col, array_to_vector(F.col(vec_col)).alias("_v")))
+    return (joined.groupBy(user_col).agg(Summarizer.mean(F.col("_v")).alias("_m"))
+            .select(user_col, vector_to_array(F.col("_m")).alias("profile")))
 
 
 def profile_recommendations(profile: DataFrame, vectors: DataFrame, seen: DataFrame, n: int = 10,
