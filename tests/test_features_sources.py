@@ -100,3 +100,14 @@ def test_day_list_scan_skips_missing_days(spark):
     assert scan.read_day_list(spark, f"{root}/log", ["2023-01-01"]) is None
     typed = scan.read_day_list(spark, f"{root}/log", ["2023-01-01"], schema=df.schema)
     assert typed.count() == 0 and typed.columns == df.columns
+
+
+def test_genres_as_arrays_and_nested_lists(spark):
+    flat = spark.createDataFrame([("1", "en", ["drama", " action "])],
+                                 "item_id string, original_language string, Genres array<string>")
+    nested = spark.createDataFrame([("2", "en", [["drama"], ["crime", "noir"]])],
+                                   "item_id string, original_language string, Genres array<array<string>>")
+    got1 = {r.feature for r in features.item_features(flat).collect()}
+    got2 = {r.feature for r in features.item_features(nested).collect()}
+    assert got1 == {"lang:en", "genre:drama", "genre:action"}
+    assert got2 == {"lang:en", "genre:drama", "genre:crime", "genre:noir"}
