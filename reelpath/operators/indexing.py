@@ -12,7 +12,7 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelpath.operators.ranking import dense_ids, dense_ids_many
+from reelpath.operators.ranking import dense_ids_many
 
 
 def build_lookups(train: DataFrame, user_col: str = "userId",

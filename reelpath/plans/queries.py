@@ -515,7 +515,7 @@ def seen_excluded(spark, sf_dir):
 @query("novel_by_arrays")
 def novel_by_arrays(spark, sf_dir):
     """M5 + T5: the same novelty filter with array lambdas (must equal seen_excluded)."""
-    from reelpath.operators.recommend import as_arrays, novel_by_arrays as nba, watched_sets
+    from reelpath.operators.recommend import novel_by_arrays as nba, watched_sets
     wb = _wb(spark, sf_dir)
     raw = wb.sim_top(30, drop_seen=False)
     arrays = (raw.groupBy("userIndex")

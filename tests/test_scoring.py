@@ -3,8 +3,6 @@
 import datetime as dt
 import math
 
-from pyspark.sql import functions as F
-
 from reelpath.operators import interactions, scoring
 from reelpath.sources.fixtures import Split
 from reelpath.sources.scan import split_windows
