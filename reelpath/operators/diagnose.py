@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelpath.functions.numeric import round_to
 from reelpath.functions.labels import content_group
 
 ACCURACY = 10000          # relative error 1e-4 (the reference used 1e-2 / 1e-3)
@@ -69,7 +70,7 @@ def user_thresholds(per_user: DataFrame, col: str = "distinct_content_count") ->
 def user_watch_time(df: DataFrame, value_col: str = "total_play_time_sec",
                     user_col: str = "userId", digits: int = 6) -> DataFrame:
     """Total watch time per user, positive totals only."""
-    return (df.groupBy(user_col).agg(F.round(F.sum(value_col), digits).alias("watch_time"))
+    return (df.groupBy(user_col).agg(round_to(F.sum(value_col), digits).alias("watch_time"))
             .filter(F.col("watch_time") > 0))
 
 
@@ -97,13 +98,13 @@ def content_type_mix(df: DataFrame, type_col: str = "content_content_type",
     per_user = (g.groupBy("type_group", user_col)
                 .agg(F.sum(value_col).alias("_u_watch")))
     per_type_user = per_user.groupBy("type_group").agg(
-        F.round(F.avg("_u_watch"), digits).alias("mean_user_watch"),
+        round_to(F.avg("_u_watch"), digits).alias("mean_user_watch"),
         F.count(F.lit(1)).alias("users"))
     per_type = g.groupBy("type_group").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.countDistinct(user_col, item_col).alias("n_pairs"),
         # a large total: rounded to cents so the partial-sum order cannot show
-        F.round(F.sum(value_col), 2).alias("total_watch"))
+        round_to(F.sum(value_col), 2).alias("total_watch"))
     return per_type.join(per_type_user, "type_group")
 
 
@@ -112,7 +113,7 @@ def dominant_type(df: DataFrame, type_col: str = "content_content_type",
     """Each user's type group with the most watch time (ties -> smaller
     name); users per dominant group.  ``max_by`` is a partial aggregate."""
     per = (df.withColumn("type_group", content_group(F.col(type_col)))
-           .groupBy(user_col, "type_group").agg(F.round(F.sum(value_col), 6).alias("w")))
+           .groupBy(user_col, "type_group").agg(round_to(F.sum(value_col), 6).alias("w")))
     best = per.groupBy(user_col).agg(F.max("w").alias("w"))
     top = (per.join(best, [user_col, "w"])
            .groupBy(user_col).agg(F.min("type_group").alias("dominant_type")))
@@ -245,7 +246,7 @@ def confidence_spread(indexed: DataFrame, col: str = "confidence", top: int = 15
     """Counts of confidence rounded to 1 place; the ``top`` most common
     (ties broken by value), with their share of all rows."""
     total = indexed.agg(F.count(F.lit(1)).alias("_n"))
-    counts = (indexed.groupBy(F.round(col, 1).alias("conf_rounded"))
+    counts = (indexed.groupBy(round_to(col, 1).alias("conf_rounded"))
               .agg(F.count(F.lit(1)).alias("n")))
     topk = counts.orderBy(F.col("n").desc(), F.col("conf_rounded")).limit(top)
     return (topk.crossJoin(F.broadcast(total))

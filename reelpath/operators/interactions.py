@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelpath.functions.numeric import round_to
 from reelpath.functions.labels import (CONTENT_TYPES_ALL, CONTENT_TYPES_SERIES_MOVIE,
                                        completion_rating, valid_number)
 
@@ -24,7 +25,7 @@ def aggregate_playtime(df: DataFrame, with_decay: bool = False, user_col: str =
     A NaN or null in any row of a pair makes the sum NaN/null and the pair is
     dropped after the aggregation (the reference's rule).
     """
-    aggs = [F.round(F.sum("total_play_time_sec"), digits).alias("total_playtime_combined")]
+    aggs = [round_to(F.sum("total_play_time_sec"), digits).alias("total_playtime_combined")]
     if with_decay:
         aggs.append(F.max("decay_factor").alias("recent_decay_factor"))
     return (df.groupBy(user_col, item_col).agg(*aggs)
@@ -34,7 +35,7 @@ def aggregate_playtime(df: DataFrame, with_decay: bool = False, user_col: str =
 def decayed_playtime(df: DataFrame, digits: int = SUM_DIGITS) -> DataFrame:
     """A3: ``sum(playtime * decay)`` and ``max(decay)`` per pair."""
     return (df.groupBy("userId", "item_id")
-            .agg(F.round(F.sum(F.col("total_play_time_sec") * F.col("decay_factor")), digits)
+            .agg(round_to(F.sum(F.col("total_play_time_sec") * F.col("decay_factor")), digits)
                  .alias("decayed_playtime"),
                  F.max("decay_factor").alias("recent_decay_factor"))
             .filter(valid_number(F.col("decayed_playtime"))))
@@ -45,7 +46,7 @@ def sessions_per_pair(consumption: DataFrame, types=CONTENT_TYPES_ALL,
     """A2 (+F2): playtime and session count per (user, content, duration, type)."""
     return (consumption.filter(F.col("content_content_type").isin(*types))
             .groupBy("userId", "content_id", "duration_secs", "content_content_type")
-            .agg(F.round(F.sum("total_play_time_sec"), digits).alias("total_playtime_combined"),
+            .agg(round_to(F.sum("total_play_time_sec"), digits).alias("total_playtime_combined"),
                  F.count(F.lit(1)).alias("num_sessions")))
 
 
@@ -70,11 +71,11 @@ def completion_ratings(consumption: DataFrame, parent_map: DataFrame,
             .filter(F.col("total_playtime_combined") > min_playtime)
             .join(parent_map.select("content_id", "item_id"), "content_id", "left"))
     rated = (kept.groupBy("userId", "item_id", "content_content_type")
-             .agg(F.round(F.sum("capped_playtime"), digits).alias("total_playtime_combined"),
-                  F.round(F.sum("duration_secs"), digits).alias("total_duration_combined"))
+             .agg(round_to(F.sum("capped_playtime"), digits).alias("total_playtime_combined"),
+                  round_to(F.sum("duration_secs"), digits).alias("total_duration_combined"))
              .withColumn("rate", F.try_divide(F.col("total_playtime_combined"),
                                               F.col("total_duration_combined"))))
     rating = (F.when(F.col("content_content_type").isin(*CONTENT_TYPES_SERIES_MOVIE),
                      completion_rating(F.col("rate"))).otherwise(0))
     return (rated.withColumn("rating_label_custom", rating.cast("int"))
-            .withColumn("completion_rate", F.round("rate", digits)).drop("rate"))
+            .withColumn("completion_rate", round_to("rate", digits)).drop("rate"))

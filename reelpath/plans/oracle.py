@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from reelpath.plans.oracle_stages import metrics_cte, with_stages
 
-_R = "round({0}, 6) AS {0}"
+_R = "(round(({0}) * 1e6) / 1e6) AS {0}"
 
 
 def _r(*cols: str) -> str:
@@ -48,7 +48,7 @@ _GROUP = """CASE WHEN lower(content_content_type) IN ('episode', 'tvshow', 'tv_s
                  WHEN lower(content_content_type) IN ('movie', 'film') THEN 'movie'
                  ELSE 'other' END"""
 _SPP = f"""SELECT userId, content_id, duration_secs, content_content_type,
-                  round(sum(total_play_time_sec), 6) AS total_playtime_combined,
+                  (round((sum(total_play_time_sec)) * 1e6) / 1e6) AS total_playtime_combined,
                   count(*) AS num_sessions
            FROM consumption WHERE content_content_type IN {_ALL_TYPES}
            GROUP BY userId, content_id, duration_secs, content_content_type"""
@@ -83,29 +83,29 @@ def _qcols(col: str, qs=_FQS) -> str:
 
 ORACLE_SQL.update({
     "sessions_per_pair": with_stages(f"""
-        SELECT userId, content_id, round(duration_secs, 6) AS duration_secs, content_content_type,
-               round(total_playtime_combined, 6) AS total_playtime_combined, num_sessions
+        SELECT userId, content_id, (round((duration_secs) * 1e6) / 1e6) AS duration_secs, content_content_type,
+               (round((total_playtime_combined) * 1e6) / 1e6) AS total_playtime_combined, num_sessions
         FROM ({_SPP})"""),
     "repeat_watchers": with_stages("""
         SELECT userId, item_id, count(*) AS watch_count FROM playtime
         GROUP BY userId, item_id HAVING count(*) > 1"""),
     "completion_ratings": with_stages(f"""
         SELECT userId, item_id, content_content_type,
-               round(tp, 6) AS total_playtime_combined, round(td, 6) AS total_duration_combined,
-               round(tp / NULLIF(td, 0), 6) AS completion_rate,
+               (round((tp) * 1e6) / 1e6) AS total_playtime_combined, (round((td) * 1e6) / 1e6) AS total_duration_combined,
+               (round((tp / NULLIF(td, 0)) * 1e6) / 1e6) AS completion_rate,
                CAST(CASE WHEN content_content_type IN ('MOVIE', 'EPISODE') THEN
                       CASE WHEN tp / NULLIF(td, 0) >= 0.8 THEN 4 WHEN tp / NULLIF(td, 0) >= 0.6 THEN 3
                            WHEN tp / NULLIF(td, 0) >= 0.4 THEN 2 WHEN tp / NULLIF(td, 0) >= 0.2 THEN 1
                            ELSE 0 END
                     ELSE 0 END AS INTEGER) AS rating_label_custom
         FROM (SELECT userId, item_id, content_content_type,
-                     round(sum(least(total_playtime_combined, duration_secs)), 6) AS tp,
-                     round(sum(duration_secs), 6) AS td
+                     (round((sum(least(total_playtime_combined, duration_secs))) * 1e6) / 1e6) AS tp,
+                     (round((sum(duration_secs)) * 1e6) / 1e6) AS td
               FROM ({_SPP}) c LEFT JOIN parent_map p USING (content_id)
               WHERE content_content_type IN ('MOVIE', 'EPISODE') AND total_playtime_combined > 300
               GROUP BY userId, item_id, content_content_type)"""),
     "zscore_likes": with_stages(f"""
-        SELECT userId, content_id, round(z, 6) AS playtime_z_user,
+        SELECT userId, content_id, (round((z) * 1e6) / 1e6) AS playtime_z_user,
                CASE WHEN z > 1 THEN 1 ELSE 0 END AS user_likes
         FROM (SELECT s.userId, s.content_id,
                      (s.total_playtime_combined - m.user_mean) / NULLIF(m.user_std, 0) AS z
@@ -113,8 +113,8 @@ ORACLE_SQL.update({
                                            stddev_samp(total_playtime_combined) AS user_std
                                     FROM ({_SPP}) GROUP BY userId) m USING (userId))"""),
     "content_type_mix": with_stages(f"""
-        SELECT a.type_group, a.n_rows, a.n_pairs, round(a.total_watch, 2) AS total_watch,
-               round(b.mean_user_watch, 6) AS mean_user_watch, b.users
+        SELECT a.type_group, a.n_rows, a.n_pairs, (round((a.total_watch) * 1e2) / 1e2) AS total_watch,
+               (round((b.mean_user_watch) * 1e6) / 1e6) AS mean_user_watch, b.users
         FROM (SELECT {_GROUP} AS type_group, count(*) AS n_rows,
                      count(DISTINCT (userId, content_id)) AS n_pairs,
                      sum(total_play_time_sec) AS total_watch
@@ -126,7 +126,7 @@ ORACLE_SQL.update({
         SELECT dominant_type, count(*) AS users FROM (
           SELECT userId, min(type_group) AS dominant_type FROM (
             SELECT userId, type_group, w, max(w) OVER (PARTITION BY userId) AS mw FROM (
-              SELECT userId, {_GROUP} AS type_group, round(sum(total_play_time_sec), 6) AS w
+              SELECT userId, {_GROUP} AS type_group, (round((sum(total_play_time_sec)) * 1e6) / 1e6) AS w
               FROM consumption GROUP BY 1, 2))
           WHERE w = mw GROUP BY userId)
         GROUP BY dominant_type"""),
@@ -135,10 +135,10 @@ ORACLE_SQL.update({
         GROUP BY distinct_content_count"""),
     "user_thresholds": with_stages(f"SELECT {_thr_ge}, {_thr_eq} FROM ({_PER_USER})"),
     "watch_quantiles": with_stages(" UNION ALL ".join(
-        f"SELECT CAST({q} AS DOUBLE) AS quantile, round(quantile_disc(watch_time, {q}), 6) AS value "
+        f"SELECT CAST({q} AS DOUBLE) AS quantile, (round((quantile_disc(watch_time, {q})) * 1e6) / 1e6) AS value "
         f"FROM wt" for q in _QS),
-        {"wt": """SELECT userId, round(sum(total_play_time_sec), 6) AS watch_time FROM playtime
-                  GROUP BY userId HAVING round(sum(total_play_time_sec), 6) > 0"""}),
+        {"wt": """SELECT userId, (round((sum(total_play_time_sec)) * 1e6) / 1e6) AS watch_time FROM playtime
+                  GROUP BY userId HAVING (round((sum(total_play_time_sec)) * 1e6) / 1e6) > 0"""}),
     "shared_sessions": with_stages("""
         SELECT user_session_id, count(DISTINCT userId) AS n_users FROM consumption
         GROUP BY user_session_id HAVING count(DISTINCT userId) > 1"""),
@@ -188,20 +188,20 @@ ORACLE_SQL.update({
         WHERE rn = 1"""),
     "decayed_playtime": with_stages("""
         SELECT * FROM (
-          SELECT userId, item_id, round(sum(total_play_time_sec * decay_factor), 6) AS decayed_playtime,
-                 round(max(decay_factor), 6) AS recent_decay_factor
+          SELECT userId, item_id, (round((sum(total_play_time_sec * decay_factor)) * 1e6) / 1e6) AS decayed_playtime,
+                 (round((max(decay_factor)) * 1e6) / 1e6) AS recent_decay_factor
           FROM pt_train GROUP BY userId, item_id)
         WHERE decayed_playtime IS NOT NULL AND NOT isnan(decayed_playtime)"""),
     "log_weights": with_stages("""
-        SELECT userId, item_id, round(total_playtime_combined, 6) AS total_playtime_combined,
-               round(ln(1 + total_playtime_combined), 6) AS log_playtime FROM pt_stats"""),
+        SELECT userId, item_id, (round((total_playtime_combined) * 1e6) / 1e6) AS total_playtime_combined,
+               (round((ln(1 + total_playtime_combined)) * 1e6) / 1e6) AS log_playtime FROM pt_stats"""),
     "idf_weights": with_stages("""
         SELECT item_id, item_users, total_users,
-               round(ln((total_users + 1) / (item_users + 1)), 6) AS idf
+               (round((ln((total_users + 1) / (item_users + 1))) * 1e6) / 1e6) AS idf
         FROM (SELECT item_id, count(DISTINCT userId) AS item_users FROM merged_train GROUP BY item_id)
              CROSS JOIN (SELECT count(DISTINCT userId) AS total_users FROM merged_train)"""),
     "p95_capped_users": with_stages("""
-        SELECT w.userId, w.item_id, round(w.confidence, 6) AS confidence, c.distinct_content_count
+        SELECT w.userId, w.item_id, (round((w.confidence) * 1e6) / 1e6) AS confidence, c.distinct_content_count
         FROM weighted_train w
         JOIN (SELECT userId, count(*) AS distinct_content_count FROM weighted_train GROUP BY userId) c
           USING (userId)
@@ -209,8 +209,8 @@ ORACLE_SQL.update({
                       (SELECT userId, count(*) AS n FROM weighted_train GROUP BY userId))
         WHERE c.distinct_content_count >= 3 AND c.distinct_content_count <= cap"""),
     "custom_users": with_stages("""
-        SELECT userId, item_id, round(max(confidence), 6) AS confidence,
-               round(max(recent_decay_factor), 6) AS recent_decay_factor
+        SELECT userId, item_id, (round((max(confidence)) * 1e6) / 1e6) AS confidence,
+               (round((max(recent_decay_factor)) * 1e6) / 1e6) AS recent_decay_factor
         FROM (SELECT userId, item_id, confidence, recent_decay_factor FROM merged_train
               UNION ALL
               SELECT * FROM (VALUES ('persona_a', '1', 4.0::DOUBLE, 1.0::DOUBLE),
@@ -227,28 +227,28 @@ ORACLE_SQL.update({
         EXCEPT ALL SELECT t.userId, t.item_id FROM merged_test t
         JOIN merged_train m USING (userId, item_id)"""),
     "signal_bounds": with_stages("""
-        SELECT round(min(confidence), 6) AS min_value, round(max(confidence), 6) AS max_value,
-               round(avg(confidence), 6) AS mean_value, round(stddev_samp(confidence), 6) AS stddev_value,
+        SELECT (round((min(confidence)) * 1e6) / 1e6) AS min_value, (round((max(confidence)) * 1e6) / 1e6) AS max_value,
+               (round((avg(confidence)) * 1e6) / 1e6) AS mean_value, (round((stddev_samp(confidence)) * 1e6) / 1e6) AS stddev_value,
                count(*) AS n_rows, CAST(count_if(confidence <= 0.1) AS BIGINT) AS n_le_0_1,
                CAST(count_if(confidence >= 3.0) AS BIGINT) AS n_ge_3
         FROM weighted_train"""),
     "funnel_shape": with_stages("""
         SELECT cells, users, items,
-               round(CASE WHEN users * items > 0 THEN (1 - cells / (users * items)) * 100
-                          ELSE 100 END, 6) AS sparsity_pct,
-               round(CASE WHEN items > 0 THEN users / items ELSE 0 END, 6) AS users_per_item
+               (round((CASE WHEN users * items > 0 THEN (1 - cells / (users * items)) * 100
+                          ELSE 100 END) * 1e6) / 1e6) AS sparsity_pct,
+               (round((CASE WHEN items > 0 THEN users / items ELSE 0 END) * 1e6) / 1e6) AS users_per_item
         FROM (SELECT count(*) AS cells, count(DISTINCT userIndex) AS users,
                      count(DISTINCT itemIndex) AS items FROM indexed_train)"""),
     "funnel_users": with_stages(f"""
         SELECT {_qcols('u_count')},
                CAST(count_if(u_count = 1) AS BIGINT) AS single_item_users, CAST(count_if(u_count < 5) AS BIGINT) AS cold_users,
                count(*) AS users,
-               round(max(u_count) / (SELECT count(DISTINCT itemIndex) FROM indexed_train) * 100, 6)
+               (round((max(u_count) / (SELECT count(DISTINCT itemIndex) FROM indexed_train) * 100) * 1e6) / 1e6)
                    AS max_user_catalogue_pct
         FROM (SELECT userIndex, count(*) AS u_count FROM indexed_train GROUP BY userIndex)"""),
     "funnel_items": with_stages(f"""
         SELECT q.*, s.single_user_items, s.cold_items,
-               round(s.top, 6) AS top10_traffic_pct, round(s.bottom, 6) AS bottom50_traffic_pct
+               (round((s.top) * 1e6) / 1e6) AS top10_traffic_pct, (round((s.bottom) * 1e6) / 1e6) AS bottom50_traffic_pct
         FROM (SELECT {_qcols('i_count')} FROM ic) q
         CROSS JOIN (SELECT CAST(count_if(i_count = 1) AS BIGINT) AS single_user_items,
                            CAST(count_if(i_count < 5) AS BIGINT) AS cold_items,
@@ -260,16 +260,16 @@ ORACLE_SQL.update({
                                                quantile_disc(i_count, 0.5) AS p50 FROM ic)) s""",
         {"ic": "SELECT itemIndex, count(*) AS i_count FROM indexed_train GROUP BY itemIndex"}),
     "funnel_signal": with_stages("""
-        SELECT round(min(confidence), 6) AS min_value, round(max(confidence), 6) AS max_value,
-               round(avg(confidence), 6) AS mean_value, round(stddev_samp(confidence), 6) AS stddev_value,
+        SELECT (round((min(confidence)) * 1e6) / 1e6) AS min_value, (round((max(confidence)) * 1e6) / 1e6) AS max_value,
+               (round((avg(confidence)) * 1e6) / 1e6) AS mean_value, (round((stddev_samp(confidence)) * 1e6) / 1e6) AS stddev_value,
                count(*) AS n_rows, CAST(count_if(confidence <= 0.1) AS BIGINT) AS n_le_0_1,
                CAST(count_if(confidence >= 3.0) AS BIGINT) AS n_ge_3,
-               round(CAST(count_if(confidence <= 0.1) AS BIGINT) / count(*) * 100, 6) AS pct_le_0_1,
-               round(CAST(count_if(confidence >= 3.0) AS BIGINT) / count(*) * 100, 6) AS pct_ge_3
+               (round((CAST(count_if(confidence <= 0.1) AS BIGINT) / count(*) * 100) * 1e6) / 1e6) AS pct_le_0_1,
+               (round((CAST(count_if(confidence >= 3.0) AS BIGINT) / count(*) * 100) * 1e6) / 1e6) AS pct_ge_3
         FROM indexed_train"""),
     "confidence_spread": with_stages("""
-        SELECT conf_rounded, n, round(n / (SELECT count(*) FROM indexed_train) * 100, 6) AS pct
-        FROM (SELECT round(confidence, 1) AS conf_rounded, count(*) AS n FROM indexed_train GROUP BY 1
+        SELECT conf_rounded, n, (round((n / (SELECT count(*) FROM indexed_train) * 100) * 1e6) / 1e6) AS pct
+        FROM (SELECT (round((confidence) * 1e1) / 1e1) AS conf_rounded, count(*) AS n FROM indexed_train GROUP BY 1
               ORDER BY n DESC, conf_rounded LIMIT 15)"""),
     "string_indexed": with_stages("""
         SELECT item_id, CAST(dense_rank() OVER (ORDER BY item_id) - 1 AS INTEGER) AS item_label
@@ -279,7 +279,7 @@ ORACLE_SQL.update({
 
 def _freq_pct() -> str:
     return " UNION ALL ".join(
-        f"SELECT CAST({q} AS DOUBLE) AS quantile, round(quantile_disc(s, {q}), 6) AS value FROM fs"
+        f"SELECT CAST({q} AS DOUBLE) AS quantile, (round((quantile_disc(s, {q})) * 1e6) / 1e6) AS value FROM fs"
         for q in _QS)
 
 
@@ -289,7 +289,7 @@ _FS = {"fc": "SELECT itemIndex, count(*) AS t FROM sim_top50 GROUP BY itemIndex"
                 FROM fc CROSS JOIN (SELECT min(t) AS lo, max(t) AS hi FROM fc)"""}
 
 _COVER = """SELECT count(*) AS total_items, CAST(count_if(t > 0) AS BIGINT) AS covered_items,
-                   round(CASE WHEN count(*) > 0 THEN CAST(count_if(t > 0) AS BIGINT) / count(*) ELSE 0 END, 6) AS coverage,
+                   (round((CASE WHEN count(*) > 0 THEN CAST(count_if(t > 0) AS BIGINT) / count(*) ELSE 0 END) * 1e6) / 1e6) AS coverage,
                    {k} AS k
             FROM (SELECT l.itemIndex, coalesce(c.t, 0) AS t FROM item_lookup l
                   LEFT JOIN (SELECT itemIndex, count(*) AS t FROM {src} GROUP BY itemIndex) c USING (itemIndex))"""
@@ -299,33 +299,33 @@ _SKEW_Q = (0.5, 0.9, 0.95, 0.99, 1.0)
 
 def _popq(metric: str, expr: str) -> str:
     return " UNION ALL ".join(
-        f"SELECT CAST({q} AS DOUBLE) AS quantile, round(quantile_disc({expr}, {q}), 6) AS value, "
+        f"SELECT CAST({q} AS DOUBLE) AS quantile, (round((quantile_disc({expr}, {q})) * 1e6) / 1e6) AS value, "
         f"'{metric}' AS metric FROM popularity WHERE popularity_score > 0" for q in _QS)
 
 
 ORACLE_SQL.update({
     "similarity_recs": with_stages("""
-        SELECT userIndex, itemIndex, CAST(rank AS INTEGER) AS rank, round(total_score, 6) AS total_score
+        SELECT userIndex, itemIndex, CAST(rank AS INTEGER) AS rank, (round((total_score) * 1e6) / 1e6) AS total_score
         FROM sim_top15"""),
     "ranking_metrics": with_stages("""
-        SELECT count(*) AS users, round(avg(precision_at_k), 6) AS precision_at_k,
-               round(avg(recall_at_k), 6) AS recall_at_k, round(avg(ap), 6) AS map FROM pm""",
+        SELECT count(*) AS users, (round((avg(precision_at_k)) * 1e6) / 1e6) AS precision_at_k,
+               (round((avg(recall_at_k)) * 1e6) / 1e6) AS recall_at_k, (round((avg(ap)) * 1e6) / 1e6) AS map FROM pm""",
         {"pm": metrics_cte("sim_top15", 15)}),
     "cohort_metrics": with_stages("""
-        SELECT cohort, count(*) AS users, round(avg(ap), 6) AS map, round(avg(recall_at_k), 6) AS recall_at_k,
-               round(avg(precision_at_k), 6) AS precision_at_k
+        SELECT cohort, count(*) AS users, (round((avg(ap)) * 1e6) / 1e6) AS map, (round((avg(recall_at_k)) * 1e6) / 1e6) AS recall_at_k,
+               (round((avg(precision_at_k)) * 1e6) / 1e6) AS precision_at_k
         FROM (SELECT *, CASE WHEN n_actual <= 3 THEN '1-3' WHEN n_actual <= 10 THEN '4-10' ELSE '>10' END
                         AS cohort FROM pm) GROUP BY cohort
         UNION ALL
-        SELECT 'all', count(*), round(avg(ap), 6), round(avg(recall_at_k), 6), round(avg(precision_at_k), 6)
+        SELECT 'all', count(*), (round((avg(ap)) * 1e6) / 1e6), (round((avg(recall_at_k)) * 1e6) / 1e6), (round((avg(precision_at_k)) * 1e6) / 1e6)
         FROM pm""", {"pm": metrics_cte("sim_top15", 15)}),
     "catalogue_coverage": with_stages(_COVER.format(k=15, src="sim_top15") + " UNION ALL "
                                       + _COVER.format(k=50, src="sim_top50")),
     "frequency_scores": with_stages(_freq_pct(), _FS),
     "top10_domination": with_stages("""
         SELECT t.itemIndex, t.times_recommended,
-               round(t.times_recommended / s.slots * 100, 6) AS slot_pct,
-               round(s.top / s.slots * 100, 6) AS top_n_pct, l.item_id, ti.title
+               (round((t.times_recommended / s.slots * 100) * 1e6) / 1e6) AS slot_pct,
+               (round((s.top / s.slots * 100) * 1e6) / 1e6) AS top_n_pct, l.item_id, ti.title
         FROM tt t CROSS JOIN (SELECT (SELECT count(*) FROM sim_top15) AS slots,
                                      (SELECT sum(times_recommended) FROM tt) AS top) s
         JOIN item_lookup l USING (itemIndex) LEFT JOIN titles ti USING (item_id)""",
@@ -334,8 +334,8 @@ ORACLE_SQL.update({
     "output_skew": with_stages(f"""
         SELECT b.users, b.total_recs, c.unique_items, c.catalogue_items,
                {", ".join(f"q.p{int(round(q * 100)):02d}" if q < 1 else "q.p100" for q in _SKEW_Q)},
-               round(c.unique_items / c.catalogue_items * 100, 6) AS coverage_pct,
-               round(x.top / b.total_recs * 100, 6) AS top1_slot_pct,
+               (round((c.unique_items / c.catalogue_items * 100) * 1e6) / 1e6) AS coverage_pct,
+               (round((x.top / b.total_recs * 100) * 1e6) / 1e6) AS top1_slot_pct,
                x.top / b.total_recs * 100 > 30 AS collapse_alarm
         FROM (SELECT count(DISTINCT userIndex) AS users, count(*) AS total_recs FROM sim_top15) b
         CROSS JOIN (SELECT (SELECT count(*) FROM rc) AS unique_items,
@@ -345,14 +345,14 @@ ORACLE_SQL.update({
                     FROM rc CROSS JOIN (SELECT quantile_disc(t, 0.99) AS p99 FROM rc)) x""",
         {"rc": "SELECT itemIndex, count(*) AS t FROM sim_top15 GROUP BY itemIndex"}),
     "popularity_amplification": with_stages("""
-        SELECT round(sum(t * coalesce(p.popularity_score, 1)) / sum(t), 6) AS avg_popularity_score,
+        SELECT (round((sum(t * coalesce(p.popularity_score, 1)) / sum(t)) * 1e6) / 1e6) AS avg_popularity_score,
                sum(t * coalesce(p.popularity_score, 1)) / sum(t) > 75 AS amplification_alarm
         FROM (SELECT itemIndex, count(*) AS t FROM sim_top15 GROUP BY itemIndex) r
         LEFT JOIN (SELECT l.itemIndex, p.popularity_score FROM popularity p JOIN item_lookup l USING (item_id)) p
         USING (itemIndex)"""),
     "resurrection": with_stages("""
         SELECT niche_items, niche_recommended,
-               round(CASE WHEN niche_items > 0 THEN niche_recommended / niche_items * 100 ELSE 0 END, 6)
+               (round((CASE WHEN niche_items > 0 THEN niche_recommended / niche_items * 100 ELSE 0 END) * 1e6) / 1e6)
                    AS resurrection_pct
         FROM (SELECT count(*) AS niche_items,
                      CAST(count_if(itemIndex IN (SELECT itemIndex FROM sim_top15)) AS BIGINT) AS niche_recommended
@@ -370,7 +370,7 @@ ORACLE_SQL.update({
         USING (userIndex)"""),
     "top_watched": with_stages("""
         SELECT userId, item_id, CAST(rank_watched AS INTEGER) AS rank_watched,
-               round(total_playtime_combined, 6) AS total_playtime_combined
+               (round((total_playtime_combined) * 1e6) / 1e6) AS total_playtime_combined
         FROM (SELECT *, row_number() OVER (PARTITION BY userId
                                            ORDER BY total_playtime_combined DESC, item_id) AS rank_watched
               FROM pt_stats) WHERE rank_watched <= 5"""),
@@ -392,7 +392,7 @@ ORACLE_SQL.update({
         QUALIFY row_number() OVER (PARTITION BY userIndex ORDER BY rank) <= 15"""),
     "novel_by_arrays": with_stages(_NOVEL),
     "titled_recs": with_stages("""
-        SELECT u.userId, i.item_id, ti.title, round(s.total_score, 6) AS total_score,
+        SELECT u.userId, i.item_id, ti.title, (round((s.total_score) * 1e6) / 1e6) AS total_score,
                CAST(s.rank AS INTEGER) AS rank
         FROM sim_top15 s JOIN user_lookup u USING (userIndex) JOIN item_lookup i USING (itemIndex)
         LEFT JOIN titles ti USING (item_id)"""),
@@ -401,7 +401,7 @@ ORACLE_SQL.update({
         HAVING count(item_id) >= 3 ORDER BY md5('42:' || userId), userId LIMIT 1"""),
     "user_recs": with_stages("""
         SELECT u.userId, i.item_id, ti.title, ti.original_language, p.popularity_score,
-               CAST(s.rank AS INTEGER) AS rank, round(s.total_score, 6) AS total_score
+               CAST(s.rank AS INTEGER) AS rank, (round((s.total_score) * 1e6) / 1e6) AS total_score
         FROM sim_top15 s JOIN user_lookup u USING (userIndex) JOIN item_lookup i USING (itemIndex)
         LEFT JOIN titles ti USING (item_id) LEFT JOIN popularity p USING (item_id)
         WHERE u.userId = (SELECT userId FROM merged_train GROUP BY userId HAVING count(item_id) >= 3
@@ -503,7 +503,7 @@ ORACLE_SQL.update({
         FROM kb GROUP BY uid""", SEARCH),
     "multi_search_share": with_stages("""
         SELECT count(*) AS searching_users, CAST(count_if(n >= 3) AS BIGINT) AS multi_search_users,
-               round(CAST(count_if(n >= 3) AS BIGINT) / count(*) * 100, 6) AS multi_search_pct
+               (round((CAST(count_if(n >= 3) AS BIGINT) / count(*) * 100) * 1e6) / 1e6) AS multi_search_pct
         FROM (SELECT uid, count(*) AS n FROM sess_kw GROUP BY uid)""", SEARCH),
     "frequent_itemsets": with_stages("""
         SELECT search_key AS items, f AS freq FROM kb_items WHERE f >= (SELECT m FROM kb_min)
@@ -512,31 +512,31 @@ ORACLE_SQL.update({
         FROM kb a JOIN kb b ON a.uid = b.uid AND a.search_key < b.search_key
         GROUP BY 1 HAVING count(*) >= (SELECT m FROM kb_min)""", SEARCH),
     "association_rules": with_stages("""
-        SELECT antecedent, consequent, round(confidence, 6) AS confidence, round(lift, 6) AS lift,
-               round(support, 6) AS support FROM kw_rules""", SEARCH),
+        SELECT antecedent, consequent, (round((confidence) * 1e6) / 1e6) AS confidence, (round((lift) * 1e6) / 1e6) AS lift,
+               (round((support) * 1e6) / 1e6) AS support FROM kw_rules""", SEARCH),
     "related_keywords": with_stages("""
         SELECT antecedent AS keyword, consequent AS related, CAST(rank AS INTEGER) AS rank,
-               round(confidence, 6) AS confidence, round(lift, 6) AS lift
+               (round((confidence) * 1e6) / 1e6) AS confidence, (round((lift) * 1e6) / 1e6) AS lift
         FROM (SELECT *, row_number() OVER (PARTITION BY antecedent ORDER BY lift DESC, consequent) AS rank
               FROM kw_rules) WHERE rank <= 5""", SEARCH),
     "cosine_neighbours": with_stages(f"""
-        SELECT q_id, id, round(score, 6) AS score FROM (
+        SELECT q_id, id, (round((score) * 1e6) / 1e6) AS score FROM (
           SELECT q.q_id, f.id, {_cos('f.features', 'q.q_vec')} AS score
           FROM factors f CROSS JOIN qi q WHERE f.id <> q.q_id)
         WHERE score IS NOT NULL ORDER BY score DESC, id LIMIT 10""", _QITEM),
     "dot_neighbours": with_stages(f"""
-        SELECT q_id, id, round(score, 6) AS score FROM (
+        SELECT q_id, id, (round((score) * 1e6) / 1e6) AS score FROM (
           SELECT q.q_id, f.id, {_dot('f.features', 'q.q_vec')} AS score
           FROM factors f CROSS JOIN qi q WHERE f.id <> q.q_id)
         WHERE score IS NOT NULL ORDER BY score DESC, id LIMIT 10""", _QITEM),
     "profile_vector_recs": with_stages(f"""
-        SELECT userId, id, round(score, 6) AS score FROM (
+        SELECT userId, id, (round((score) * 1e6) / 1e6) AS score FROM (
           SELECT p.userId, f.id, {_dot('f.features', 'p.profile')} AS score
           FROM factors f CROSS JOIN (SELECT * FROM prof WHERE userId IN (SELECT userId FROM pu)) p
           WHERE f.id NOT IN (SELECT vec_id FROM hist_all WHERE userId IN (SELECT userId FROM pu)))
         ORDER BY score DESC, id LIMIT 10""", _PROFILES),
     "taste_neighbours": with_stages(f"""
-        SELECT query_user, userId, round(score, 6) AS score FROM (
+        SELECT query_user, userId, (round((score) * 1e6) / 1e6) AS score FROM (
           SELECT q.userId AS query_user, p.userId, {_cos('p.profile', 'q.profile')} AS score
           FROM prof p CROSS JOIN (SELECT * FROM prof WHERE userId IN (SELECT userId FROM pu)) q
           WHERE p.userId <> q.userId)
@@ -567,12 +567,12 @@ ORACLE_SQL.update({
     "partitioned_scan": with_stages("""
         SELECT userId, item_id, day, total_play_time_sec, day AS path_day FROM pt_train0"""),
     "bundle_roundtrip": with_stages("""
-        SELECT userIndex, itemIndex, round(confidence, 6) AS confidence FROM indexed_train"""),
+        SELECT userIndex, itemIndex, (round((confidence) * 1e6) / 1e6) AS confidence FROM indexed_train"""),
 })
 
 
 ORACLE_SQL["streaming_rollup"] = with_stages("""
-    SELECT userId, item_id, day, round(sum(total_play_time_sec), 6) AS playtime, count(*) AS n_rows
+    SELECT userId, item_id, day, (round((sum(total_play_time_sec)) * 1e6) / 1e6) AS playtime, count(*) AS n_rows
     FROM playtime GROUP BY userId, item_id, day""")
 
 

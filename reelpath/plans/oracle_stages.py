@@ -35,12 +35,12 @@ STAGES: dict[str, str] = {
     "ck_test": "SELECT * FROM ck_test0 WHERE userId IN (SELECT userId FROM ck_train0)",
     # ---- A1 + F3
     "pt_stats": """SELECT * FROM (
-                     SELECT userId, item_id, round(sum(total_play_time_sec), 6) AS total_playtime_combined,
+                     SELECT userId, item_id, (round((sum(total_play_time_sec)) * 1e6) / 1e6) AS total_playtime_combined,
                             max(decay_factor) AS recent_decay_factor
                      FROM pt_train GROUP BY userId, item_id)
                    WHERE total_playtime_combined IS NOT NULL AND NOT isnan(total_playtime_combined)""",
     "pt_test_stats": """SELECT * FROM (
-                     SELECT userId, item_id, round(sum(total_play_time_sec), 6) AS total_playtime_combined,
+                     SELECT userId, item_id, (round((sum(total_play_time_sec)) * 1e6) / 1e6) AS total_playtime_combined,
                             max(decay_factor) AS recent_decay_factor
                      FROM pt_test GROUP BY userId, item_id)
                    WHERE total_playtime_combined IS NOT NULL AND NOT isnan(total_playtime_combined)""",
@@ -122,7 +122,7 @@ STAGES: dict[str, str] = {
                   WHERE p.f >= ceil(CAST(0.0005 AS DOUBLE) * n.n) AND p.f / a.f >= 0.01""",
     # ---- M8: similarity scores, seen removed, indexed, top k
     "sim_raw": """SELECT a.userId, r.rec_item_id,
-                         round(sum(r.confidence * a.recent_decay_factor), 9) AS total_score
+                         (round((sum(r.confidence * a.recent_decay_factor)) * 1e9) / 1e9) AS total_score
                   FROM als_input a JOIN rules11 r USING (item_id) GROUP BY 1, 2""",
     "sim_scores": """SELECT * FROM sim_raw s WHERE NOT EXISTS (
                        SELECT 1 FROM als_input a WHERE a.userId = s.userId AND a.item_id = s.rec_item_id)""",

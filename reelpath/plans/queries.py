@@ -13,6 +13,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelpath.functions.numeric import round_to
 from reelpath.plans.workbench import Workbench, rounded
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -808,7 +809,7 @@ def als_novel_recs(spark, sf_dir):
     popularity re-ranked, top 15 (rows check: seeds fix it on one layout)."""
     top = _als_novel(_wb(spark, sf_dir), ALS_PARAMS)
     return top.select("userIndex", "itemIndex", F.col("rank").cast("int").alias("rank"),
-                      F.round("score", 6).alias("score"))
+                      round_to("score", 6).alias("score"))
 
 
 @query("als_explicit")
@@ -818,7 +819,7 @@ def als_explicit(spark, sf_dir):
     wb = _wb(spark, sf_dir)
     model = train_als(wb.indexed()[0], rank=50, max_iter=10, reg_param=0.1, implicit=False)
     flat = flatten_recs(raw_recommendations(model, 10))
-    return flat.select("userIndex", "itemIndex", F.round("als_rating", 6).alias("als_rating"),
+    return flat.select("userIndex", "itemIndex", round_to("als_rating", 6).alias("als_rating"),
                        F.col("model_rank").cast("int").alias("model_rank"))
 
 

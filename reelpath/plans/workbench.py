@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelpath.functions.numeric import round_to
 from reelpath.operators import indexing, interactions, scoring
 from reelpath.sources import fixtures
 from reelpath.sources.fixtures import DEFAULT_SPLIT, Split
@@ -148,8 +149,7 @@ class Workbench:
         cand = (self.als_input().select("userId", "item_id", "recent_decay_factor")
                 .join(self.sim_pairs(), "item_id"))
         return (cand.groupBy("userId", "rec_item_id")
-                .agg(F.round(F.sum(F.col("raw_score") * F.col("recent_decay_factor")),
-                             SCORE_DIGITS).alias("total_score")))
+                .agg(round_to(F.sum(F.col("raw_score") * F.col("recent_decay_factor")), SCORE_DIGITS).alias("total_score")))
 
     def sim_indexed(self, drop_seen: bool = True) -> DataFrame:
         from reelpath.operators.recommend import index_candidates
@@ -171,7 +171,7 @@ class Workbench:
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column (results compared across engines)."""
-    cols = [F.round(F.col(f.name), digits).alias(f.name)
+    cols = [round_to(F.col(f.name), digits).alias(f.name)
             if f.dataType.typeName() in ("double", "float") else F.col(f.name)
             for f in df.schema.fields]
     return df.select(*cols)

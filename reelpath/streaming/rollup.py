@@ -20,6 +20,8 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from reelpath.functions.numeric import round_to
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -59,7 +61,7 @@ def rollup_view(spark: SparkSession, out_root: str, digits: int = 6) -> DataFram
     """Exact totals per (userId, item_id, day) from all partials written so far."""
     parts = spark.read.parquet(out_root)
     return (parts.groupBy("userId", "item_id", "day")
-            .agg(F.round(F.sum("playtime"), digits).alias("playtime"),
+            .agg(round_to(F.sum("playtime"), digits).alias("playtime"),
                  F.sum("n_rows").alias("n_rows")))
 
 
