@@ -122,9 +122,14 @@ def _numbered(df: DataFrame, group_cols: list[str], order_cols: list[str], ties:
                  .withColumn(_LOCAL, F.col("_rp_pos") - F.col("_rp_first") + 1)
                  .drop("_rp_pos", "_rp_first"))
     else:
+        # Arrow turns a null double into NaN: carry explicit null flags so a
+        # null and a NaN (sorted first and last) are never taken as ties
+        flags = [f"_rp_null{i}" for i in range(len(order_cols))]
+        for f, c in zip(flags, order_cols):
+            keyed = keyed.withColumn(f, F.col(c).isNull())
         schema = StructType(keyed.schema.fields + [StructField(_LOCAL, LongType(), False)])
-        local = keyed.mapInPandas(_local_numbers(group_cols, order_cols, ties), schema)
-        local = local.checkpoint(eager=True)
+        local = keyed.mapInPandas(_local_numbers(group_cols, order_cols + flags, ties), schema)
+        local = local.drop(*flags).checkpoint(eager=True)
     runs = local.groupBy(_PID, *group_cols).agg(F.count(F.lit(1)).alias("_rp_n"))
     by_group = Window.partitionBy(*group_cols)
     before = by_group.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)

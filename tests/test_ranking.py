@@ -15,7 +15,8 @@ def _frame(spark, n=600, seed=3):
     rows = []
     for i in range(n):
         g = "hot" if rnd.random() < 0.4 else f"g{rnd.randint(0, 20)}"   # one group ~ 40%
-        v = float(rnd.randint(0, 30)) if rnd.random() > 0.05 else None  # ties and nulls
+        u = rnd.random()
+        v = float(rnd.randint(0, 30)) if u > 0.08 else (None if u > 0.04 else float("nan"))
         rows.append((i, g, v))
     return spark.createDataFrame(rows, "id long, g string, v double")
 
@@ -81,3 +82,11 @@ def test_top_k_uses_map_side_group_limit(spark):
                                   F.rand(1).alias("score"))
     plan = top_k(df, 5)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_null_and_nan_are_not_ties(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, "a", float("nan")), (3, "a", float("nan")),
+                                (4, "b", 1.0)], "id long, g string, v double")
+    ours = rank_within(df, "g", "v", "r", ties="min", num_partitions=2).select("id", "r")
+    ref = df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy("v"))).select("id", "r")
+    assert sorted(ours.collect()) == sorted(ref.collect())
