@@ -73,3 +73,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/reelpath/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 ** 2,
+                 min_partitions: int = 200) -> dict[str, str]:
+    """Shuffle sizing for a cluster run over ``input_bytes`` of Parquet.
+
+    The initial shuffle partition count is chosen so a partition of the
+    widest shuffle (at most the input) holds about ``target_partition_bytes``;
+    AQE then coalesces small partitions and splits skewed ones.  For 100 TB and
+    256 MB this gives ~400k initial partitions, coalesced at run time to the
+    advisory 128 MB."""
+    n = max(min_partitions, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(min(n, 200_000)),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.files.maxPartitionBytes": "128m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
