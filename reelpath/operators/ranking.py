@@ -106,9 +106,11 @@ def _local_numbers(group_cols: list[str], order_cols: list[str], ties: str):
 def _numbered(df: DataFrame, group_cols: list[str], order_cols: list[str], ties: str,
               num_partitions: int | None) -> tuple[DataFrame, DataFrame]:
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = (df.repartitionByRange(n, *group_cols, *order_cols)
-             .sortWithinPartitions(*group_cols, *order_cols)
+    # without an explicit count AQE may coalesce adjacent range partitions to
+    # the advisory size; that keeps key order, which is all the offsets need
+    ranged = (df.repartitionByRange(num_partitions, *group_cols, *order_cols) if num_partitions
+              else df.repartitionByRange(*group_cols, *order_cols))
+    keyed = (ranged.sortWithinPartitions(*group_cols, *order_cols)
              .withColumn(_PID, F.spark_partition_id()))
     from reelpath.session import checkpoint_root
     checkpoint_root(spark)

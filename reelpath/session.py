@@ -86,7 +86,7 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 ** 2
     advisory 128 MB."""
     n = max(min_partitions, -(-input_bytes // target_partition_bytes))
     return {
-        "spark.sql.shuffle.partitions": str(min(n, 200_000)),
+        "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         "spark.sql.files.maxPartitionBytes": "128m",
