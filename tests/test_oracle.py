@@ -11,7 +11,9 @@ from conftest import SF_SMALL
 
 SPOT = ["confidence_labels", "indexed_train", "completion_ratings", "funnel_items",
         "similarity_recs", "ranking_metrics", "association_rules", "taste_neighbours",
-        "seen_excluded", "novel_by_arrays", "search_sequence", "item_features"]
+        "seen_excluded", "novel_by_arrays", "search_sequence", "item_features",
+        "playtime_histogram", "popularity_percentiles", "user_recs", "partitioned_scan",
+        "streaming_rollup", "cohort_metrics"]
 
 
 def _norm(rows, cols):
