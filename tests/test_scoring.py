@@ -83,3 +83,14 @@ def test_completion_rating_caps_and_pools(spark):
            for r in interactions.completion_ratings(cons, pm).collect()}
     assert got["m"] == (1.0, 4)          # 1500 capped at 1000
     assert got["show"] == (0.5, 2)       # c3 below 300 s is dropped first
+
+
+def test_undecayed_click_merge(spark):
+    labels = spark.createDataFrame([("u", "a", 0.2), ("u", "MATCH1", 4.0)],
+                                   "userId string, item_id string, confidence double")
+    clicks = spark.createDataFrame([("u", "a", 1), ("u", "a", 1), ("u", "b", 1), ("u", "c", 0)],
+                                   "userId string, item_id string, quality_click_flag int")
+    merged = scoring.merge_signals(labels, scoring.click_signals(clicks, decay=False), decay=False)
+    got = {(r.userId, r.item_id): r.confidence for r in merged.collect()}
+    assert got == {("u", "a"): 2.0, ("u", "b"): 2.0}     # MATCH ids excluded, flag 0 ignored
+    assert merged.columns == ["userId", "item_id", "confidence"]
