@@ -503,13 +503,12 @@ def watched_vs_recommended(spark, sf_dir):
 def seen_excluded(spark, sf_dir):
     """J4 + U4 + F18: raw top-30 candidates (seen included), seen pairs
     removed by anti-join, first 15 kept."""
-    from reelpath.operators.recommend import drop_seen
+    from reelpath.operators.recommend import drop_seen, top_k
     wb = _wb(spark, sf_dir)
-    raw = wb.sim_top(30, drop_seen=False)
-    from reelpath.operators.recommend import top_k
-    novel = (drop_seen(raw, wb.indexed()[0], ["userIndex", "itemIndex"])
-             .withColumnRenamed("rank", "rank_raw").withColumn("_s", -F.col("rank_raw")))
-    out = top_k(novel, K, score_col="_s", rank_col="rank")
+    raw = wb.sim_top(30, drop_seen=False).withColumnRenamed("rank", "raw_rank")
+    novel = drop_seen(raw, wb.indexed()[0], ["userIndex", "itemIndex"])
+    # keep the candidates' order: the 15 best-ranked survivors (score = -raw rank)
+    out = top_k(novel.withColumn("_s", -F.col("raw_rank")), K, score_col="_s")
     return out.select("userIndex", "itemIndex", F.col("rank").cast("int").alias("rank"))
 
 
