@@ -142,14 +142,7 @@ class Workbench:
     def sim_scores(self, drop_seen: bool = True) -> DataFrame:
         from reelpath.operators import recommend
         return self._get(("sim_scores", drop_seen), lambda: recommend.similarity_scores(
-            self.als_input(), self.sim_pairs()) if drop_seen else self._raw_sim_scores())
-
-    def _raw_sim_scores(self) -> DataFrame:
-        from reelpath.operators.recommend import SCORE_DIGITS
-        cand = (self.als_input().select("userId", "item_id", "recent_decay_factor")
-                .join(self.sim_pairs(), "item_id"))
-        return (cand.groupBy("userId", "rec_item_id")
-                .agg(round_to(F.sum(F.col("raw_score") * F.col("recent_decay_factor")), SCORE_DIGITS).alias("total_score")))
+            self.als_input(), self.sim_pairs(), drop_watched=drop_seen))
 
     def sim_indexed(self, drop_seen: bool = True) -> DataFrame:
         from reelpath.operators.recommend import index_candidates
