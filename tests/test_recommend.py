@@ -101,3 +101,11 @@ def test_similar_items_roundtrip(spark):
                                   "item_id string, rec_item_id string, confidence double")
     back = recommend.explode_similar(recommend.similar_items(pairs))
     assert sorted(back.collect()) == sorted(pairs.toDF("item_id", "rec_item_id", "raw_score").collect())
+
+
+def test_grid_sweep_isolates_a_failing_point(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from reelpath.plans import queries
+    monkeypatch.setattr(queries, "GRID", {"rank": [2, 0], "max_iter": [2]})
+    rows = {r.params: r.status for r in queries.grid_sweep(spark, SF_SMALL).collect()}
+    assert rows == {"max_iter=2,rank=2": "ok", "max_iter=2,rank=0": "failed"}
