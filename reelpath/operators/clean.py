@@ -14,12 +14,12 @@ SEARCH_ACTIONS = ("search_input", "text_input", "voice_search", "search_click",
                   "banner_cta_click", "item_search", "autosuggest_click")
 
 
-def catalogue_items(*tables: DataFrame) -> DataFrame:
-    """F8 + U1 + U2: published entries with a non-empty id array, exploded to
-    one row per id, union of all tables, distinct."""
+def catalogue_items(*tables: DataFrame, ids_col: str = "content_ids") -> DataFrame:
+    """F8 + U1 + U2: published entries with a non-empty id array (``ids_col``),
+    exploded to one row per id, union of all tables, distinct."""
     def clean(df: DataFrame) -> DataFrame:
-        return (df.filter((F.size("XstreamContentIds") > 0) & (F.col("published") == F.lit(True)))
-                .select(F.explode("XstreamContentIds").alias("_id"), "title",
+        return (df.filter((F.size(ids_col) > 0) & (F.col("published") == F.lit(True)))
+                .select(F.explode(ids_col).alias("_id"), "title",
                         F.col("OriginalLanguage").cast("string").alias("original_language"),
                         "Genres")
                 .select(F.col("_id").cast("string").alias("item_id"), "title",

@@ -98,13 +98,13 @@ STAGES: dict[str, str] = {
     "truth": "SELECT DISTINCT userIndex, itemIndex FROM indexed_test",
     # ---- catalogue (F8)
     "metadata": """SELECT DISTINCT * FROM (
-                     SELECT CAST(unnest(XstreamContentIds) AS VARCHAR) AS item_id, title,
+                     SELECT CAST(unnest(content_ids) AS VARCHAR) AS item_id, title,
                             CAST(OriginalLanguage AS VARCHAR) AS original_language, Genres
-                     FROM catalogue_tv WHERE len(XstreamContentIds) > 0 AND published
+                     FROM catalogue_tv WHERE len(content_ids) > 0 AND published
                      UNION ALL
-                     SELECT CAST(unnest(XstreamContentIds) AS VARCHAR) AS item_id, title,
+                     SELECT CAST(unnest(content_ids) AS VARCHAR) AS item_id, title,
                             CAST(OriginalLanguage AS VARCHAR) AS original_language, Genres
-                     FROM catalogue_movie WHERE len(XstreamContentIds) > 0 AND published)""",
+                     FROM catalogue_movie WHERE len(content_ids) > 0 AND published)""",
     # ---- 1 -> 1 item rules over (user, day) baskets of the train window
     "bk": f"""SELECT DISTINCT userId, day, item_id FROM interactions
               WHERE day BETWEEN {TRAIN_FROM} AND {TRAIN_TO}""",

@@ -87,7 +87,7 @@ def _catalogue(spark: SparkSession, sf_dir: str, types: tuple[str, ...],
     ids = (F.when(F.col("p_size") % 7 == 0, F.array().cast("array<string>"))
            .otherwise(F.array(F.col("p_partkey").cast("string"))))
     return part.select(
-        ids.alias("XstreamContentIds"),
+        ids.alias("content_ids"),
         (F.col("p_size") % 10 != 0).alias("published"),
         F.col("p_name").alias("title"),
         F.col("p_brand").alias("OriginalLanguage"),
@@ -199,14 +199,14 @@ FIXTURE_SQL: dict[str, str] = {
         FROM interactions WHERE event_type IN ('click', 'error')""",
     "catalogue_tv": """
         SELECT CASE WHEN p_size % 7 = 0 THEN CAST([] AS VARCHAR[])
-                    ELSE [CAST(p_partkey AS VARCHAR)] END AS XstreamContentIds,
+                    ELSE [CAST(p_partkey AS VARCHAR)] END AS content_ids,
                p_size % 10 <> 0 AS published,
                p_name AS title, p_brand AS OriginalLanguage,
                lower(p_type) || ', ' || split_part(p_name, ' ', 1) AS Genres
         FROM part WHERE p_type IN ('SMALL', 'MEDIUM', 'LARGE')""",
     "catalogue_movie": """
         SELECT CASE WHEN p_size % 7 = 0 THEN CAST([] AS VARCHAR[])
-                    ELSE [CAST(p_partkey AS VARCHAR)] END AS XstreamContentIds,
+                    ELSE [CAST(p_partkey AS VARCHAR)] END AS content_ids,
                p_size % 10 <> 0 AS published,
                p_name AS title, p_brand AS OriginalLanguage,
                '[''' || lower(p_type) || ''', ''' || split_part(p_name, ' ', 1) || ''']' AS Genres
