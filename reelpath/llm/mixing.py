@@ -7,7 +7,8 @@ Documents are ranked by Pareto's ratio ``(u / (1 - u)) / (p / (1 - p))`` with
 ``u`` a fixed uniform number drawn from the document id and the seed, and the
 ranks are taken from the front until the source's words are used up.  The
 sample has a fixed size in words: the prefix whose total lies nearest to what
-the whole copies left open.
+the whole copies left open, with one document more or fewer where its size
+closes the remaining gap better.
 
 No group is gathered: the cut in the ranking is found from sums per (source,
 cell of ``u``), first over 4096 cells of the ratio's order, then over 4096
@@ -130,12 +131,34 @@ def decide(docs: DataFrame, seed: int = 17, weights: tuple = WEIGHTS, total_shar
     cut = d.where(at_cut).withColumn("upto", upto)
     nearer = (F.col("upto") - F.col("size") / 2.0) <= F.col("rest_fine")
     cut = cut.withColumn("extra", (nearer & has_open).cast("int")).drop("upto")
-    both = sure.unionByName(cut)
+    both = sure.unionByName(cut).select("doc_id", "source", "size", "u", "source_size", "target", "whole", "extra",
+                                        has_open.alias("has_open")).checkpoint()
+    both = _close_gap(both)
     n = F.when(F.col("size") > 0, F.col("whole") + F.col("extra")).otherwise(0).cast("long")
     return both.select("doc_id", "source", "size", "source_size", "target", n.alias("copies"),
                        (n * F.col("size")).alias("taken"))
 
 
+def _close_gap(d: DataFrame) -> DataFrame:
+    """Per source, one document more or one fewer where that brings the words
+    nearer to the target: the one whose size is nearest to the gap.  Rows equal
+    in id and size count as one document here."""
+    words = F.when(F.col("size") > 0, F.col("whole") + F.col("extra")).otherwise(0) * F.col("size")
+    gaps = d.groupBy("source").agg((F.first("target") - F.sum(words)).alias("gap"))
+    g = gaps.select(F.col("source").alias("g_source"), "gap")
+    with_gap = d.join(g, d["source"].eqNullSafe(g["g_source"])).drop("g_source")
+    movable = F.col("has_open") & (F.col("extra") == F.when(F.col("gap") > 0, 0).otherwise(1))
+    off = F.abs(F.abs(F.col("gap")) - F.col("size"))
+    best = with_gap.where(movable & (off < F.abs(F.col("gap")))).groupBy("source") \
+        .agg(F.min(F.struct(off.alias("off"), "u", "doc_id", "size")).alias("b")) \
+        .select(F.col("source").alias("b_source"), "b")
+    out = with_gap.join(best, with_gap["source"].eqNullSafe(best["b_source"]), "left")
+    moved = movable & (F.col("u") == F.col("b.u")) & F.col("doc_id").eqNullSafe(F.col("b.doc_id")) & \
+        (F.col("size") == F.col("b.size"))
+    extra = F.when(F.coalesce(moved, F.lit(False)), 1 - F.col("extra")).otherwise(F.col("extra"))
+    return out.withColumn("extra", extra).drop("b_source", "b", "gap")
+
+
 def mix_documents(docs: DataFrame, seed: int = 17, **options) -> DataFrame:
     """The mixed corpus: each row of ``docs`` as often as the mix takes it.
 

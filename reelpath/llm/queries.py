@@ -57,10 +57,16 @@ p AS (SELECT d.doc_id, d.source, d.size, d.u, g.source_size, g.target,
       FROM d JOIN goal g ON d.source IS NOT DISTINCT FROM g.source),
 r AS (SELECT *, greatest(0.0::DOUBLE, target - whole * source_size) AS open,
         sum(size) OVER (PARTITION BY source ORDER BY u, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto FROM p)
-SELECT doc_id, size, source_size, target,
-       CAST(CASE WHEN size > 0 THEN (whole + CASE WHEN open > 0 AND upto - size / 2.0::DOUBLE <= open
-         THEN 1 ELSE 0 END) * size ELSE 0 END AS BIGINT) AS taken
-FROM r""",
+x AS (SELECT *, CASE WHEN open > 0 AND size > 0 AND upto - size / 2.0::DOUBLE <= open THEN 1 ELSE 0 END AS extra FROM r),
+g AS (SELECT *, target - sum(CASE WHEN size > 0 THEN (whole + extra) * size ELSE 0 END) OVER (PARTITION BY source) AS gap
+      FROM x),
+m AS (SELECT *, open > 0 AND size > 0 AND extra = CASE WHEN gap > 0 THEN 0 ELSE 1 END
+             AND abs(abs(gap) - size) < abs(gap) AS movable FROM g),
+b AS (SELECT source, min({'a': abs(abs(gap) - size), 'u': u, 'i': doc_id, 's': size}) AS b FROM m WHERE movable GROUP BY source)
+SELECT m.doc_id, m.size, m.source_size, m.target,
+       CAST(CASE WHEN m.size > 0 THEN (whole + CASE WHEN movable AND u = b.b.u AND doc_id IS NOT DISTINCT FROM b.b.i
+         AND m.size = b.b.s THEN 1 - extra ELSE extra END) * m.size ELSE 0 END AS BIGINT) AS taken
+FROM m LEFT JOIN b ON m.source IS NOT DISTINCT FROM b.source""",
     "op6_top_products": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
