@@ -5,15 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelpath.llm import mixing, token_orc, topk
+from reelpath.llm import language, mixing, token_orc, topk, toxicity
 from reelpath.llm.common import read_table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")) \
+        .select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.decide(read_table(spark, sf_dir, "documents")) \
         .select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read_table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op6_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = topk.scaled_vectors(read_table(spark, sf_dir, "embeddings"))
     return topk.top_products(v, v.where(F.col("vec_id") % 20 == 0))
@@ -24,7 +33,9 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op4_mixing": op4_mixing,
+    "op5_language": op5_language,
     "op6_top_products": op6_top_products,
     "op10_token_orc": op10_token_orc,
 }
@@ -56,7 +67,7 @@ p AS (SELECT d.doc_id, d.source, d.size, d.u, g.source_size, g.target,
         CASE WHEN g.source_size > 0 THEN floor(g.target / g.source_size) ELSE 0 END AS whole
       FROM d JOIN goal g ON d.source IS NOT DISTINCT FROM g.source),
 r AS (SELECT *, greatest(0.0::DOUBLE, target - whole * source_size) AS open,
-        sum(size) OVER (PARTITION BY source ORDER BY u, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto FROM p)
+        sum(size) OVER (PARTITION BY source ORDER BY u, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto FROM p),
 x AS (SELECT *, CASE WHEN open > 0 AND size > 0 AND upto - size / 2.0::DOUBLE <= open THEN 1 ELSE 0 END AS extra FROM r),
 g AS (SELECT *, target - sum(CASE WHEN size > 0 THEN (whole + extra) * size ELSE 0 END) OVER (PARTITION BY source) AS gap
       FROM x),
