@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelpath.llm import language, mixing, token_orc, topk, toxicity
+from reelpath.llm import language, mixing, near_dup, token_orc, topk, toxicity
 from reelpath.llm.common import read_table
 
 
@@ -14,6 +14,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
 
 
+def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classes(read_table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.decide(read_table(spark, sf_dir, "documents")) \
         .select("doc_id", "size", "source_size", "target", "taken")
@@ -34,6 +38,7 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op3_near_dup": op3_near_dup,
     "op4_mixing": op4_mixing,
     "op5_language": op5_language,
     "op6_top_products": op6_top_products,
