@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelpath.llm import language, mixing, near_dup, token_orc, topk, toxicity
+from reelpath.llm import decontam, language, mixing, near_dup, token_orc, topk, toxicity
 from reelpath.llm.common import read_table
 
 
@@ -14,6 +14,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
 
 
+def op2_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.classes(read_table(spark, sf_dir, "documents"))
 
@@ -38,6 +42,7 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_decontam": op2_decontam,
     "op3_near_dup": op3_near_dup,
     "op4_mixing": op4_mixing,
     "op5_language": op5_language,
