@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelpath.llm import decontam, language, mixing, near_dup, token_orc, topk, toxicity
+from reelpath.llm import decontam, language, mixing, near_dup, ngram_lm, token_orc, topk, toxicity
 from reelpath.llm.common import read_table
 
 
@@ -36,6 +36,10 @@ def op6_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_products(v, v.where(F.col("vec_id") % 20 == 0))
 
 
+def op7_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.tokens_round_trip(read_table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_language": op5_language,
     "op6_top_products": op6_top_products,
+    "op7_ngram_lm": op7_ngram_lm,
     "op10_token_orc": op10_token_orc,
 }
 
