@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelpath.llm import decontam, html_extract, language, mixing, near_dup, ngram_lm, token_orc, topk, toxicity
+from reelpath.llm import decontam, html_extract, language, mixing, near_dup, ngram_lm, pii, token_orc, topk, toxicity
 from reelpath.llm.common import read_table
 
 
@@ -40,6 +40,10 @@ def op7_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.score_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_personal_data(read_table(spark, sf_dir, "documents")))
+
+
 def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read_table(spark, sf_dir, "pages"))
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op5_language": op5_language,
     "op6_top_products": op6_top_products,
     "op7_ngram_lm": op7_ngram_lm,
+    "op8_pii": op8_pii,
     "op9_html_extract": op9_html_extract,
     "op10_token_orc": op10_token_orc,
 }
