@@ -18,7 +18,7 @@ CUSTOM_USER_CONFIDENCE = 4.0
 CONTENT_TYPES_ALL = ("MOVIE", "EPISODE", "VIDEO", "TVSHOW", "SEASON")
 CONTENT_TYPES_SERIES_MOVIE = ("MOVIE", "EPISODE")
 # content-type grouping (lower-cased type -> group)
-TV_SHOW_TYPES = ("episode", "tvshow", "tv_show", "season", "series")
+TV_SHOW_TYPES = ("episode", "tvshow", "tv show", "tv_shows")
 MOVIE_TYPES = ("movie", "film")
 # excluded substrings in item ids (case-sensitive)
 EXCLUDED_ITEM_MARKERS = ("MATCH", "HIGHLIGHTS")

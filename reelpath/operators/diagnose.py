@@ -108,15 +108,20 @@ def content_type_mix(df: DataFrame, type_col: str = "content_content_type",
     return per_type.join(per_type_user, "type_group")
 
 
+def user_type_watch(df: DataFrame, type_col: str = "content_content_type", user_col: str = "userId",
+                    value_col: str = "total_play_time_sec") -> DataFrame:
+    """Watch time per (user, type group)."""
+    return (df.withColumn("type_group", content_group(F.col(type_col)))
+            .groupBy(user_col, "type_group").agg(round_to(F.sum(value_col), 6).alias("watch_time")))
+
+
 def dominant_type(df: DataFrame, type_col: str = "content_content_type",
                   user_col: str = "userId", value_col: str = "total_play_time_sec") -> DataFrame:
     """Each user's type group with the most watch time (ties -> smaller
-    name); users per dominant group.  ``max_by`` is a partial aggregate."""
-    per = (df.withColumn("type_group", content_group(F.col(type_col)))
-           .groupBy(user_col, "type_group").agg(round_to(F.sum(value_col), 6).alias("w")))
-    best = per.groupBy(user_col).agg(F.max("w").alias("w"))
-    top = (per.join(best, [user_col, "w"])
-           .groupBy(user_col).agg(F.min("type_group").alias("dominant_type")))
+    name, a user without watch time -> smallest name); users per dominant group."""
+    per = user_type_watch(df, type_col, user_col, value_col)
+    first = F.min(F.struct((-F.coalesce("watch_time", F.lit(float("-inf")))).alias("w"), "type_group"))
+    top = per.groupBy(user_col).agg(first["type_group"].alias("dominant_type"))
     return top.groupBy("dominant_type").agg(F.count(F.lit(1)).alias("users"))
 
 
@@ -138,19 +143,21 @@ def day_window_audit(day_df: DataFrame, window_df: DataFrame, key: str) -> DataF
                         both.agg(F.count(F.lit(1)).alias("both_keys")))
 
 
-def histogram(df: DataFrame, col: str, bins: int = 50, log: bool = False) -> DataFrame:
-    """Equal-width histogram over all rows (``log`` -> log1p scale).
+def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
+    """Equal-width histograms over all rows, of the values (``scale`` raw)
+    and of log(1 + value) (log1p), in one pass after one for the bounds.
 
     Bin = floor((v-lo)/(hi-lo)*bins), the maximum folded into the last bin.
     """
-    v = F.log1p(F.col(col)) if log else F.col(col)
-    vals = df.select(v.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    bounds = vals.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    both = F.explode(F.array(F.struct(F.lit("raw").alias("scale"), F.col(col).alias("v")),
+                             F.struct(F.lit("log1p").alias("scale"), F.log1p(col).alias("v"))))
+    vals = df.select(both.alias("x")).select("x.*").filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    bounds = vals.groupBy("scale").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))    # two rows
     b = F.when(F.col("hi") > F.col("lo"),
                F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins),
                        F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
-    return (vals.crossJoin(F.broadcast(bounds)).withColumn("bin", b)
-            .groupBy("bin").agg(F.count(F.lit(1)).alias("n")))
+    return (vals.join(F.broadcast(bounds), "scale").withColumn("bin", b)
+            .groupBy("scale", "bin").agg(F.count(F.lit(1)).alias("n")))
 
 
 def column_profile(df: DataFrame, cols: list[str]) -> DataFrame:

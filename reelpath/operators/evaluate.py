@@ -63,27 +63,26 @@ def cohort_metrics(preds: DataFrame, truth: DataFrame, k: int, **kw) -> DataFram
     return by.unionByName(u.agg(*aggs).withColumn("cohort", F.lit("all")))
 
 
+def item_slots(recs: DataFrame, item_col: str = "itemIndex") -> DataFrame:
+    """List slots that each recommended item holds."""
+    return recs.groupBy(item_col).agg(F.count(F.lit(1)).alias("times_recommended"))
+
+
 def catalogue_coverage(recs: DataFrame, catalogue: DataFrame, item_col: str = "itemIndex") -> DataFrame:
-    """E5 + J15: catalogue items recommended at least once / catalogue items."""
-    counts = recs.groupBy(item_col).agg(F.count(F.lit(1)).alias("times_recommended"))
-    full = (catalogue.select(item_col).distinct().join(counts, item_col, "left")
-            .fillna({"times_recommended": 0}))
-    return full.agg(F.count(F.lit(1)).alias("total_items"),
-                    F.count_if(F.col("times_recommended") > 0).alias("covered_items")) \
-        .withColumn("coverage", F.when(F.col("total_items") > 0,
-                                       F.col("covered_items") / F.col("total_items"))
-                    .otherwise(F.lit(0.0)))
+    """E5 + J15: the share of catalogue items that hold at least one slot."""
+    known = catalogue.select(item_col).distinct()
+    reached = known.join(recs.select(item_col).distinct(), item_col, "left_semi")
+    both = side_by_side(known.agg(F.count(F.lit(1)).alias("total_items")),
+                        reached.agg(F.count(F.lit(1)).alias("covered_items")))
+    return both.withColumn("coverage", F.coalesce(F.try_divide("covered_items", "total_items"), F.lit(0.0)))
 
 
 def frequency_scores(recs: DataFrame, item_col: str = "itemIndex") -> DataFrame:
-    """C14: times recommended per item scaled to 1..100 (1 when all equal)."""
-    counts = recs.groupBy(item_col).agg(F.count(F.lit(1)).alias("times_recommended"))
-    bounds = counts.agg(F.min("times_recommended").alias("_lo"),
-                        F.max("times_recommended").alias("_hi"))
-    return (counts.crossJoin(F.broadcast(bounds))
-            .withColumn("rec_frequency_score",
-                        scaled_1_100(F.col("times_recommended"), F.col("_lo"), F.col("_hi")))
-            .drop("_lo", "_hi"))
+    """C14: an item's slots scaled to 1..100 (1 when all hold as many)."""
+    slots = item_slots(recs, item_col)
+    extremes = slots.agg(F.min("times_recommended").alias("fewest"), F.max("times_recommended").alias("most"))
+    score = scaled_1_100(F.col("times_recommended"), F.col("fewest"), F.col("most"))
+    return slots.join(F.broadcast(extremes)).select(item_col, "times_recommended", score.alias("rec_frequency_score"))
 
 
 def frequency_percentiles(recs: DataFrame, **kw) -> DataFrame:
@@ -118,7 +117,7 @@ def output_skew(recs: DataFrame, catalogue: DataFrame, item_col: str = "itemInde
     top = (counts.crossJoin(F.broadcast(q.select("p99")))
            .agg(F.coalesce(F.sum(F.when(F.col("times_recommended") >= F.col("p99"),
                                         F.col("times_recommended"))), F.lit(0)).alias("_top")))
-    return (base.crossJoin(top)
+    return (base.crossJoin(F.broadcast(top))
             .withColumn("coverage_pct", F.col("unique_items") / F.col("catalogue_items") * 100.0)
             .withColumn("top1_slot_pct", F.col("_top") / F.col("total_recs") * 100.0)
             .withColumn("collapse_alarm", F.col("top1_slot_pct") > 30.0)

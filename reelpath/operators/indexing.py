@@ -8,11 +8,10 @@ order, reproducible, and computed across all tasks.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelpath.operators.ranking import dense_ids_many
+from reelpath.operators.ranking import dense_ids_many, rank_within
 
 
 def build_lookups(train: DataFrame, user_col: str = "userId",
@@ -53,11 +52,18 @@ def ground_truth(indexed_test: DataFrame) -> DataFrame:
 
 def string_index(df: DataFrame, input_col: str, output_col: str,
                  order: str = "alphabetAsc") -> DataFrame:
-    """``StringIndexer`` (labels are fitted on the driver: use only for
-    columns with a bounded vocabulary; otherwise :func:`build_lookups`)."""
-    model = StringIndexer(inputCol=input_col, outputCol=output_col,
-                          stringOrderType=order, handleInvalid="skip").fit(df)
-    return model.transform(df).withColumn(output_col, F.col(output_col).cast("int"))
+    """Label ids 0, 1, ... of a column's values, one row per value.
+
+    ``alphabetAsc`` numbers them by value, ``frequencyDesc`` by falling count
+    (ties by value).  Counts are a partial aggregate and the numbering spans
+    all tasks; nothing is fitted on the driver.  Null values get no id."""
+    if order not in ("alphabetAsc", "frequencyDesc"):
+        raise ValueError(f"unknown order {order}")
+    values = df.where(F.col(input_col).isNotNull()).groupBy(input_col).agg((-F.count(F.lit(1))).alias("_rp_freq")) \
+        .withColumn("_rp_all", F.lit(0))
+    by = [input_col] if order == "alphabetAsc" else ["_rp_freq", input_col]
+    ranked = rank_within(values, "_rp_all", by, "_rp_rn", ties="row")
+    return ranked.select(input_col, (F.col("_rp_rn") - 1).cast("int").alias(output_col))
 
 
 def decode_items(rows: DataFrame, items: DataFrame, metadata: DataFrame | None = None) -> DataFrame:

@@ -18,18 +18,29 @@ from reelpath.functions.labels import (CONTENT_TYPES_ALL, CONTENT_TYPES_SERIES_M
 SUM_DIGITS = 6
 
 
-def aggregate_playtime(df: DataFrame, with_decay: bool = False, user_col: str = "userId",
-                       item_col: str = "item_id", digits: int = SUM_DIGITS) -> DataFrame:
+def valid_pairs(stats: DataFrame) -> DataFrame:
+    """pairs whose summed playtime is a number."""
+    return stats.filter(valid_number(F.col("total_playtime_combined")))
+
+
+def aggregate_playtime(df: DataFrame, with_decay: bool = False, user_col: str = "userId", item_col: str = "item_id",
+                       digits: int = SUM_DIGITS, drop_invalid: bool = True) -> DataFrame:
     """A1 + F3: summed playtime per pair; ``max(decay_factor)`` when decayed.
 
     A NaN or null in any row of a pair makes the sum NaN/null and the pair is
-    dropped after the aggregation (the reference's rule).
+    dropped after the aggregation (the reference's rule), unless the caller
+    still needs its user (``drop_invalid``).
     """
     aggs = [round_to(F.sum("total_play_time_sec"), digits).alias("total_playtime_combined")]
     if with_decay:
         aggs.append(F.max("decay_factor").alias("recent_decay_factor"))
-    return (df.groupBy(user_col, item_col).agg(*aggs)
-            .filter(valid_number(F.col("total_playtime_combined"))))
+    stats = df.groupBy(user_col, item_col).agg(*aggs)
+    return valid_pairs(stats) if drop_invalid else stats
+
+
+def users_in_both(train: DataFrame, test: DataFrame, user_col: str = "userId") -> DataFrame:
+    """J1 on roll-ups: the users that have pairs on either side."""
+    return train.select(user_col).distinct().join(test.select(user_col).distinct(), user_col, "left_semi")
 
 
 def decayed_playtime(df: DataFrame, digits: int = SUM_DIGITS) -> DataFrame:
@@ -64,18 +75,14 @@ def completion_ratings(consumption: DataFrame, parent_map: DataFrame,
     item are pooled, ``rate = sum(capped) / sum(duration)``.  Contents without a
     parent keep a null item (left join).  Division by a zero duration gives null.
     """
-    per_content = sessions_per_pair(consumption, digits=digits)
-    kept = (per_content.filter(F.col("content_content_type").isin(*CONTENT_TYPES_SERIES_MOVIE))
-            .withColumn("capped_playtime",
-                        F.least(F.col("total_playtime_combined"), F.col("duration_secs")))
-            .filter(F.col("total_playtime_combined") > min_playtime)
-            .join(parent_map.select("content_id", "item_id"), "content_id", "left"))
-    rated = (kept.groupBy("userId", "item_id", "content_content_type")
-             .agg(round_to(F.sum("capped_playtime"), digits).alias("total_playtime_combined"),
-                  round_to(F.sum("duration_secs"), digits).alias("total_duration_combined"))
-             .withColumn("rate", F.try_divide(F.col("total_playtime_combined"),
-                                              F.col("total_duration_combined"))))
-    rating = (F.when(F.col("content_content_type").isin(*CONTENT_TYPES_SERIES_MOVIE),
-                     completion_rating(F.col("rate"))).otherwise(0))
-    return (rated.withColumn("rating_label_custom", rating.cast("int"))
-            .withColumn("completion_rate", round_to("rate", digits)).drop("rate"))
+    pairs = sessions_per_pair(consumption, types=CONTENT_TYPES_SERIES_MOVIE, digits=digits)
+    watched = pairs.where(F.col("total_playtime_combined") > min_playtime) \
+        .withColumn("counted", F.least("total_playtime_combined", "duration_secs"))
+    # the parent map has one row per content; contents without one stay under a null item
+    parents = parent_map.select("content_id", "item_id")
+    pooled = watched.join(parents, "content_id", "left").groupBy("userId", "item_id", "content_content_type").agg(
+        round_to(F.sum("counted"), digits).alias("total_playtime_combined"),
+        round_to(F.sum("duration_secs"), digits).alias("total_duration_combined"))
+    share = F.try_divide("total_playtime_combined", "total_duration_combined")
+    return pooled.withColumns({"rating_label_custom": completion_rating(share).cast("int"),
+                               "completion_rate": round_to(share, digits)})

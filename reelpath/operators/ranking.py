@@ -2,21 +2,23 @@
 
 A window ``OVER (PARTITION BY g ORDER BY v)`` sends a whole group to one task.
 When one item or user holds a third of all rows that task holds a third of the
-data.  The functions here give the same numbers without that bottleneck:
-
-1. range-partition on ``(g, v)`` and sort inside partitions -- a hot group
-   is spread over many partitions, while equal ``(g, v)`` keys always land in
-   the same partition;
-2. rows are numbered inside each ``(partition, g)`` run: for ``row_number``
-   by position (``monotonically_increasing_id`` of the sorted partition minus
-   the run's first position); for ``rank`` with ties by one pass over the
-   sorted Arrow batches (``mapInPandas``), which carries tie runs across
-   batches;
-3. the result is checkpointed to the shared checkpoint folder, so both uses
-   below see identical partitions even after an executor loss;
-4. a small table of counts per ``(partition, g)`` -- at most #groups +
-   #partitions rows -- gives each run its offset and each group its size;
-5. offset + local number = the global number within the group.
+data.  The functions here give the same numbers without that bottleneck, with
+built-in expressions only.
+
+``row_number``: rows are range-partitioned on ``(g, v)`` and sorted inside the
+partitions, so a hot group spans many of them.  A row's number is its position
+in the sorted partition minus the first position of its ``(partition, g)`` run
+plus the rows of the group in earlier partitions -- a table of at most #groups +
+#partitions rows.
+
+``rank`` with ties: rows are first counted per ``(g, v)`` (a partial aggregate,
+so any number of equal values is one row), the counts are numbered the same
+way, and every row gets its rank by a join on ``(g, v)``.  Keys that hold more
+than 1/``HOT_KEYS`` of all rows -- at most ``HOT_KEYS`` -- are broadcast, all
+others are joined by shuffle, so a value shared by most rows meets no single task.
+
+The range-partitioned frame is checkpointed to the shared folder, so both uses
+of it see identical partitions even after an executor loss.
 
 Group sizes (``count(*) OVER (g)``) need no ordering and are a plain
 ``groupBy`` count joined back (partial aggregation before the shuffle).
@@ -24,16 +26,14 @@ Group sizes (``count(*) OVER (g)``) need no ordering and are a plain
 
 from __future__ import annotations
 
-from typing import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+
+from reelpath.session import checkpoint_root
 
 _PID = "_rp_pid"
-_LOCAL = "_rp_local"
+#: at most this many keys are joined by broadcast
+HOT_KEYS = 10_000
 
 
 def with_group_count(df: DataFrame, group_cols: list[str] | str, out_col: str) -> DataFrame:
@@ -49,99 +49,66 @@ def _no_null_keys(df: DataFrame, keys: list[str]) -> bool:
     return all(not f.nullable for f in df.select(*keys).schema.fields)
 
 
-def _neq(a: pd.Series, b: pd.Series) -> np.ndarray:
-    """Element-wise 'differs', treating two nulls as equal."""
-    an, bn = a.isna().to_numpy(), b.isna().to_numpy()
-    diff = (a.to_numpy(dtype=object) != b.to_numpy(dtype=object))
-    return np.where(an & bn, False, np.where(an | bn, True, diff))
-
-
-def _local_numbers(group_cols: list[str], order_cols: list[str], ties: str):
-    """Per-partition numbering of sorted rows; state carries across batches."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        prev_key = None      # last row's group values (1-row frame)
-        prev_ord = None      # last row's order values
-        prev_idx = 0         # 1-based position of last row in its group run
-        prev_rank = 0        # its min-rank (ties) within the run
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            g = pdf[group_cols].reset_index(drop=True)
-            o = pdf[order_cols].reset_index(drop=True)
-            g_prev = pd.concat([prev_key if prev_key is not None else g.iloc[:1], g.iloc[:-1]],
-                               ignore_index=True)
-            o_prev = pd.concat([prev_ord if prev_ord is not None else o.iloc[:1], o.iloc[:-1]],
-                               ignore_index=True)
-            new_group = np.zeros(n, dtype=bool)
-            for c in group_cols:
-                new_group |= _neq(g[c], g_prev[c])
-            new_val = new_group.copy()
-            for c in order_cols:
-                new_val |= _neq(o[c], o_prev[c])
-            if prev_key is None:
-                new_group[0] = True
-                new_val[0] = True
-            pos = np.arange(n, dtype=np.int64)
-            # last group start at or before each row; -1 = run continues from carry
-            gstart = np.maximum.accumulate(np.where(new_group, pos, -1))
-            idx = np.where(gstart >= 0, pos - gstart + 1, prev_idx + pos + 1)
-            if ties == "min":
-                vstart = np.maximum.accumulate(np.where(new_val, pos, -1))
-                local = np.where(vstart >= 0, idx[np.maximum(vstart, 0)], prev_rank)
-            else:
-                local = idx
-            out = pdf.copy()
-            out[_LOCAL] = local.astype(np.int64)
-            prev_key = g.iloc[-1:].reset_index(drop=True)
-            prev_ord = o.iloc[-1:].reset_index(drop=True)
-            prev_idx = int(idx[-1])
-            prev_rank = int(local[-1]) if ties == "min" else 0
-            yield out
-
-    return run
-
-
-def _numbered(df: DataFrame, group_cols: list[str], order_cols: list[str], ties: str,
-              num_partitions: int | None) -> tuple[DataFrame, DataFrame]:
-    spark = df.sparkSession
-    # without an explicit count AQE may coalesce adjacent range partitions to
-    # the advisory size; that keeps key order, which is all the offsets need
-    ranged = (df.repartitionByRange(num_partitions, *group_cols, *order_cols) if num_partitions
-              else df.repartitionByRange(*group_cols, *order_cols))
-    keyed = (ranged.sortWithinPartitions(*group_cols, *order_cols)
-             .withColumn(_PID, F.spark_partition_id()))
-    from reelpath.session import checkpoint_root
-    checkpoint_root(spark)
-    if ties == "row":
-        # row numbers need no Python: the position inside the sorted partition
-        # minus the first position of the (partition, group) run
-        local = keyed.withColumn("_rp_pos", F.monotonically_increasing_id()).checkpoint(eager=True)
-        first = local.groupBy(_PID, *group_cols).agg(F.min("_rp_pos").alias("_rp_first"))
-        cond = [local[k].eqNullSafe(first[k]) for k in [_PID] + group_cols]
-        local = (local.join(first, cond, "inner").drop(*[first[k] for k in [_PID] + group_cols])
-                 .withColumn(_LOCAL, F.col("_rp_pos") - F.col("_rp_first") + 1)
-                 .drop("_rp_pos", "_rp_first"))
-    else:
-        # Arrow turns a null double into NaN: carry explicit null flags so a
-        # null and a NaN (sorted first and last) are never taken as ties
-        flags = [f"_rp_null{i}" for i in range(len(order_cols))]
-        for f, c in zip(flags, order_cols):
-            keyed = keyed.withColumn(f, F.col(c).isNull())
-        schema = StructType(keyed.schema.fields + [StructField(_LOCAL, LongType(), False)])
-        local = keyed.mapInPandas(_local_numbers(group_cols, order_cols + flags, ties), schema)
-        local = local.drop(*flags).checkpoint(eager=True)
-    runs = local.groupBy(_PID, *group_cols).agg(F.count(F.lit(1)).alias("_rp_n"))
-    by_group = Window.partitionBy(*group_cols)
-    before = by_group.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (runs.withColumn("_rp_offset", F.coalesce(F.sum("_rp_n").over(before), F.lit(0)))
-               .withColumn("_rp_size", F.sum("_rp_n").over(by_group))
-               .drop("_rp_n"))
+def _attach(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner", small: bool = False) -> DataFrame:
+    """``a`` with the other columns of ``b``, rows matched on ``keys``, nulls too."""
+    named = b.withColumnsRenamed({k: f"_rp_key_{k}" for k in keys})
+    match = [F.col(k).eqNullSafe(F.col(f"_rp_key_{k}")) for k in keys]
+    return a.join(F.broadcast(named) if small else named, match, how).drop(*[f"_rp_key_{k}" for k in keys])
+
+
+def _ranged(df: DataFrame, cols: list[str], num_partitions: int | None) -> DataFrame:
+    """Range-partitioned on ``cols``, sorted inside, with the partition number.
+
+    Without an explicit count AQE may coalesce neighbours to the advisory size,
+    which keeps the key order."""
+    checkpoint_root(df.sparkSession)
+    spread = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
+    return spread.sortWithinPartitions(*cols).withColumn(_PID, F.spark_partition_id())
+
+
+def _offsets(runs: DataFrame, group_cols: list[str]) -> DataFrame:
+    """Per (partition, group): rows of the group in earlier partitions, and its size."""
+    group = Window.partitionBy(*group_cols)
+    earlier = group.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    return (runs.withColumn("_rp_offset", F.coalesce(F.sum("_rp_n").over(earlier), F.lit(0)))
+            .withColumn("_rp_size", F.sum("_rp_n").over(group)).drop("_rp_n"))
+
+
+def _row_numbers(df: DataFrame, group_cols: list[str], order_cols: list[str],
+                 num_partitions: int | None) -> DataFrame:
+    rows = _ranged(df, group_cols + order_cols, num_partitions) \
+        .withColumn("_rp_pos", F.monotonically_increasing_id()).checkpoint(eager=True)
+    keys = [_PID] + group_cols
+    runs = rows.groupBy(*keys).agg(F.min("_rp_pos").alias("_rp_first"), F.count(F.lit(1)).alias("_rp_n"))
+    at = _offsets(runs, group_cols)
+    return (_attach(rows, at, keys)
+            .withColumn("_rp_number", F.col("_rp_offset") + F.col("_rp_pos") - F.col("_rp_first") + 1)
+            .drop("_rp_pos", "_rp_first", "_rp_offset", _PID))
+
+
+def _min_ranks(df: DataFrame, group_cols: list[str], order_cols: list[str],
+               num_partitions: int | None) -> DataFrame:
+    values = group_cols + order_cols
+    counts = _ranged(df.groupBy(*values).agg(F.count(F.lit(1)).alias("_rp_ties")), values, num_partitions) \
+        .checkpoint(eager=True)
     keys = [_PID] + group_cols
-    cond = [local[k].eqNullSafe(offsets[k]) for k in keys]
-    joined = local.join(offsets, cond, "inner").drop(*[offsets[k] for k in keys])
-    return joined, offsets
+    at = _offsets(counts.groupBy(*keys).agg(F.sum("_rp_ties").alias("_rp_n")), group_cols)
+    before = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = (counts.withColumn("_rp_before", F.coalesce(F.sum("_rp_ties").over(before), F.lit(0))))
+    ranks = (_attach(ranks, at, keys)
+             .withColumn("_rp_number", F.col("_rp_offset") + F.col("_rp_before") + 1)
+             .select(*values, "_rp_number", "_rp_size", "_rp_ties"))
+    total = counts.agg(F.sum("_rp_ties").alias("_rp_total"))
+    sized = ranks.crossJoin(F.broadcast(total))
+    is_hot = F.col("_rp_ties") * HOT_KEYS > F.col("_rp_total")
+    found = ["_rp_number", "_rp_size"]
+    hot = sized.where(is_hot).select(*values, *[F.col(c).alias(f"{c}_hot") for c in found])
+    rest = sized.where(~is_hot).select(*values, *found)
+    first = _attach(df, hot, values, "left", small=True)
+    done = first.where(F.col("_rp_number_hot").isNotNull())
+    done = done.select(*df.columns, *[F.col(f"{c}_hot").alias(c) for c in found])
+    open_ = first.where(F.col("_rp_number_hot").isNull()).select(*df.columns)
+    return done.unionByName(_attach(open_, rest, values).select(*done.columns))
 
 
 def rank_within(df: DataFrame, group_cols: list[str] | str, order_cols: list[str] | str,
@@ -151,11 +118,11 @@ def rank_within(df: DataFrame, group_cols: list[str] | str, order_cols: list[str
     ascending on ``order_cols``, plus optionally the group size."""
     group_cols = [group_cols] if isinstance(group_cols, str) else list(group_cols)
     order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
-    joined, _ = _numbered(df, group_cols, order_cols, ties, num_partitions)
-    out = joined.withColumn(rank_col, (F.col("_rp_offset") + F.col(_LOCAL)).cast("long"))
+    numbered = (_min_ranks if ties == "min" else _row_numbers)(df, group_cols, order_cols, num_partitions)
+    out = numbered.withColumn(rank_col, F.col("_rp_number").cast("long"))
     if size_col:
         out = out.withColumn(size_col, F.col("_rp_size").cast("long"))
-    return out.drop(_PID, _LOCAL, "_rp_offset", "_rp_size")
+    return out.drop("_rp_number", "_rp_size")
 
 
 def percent_rank_within(df: DataFrame, group_cols: list[str] | str, order_col: str,
@@ -200,7 +167,7 @@ def dense_ids_many(frames: dict[str, tuple[DataFrame, str]], base: int = 0,
     if materialize:
         # one small lookup table in the shared folder; every later join reads it
         from reelpath.sources.bundle import cut_lineage
-        ranked = cut_lineage(ranked, "dense_ids")
+        ranked = cut_lineage(ranked)
     out = {}
     for name, (df, key) in frames.items():
         key_type = df.schema[key].dataType

@@ -1,8 +1,8 @@
 """Search sessions and association rules.
 
-Rules are mined with ``pyspark.ml.fpm.FPGrowth``.  Baskets are built with
-``collect_set`` per basket key; a basket is bounded by the distinct item
-vocabulary, not by how many rows the key has.
+Itemsets are mined with ``pyspark.ml.fpm.FPGrowth``, whose input is one array
+per basket: a basket holds the distinct items of one user or one user's day.
+Everything before and after the mining works on (basket, item) rows.
 """
 
 from __future__ import annotations
@@ -110,32 +110,26 @@ def fit_rules(basket_df: DataFrame, min_support: float = MIN_SUPPORT,
                     minConfidence=min_confidence).fit(basket_df)
 
 
-def frequent_itemsets(model: FPGrowthModel, max_size: int | None = None) -> DataFrame:
-    """``items, freq`` (optionally only itemsets up to ``max_size``)."""
-    fi = model.freqItemsets
-    if max_size:
-        fi = fi.filter(F.size("items") <= max_size)
-    return fi
+def frequent_itemsets(model: FPGrowthModel) -> DataFrame:
+    """Every frequent itemset (``items, freq``)."""
+    return model.freqItemsets
 
 
-def association_rules(model: FPGrowthModel, one_to_one: bool = False) -> DataFrame:
-    """``antecedent, consequent, confidence, lift, support``."""
-    rules = model.associationRules
-    if one_to_one:
-        rules = rules.filter(F.size("antecedent") == 1)
-    return rules
+def association_rules(model: FPGrowthModel) -> DataFrame:
+    """Every rule (``antecedent, consequent, confidence, lift, support``)."""
+    return model.associationRules
 
 
 def rule_pairs(model: FPGrowthModel) -> DataFrame:
-    """1 -> 1 rules as scalar columns (item, rec_item, confidence, lift, support)."""
-    r = association_rules(model, one_to_one=True)
-    return r.select(F.col("antecedent")[0].alias("item_id"),
-                    F.col("consequent")[0].alias("rec_item_id"),
-                    "confidence", "lift", "support")
+    """Rules with one antecedent item as scalar columns
+    (item_id, rec_item_id, confidence, lift, support)."""
+    single = association_rules(model).where(F.size("antecedent") == 1)
+    return single.select(F.element_at("antecedent", 1).alias("item_id"), F.element_at("consequent", 1).alias("rec_item_id"),
+                         "confidence", "lift", "support")
 
 
 def related_keywords(rules: DataFrame, keyword_col: str = "keyword") -> DataFrame:
-    """For each keyword, the rules whose antecedent contains it.
+    """For each keyword, every rule whose antecedent contains it.
 
     ``rules`` are exploded on the antecedent, so a lookup is an equality
     filter (or a join with a frame of keywords)."""
@@ -143,25 +137,31 @@ def related_keywords(rules: DataFrame, keyword_col: str = "keyword") -> DataFram
                         "confidence", "lift", "support")
 
 
-def apply_rules(model: FPGrowthModel, basket_df: DataFrame) -> DataFrame:
-    """Consequents of rules whose antecedent is in the basket, minus owned."""
-    return model.transform(basket_df)
+def apply_rules(rules: DataFrame, owned: DataFrame, basket_col: str = "uid", item_col: str = "search_key") -> DataFrame:
+    """Per basket the consequents of the rules whose antecedent it holds,
+    without what it holds already (``basket, prediction`` rows).
 
+    ``owned`` are (basket, item) rows.  A rule fires in a basket when as many of
+    its antecedent items meet the basket's items as the antecedent has; rules
+    and baskets meet in a join on the item, and nothing reaches the driver."""
+    named = rules.select(F.xxhash64(F.array_sort("antecedent"), "consequent").alias("rule"), "antecedent",
+                         F.element_at("consequent", 1).alias("prediction"), F.size("antecedent").alias("needs"))
+    parts = named.select("rule", "prediction", "needs", F.explode("antecedent").alias(item_col))
+    own = owned.select(basket_col, item_col).distinct()
+    fired = own.join(parts, item_col).groupBy(basket_col, "rule", "prediction", "needs") \
+        .agg(F.count(F.lit(1)).alias("held")).where(F.col("held") == F.col("needs"))
+    return fired.select(basket_col, "prediction").distinct().join(
+        own.withColumnRenamed(item_col, "prediction"), [basket_col, "prediction"], "left_anti")
 
-def multi_search_baskets(events: DataFrame, identity: DataFrame,
-                         min_searches: int = 3, min_len: int = 3) -> DataFrame:
-    """C12 session rows -> F5 -> W8 -> W9 -> F10 -> R1."""
-    flagged = search_flags(resolve_users(events, identity))
-    sessions = multi_searchers(session_keyword(flagged), min_searches)
-    pairs = long_keywords(sessions, min_len)
-    return baskets(pairs, "uid", "search_key")
 
+def multi_search_pairs(flagged: DataFrame, min_searches: int = 3, min_len: int = 3) -> DataFrame:
+    """R7 as rows: flagged rows -> F5 -> W8 -> W9 -> F10, (uid, search_key)."""
+    return long_keywords(multi_searchers(session_keyword(flagged), min_searches), min_len)
 
-def multi_search_share(events: DataFrame, identity: DataFrame, min_searches: int = 3) -> DataFrame:
+
+def multi_search_share(flagged: DataFrame, min_searches: int = 3) -> DataFrame:
     """Users with >= ``min_searches`` search sessions over searching users."""
-    flagged = search_flags(resolve_users(events, identity))
-    sessions = session_keyword(flagged)
-    per_user = sessions.groupBy("uid").agg(F.count(F.lit(1)).alias("n"))
+    per_user = session_keyword(flagged).groupBy("uid").agg(F.count(F.lit(1)).alias("n"))
     return per_user.agg(F.count(F.lit(1)).alias("searching_users"),
                         F.count_if(F.col("n") >= min_searches).alias("multi_search_users")) \
         .withColumn("multi_search_pct",

@@ -1,7 +1,7 @@
 """Latent-vector search.
 
-Similarity of one query vector against a whole table of vectors is a
-broadcast of one row (a proven size) and a projection -- no pairwise join.
+Similarity of query vectors against a whole table of vectors is a broadcast of
+the query rows (their number is checked) and a projection.
 Profile vectors (mean of a user's history vectors) are a grouped vector mean
 (``Summarizer``), so a heavy user is reduced by partial aggregation.
 """
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -30,26 +30,41 @@ def cosine(a: Column, b: Column) -> Column:
     return F.when(den > 0, dot(a, b) / den)
 
 
+#: query rows that may be broadcast to every vector row
+MAX_QUERIES = 10_000
+
+
+def checked_queries(query: DataFrame) -> DataFrame:
+    """The query frame with a broadcast hint; more than ``MAX_QUERIES`` rows are
+    refused (a search of that size is a similarity join, not a lookup)."""
+    n = query.limit(MAX_QUERIES + 1).count()
+    if n > MAX_QUERIES:
+        raise ValueError(f"more than {MAX_QUERIES} query vectors")
+    return F.broadcast(query)
+
+
 def score_against(query: DataFrame, vectors: DataFrame, metric: str = "cosine",
                   id_col: str = "id", vec_col: str = "features", out_col: str = "score") -> DataFrame:
-    """Score every vector against the single query row (``q_id``, ``q_vec``).
-
-    The query frame is one row, attached with a broadcast nested-loop join;
-    the vector's own id is excluded."""
+    """Score every vector against every query row (``q_id``, ``q_vec``); a
+    query's own id is excluded."""
     fn = cosine if metric == "cosine" else dot
-    return (vectors.crossJoin(F.broadcast(query.limit(1)))
+    return (vectors.crossJoin(checked_queries(query))
             .filter(F.col(id_col) != F.col("q_id"))
             .withColumn(out_col, fn(F.col(vec_col), F.col("q_vec")))
             .drop("q_vec"))
 
 
+def best(scored: DataFrame, n: int, query_col: str, id_col: str) -> DataFrame:
+    """The n best rows of each query (ties by id)."""
+    w = Window.partitionBy(query_col).orderBy(F.col("score").desc(), F.col(id_col))
+    return (scored.filter(F.col("score").isNotNull()).withColumn("_r", F.row_number().over(w))
+            .filter(F.col("_r") <= n).select(query_col, id_col, "score"))
+
+
 def nearest(query: DataFrame, vectors: DataFrame, n: int = 10, metric: str = "cosine",
             id_col: str = "id", vec_col: str = "features") -> DataFrame:
-    """The n vectors most similar to the query (ties by id)."""
-    scored = score_against(query, vectors, metric, id_col, vec_col)
-    return (scored.filter(F.col("score").isNotNull())
-            .orderBy(F.col("score").desc(), F.col(id_col)).limit(n)
-            .select("q_id", id_col, "score"))
+    """Per query row the n most similar vectors."""
+    return best(score_against(query, vectors, metric, id_col, vec_col), n, "q_id", id_col)
 
 
 def profile_vectors(history: DataFrame, vectors: DataFrame, user_col: str = "userId",
@@ -69,23 +84,21 @@ def profile_vectors(history: DataFrame, vectors: DataFrame, user_col: str = "use
 def profile_recommendations(profile: DataFrame, vectors: DataFrame, seen: DataFrame, n: int = 10,
                             user_col: str = "userId", id_col: str = "id",
                             vec_col: str = "features") -> DataFrame:
-    """Dot product of one user's profile with every unseen item vector; top n."""
-    q = profile.select(F.col(user_col).alias("q_user"), F.col("profile").alias("q_vec")).limit(1)
-    unseen = vectors.join(seen.select(F.col("vec_id").alias(id_col)), id_col, "left_anti")
-    scored = (unseen.crossJoin(F.broadcast(q))
-              .withColumn("score", dot(F.col(vec_col), F.col("q_vec"))))
-    return (scored.orderBy(F.col("score").desc(), F.col(id_col)).limit(n)
-            .select(F.col("q_user").alias(user_col), id_col, "score"))
+    """Per user in ``profile`` the n unseen vectors with the largest dot
+    product; ``seen`` rows are (user, vec_id)."""
+    q = profile.select(F.col(user_col), F.col("profile").alias("q_vec"))
+    scored = (vectors.crossJoin(checked_queries(q))
+              .withColumn("score", dot(F.col(vec_col), F.col("q_vec"))).drop("q_vec"))
+    unseen = scored.join(seen.select(user_col, F.col("vec_id").alias(id_col)), [user_col, id_col], "left_anti")
+    return best(unseen, n, user_col, id_col)
 
 
 def taste_neighbours(profiles: DataFrame, user: DataFrame, n: int = 10,
                      user_col: str = "userId") -> DataFrame:
-    """Users whose profile is closest (cosine) to the given user's."""
+    """Per user in ``user`` the n users with the closest profile (cosine)."""
     q = (profiles.join(user.select(user_col), user_col)
-         .select(F.col(user_col).alias("q_id"), F.col("profile").alias("q_vec")))
-    scored = (profiles.crossJoin(F.broadcast(q.limit(1)))
-              .filter(F.col(user_col) != F.col("q_id"))
+         .select(F.col(user_col).alias("query_user"), F.col("profile").alias("q_vec")))
+    scored = (profiles.crossJoin(checked_queries(q))
+              .filter(F.col(user_col) != F.col("query_user"))
               .withColumn("score", cosine(F.col("profile"), F.col("q_vec"))))
-    return (scored.filter(F.col("score").isNotNull())
-            .orderBy(F.col("score").desc(), F.col(user_col)).limit(n)
-            .select(F.col("q_id").alias("query_user"), user_col, "score"))
+    return best(scored, n, "query_user", user_col)

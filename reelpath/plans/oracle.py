@@ -43,7 +43,7 @@ ORACLE_SQL: dict[str, str] = {
 }
 
 _ALL_TYPES = "('MOVIE', 'EPISODE', 'VIDEO', 'TVSHOW', 'SEASON')"
-_GROUP = """CASE WHEN lower(content_content_type) IN ('episode', 'tvshow', 'tv_show', 'season', 'series')
+_GROUP = """CASE WHEN lower(content_content_type) IN ('episode', 'tvshow', 'tv show', 'tv_shows')
                  THEN 'tv_show'
                  WHEN lower(content_content_type) IN ('movie', 'film') THEN 'movie'
                  ELSE 'other' END"""
@@ -272,8 +272,9 @@ ORACLE_SQL.update({
         FROM (SELECT (round((confidence) * 1e1) / 1e1) AS conf_rounded, count(*) AS n FROM indexed_train GROUP BY 1
               ORDER BY n DESC, conf_rounded LIMIT 15)"""),
     "string_indexed": with_stages("""
-        SELECT item_id, CAST(dense_rank() OVER (ORDER BY item_id) - 1 AS INTEGER) AS item_label
-        FROM (SELECT DISTINCT item_id FROM playtime)"""),
+        SELECT item_id, CAST(row_number() OVER (ORDER BY item_id) - 1 AS INTEGER) AS item_label,
+               CAST(row_number() OVER (ORDER BY n DESC, item_id) - 1 AS INTEGER) AS frequency_label
+        FROM (SELECT item_id, count(*) AS n FROM playtime WHERE item_id IS NOT NULL GROUP BY item_id)"""),
 })
 
 
@@ -318,7 +319,7 @@ ORACLE_SQL.update({
                         AS cohort FROM pm) GROUP BY cohort
         UNION ALL
         SELECT 'all', count(*), (round((avg(ap)) * 1e6) / 1e6), (round((avg(recall_at_k)) * 1e6) / 1e6), (round((avg(precision_at_k)) * 1e6) / 1e6)
-        FROM pm""", {"pm": metrics_cte("sim_top15", 15)}),
+        FROM pm""", {"sim_top30": "SELECT * FROM sim_ranked WHERE rank <= 30", "pm": metrics_cte("sim_top30", 30)}),
     "catalogue_coverage": with_stages(_COVER.format(k=15, src="sim_top15") + " UNION ALL "
                                       + _COVER.format(k=50, src="sim_top50")),
     "frequency_scores": with_stages(_freq_pct(), _FS),
@@ -400,12 +401,20 @@ ORACLE_SQL.update({
         SELECT userId, count(item_id) AS distinct_content_count FROM merged_train GROUP BY userId
         HAVING count(item_id) >= 3 ORDER BY md5('42:' || userId), userId LIMIT 1"""),
     "user_recs": with_stages("""
-        SELECT u.userId, i.item_id, ti.title, ti.original_language, p.popularity_score,
-               CAST(s.rank AS INTEGER) AS rank, (round((s.total_score) * 1e6) / 1e6) AS total_score
-        FROM sim_top15 s JOIN user_lookup u USING (userIndex) JOIN item_lookup i USING (itemIndex)
-        LEFT JOIN titles ti USING (item_id) LEFT JOIN popularity p USING (item_id)
-        WHERE u.userId = (SELECT userId FROM merged_train GROUP BY userId HAVING count(item_id) >= 3
-                          ORDER BY md5('42:' || userId), userId LIMIT 1)"""),
+        SELECT userId, CAST(row_number() OVER (PARTITION BY userId ORDER BY popularity_score DESC NULLS LAST, rank)
+                            AS INTEGER) AS position, item_id, title, original_language, popularity_score,
+               CAST(rank AS INTEGER) AS rank, (round((total_score) * 1e6) / 1e6) AS total_score
+        FROM (SELECT u.userId, i.item_id, ti.title, ti.original_language, p.popularity_score, s.rank, s.total_score
+              FROM sim_top15 s JOIN user_lookup u USING (userIndex) JOIN item_lookup i USING (itemIndex)
+              LEFT JOIN titles ti USING (item_id) LEFT JOIN popularity p USING (item_id)
+              WHERE u.userId = (SELECT userId FROM merged_train GROUP BY userId HAVING count(item_id) >= 3
+                                ORDER BY md5('42:' || userId), userId LIMIT 1))"""),
+    "user_history": with_stages("""
+        SELECT userId, CAST(row_number() OVER (PARTITION BY userId ORDER BY confidence DESC NULLS LAST, item_id)
+                            AS INTEGER) AS position, item_id, title, (round((confidence) * 1e6) / 1e6) AS confidence
+        FROM merged_train LEFT JOIN titles USING (item_id)
+        WHERE userId = (SELECT userId FROM merged_train GROUP BY userId HAVING count(item_id) >= 3
+                        ORDER BY md5('42:' || userId), userId LIMIT 1)"""),
 })
 
 
@@ -414,7 +423,7 @@ _ACTIONS = ("('search_input', 'text_input', 'voice_search', 'search_click', 'voi
             "'item_search', 'autosuggest_click')")
 SEARCH = {
     "se_dist": f"""SELECT DISTINCT * FROM search_events
-                   WHERE day BETWEEN DATE '2024-01-23' AND DATE '2024-01-30'
+                   WHERE day BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'
                      AND events_meta_search_session_id IS NOT NULL""",
     "idm": """SELECT temp_uid, day AS um_day, min(reg_uid) AS reg_uid FROM identity_map
               WHERE temp_uid IS NOT NULL GROUP BY temp_uid, day""",
@@ -446,14 +455,24 @@ SEARCH = {
     "kb_n": "SELECT count(DISTINCT uid) AS n FROM kb",
     "kb_min": "SELECT ceil(CAST(0.01 AS DOUBLE) * n) AS m FROM kb_n",
     "kb_items": "SELECT search_key, count(*) AS f FROM kb GROUP BY search_key",
-    "kb_pairs": """SELECT a.search_key AS antecedent, b.search_key AS consequent, count(*) AS f
-                   FROM kb a JOIN kb b ON a.uid = b.uid AND a.search_key <> b.search_key GROUP BY 1, 2""",
-    "kw_rules": """SELECT p.antecedent, p.consequent, p.f / a.f AS confidence,
-                          (p.f / a.f) / (c.f / n.n) AS lift, p.f / n.n AS support
-                   FROM kb_pairs p JOIN kb_items a ON a.search_key = p.antecedent
-                                   JOIN kb_items c ON c.search_key = p.consequent
-                                   CROSS JOIN kb_n n CROSS JOIN kb_min m
-                   WHERE p.f >= m.m AND p.f / a.f >= 0.1""",
+    # every frequent set, level by level: (uid, items) rows, items in order
+    "kb_rows": """SELECT uid, [search_key] AS items FROM kb
+                  WHERE search_key IN (SELECT search_key FROM kb_items WHERE f >= (SELECT m FROM kb_min))
+                  UNION ALL
+                  SELECT uid, items FROM (
+                    SELECT s.uid, list_append(s.items, k.search_key) AS items,
+                           count(*) OVER (PARTITION BY list_append(s.items, k.search_key)) AS c
+                    FROM kb_rows s JOIN kb k ON k.uid = s.uid AND k.search_key > s.items[-1])
+                  WHERE c >= (SELECT m FROM kb_min)""",
+    "kb_sets": "SELECT items, count(*) AS f FROM kb_rows GROUP BY items",
+    "kw_rules": """SELECT a.items AS antecedent, r.c AS consequent, r.f / a.f AS confidence,
+                          (r.f / a.f) / (c.f / n.n) AS lift, r.f / n.n AS support
+                   FROM (SELECT items, f, unnest(items) AS c FROM kb_sets WHERE len(items) >= 2) r
+                   JOIN kb_sets a ON a.items = list_filter(r.items, lambda x: x <> r.c)
+                   JOIN kb_items c ON c.search_key = r.c CROSS JOIN kb_n n
+                   WHERE r.f / a.f >= 0.01""",
+    "kw_numbered": "SELECT row_number() OVER () AS rid, antecedent, consequent FROM kw_rules",
+    "kw_parts": "SELECT rid, consequent, len(antecedent) AS needs, unnest(antecedent) AS search_key FROM kw_numbered",
 }
 
 _QITEM = {"qi": """SELECT f.id AS q_id, f.features AS q_vec
@@ -506,19 +525,18 @@ ORACLE_SQL.update({
                (round((CAST(count_if(n >= 3) AS BIGINT) / count(*) * 100) * 1e6) / 1e6) AS multi_search_pct
         FROM (SELECT uid, count(*) AS n FROM sess_kw GROUP BY uid)""", SEARCH),
     "frequent_itemsets": with_stages("""
-        SELECT search_key AS items, f AS freq FROM kb_items WHERE f >= (SELECT m FROM kb_min)
-        UNION ALL
-        SELECT a.search_key || ',' || b.search_key AS items, count(*) AS freq
-        FROM kb a JOIN kb b ON a.uid = b.uid AND a.search_key < b.search_key
-        GROUP BY 1 HAVING count(*) >= (SELECT m FROM kb_min)""", SEARCH),
+        SELECT array_to_string(items, ',') AS items, CAST(len(items) AS INTEGER) AS n_items, f AS freq FROM kb_sets""", SEARCH),
     "association_rules": with_stages("""
-        SELECT antecedent, consequent, (round((confidence) * 1e6) / 1e6) AS confidence, (round((lift) * 1e6) / 1e6) AS lift,
-               (round((support) * 1e6) / 1e6) AS support FROM kw_rules""", SEARCH),
+        SELECT array_to_string(antecedent, ',') AS antecedent, consequent, (round((confidence) * 1e6) / 1e6) AS confidence,
+               (round((lift) * 1e6) / 1e6) AS lift, (round((support) * 1e6) / 1e6) AS support FROM kw_rules""", SEARCH),
     "related_keywords": with_stages("""
-        SELECT antecedent AS keyword, consequent AS related, CAST(rank AS INTEGER) AS rank,
-               (round((confidence) * 1e6) / 1e6) AS confidence, (round((lift) * 1e6) / 1e6) AS lift
-        FROM (SELECT *, row_number() OVER (PARTITION BY antecedent ORDER BY lift DESC, consequent) AS rank
-              FROM kw_rules) WHERE rank <= 5""", SEARCH),
+        SELECT unnest(antecedent) AS keyword, array_to_string(antecedent, ',') AS antecedent, consequent AS related,
+               (round((confidence) * 1e6) / 1e6) AS confidence, (round((lift) * 1e6) / 1e6) AS lift FROM kw_rules""", SEARCH),
+    "rule_predictions": with_stages("""
+        SELECT DISTINCT uid, consequent AS prediction FROM (
+          SELECT k.uid, p.rid, p.consequent FROM kb k JOIN kw_parts p USING (search_key)
+          GROUP BY k.uid, p.rid, p.consequent, p.needs HAVING count(*) = p.needs) f
+        WHERE NOT EXISTS (SELECT 1 FROM kb o WHERE o.uid = f.uid AND o.search_key = f.consequent)""", SEARCH),
     "cosine_neighbours": with_stages(f"""
         SELECT q_id, id, (round((score) * 1e6) / 1e6) AS score FROM (
           SELECT q.q_id, f.id, {_cos('f.features', 'q.q_vec')} AS score
@@ -566,8 +584,70 @@ ORACLE_SQL.update({
 ORACLE_SQL.update({
     "partitioned_scan": with_stages("""
         SELECT userId, item_id, day, total_play_time_sec, day AS path_day FROM pt_train0"""),
-    "bundle_roundtrip": with_stages("""
-        SELECT userIndex, itemIndex, (round((confidence) * 1e6) / 1e6) AS confidence FROM indexed_train"""),
+    "bundle_roundtrip": with_stages(" UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS n_rows, count(DISTINCT {a}) AS n_first, count(DISTINCT {b}) AS n_second "
+        f"FROM {view}" for name, view, a, b in (
+            ("indexed_train", "indexed_train", "userIndex", "itemIndex"), ("indexed_test", "indexed_test", "userIndex", "itemIndex"),
+            ("user_lookup", "user_lookup", "userId", "userIndex"), ("item_lookup", "item_lookup", "item_id", "itemIndex"),
+            ("combined_train", "merged_train", "userId", "item_id"), ("combined_test", "merged_test", "userId", "item_id"),
+            ("metadata", "metadata", "item_id", "title"), ("item_popularity", "popularity", "item_id", "user_count")))),
+    "listed_days": with_stages("""
+        SELECT userId, item_id, total_play_time_sec, day FROM playtime
+        WHERE day IN (DATE '2024-01-03', DATE '2024-01-04')"""),
+    "drifted_union": with_stages("""
+        SELECT userId, item_id, day, CASE WHEN day = DATE '2024-01-06' THEN 'tv' END AS app FROM playtime
+        WHERE day IN (DATE '2024-01-05', DATE '2024-01-06')"""),
+    "single_day": with_stages("""
+        SELECT userId, item_id, total_play_time_sec FROM playtime WHERE day = DATE '2024-01-07'"""),
+    "csv_extract": with_stages("""
+        SELECT userId, item_id, day FROM (
+          SELECT userId, item_id, CAST(day AS VARCHAR) AS day,
+                 md5(concat_ws('|', '42', userId, item_id, CAST(day AS VARCHAR))) AS h FROM playtime)
+        WHERE CAST('0x' || substr(h, 1, 8) AS BIGINT) / CAST(4294967296 AS DOUBLE) < 0.05
+        ORDER BY h, userId, item_id, day LIMIT 100"""),
+    "user_type_watch": with_stages(f"""
+        SELECT userId, {_GROUP} AS type_group, (round((sum(total_play_time_sec)) * 1e6) / 1e6) AS watch_time
+        FROM consumption GROUP BY 1, 2"""),
+    "shared_hours": with_stages("""
+        SELECT strftime(ts, '%Y-%m-%d %H') AS hour, count(DISTINCT userId) AS n_users FROM interactions
+        GROUP BY 1 HAVING count(DISTINCT userId) > 1"""),
+    "confidence_labels_strict": with_stages(f"""
+        SELECT userId, item_id, {_r('recent_decay_factor')},
+               CAST(CASE WHEN pr <= 0.2 THEN 0.2 WHEN pr <= 0.4 THEN 1.0 WHEN pr <= 0.6 THEN 2.0
+                         WHEN pr <= 0.8 THEN 3.0 ELSE 4.0 END AS DOUBLE) AS confidence
+        FROM (SELECT *, percent_rank() OVER (PARTITION BY item_id ORDER BY total_playtime_combined) AS pr
+              FROM (SELECT *, count(*) OVER (PARTITION BY item_id) AS n FROM pt_stats) WHERE n >= 26)"""),
+    "active_users_strict": with_stages(f"""
+        SELECT w.userId, w.item_id, {", ".join(_R.format(c).replace(f"({c})", f"(w.{c})") for c in ('confidence', 'recent_decay_factor'))},
+               c.distinct_content_count
+        FROM weighted_train w JOIN (SELECT userId, count(*) AS distinct_content_count FROM weighted_train
+                                    GROUP BY userId) c USING (userId)
+        WHERE c.distinct_content_count >= 25"""),
+    "idf_weighted_playtime": with_stages("""
+        SELECT userId, item_id, (round((ln(1 + total_playtime_combined) * idf) * 1e6) / 1e6) AS penalized_playtime
+        FROM pt_stats JOIN (SELECT item_id, ln((n + 1) / (k + 1)) AS idf
+                            FROM (SELECT item_id, count(DISTINCT userId) AS k FROM pt_stats GROUP BY item_id)
+                            CROSS JOIN (SELECT count(DISTINCT userId) AS n FROM pt_stats)) USING (item_id)"""),
+    "als_checks": with_stages("""
+        SELECT (SELECT count(DISTINCT userIndex) FROM indexed_train) AS users,
+               (SELECT count(DISTINCT itemIndex) FROM indexed_train) AS items, CAST(0 AS BIGINT) AS wrong_scores,
+               CAST(0 AS BIGINT) AS seen_pairs, CAST(0 AS BIGINT) AS rank_gaps, CAST(0 AS BIGINT) AS long_lists"""),
+    "cold_user_recs": with_stages(f"""
+        SELECT userId, id, title, (round((score) * 1e6) / 1e6) AS score FROM (
+          SELECT p.userId, f.id, {_dot('f.features', 'p.profile')} AS score
+          FROM factors f CROSS JOIN cprof p
+          WHERE NOT EXISTS (SELECT 1 FROM chist h WHERE h.userId = p.userId AND h.vec_id = f.id))
+        LEFT JOIN titles ON CAST(id AS VARCHAR) = item_id
+        QUALIFY row_number() OVER (PARTITION BY userId ORDER BY score DESC, id) <= 10""", {
+        "cextra": "SELECT unnest([3, 14, 15, 92, 65, 35]) AS vec_id",
+        "chist": f"""SELECT 'cold_1' AS userId, vec_id FROM cextra
+                    UNION SELECT userId, CAST(item_id AS INTEGER) FROM merged_train WHERE userId IN ({_PICK})
+                    UNION SELECT userId, vec_id FROM ({_PICK}) CROSS JOIN cextra""",
+        "cprof": """SELECT userId, list(v ORDER BY pos) AS profile FROM (
+                     SELECT userId, pos, avg(CAST(v AS DOUBLE)) AS v FROM (
+                       SELECT h.userId, unnest(generate_series(1, len(f.features))) AS pos, unnest(f.features) AS v
+                       FROM chist h JOIN factors f ON h.vec_id = f.id)
+                     GROUP BY userId, pos) GROUP BY userId"""}),
 })
 
 

@@ -167,4 +167,4 @@ def with_stages(body: str, extra: dict[str, str] | None = None) -> str:
     parts = [fixture_ctes()]
     parts += [f"{k} AS ({v})" for k, v in STAGES.items()]
     parts += [f"{k} AS ({v})" for k, v in (extra or {}).items()]
-    return "WITH " + ",\n".join(parts) + "\n" + body
+    return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + body

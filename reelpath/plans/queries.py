@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from reelpath.functions.numeric import round_to
 from reelpath.plans.workbench import Workbench, rounded
+from reelpath.sources.bundle import cut_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,6 +55,24 @@ def confidence_labels(spark, sf_dir):
     return rounded(_wb(spark, sf_dir).labels())
 
 
+# thresholds above the reference's, so that the filters drop rows on the small tables too
+STRICT_ITEM_ROWS = 26
+STRICT_USER_ITEMS = 25
+
+
+@query("confidence_labels_strict")
+def confidence_labels_strict(spark, sf_dir):
+    """F13 + W3 + C1 with a threshold that drops items."""
+    from reelpath.operators.scoring import confidence_labels as cl
+    return rounded(cl(_wb(spark, sf_dir).playtime_stats(), min_item_rows=STRICT_ITEM_ROWS))
+
+
+@query("active_users_strict")
+def active_users_strict(spark, sf_dir):
+    """W1 + F11 with a threshold that drops users."""
+    return rounded(_wb(spark, sf_dir, min_items=STRICT_USER_ITEMS).als_input())
+
+
 @query("merged_signals")
 def merged_signals(spark, sf_dir):
     """C5 + C6 + F6 + F7: playtime labels and quality clicks merged per pair."""
@@ -181,6 +200,22 @@ def watch_quantiles(spark, sf_dir):
                                  "watch_time"))
 
 
+@query("user_type_watch")
+def user_type_watch(spark, sf_dir):
+    """Watch time per (user, type group)."""
+    from reelpath.operators.diagnose import user_type_watch as utw
+    return rounded(utw(_wb(spark, sf_dir).view("consumption")))
+
+
+@query("shared_hours")
+def shared_hours(spark, sf_dir):
+    """A16 where it bites: hours of the interaction log with several users."""
+    from reelpath.operators.diagnose import shared_sessions as ss
+    hours = _wb(spark, sf_dir).view("interactions").select(
+        "userId", F.date_format("ts", "yyyy-MM-dd HH").alias("hour"))
+    return ss(hours, "hour")
+
+
 @query("shared_sessions")
 def shared_sessions(spark, sf_dir):
     """Sessions used by more than one user."""
@@ -212,10 +247,7 @@ def id_audit(spark, sf_dir):
 def playtime_histogram(spark, sf_dir):
     """50-bin histograms of raw and log1p playtime over all rows."""
     from reelpath.operators.diagnose import histogram
-    pt = _wb(spark, sf_dir).view("playtime")
-    return (histogram(pt, "total_play_time_sec").withColumn("scale", F.lit("raw"))
-            .unionByName(histogram(pt, "total_play_time_sec", log=True)
-                         .withColumn("scale", F.lit("log1p"))))
+    return histogram(_wb(spark, sf_dir).view("playtime"), "total_play_time_sec")
 
 
 PROFILE_COLUMNS = ["events_meta_action", "events_meta_source_name", "events_appid",
@@ -288,6 +320,14 @@ def idf_weights(spark, sf_dir):
     return rounded(iw(_wb(spark, sf_dir).merged_train()))
 
 
+@query("idf_weighted_playtime")
+def idf_weighted_playtime(spark, sf_dir):
+    """C9 + C10 applied: log playtime of each train pair times its item's idf."""
+    from reelpath.operators.scoring import idf_weighted
+    w = idf_weighted(_wb(spark, sf_dir).playtime_stats())
+    return rounded(w.select("userId", "item_id", "penalized_playtime"))
+
+
 @query("p95_capped_users")
 def p95_capped_users(spark, sf_dir):
     """users with >= 3 items and at most the users' 95th-percentile count."""
@@ -366,15 +406,17 @@ def confidence_spread(spark, sf_dir):
 
 @query("string_indexed")
 def string_indexed(spark, sf_dir):
-    """StringIndexer (alphabetAsc) over the item ids of the playtime log."""
+    """Label ids of the playtime log's items, by value and by frequency."""
     from reelpath.operators.indexing import string_index
     pt = _wb(spark, sf_dir).view("playtime").select("item_id")
-    return string_index(pt, "item_id", "item_label").distinct()
+    by_value = string_index(pt, "item_id", "item_label")
+    return by_value.join(string_index(pt, "item_id", "frequency_label", "frequencyDesc"), "item_id")
 
 
 # ------------------------------------------------------------------ similarity recommender
 
 K = 15
+COHORT_K = 30
 
 
 def _names(wb: Workbench, ranked: DataFrame) -> DataFrame:
@@ -401,10 +443,10 @@ def ranking_metrics(spark, sf_dir):
 
 @query("cohort_metrics")
 def cohort_metrics(spark, sf_dir):
-    """Metrics by truth-size cohort."""
+    """Metrics at 30 by truth-size cohort."""
     from reelpath.operators.evaluate import cohort_metrics as cm
     wb = _wb(spark, sf_dir)
-    return rounded(cm(wb.sim_top(K), wb.ground_truth(), K))
+    return rounded(cm(wb.sim_top(COHORT_K), wb.ground_truth(), COHORT_K))
 
 
 @query("catalogue_coverage")
@@ -413,8 +455,9 @@ def catalogue_coverage(spark, sf_dir):
     from reelpath.operators.evaluate import catalogue_coverage as cc
     wb = _wb(spark, sf_dir)
     items = wb.lookups()[1]
-    return rounded(cc(wb.sim_top(K), items).withColumn("k", F.lit(K))
-                   .unionByName(cc(wb.sim_top(50), items).withColumn("k", F.lit(50))))
+    top = cut_lineage(wb.sim_top(50))
+    return rounded(cc(top.filter(F.col("rank") <= K), items).withColumn("k", F.lit(K))
+                   .unionByName(cc(top, items).withColumn("k", F.lit(50))))
 
 
 @query("frequency_scores")
@@ -515,12 +558,12 @@ def seen_excluded(spark, sf_dir):
 @query("novel_by_arrays")
 def novel_by_arrays(spark, sf_dir):
     """M5 + T5: the same novelty filter with array lambdas (must equal seen_excluded)."""
-    from reelpath.operators.recommend import novel_by_arrays as nba, watched_sets
+    from reelpath.operators.recommend import history_arrays, unseen_first
     wb = _wb(spark, sf_dir)
     raw = wb.sim_top(30, drop_seen=False)
     arrays = (raw.groupBy("userIndex")
               .agg(F.array_sort(F.collect_list(F.struct("rank", "itemIndex"))).alias("recommendations")))
-    novel = nba(arrays, watched_sets(wb.indexed()[0]), K)
+    novel = unseen_first(arrays, history_arrays(wb.indexed()[0], arrays), K)
     return novel.select("userIndex", F.posexplode("predicted_items").alias("p", "itemIndex")) \
         .select("userIndex", "itemIndex", (F.col("p") + 1).cast("int").alias("rank"))
 
@@ -542,39 +585,61 @@ def qualified_user(spark, sf_dir):
     return pick_user(_wb(spark, sf_dir).merged_train(), 3)
 
 
+def _titles(wb: Workbench) -> DataFrame:
+    return wb.metadata().groupBy("item_id").agg(F.min("title").alias("title"),
+                                                F.min("original_language").alias("original_language"))
+
+
 @query("user_recs")
 def user_recs(spark, sf_dir):
-    """The picked user's recommendations with titles and popularity."""
+    """M14 + T1: the picked user's recommendations with titles, most popular
+    first (unknown popularity last); only that user is scored."""
     from reelpath.operators.recommend import pick_user, user_recommendations
     wb = _wb(spark, sf_dir)
-    user = pick_user(wb.merged_train(), 3)
-    recs = _names(wb, wb.sim_top(K)).select("userId", "itemIndex", "rank", "total_score")
-    meta = wb.metadata().groupBy("item_id").agg(F.min("title").alias("title"),
-                                                F.min("original_language").alias("original_language"))
-    out = user_recommendations(user, recs, wb.lookups()[1], meta, wb.popularity())
-    return rounded(out.select("userId", "item_id", "title", "original_language", "popularity_score",
-                              F.col("rank").cast("int").alias("rank"), "total_score"))
+    user = cut_lineage(pick_user(wb.merged_train(), 3))
+    recs = _names(wb, wb.sim_top(K, users=user)).select("userId", "item_id", "rank", "total_score")
+    out = user_recommendations(user, recs, _titles(wb), wb.popularity())
+    return rounded(out.select("userId", F.col("position").cast("int").alias("position"), "item_id", "title",
+                              "original_language", "popularity_score", F.col("rank").cast("int").alias("rank"),
+                              "total_score"))
+
+
+@query("user_history")
+def user_history(spark, sf_dir):
+    """The picked user's watch history with titles, strongest first."""
+    from reelpath.operators.recommend import pick_user, user_history as uh
+    wb = _wb(spark, sf_dir)
+    train = wb.merged_train()
+    out = uh(pick_user(train, 3), train, _titles(wb))
+    return rounded(out.select("userId", F.col("position").cast("int").alias("position"), "item_id", "title", "confidence"))
 
 
 # ------------------------------------------------------------------ search sessions and keyword rules
 
-SEARCH_MIN_SUPPORT = 0.01     # the rule class defaults; keyword baskets are per user
-SEARCH_MIN_CONFIDENCE = 0.1
+#: days of the search log that the search queries read (the whole log)
+SEARCH_DAYS = 30
+#: one pair of thresholds for all scales; they leave itemsets of several sizes
+SEARCH_MIN_SUPPORT = 0.01
+SEARCH_MIN_CONFIDENCE = 0.01
 
 
 def _search_rows(wb: Workbench) -> DataFrame:
-    """Search log over the last ``test_days`` days, users resolved, flagged."""
+    """Search log of ``SEARCH_DAYS`` days, users resolved, flagged."""
     from reelpath.operators.search_rules import resolve_users, search_flags
     from reelpath.sources.scan import day_window
-    ev = day_window(wb.view("search_events"), wb.split.base_date, 0, wb.split.test_days)
+    ev = day_window(wb.view("search_events"), wb.split.base_date, 0, SEARCH_DAYS)
     return search_flags(resolve_users(ev, wb.view("identity_map")))
 
 
+def _keyword_pairs(wb: Workbench) -> DataFrame:
+    """R7 as rows (uid, search_key), cut: baskets and predictions read them."""
+    from reelpath.operators.search_rules import multi_search_pairs
+    return wb._get("kw_pairs", lambda: cut_lineage(multi_search_pairs(_search_rows(wb))))
+
+
 def _keyword_baskets(wb: Workbench) -> DataFrame:
-    from reelpath.operators.clean import long_keywords
-    from reelpath.operators.search_rules import baskets, multi_searchers, session_keyword
-    return wb._get("kw_baskets", lambda: baskets(
-        long_keywords(multi_searchers(session_keyword(_search_rows(wb)))), "uid", "search_key"))
+    from reelpath.operators.search_rules import baskets
+    return baskets(_keyword_pairs(wb), "uid", "search_key")
 
 
 def _keyword_model(wb: Workbench):
@@ -625,52 +690,47 @@ def multi_search_baskets_q(spark, sf_dir):
 @query("multi_search_share")
 def multi_search_share_q(spark, sf_dir):
     """Share of searching users with >= 3 search sessions."""
-    from reelpath.operators.search_rules import session_keyword
-    sessions = session_keyword(_search_rows(_wb(spark, sf_dir)))
-    per_user = sessions.groupBy("uid").agg(F.count(F.lit(1)).alias("n"))
-    return rounded(per_user.agg(F.count(F.lit(1)).alias("searching_users"),
-                                F.count_if(F.col("n") >= 3).alias("multi_search_users"))
-                   .withColumn("multi_search_pct",
-                               F.col("multi_search_users") / F.col("searching_users") * 100.0))
+    from reelpath.operators.search_rules import multi_search_share
+    return rounded(multi_search_share(_search_rows(_wb(spark, sf_dir))))
+
+
+def _text(items: str) -> F.Column:
+    return F.array_join(F.array_sort(items), ",")
 
 
 @query("frequent_itemsets")
 def frequent_itemsets_q(spark, sf_dir):
-    """R2 + R3: frequent keyword sets of size 1 and 2."""
+    """R2 + R3: frequent keyword sets of every size."""
     from reelpath.operators.search_rules import frequent_itemsets
-    fi = frequent_itemsets(_keyword_model(_wb(spark, sf_dir)), max_size=2)
-    return fi.select(F.array_join(F.array_sort("items"), ",").alias("items"),
-                     F.col("freq").cast("long").alias("freq"))
+    fi = frequent_itemsets(_keyword_model(_wb(spark, sf_dir)))
+    return fi.select(_text("items").alias("items"), F.size("items").alias("n_items"), F.col("freq").cast("long").alias("freq"))
 
 
 @query("association_rules")
 def association_rules_q(spark, sf_dir):
-    """One-to-one keyword rules with confidence, lift and support."""
-    from reelpath.operators.search_rules import rule_pairs
-    r = rule_pairs(_keyword_model(_wb(spark, sf_dir)))
-    return rounded(r.select(F.col("item_id").alias("antecedent"), F.col("rec_item_id").alias("consequent"),
+    """Every keyword rule with confidence, lift and support."""
+    from reelpath.operators.search_rules import association_rules
+    r = association_rules(_keyword_model(_wb(spark, sf_dir)))
+    return rounded(r.select(_text("antecedent").alias("antecedent"), _text("consequent").alias("consequent"),
                             "confidence", "lift", "support"))
 
 
 @query("related_keywords")
 def related_keywords_q(spark, sf_dir):
-    """For every keyword, the five related keywords with the highest lift."""
+    """For every keyword, all rules whose antecedent holds it."""
     from reelpath.operators.search_rules import association_rules, related_keywords
-    r = related_keywords(association_rules(_keyword_model(_wb(spark, sf_dir)), one_to_one=True))
-    from pyspark.sql import Window
-    w = Window.partitionBy("keyword").orderBy(F.col("lift").desc(), F.col("consequent")[0])
-    top = r.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= 5)
-    return rounded(top.select("keyword", F.col("consequent")[0].alias("related"),
-                              F.col("rank").cast("int").alias("rank"), "confidence", "lift"))
+    r = related_keywords(association_rules(_keyword_model(_wb(spark, sf_dir))))
+    return rounded(r.select("keyword", _text("antecedent").alias("antecedent"), _text("consequent").alias("related"),
+                            "confidence", "lift"))
 
 
 @query("rule_predictions")
 def rule_predictions_q(spark, sf_dir):
     """Keywords suggested by the rules for each user's basket."""
-    from reelpath.operators.search_rules import apply_rules
+    from reelpath.operators.search_rules import apply_rules, association_rules
     wb = _wb(spark, sf_dir)
-    p = apply_rules(_keyword_model(wb), _keyword_baskets(wb))
-    return p.select("uid", F.array_join(F.array_sort("prediction"), ",").alias("prediction"))
+    rules = cut_lineage(association_rules(_keyword_model(wb)))
+    return apply_rules(rules, _keyword_pairs(wb))
 
 
 # ------------------------------------------------------------------ latent vectors
@@ -715,6 +775,27 @@ def profile_vector_recs(spark, sf_dir):
     return rounded(profile_recommendations(prof, wb.view("factors"), hist, 10))
 
 
+#: a user without train rows and the items they name
+COLD_USER = ("cold_1", ("3", "14", "15", "92", "65", "35"))
+
+
+@query("cold_user_recs")
+def cold_user_recs(spark, sf_dir):
+    """Recommendations for a user who brings a history of their own, beside
+    the picked train user with that history added, with titles."""
+    from reelpath.operators.recommend import pick_user
+    from reelpath.operators.vectors import profile_recommendations, profile_vectors
+    wb = _wb(spark, sf_dir)
+    user = cut_lineage(pick_user(wb.merged_train(), 3).select("userId"))
+    extra = spark.createDataFrame([(int(i),) for i in COLD_USER[1]], "vec_id int")
+    cold = extra.select(F.lit(COLD_USER[0]).alias("userId"), "vec_id")
+    known = _history(wb).join(user, "userId", "left_semi").union(user.crossJoin(F.broadcast(extra)))
+    hist = cold.union(known).distinct()
+    recs = profile_recommendations(profile_vectors(hist, wb.view("factors")), wb.view("factors"), hist, 10)
+    named = recs.join(_titles(wb), recs["id"].cast("string") == F.col("item_id"), "left")
+    return rounded(named.select("userId", "id", "title", "score"))
+
+
 @query("taste_neighbours")
 def taste_neighbours_q(spark, sf_dir):
     """The 10 users whose profile vectors are closest to the picked user's."""
@@ -765,12 +846,15 @@ def partitioned_scan(spark, sf_dir):
 
 BUNDLE_TABLES = ("indexed_train", "indexed_test", "user_lookup", "item_lookup",
                  "combined_train", "combined_test", "metadata", "item_popularity")
+BUNDLE_COLUMNS = (("userIndex", "itemIndex"), ("userIndex", "itemIndex"), ("userId", "userIndex"),
+                  ("item_id", "itemIndex"), ("userId", "item_id"), ("userId", "item_id"), ("item_id", "title"),
+                  ("item_id", "user_count"))
 
 
 @query("bundle_roundtrip")
 def bundle_roundtrip(spark, sf_dir):
-    """S8-S10 + S12: the prepared tables saved as one bundle and reloaded;
-    the reloaded indexed train frame equals its source."""
+    """S8-S10 + S12: the prepared tables saved as one bundle and reloaded; one
+    row per table with its rows and the distinct values of two columns."""
     from reelpath.session import scratch_path
     from reelpath.sources.bundle import load_bundle, save_bundle
     wb = _wb(spark, sf_dir)
@@ -782,7 +866,54 @@ def bundle_roundtrip(spark, sf_dir):
                  "combined_test": wb.merged_test(), "metadata": wb.metadata(),
                  "item_popularity": wb.popularity(), "custom_rows": None}, folder)
     loaded = load_bundle(spark, folder, list(BUNDLE_TABLES))
-    return rounded(loaded["indexed_train"])
+    out = None
+    for name, (a, b) in zip(BUNDLE_TABLES, BUNDLE_COLUMNS):
+        one = loaded[name].agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+                               F.countDistinct(a).alias("n_first"), F.countDistinct(b).alias("n_second"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _daily_root(wb: Workbench) -> str:
+    from reelpath.session import scratch_path
+    from reelpath.sources.bundle import write_table
+    return write_table(wb.view("playtime"), scratch_path(wb.spark, "playtime_by_day"), ["day"])
+
+
+@query("listed_days")
+def listed_days(spark, sf_dir):
+    """S2 + S7: a list of day folders read in one scan, days without a folder skipped."""
+    from reelpath.sources.scan import read_day_list
+    df = read_day_list(spark, _daily_root(_wb(spark, sf_dir)), ["2024-01-03", "2024-01-04", "2031-05-05"])
+    return df.select("userId", "item_id", "total_play_time_sec", F.col("day").cast("date").alias("day"))
+
+
+@query("drifted_union")
+def drifted_union(spark, sf_dir):
+    """S3 + S7: two days united by name, one of them with a column more."""
+    from reelpath.sources.scan import read_single_day, union_days
+    root = _daily_root(_wb(spark, sf_dir))
+    first = read_single_day(spark, root, "2024-01-05")
+    second = read_single_day(spark, root, "2024-01-06").withColumn("app", F.lit("tv"))
+    return union_days([first, second]).select("userId", "item_id", "day", "app")
+
+
+@query("single_day")
+def single_day(spark, sf_dir):
+    """One day of a partitioned root."""
+    from reelpath.sources.scan import read_single_day
+    return read_single_day(spark, _daily_root(_wb(spark, sf_dir)), "2024-01-07").select(
+        "userId", "item_id", "total_play_time_sec")
+
+
+@query("csv_extract")
+def csv_extract(spark, sf_dir):
+    """A hash sample of the playtime log, at most 100 rows, as CSV and back."""
+    from reelpath.session import scratch_path
+    from reelpath.sources.bundle import export_sample_csv
+    pt = _wb(spark, sf_dir).view("playtime").select("userId", "item_id", F.col("day").cast("string").alias("day"))
+    path = export_sample_csv(pt, scratch_path(spark, "extract"), fraction=0.05, n=100)
+    return spark.read.schema("userId string, item_id string, day string").option("header", True).csv(path)
 
 
 # ------------------------------------------------------------------ ALS
@@ -811,6 +942,38 @@ def als_novel_recs(spark, sf_dir):
                       round_to("score", 6).alias("score"))
 
 
+@query("als_checks")
+def als_checks(spark, sf_dir):
+    """M1 + M3 + M4 + M6 + M7 + S11: exact facts of a fitted model, saved and
+    loaded as a bundle: users and items with factors, and how many list rows
+    break a rule -- a seen pair, a gap in the ranks, a rank above 15, or a
+    score that is not the factors' dot product over log10(count + 10)."""
+    from reelpath.operators.vectors import dot
+    from reelpath.session import scratch_path
+    from reelpath.sources.bundle import load_model_bundle, save_model_bundle
+    from reelpath.operators.recommend import (flatten_recs, popularity_rerank, raw_recommendations,
+                                              train_als)
+    from reelpath.operators.diagnose import side_by_side
+    wb = _wb(spark, sf_dir)
+    itrain = wb.indexed()[0]
+    fitted = train_als(itrain, **ALS_PARAMS)
+    raw = cut_lineage(raw_recommendations(fitted, RAW_N))
+    counts = wb.popularity().join(wb.lookups()[1], "item_id").select("itemIndex", "user_count")
+    folder = scratch_path(spark, "als_bundle")
+    save_model_bundle(fitted, raw, popularity_rerank(flatten_recs(raw), itrain, counts, K), folder)
+    model, _, top = load_model_bundle(spark, folder)
+    uf = model.userFactors.select(F.col("id").alias("userIndex"), F.col("features").alias("u"))
+    vf = model.itemFactors.select(F.col("id").alias("itemIndex"), F.col("features").alias("v"))
+    scored = top.join(uf, "userIndex").join(vf, "itemIndex").join(counts.withColumnRenamed("user_count", "n"), "itemIndex", "left")
+    want = dot(F.col("u"), F.col("v")) / F.log10(F.coalesce("n", F.lit(1)) + F.lit(10.0))
+    per_user = top.groupBy("userIndex").agg(F.count("*").alias("n"), F.max("rank").alias("hi"))
+    return side_by_side(
+        uf.agg(F.count("*").alias("users")), vf.agg(F.count("*").alias("items")),
+        scored.agg(F.count_if(F.abs(want - F.col("score")) > 1e-4).alias("wrong_scores")),
+        top.join(itrain, ["userIndex", "itemIndex"], "left_semi").agg(F.count("*").alias("seen_pairs")),
+        per_user.agg(F.count_if(F.col("n") != F.col("hi")).alias("rank_gaps"), F.count_if(F.col("hi") > K).alias("long_lists")))
+
+
 @query("als_explicit")
 def als_explicit(spark, sf_dir):
     """M2 + M3 + M4: explicit ALS (rank 50) on the confidence labels, top 10."""
@@ -834,45 +997,41 @@ def head_to_head(spark, sf_dir):
     return rounded(als.unionByName(sim))
 
 
-# a small grid around the published best point
-GRID = {"alpha": [2.0, 10.0], "max_iter": [10]}
+# The reference's grid
+GRID = {"alpha": [2.0, 3.0, 5.0, 10.0, 20.0], "max_iter": [10, 15]}
+GRID_ROW = ("users long, precision_at_k double, recall_at_k double, map double, coverage double, "
+            "status string, error string, params string")
 
 
 @query("grid_sweep")
 def grid_sweep(spark, sf_dir):
     """The parameter grid, one metrics row per point (coverage of the
-    top 50, precision/recall/MAP of the re-ranked top 15); a failing point
-    yields a row with status 'failed' instead of stopping the sweep."""
+    top 50, precision/recall/MAP of the re-ranked top 15).  A point's row is
+    computed before the next point starts; one that fails anywhere gives a row
+    with status 'failed' and its error instead of stopping the sweep."""
     from itertools import product
 
     from reelpath.operators.evaluate import catalogue_coverage, ranking_metrics as rm
     from reelpath.operators.recommend import (flatten_recs, popularity_rerank, raw_recommendations,
                                               train_als)
     wb = _wb(spark, sf_dir)
-    itrain = wb.indexed()[0]
+    itrain = cut_lineage(wb.indexed()[0])
     items = wb.lookups()[1]
-    counts = wb.popularity().join(items, "item_id").select("itemIndex", "user_count")
-    truth = wb.ground_truth()
+    counts = cut_lineage(wb.popularity().join(items, "item_id").select("itemIndex", "user_count"))
+    truth = cut_lineage(wb.ground_truth())
     keys = sorted(GRID)
-    rows = None
+    rows = []
     for values in product(*[GRID[k] for k in keys]):
-        params = dict(ALS_PARAMS, **dict(zip(keys, values)))
-        label = F.lit(",".join(f"{k}={v}" for k, v in zip(keys, values)))
+        label = ",".join(f"{k}={v}" for k, v in zip(keys, values))
         try:
-            model = train_als(itrain, **params)
-            flat = flatten_recs(raw_recommendations(model, RAW_N))
-            top = popularity_rerank(flat, itrain, counts, K)
-            point = (rm(top, truth, K)
-                     .crossJoin(catalogue_coverage(flat, items).select("coverage"))
-                     .withColumn("status", F.lit("ok")))
-        except Exception:  # noqa: BLE001 -- isolate a failing point
-            point = spark.createDataFrame(
-                [(0, None, None, None, None, "failed")],
-                "users long, precision_at_k double, recall_at_k double, map double, "
-                "coverage double, status string")
-        point = point.withColumn("params", label)
-        rows = point if rows is None else rows.unionByName(point)
-    return rounded(rows)
+            model = train_als(itrain, **dict(ALS_PARAMS, **dict(zip(keys, values))))
+            flat = cut_lineage(flatten_recs(raw_recommendations(model, RAW_N)))
+            metrics = rm(popularity_rerank(flat, itrain, counts, K), truth, K)
+            m = rounded(metrics.crossJoin(F.broadcast(catalogue_coverage(flat, items).select("coverage")))).first()
+            rows.append((m.users, m.precision_at_k, m.recall_at_k, m.map, m.coverage, "ok", None, label))
+        except Exception as e:  # noqa: BLE001 -- one point must not stop the others
+            rows.append((0, None, None, None, None, "failed", f"{type(e).__name__}: {e}"[:500], label))
+    return spark.createDataFrame(rows, GRID_ROW)
 
 
 # ------------------------------------------------------------------ streaming

@@ -1,7 +1,10 @@
 """Shared building blocks for the named queries.
 
 ``Workbench`` holds a session, a table folder and a split, and builds the
-stages of the training-data funnel lazily (nothing runs until an action):
+stages of the training-data funnel.  Most are lazy; those that several others
+read (``decayed_train``, ``popularity``, ``als_input``, the ids and the rule
+pairs) are cut: computed once, when first asked for, and read from the shared
+checkpoint folder from then on:
 
     playtime log -> train/test windows (+decay, common users)
       -> per-pair playtime -> confidence labels
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 from reelpath.functions.numeric import round_to
 from reelpath.operators import indexing, interactions, scoring
 from reelpath.sources import fixtures
+from reelpath.sources.bundle import cut_lineage
 from reelpath.sources.fixtures import DEFAULT_SPLIT, Split
 from reelpath.sources.scan import split_windows
 
@@ -60,13 +64,22 @@ class Workbench:
                          lambda: split_windows(self.view("clicks"), self.split, decay=self.decay))
 
     # ---- labels and signals
+    def pair_stats(self) -> tuple[DataFrame, DataFrame]:
+        """J1 + A1: both windows rolled up per pair first, so that a heavy user
+        is a few rows before users are compared."""
+        def build():
+            train, test = split_windows(self.view("playtime"), self.split, decay=self.decay, common_users=False)
+            train, test = (interactions.aggregate_playtime(x, with_decay=self.decay, drop_invalid=False)
+                           for x in (train, test))
+            users = interactions.users_in_both(train, test)
+            return tuple(interactions.valid_pairs(x.join(users, "userId", "left_semi")) for x in (train, test))
+        return self._get("pair_stats", build)
+
     def playtime_stats(self) -> DataFrame:
-        return self._get("pt_stats", lambda: interactions.aggregate_playtime(
-            self.playtime_windows()[0], with_decay=self.decay))
+        return self.pair_stats()[0]
 
     def test_stats(self) -> DataFrame:
-        return self._get("pt_test_stats", lambda: interactions.aggregate_playtime(
-            self.playtime_windows()[1], with_decay=self.decay))
+        return self.pair_stats()[1]
 
     def labels(self) -> DataFrame:
         return self._get("labels", lambda: scoring.confidence_labels(self.playtime_stats()))
@@ -83,11 +96,12 @@ class Workbench:
 
     # ---- weights and filters
     def decayed_train(self) -> DataFrame:
-        return self._get("decayed_train", lambda: scoring.apply_decay(self.merged_train())
-                         if self.decay else self.merged_train())
+        return self._get("decayed_train", lambda: cut_lineage(
+            scoring.apply_decay(self.merged_train()) if self.decay else self.merged_train()))
 
     def popularity(self) -> DataFrame:
-        return self._get("popularity", lambda: scoring.item_popularity(self.decayed_train()))
+        return self._get("popularity", lambda: cut_lineage(
+            scoring.item_popularity(self.decayed_train())))
 
     def weighted_train(self) -> DataFrame:
         return self._get("weighted_train", lambda: scoring.penalise_confidence(
@@ -97,9 +111,8 @@ class Workbench:
         """Final train pairs, materialised once in the shared checkpoint folder
         (S9): the lookups, the encoded frames and the recommenders all read
         the files instead of recomputing the funnel."""
-        from reelpath.sources.bundle import cut_lineage
         return self._get("als_input", lambda: cut_lineage(scoring.active_users(
-            self.weighted_train(), self.min_items), "als_input"))
+            self.weighted_train(), self.min_items)))
 
     # ---- ids
     def lookups(self) -> tuple[DataFrame, DataFrame]:
@@ -128,32 +141,24 @@ class Workbench:
         from reelpath.operators.search_rules import fit_rules
         return self._get("rule_model", lambda: fit_rules(self.rule_baskets()))
 
-    def similar_items(self) -> DataFrame:
-        """The similar-items table in its stored shape
-        (item_id, similar_items array<struct<item_id, score>>)."""
-        from reelpath.operators.recommend import similar_items
-        from reelpath.operators.search_rules import rule_pairs
-        return self._get("similar_items", lambda: similar_items(rule_pairs(self.rule_model())))
-
     def sim_pairs(self) -> DataFrame:
-        from reelpath.operators.recommend import explode_similar
-        return self._get("sim_pairs", lambda: explode_similar(self.similar_items()))
+        from reelpath.operators.search_rules import rule_pairs
+        return self._get("sim_pairs", lambda: cut_lineage(rule_pairs(self.rule_model())))
 
-    def sim_scores(self, drop_seen: bool = True) -> DataFrame:
+    def sim_scores(self, drop_seen: bool = True, users: DataFrame | None = None) -> DataFrame:
+        """Scores of all users, or of those in ``users`` only."""
         from reelpath.operators import recommend
-        return self._get(("sim_scores", drop_seen), lambda: recommend.similarity_scores(
-            self.als_input(), self.sim_pairs(), drop_watched=drop_seen))
+        train = self.als_input() if users is None else self.als_input().join(users.select("userId"), "userId", "left_semi")
+        return recommend.similarity_scores(train, self.sim_pairs(), drop_watched=drop_seen)
 
-    def sim_indexed(self, drop_seen: bool = True) -> DataFrame:
-        from reelpath.operators.recommend import index_candidates
-        users, items = self.lookups()
-        return self._get(("sim_indexed", drop_seen), lambda: index_candidates(
-            self.sim_scores(drop_seen), users, items))
+    def sim_indexed(self, drop_seen: bool = True, users: DataFrame | None = None) -> DataFrame:
+        from reelpath.operators.recommend import with_indexes
+        ids, items = self.lookups()
+        return with_indexes(self.sim_scores(drop_seen, users), ids, items)
 
-    def sim_top(self, k: int = 15, drop_seen: bool = True) -> DataFrame:
+    def sim_top(self, k: int = 15, drop_seen: bool = True, users: DataFrame | None = None) -> DataFrame:
         from reelpath.operators.recommend import top_k
-        return self._get(("sim_top", k, drop_seen), lambda: top_k(
-            self.sim_indexed(drop_seen), k, score_col="total_score"))
+        return top_k(self.sim_indexed(drop_seen, users), k, score_col="total_score")
 
     # ---- catalogue
     def metadata(self) -> DataFrame:

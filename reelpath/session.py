@@ -11,12 +11,17 @@ create a scratch folder and register it.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+#: scratch tables written by this process and not yet dropped
+_SCRATCH: list[str] = []
+
 _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -57,22 +62,39 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and table bundles.
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Sets a
-    local scratch folder only when neither is set, which happens in tests.
-    """
+    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Where
+    neither is set a local scratch folder is made, on a local master only: on a
+    cluster the executors would each write to a disk of their own."""
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes share")
         root = tempfile.mkdtemp(prefix="reelpath-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/reelpath/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared checkpoint folder, for tables that
+    outlive a call; :func:`drop_scratch` removes what a session wrote there."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/reelpath/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession, paths: list[str] | None = None) -> int:
+    """Delete scratch tables (all of this session's by default); returns how many."""
+    gone = 0
+    for path in list(_SCRATCH if paths is None else paths):
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+        gone += bool(fs.delete(where, True))
+        if path in _SCRATCH:
+            _SCRATCH.remove(path)
+    return gone
 
 
 def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 ** 2,

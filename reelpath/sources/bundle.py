@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reelpath.session import scratch_path
+from reelpath.session import checkpoint_root
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
@@ -23,14 +24,14 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     return path
 
 
-def cut_lineage(df: DataFrame, name: str) -> DataFrame:
-    """Materialise to the shared checkpoint folder and read back.
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise in the shared checkpoint folder.
 
-    The returned frame's plan starts at the files: later stages and task
-    retries never recompute the upstream shuffles."""
-    spark = df.sparkSession
-    path = write_table(df, scratch_path(spark, name))
-    return spark.read.parquet(path)
+    The returned frame's plan starts at the checkpoint files: later stages and
+    task retries never recompute the upstream shuffles, and Spark's cleaner
+    removes the files once nothing refers to the frame."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def save_bundle(tables: dict[str, DataFrame | None], folder: str) -> list[str]:
@@ -74,8 +75,15 @@ def load_model_bundle(spark: SparkSession, folder: str) -> tuple[ALSModel, DataF
 
 def export_sample_csv(df: DataFrame, path: str, fraction: float = 0.001, n: int = 100,
                       seed: int = 42) -> str:
-    """A Bernoulli sample, capped at ``n`` rows (the feature: a small
-    human-readable extract), written as CSV with a header."""
-    df.sample(False, fraction, seed).limit(n).write.mode("overwrite").option(
+    """A sample of the rows, capped at ``n`` (the feature: a small
+    human-readable extract), written as CSV with a header.
+
+    A row is in when the md5 of its values and the seed falls under
+    ``fraction``, so the extract is the same on any cluster; of more than ``n``
+    the smallest hashes stay."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in df.columns])
+    keyed = df.withColumn("_h", F.md5(text.cast("binary")))
+    share = F.conv(F.substring("_h", 1, 8), 16, 10).cast("double") / float(1 << 32)
+    keyed.where(share < fraction).orderBy("_h", *df.columns).limit(n).drop("_h").write.mode("overwrite").option(
         "header", "true").csv(path)
     return path

@@ -11,6 +11,7 @@ from __future__ import annotations
 from datetime import date, timedelta
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -41,10 +42,12 @@ def day_window(df: DataFrame, base_date: str, from_ago: int, to_ago: int,
 
 def read_days(spark: SparkSession, root: str, base_date: str, from_ago: int, to_ago: int,
               schema: StructType | None = None, merge_schema: bool = True,
-              ignore_corrupt: bool = True) -> DataFrame:
+              ignore_corrupt: bool = False) -> DataFrame:
     """One read of a day-partitioned Parquet root, pruned to a window.
 
-    ``schema`` gives a typed empty frame when the root does not exist yet.
+    ``schema`` gives a typed empty frame when the root does not exist yet; any
+    other error is raised.  Unreadable files fail the read unless
+    ``ignore_corrupt`` asks for them to be skipped.
     """
     reader = (spark.read.option("mergeSchema", str(merge_schema).lower())
               .option("ignoreCorruptFiles", str(ignore_corrupt).lower()))
@@ -52,13 +55,18 @@ def read_days(spark: SparkSession, root: str, base_date: str, from_ago: int, to_
         reader = reader.schema(schema)
     try:
         df = reader.parquet(root)
-    except Exception:  # noqa: BLE001 -- missing root: empty, typed frame
-        if schema is None:
+    except AnalysisException as e:
+        if schema is None or not _missing(e):
             raise
         return spark.createDataFrame([], schema)
     return day_window(df, base_date, from_ago, to_ago)
 
 
+def _missing(e: AnalysisException) -> bool:
+    """The path or glob matched nothing."""
+    return e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def read_day_list(spark: SparkSession, root: str, days: list[str],
                   schema: StructType | None = None) -> DataFrame | None:
     """Read the listed ``day=`` folders in one scan; missing days are
@@ -73,7 +81,9 @@ def read_day_list(spark: SparkSession, root: str, days: list[str],
         reader = reader.schema(schema)
     try:
         return reader.parquet(pattern)
-    except Exception:  # noqa: BLE001 -- the glob matched nothing
+    except AnalysisException as e:
+        if not _missing(e):
+            raise
         return spark.createDataFrame([], schema) if schema is not None else None
 
 

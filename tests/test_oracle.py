@@ -7,10 +7,10 @@ import pytest
 import __spark_entry__ as entry
 from reelpath.sources.fixtures import TABLES
 
-from conftest import SF_SMALL
+from conftest import SF_ORACLE, SF_SMALL
 
 SPOT = ["confidence_labels", "indexed_train", "completion_ratings", "funnel_items",
-        "similarity_recs", "ranking_metrics", "association_rules", "taste_neighbours",
+        "similarity_recs", "ranking_metrics", "taste_neighbours", "als_checks", "cold_user_recs",
         "seen_excluded", "novel_by_arrays", "search_sequence", "item_features",
         "playtime_histogram", "popularity_percentiles", "user_recs", "partitioned_scan",
         "streaming_rollup", "cohort_metrics"]
@@ -40,6 +40,17 @@ def test_query_matches_oracle(spark, con, name):
     assert _norm([tuple(r) for r in df.collect()], df.columns) == _norm(drows, dcols)
 
 
+@pytest.mark.parametrize("name", ["association_rules", "rule_predictions"])
+def test_rules_match_oracle(spark, name):
+    c = duckdb.connect()
+    for t in TABLES:
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_ORACLE}/{t}.parquet')")
+    df = entry.queries()[name](spark, SF_ORACLE)
+    cur = c.execute(entry.oracle_sql()[name])
+    want = _norm(cur.fetchall(), [d[0] for d in cur.description])
+    assert want and _norm([tuple(r) for r in df.collect()], df.columns) == want
+
+
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 

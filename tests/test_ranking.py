@@ -66,15 +66,41 @@ def test_group_count_equals_window_count(spark):
 
 def test_hot_group_is_spread_over_partitions(spark):
     """One group with a third of the rows must not land in one task."""
-    from reelpath.operators.ranking import _PID, _numbered
+    from reelpath.operators.ranking import _PID, _ranged
     n = 3000
     rows = [(i, "hot" if i % 3 == 0 else f"g{i % 50}", float(i % 97)) for i in range(n)]
     df = spark.createDataFrame(rows, "id long, g string, v double")
-    joined, _ = _numbered(df, ["g"], ["v"], "min", 8)
-    sizes = [r["count"] for r in joined.filter(F.col("g") == "hot").groupBy(_PID).count().collect()]
+    spread = _ranged(df, ["g", "v"], 8)
+    sizes = [r["count"] for r in spread.filter(F.col("g") == "hot").groupBy(_PID).count().collect()]
     assert len(sizes) >= 3 and max(sizes) < n // 3 * 0.6
 
 
+def test_hot_value_stays_spread(spark):
+    """90 % of one item's rows tie on a value: after the rank no partition
+    holds more than twice the mean, and no Python runs."""
+    n = 20_000
+    df = spark.range(n, numPartitions=8).select(
+        "id", F.lit("item").alias("g"), F.when(F.col("id") % 10 > 0, 1.0).otherwise(F.col("id") * 1.0).alias("v"))
+    ranked = rank_within(df, "g", "v", "r")
+    assert "Python" not in ranked._jdf.queryExecution().executedPlan().toString()
+    sizes = [r["count"] for r in ranked.where("v = 1.0").groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(sizes) <= 2 * sum(sizes) / len(sizes) and len(sizes) >= 4
+    assert ranked.where("v = 1.0").select("r").distinct().count() == 1
+
+
+def test_hot_user_is_small_before_users_are_compared(spark):
+    """One user with a third of all raw rows: pairs are summed before the
+    common-user join, so the join reads a few rows of that user."""
+    from reelpath.operators import interactions
+    rows = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("u"), F.col("id") % 500)).alias("userId"),
+        (F.col("id") % 7).cast("string").alias("item_id"), F.lit(1.0).alias("total_play_time_sec"))
+    stats = interactions.aggregate_playtime(rows)
+    assert stats.where("userId = 'hot'").count() == 7
+    users = interactions.users_in_both(stats, stats.where("userId <> 'u1'"))
+    assert users.where("userId = 'hot'").count() == 1 and users.where("userId = 'u1'").count() == 0
+
+
 def test_top_k_uses_map_side_group_limit(spark):
     from reelpath.operators.recommend import top_k
     df = spark.range(1000).select((F.col("id") % 3).cast("int").alias("userIndex"),

@@ -43,7 +43,7 @@ def test_novelty_two_ways_agree_and_drop_seen(spark):
     anti = recommend.drop_seen(raw, train, ["userIndex", "itemIndex"])
     arrays = raw.groupBy("userIndex").agg(
         F.array_sort(F.collect_list(F.struct("rank", "itemIndex"))).alias("recommendations"))
-    by_arrays = recommend.novel_by_arrays(arrays, recommend.watched_sets(train), 2)
+    by_arrays = recommend.unseen_first(arrays, recommend.history_arrays(train, arrays), 2)
     a = sorted((r.userIndex, r.itemIndex) for r in anti.collect())
     b = sorted((r.userIndex, x) for r in by_arrays.collect() for x in r.predicted_items)
     assert a == b == [(1, 5), (1, 7), (3, 8)]
@@ -99,13 +99,53 @@ def test_array_recall_equals_row_recall(spark):
 def test_similar_items_roundtrip(spark):
     pairs = spark.createDataFrame([("a", "b", 0.5), ("a", "c", 0.25), ("b", "a", 1.0)],
                                   "item_id string, rec_item_id string, confidence double")
-    back = recommend.explode_similar(recommend.similar_items(pairs))
-    assert sorted(back.collect()) == sorted(pairs.toDF("item_id", "rec_item_id", "raw_score").collect())
+    back = recommend.read_similar(recommend.similar_items(pairs))
+    assert sorted(back.collect()) == sorted(pairs.collect())
 
 
 def test_grid_sweep_isolates_a_failing_point(spark, monkeypatch):
     from conftest import SF_SMALL
     from reelpath.plans import queries
     monkeypatch.setattr(queries, "GRID", {"rank": [2, 0], "max_iter": [2]})
-    rows = {r.params: r.status for r in queries.grid_sweep(spark, SF_SMALL).collect()}
-    assert rows == {"max_iter=2,rank=2": "ok", "max_iter=2,rank=0": "failed"}
+    rows = {r.params: r for r in queries.grid_sweep(spark, SF_SMALL).collect()}
+    assert {p: r.status for p, r in rows.items()} == {"max_iter=2,rank=2": "ok", "max_iter=2,rank=0": "failed"}
+    assert "rank" in rows["max_iter=2,rank=0"].error
+
+
+def test_grid_sweep_isolates_an_error_in_the_metrics(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from reelpath.plans import queries
+    monkeypatch.setattr(queries, "GRID", {"rank": [2, 3], "max_iter": [2]})
+    real, calls = evaluate.ranking_metrics, []
+
+    def failing(*a, **k):
+        calls.append(1)
+        out = real(*a, **k)
+        return out.withColumn("map", F.raise_error(F.lit("broken metric")).cast("double")) if len(calls) == 1 else out
+    monkeypatch.setattr(evaluate, "ranking_metrics", failing)
+    rows = {r.params: r for r in queries.grid_sweep(spark, SF_SMALL).collect()}
+    assert rows["max_iter=2,rank=2"].status == "failed" and "broken metric" in rows["max_iter=2,rank=2"].error
+    assert rows["max_iter=2,rank=3"].status == "ok"
+
+
+def test_grid_is_the_whole_grid():
+    from reelpath.plans import queries
+    assert len(queries.GRID["alpha"]) * len(queries.GRID["max_iter"]) == 10
+
+
+def test_recommendations_come_most_popular_first_unknown_last(spark):
+    user = spark.createDataFrame([("u",)], "userId string")
+    recs = spark.createDataFrame([("u", "a", 1), ("u", "b", 2), ("u", "c", 3), ("v", "a", 1)],
+                                 "userId string, item_id string, rank int")
+    titles = spark.createDataFrame([("a", "A")], "item_id string, title string")
+    pop = spark.createDataFrame([("b", 9), ("c", 50)], "item_id string, popularity_score int")
+    got = recommend.user_recommendations(user, recs, titles, pop).collect()
+    assert [(r.item_id, r.position) for r in got] == [("c", 1), ("b", 2), ("a", 3)]
+
+
+def test_vectors_answer_every_query(spark):
+    from reelpath.operators import vectors
+    v = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(6)], "id int, features array<float>")
+    q = v.where("id < 3").toDF("q_id", "q_vec")
+    got = vectors.nearest(q, v, 2, "dot").groupBy("q_id").count().collect()
+    assert {r.q_id: r["count"] for r in got} == {0: 2, 1: 2, 2: 2}

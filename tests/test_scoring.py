@@ -3,6 +3,8 @@
 import datetime as dt
 import math
 
+from pyspark.sql import functions as F
+
 from reelpath.operators import interactions, scoring
 from reelpath.sources.fixtures import Split
 from reelpath.sources.scan import split_windows
@@ -94,3 +96,11 @@ def test_undecayed_click_merge(spark):
     got = {(r.userId, r.item_id): r.confidence for r in merged.collect()}
     assert got == {("u", "a"): 2.0, ("u", "b"): 2.0}     # MATCH ids excluded, flag 0 ignored
     assert merged.columns == ["userId", "item_id", "confidence"]
+
+
+def test_content_groups(spark):
+    from reelpath.functions.labels import content_group
+    names = ["EPISODE", "tvshow", "TV show", "tv_shows", "Movie", "film", "SEASON", "tv_show", "series", "video"]
+    df = spark.createDataFrame([(n,) for n in names], "t string")
+    got = {r.t: r.g for r in df.withColumn("g", content_group(F.col("t"))).collect()}
+    assert [got[n] for n in names] == ["tv_show"] * 4 + ["movie"] * 2 + ["other"] * 4

@@ -68,3 +68,12 @@ def test_one_to_one_rules_equal_brute_force(spark):
             if f >= min_count and conf >= 0.5:
                 want[(a, c)] = (round(conf, 9), round(conf / (freq[(c,)] / n), 9), round(f / n, 9))
     assert got == want
+
+
+def test_rules_apply_as_joins(spark):
+    rules = spark.createDataFrame([(["a"], ["b"]), (["a", "b"], ["c"]), (["d"], ["a"])],
+                                  "antecedent array<string>, consequent array<string>")
+    owned = spark.createDataFrame([("u", "a"), ("u", "b"), ("u", "b"), ("v", "a"), ("w", "x")],
+                                  "uid string, search_key string")
+    got = {(r.uid, r.prediction) for r in sr.apply_rules(rules, owned).collect()}
+    assert got == {("u", "c"), ("v", "b")}

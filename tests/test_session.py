@@ -16,3 +16,12 @@ def test_cluster_conf_sizes_partitions_from_input():
     assert small["spark.sql.shuffle.partitions"] == "200"
     assert int(big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) == 409600
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_scratch_is_dropped(spark):
+    import os
+
+    from reelpath.session import drop_scratch, scratch_path
+    path = scratch_path(spark, "t")
+    spark.range(3).write.parquet(path)
+    assert drop_scratch(spark, [path]) == 1 and not os.path.exists(path.removeprefix("file:"))
