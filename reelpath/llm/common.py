@@ -42,9 +42,11 @@ def text_pieces(col: pa.Array, piece_bytes: int = PIECE_BYTES) -> Iterator[tuple
     """(first row, end row, bytes, offsets) over a string array; nulls are empty."""
     if col.null_count:
         col = col.fill_null("")
+    n = len(col)
+    if not n:
+        return
     wide = pa.types.is_large_string(col.type)
     _, offs, data = col.buffers()
-    n = len(col)
     o = np.frombuffer(offs, np.int64 if wide else np.int32)[col.offset:col.offset + n + 1].astype(np.int64)
     raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     lo = 0

@@ -163,7 +163,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     ranked = items.join(spread, "hash").groupBy("item_id", "hash").agg(
         F.min("in_items").alias("in_items"), F.count_distinct("item_pos").alias("times"))
     order = F.array_sort(F.collect_list(F.struct("in_items", "hash", "times")))     # the windows of one item
-    prefix = ranked.groupBy("item_id").agg(order.alias("w")).join(sizes, "item_id") \
+    prefix = ranked.groupBy("item_id").agg(order.alias("w"))
+    size = sizes.select(F.col("item_id").alias("z_item"), "n_windows")
+    prefix = prefix.join(size, prefix["item_id"].eqNullSafe(size["z_item"])) \
         .withColumn("may_lack", F.col("n_windows") - F.ceil(F.col("n_windows") * coverage)) \
         .withColumn("upto", F.aggregate(
             "w", F.struct(F.lit(0).cast("long").alias("seen"), F.lit(0).alias("k")),
@@ -190,7 +192,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
                         (matched["shift"] == odd["o_shift"]), "left").where(~F.coalesce("odd", F.lit(False)))
     found = good.groupBy("doc_id", "item_id").agg(F.count_distinct("item_pos").alias("matched"),
                                                   F.max(F.coalesce("other", F.lit(False))).alias("reparameterised"))
-    size = sizes.select(F.col("item_id").alias("z_item"), "n_windows")
     return found.join(size, found["item_id"].eqNullSafe(size["z_item"])) \
         .withColumn("coverage", F.col("matched") / F.col("n_windows")).where(F.col("coverage") >= coverage) \
         .select("doc_id", "item_id", "n_windows", "matched", "coverage", "reparameterised")

@@ -174,13 +174,13 @@ def mix_documents(docs: DataFrame, seed: int = 17, **options) -> DataFrame:
         chosen = chosen.withColumn("_mix_n", F.row_number().over(
             Window.partitionBy("doc_id", "size").orderBy("source")))
         keys.append("_mix_n")
-    chosen = chosen.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("source").alias("_source"),
+    chosen = chosen.select(F.col("doc_id").alias("_mix_id"), F.col("size").alias("_mix_words"), F.col("source").alias("_mix_of"),
                            F.col("copies").alias("_mix_copies"), *(["_mix_n"] if repeated else []))
     if repeated:
-        chosen = chosen.withColumnRenamed("_mix_n", "_n")
-    match = rows["doc_id"].eqNullSafe(chosen["_id"]) & (rows["_mix_size"] == chosen["_size"]) & \
-        rows["_mix_source"].eqNullSafe(chosen["_source"])
+        chosen = chosen.withColumnRenamed("_mix_n", "_mix_m")
+    match = rows["doc_id"].eqNullSafe(chosen["_mix_id"]) & (rows["_mix_size"] == chosen["_mix_words"]) & \
+        rows["_mix_source"].eqNullSafe(chosen["_mix_of"])
     if repeated:
-        match = match & (rows["_mix_n"] == chosen["_n"])
+        match = match & (rows["_mix_n"] == chosen["_mix_m"])
     return rows.join(chosen, match).withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int")))) \
         .select(*docs.columns)

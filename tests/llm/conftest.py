@@ -1,0 +1,8 @@
+import pytest
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from reelpath.session import build_session
+    return build_session("local[4]", 4, app_name="reelpath-tests",
+                         extra={"spark.sql.execution.arrow.maxRecordsPerBatch": "7"})
