@@ -4,8 +4,8 @@ Training counts, over all learned documents, in how many toxic and how many
 other documents a feature occurs.  The features of a token are the word and its
 prefixes of 4 to 7 bytes, each hashed to one of ``2^BITS`` classes, so the
 model has a fixed size and word forms share the evidence of their stem.  A
-feature's log-odds ratio has an informative Dirichlet prior (mass
-``PRIOR_MASS``, spread like the corpus); features whose ratio stands more than
+feature's log-odds ratio has an informative Dirichlet prior (``PRIOR_EACH`` per
+feature seen and a mass of ``PRIOR_MASS`` spread like the corpus); features whose ratio stands more than
 ``MIN_Z`` standard errors above zero and reaches ``MIN_LOG_ODDS`` keep it.  A
 token scores its best kept feature, any other token a small negative constant,
 the log-odds of meeting no kept feature.
@@ -48,7 +48,8 @@ BITS = 20
 PREFIXES = (4, 5, 6, 7)
 BLOCKS = 64
 PRIOR_MASS = 500.0
-MIN_Z = 3.5
+PRIOR_EACH = 0.5
+MIN_Z = 3.0
 MIN_LOG_ODDS = 1.0
 #: scales tried for the extreme-value law; 1 is the theory's for log-odds scores
 SCALES = tuple(x / 10 for x in range(2, 11))
@@ -117,9 +118,13 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | None
     total = n.sum(1)
     if not total.all():
         return None
-    prior = PRIOR_MASS * (n.sum(0) + 0.01) / (n.sum() + 0.01 * n.shape[1])
+    seen = n.sum(0) > 0
+    prior = PRIOR_EACH * seen + PRIOR_MASS * n.sum(0) / n.sum()
     a1, a0 = n[1] + prior, n[0] + prior
-    delta = np.log(a1 / (total[1] + PRIOR_MASS - a1)) - np.log(a0 / (total[0] + PRIOR_MASS - a0))
+    a1[~seen] = a0[~seen] = PRIOR_EACH
+    mass = total + prior.sum()
+    delta = np.log(a1 / (mass[1] - a1)) - np.log(a0 / (mass[0] - a0))
+    delta[~seen] = 0.0
     z = delta / np.sqrt(1 / a1 + 1 / a0)
     kept = (z >= MIN_Z) & (delta >= MIN_LOG_ODDS)
     share = (n[:, kept].sum(1) + 0.5) / (total + 1.0)
