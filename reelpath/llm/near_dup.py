@@ -1,11 +1,11 @@
 """Near duplicates: improved consistent weighted sampling over TF-IDF shingles.
 
 A document is the weighted set of its shingles of five words; a shingle weighs
-``tf * idf``.  Document frequencies are counted over all documents in ``2^BITS``
-hashed classes of shingles (feature hashing), a table of fixed size.  A class
-then holds about ``documents * shingles / 2^BITS`` occurrences, so the idf of a
-rare shingle is ``log(2^BITS / shingles per document)`` at every corpus size,
-and only shingles more common than that weigh less.
+``(1 + log tf) * idf``.  Document frequencies are counted over all documents in
+``2^BITS`` hashed classes of shingles (feature hashing), a table of fixed size.
+A class then holds about ``documents * shingles / 2^BITS`` occurrences, so the
+idf of a rare shingle is ``log(2^BITS / shingles per document)`` at every corpus
+size, and only shingles more common than that weigh less.
 
 Improved consistent weighted sampling draws ``BANDS * ROWS`` samples per
 document; two documents share a sample with probability equal to their weighted
@@ -14,15 +14,19 @@ that its hash indexes, with other bits for each sample.  ``ROWS`` samples make
 a band; documents that share a band are candidates.
 
 Exact copies (equal lower-case text) collapse first.  Candidates are verified
-by weighted Jaccard similarity of ``THRESHOLD`` or more, over ``tf`` times the
-idf damped to its ``VERIFY_POWER``-th power: a large group of near copies makes
-its own shingles common, and undamped weights would hide the group behind its
-own popularity.  Verification goes in two rounds, and no bucket of a band ever
-expands into all its pairs: first each member of a bucket against the bucket's
-smallest id, then, where the members of a bucket still lie in different
-classes, each member against the members of other classes.  A pair of
-candidates is thus verified or already known to be connected.  The classes are
-the connected components of the verified links.
+by weighted Jaccard similarity of ``THRESHOLD`` or more over ``1 + log tf``; the
+idf is left out here, because a large group of near copies makes its own
+shingles common and would hide behind its own popularity.
+
+The classes are the connected components of the verified links.  No bucket of a
+band expands into all its pairs.  First every member of a bucket is verified
+against the bucket's smallest id; then, in rounds, each bucket whose members
+still lie in different classes names up to ``NAMED`` members, chosen by hash,
+and the members of other classes are verified against those.  A bucket of up to
+``NAMED[-1]`` members is thereby verified whole.  In a larger bucket two texts
+stay apart if they are similar to each other but to none of the members named
+in any of their ``BANDS`` buckets, nor to a text that links them; the README
+gives the measured share.
 
 Defined cases: a text of one to four words is a single shingle; texts without a
 word are copies only of exactly equal texts (null and empty are equal); rows
@@ -37,7 +41,7 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelpath.llm.common import (Words, broadcast_if_small, gram_hashes, sum_blocks, text_pieces, uniform_words,
@@ -51,7 +55,8 @@ BLOCKS = 64
 BANDS = 12
 ROWS = 4
 TABLE_BITS = 14
-VERIFY_POWER = 0.25
+#: members that a bucket names in each round
+NAMED = (4, 16)
 
 
 def shingles(buf: np.ndarray, offs: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -149,7 +154,7 @@ def _sign(idf: np.ndarray):
             words = []
             for lo, hi, buf, offs in text_pieces(b.column("text"), 1 << 20):
                 d, g, tf = shingles(buf, offs, table)
-                w = tf * idf[(g >> np.uint64(64 - BITS)).astype(np.int64)]
+                w = (1 + np.log(tf)) * idf[(g >> np.uint64(64 - BITS)).astype(np.int64)]
                 keys.append(weighted_samples(d, g, w, hi - lo, tables))
                 words.append(np.bincount(d, minlength=hi - lo))
             keys = np.concatenate(keys).astype(np.int64) if keys else np.zeros((0, BANDS), np.int64)
@@ -161,23 +166,19 @@ def _sign(idf: np.ndarray):
     return run
 
 
-def _weighted_sets(idf: np.ndarray):
+def _weighted_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Packed (hash, weight) arrays of each document, for verification."""
-    damped = (idf.astype(np.float64) ** VERIFY_POWER).astype(np.float32)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = word_bytes()
-        for b in batches:
-            hs, ws = [], []
-            for lo, hi, buf, offs in text_pieces(b.column("text")):
-                d, g, tf = shingles(buf, offs, table)
-                w = (tf * damped[(g >> np.uint64(64 - BITS)).astype(np.int64)]).astype(np.float32)
-                cut = np.searchsorted(d, np.arange(hi - lo + 1))
-                hs += [g[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:])]
-                ws += [w[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:])]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(hs, pa.binary()), pa.array(ws, pa.binary())],
-                                             names=["doc_id", "hashes", "weights"])
-    return run
+    table = word_bytes()
+    for b in batches:
+        hs, ws = [], []
+        for lo, hi, buf, offs in text_pieces(b.column("text")):
+            d, g, tf = shingles(buf, offs, table)
+            w = (1 + np.log(tf)).astype(np.float32)
+            cut = np.searchsorted(d, np.arange(hi - lo + 1))
+            hs += [g[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:])]
+            ws += [w[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:])]
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(hs, pa.binary()), pa.array(ws, pa.binary())],
+                                         names=["doc_id", "hashes", "weights"])
 
 
 def weighted_jaccard(h1: np.ndarray, w1: np.ndarray, h2: np.ndarray, w2: np.ndarray) -> float:
@@ -255,23 +256,22 @@ def classes(docs: DataFrame) -> DataFrame:
     first = shared.where("doc_id <> low").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct().checkpoint()
     wanted = first.select(F.col("a").alias("doc_id")).union(first.select(F.col("b").alias("doc_id"))).distinct().checkpoint()
     rows = base.join(broadcast_if_small(wanted), "doc_id", "left_semi")
-    sets = rows.withColumn("copy", F.md5(F.col("text").cast("binary"))) \
-        .mapInArrow(_weighted_sets(idf), "doc_id long, hashes binary, weights binary") \
+    sets = rows.mapInArrow(_weighted_sets, "doc_id long, hashes binary, weights binary") \
         .groupBy("doc_id").agg(F.min(F.struct("hashes", "weights")).alias("s")).select("doc_id", "s.*").checkpoint()
-    links = verify(first, sets).checkpoint()
     nodes = wanted.select(F.col("doc_id").alias("node"))
+    links = verify(first, sets).checkpoint()
     found = components(nodes, links).checkpoint()
-    # buckets whose members still lie in different classes
-    placed = shared.join(found.select(F.col("node").alias("doc_id"), "class"), "doc_id")
-    split = placed.groupBy("band", "key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi")
-    open_ = placed.join(split.select("band", "key"), ["band", "key"]).checkpoint()
-    x, y = open_.alias("x"), open_.alias("y")
-    second = x.join(y, [F.col("x.band") == F.col("y.band"), F.col("x.key") == F.col("y.key"),
-                        F.col("x.doc_id") < F.col("y.doc_id"), F.col("x.class") != F.col("y.class"),
-                        F.col("x.doc_id") != F.col("x.low")]) \
-        .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
-    links = links.union(verify(second, sets)).checkpoint()
-    found = components(nodes, links)
+    for named in NAMED:
+        placed = shared.join(found.select(F.col("node").alias("doc_id"), "class"), "doc_id")
+        split = placed.groupBy("band", "key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi")
+        open_ = placed.join(split.select("band", "key"), ["band", "key"]).checkpoint()
+        order = Window.partitionBy("band", "key").orderBy(F.xxhash64("doc_id", F.lit(named)), "doc_id")
+        to = open_.withColumn("r", F.row_number().over(order)).where(F.col("r") <= named) \
+            .select("band", "key", F.col("doc_id").alias("to"), F.col("class").alias("to_class"))
+        pairs = open_.join(to, ["band", "key"]).where("class <> to_class").select(
+            F.least("doc_id", "to").alias("a"), F.greatest("doc_id", "to").alias("b")).distinct()
+        links = links.union(verify(pairs, sets)).checkpoint()
+        found = components(nodes, links).checkpoint()
     degree = links.select(F.col("a").alias("n")).union(links.select(F.col("b").alias("n"))).groupBy("n") \
         .agg(F.count("*").alias("n_links"))
     return member.join(found.withColumnRenamed("node", "rep"), "rep", "left") \
