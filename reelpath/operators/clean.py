@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelpath.functions.labels import CONTENT_TYPES_ALL, valid_number
+from reelpath.functions.labels import CONTENT_TYPES_ALL
 
 # The search actions kept by the search flow (the intended list;
 # the reference's source fuses two of them through a missing comma)
@@ -71,11 +71,6 @@ def search_actions(df: DataFrame, actions=SEARCH_ACTIONS,
     return df.filter(F.col(col).isin(*actions))
 
 
-def valid_aggregate(df: DataFrame, col: str) -> DataFrame:
-    """not null and not NaN (after an aggregation)."""
-    return df.filter(valid_number(F.col(col)))
-
-
 def keep_keys(df: DataFrame, keys: DataFrame, on: list[str] | str) -> DataFrame:
     """F18 (positive): ``key IN (keys)`` as a left-semi join (no driver list)."""
     return df.join(keys, on, "left_semi")

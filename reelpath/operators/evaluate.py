@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from reelpath.functions.labels import scaled_1_100
 from reelpath.operators.diagnose import ACCURACY, quantile_row, quantile_rows, side_by_side
+from reelpath.operators.indexing import restrict_to_users
 
 
 def per_user_metrics(preds: DataFrame, truth: DataFrame, k: int,
@@ -170,8 +171,7 @@ def evaluated_users(preds: DataFrame, truth: DataFrame, train: DataFrame,
                     user_col: str = "userIndex") -> DataFrame:
     """Truth restricted to train users (semi-join) joined to predictions:
     per user, predicted and actual counts."""
-    t = truth.join(train.select(user_col), user_col, "left_semi")
-    tn = t.groupBy(user_col).agg(F.count(F.lit(1)).alias("n_actual"))
+    tn = restrict_to_users(truth, train, user_col).groupBy(user_col).agg(F.count(F.lit(1)).alias("n_actual"))
     pn = preds.groupBy(user_col).agg(F.count(F.lit(1)).alias("n_predicted"))
     return pn.join(tn, user_col)
 

@@ -48,8 +48,11 @@ def sample_users(df: DataFrame, percent: int, seed: int = 42, user_col: str = "u
 
 
 def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    """T3 (rows): Bernoulli sample (``DataFrame.sample``)."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+    """T3 (rows): rows whose md5 with the seed falls under ``fraction``, so the
+    sample is the same on any cluster; ``_h`` carries the hash."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in df.columns])
+    keyed = df.withColumn("_h", F.md5(text.cast("binary")))
+    return keyed.where(F.conv(F.substring("_h", 1, 8), 16, 10).cast("double") / float(1 << 32) < fraction)
 
 
 def sampled_train_test(train: DataFrame, test: DataFrame, percent: int = 5, seed: int = 42,

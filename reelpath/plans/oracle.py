@@ -591,6 +591,8 @@ ORACLE_SQL.update({
             ("user_lookup", "user_lookup", "userId", "userIndex"), ("item_lookup", "item_lookup", "item_id", "itemIndex"),
             ("combined_train", "merged_train", "userId", "item_id"), ("combined_test", "merged_test", "userId", "item_id"),
             ("metadata", "metadata", "item_id", "title"), ("item_popularity", "popularity", "item_id", "user_count")))),
+    "known_item_test": with_stages("""
+        SELECT userId, item_id FROM merged_test WHERE item_id IN (SELECT item_id FROM merged_train)"""),
     "listed_days": with_stages("""
         SELECT userId, item_id, total_play_time_sec, day FROM playtime
         WHERE day IN (DATE '2024-01-03', DATE '2024-01-04')"""),

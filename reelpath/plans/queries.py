@@ -362,6 +362,14 @@ def leak_scrubbed_test(spark, sf_dir):
                      ["userId", "item_id"])
 
 
+@query("known_item_test")
+def known_item_test(spark, sf_dir):
+    """F18 (positive): test pairs whose item occurs in train."""
+    from reelpath.operators.clean import keep_keys
+    wb = _wb(spark, sf_dir)
+    return keep_keys(wb.merged_test(), wb.merged_train().select("item_id"), "item_id").select("userId", "item_id")
+
+
 @query("signal_bounds")
 def signal_bounds(spark, sf_dir):
     """A21 + A22: bounds and conditional counts of the final train weights."""
@@ -572,8 +580,9 @@ def novel_by_arrays(spark, sf_dir):
 def titled_recs(spark, sf_dir):
     """I4 + J6 + J13 + M9: top-15 decoded to user and item names with titles."""
     wb = _wb(spark, sf_dir)
+    from reelpath.operators.indexing import decode_items
     titles = wb.metadata().groupBy("item_id").agg(F.min("title").alias("title"))
-    named = _names(wb, wb.sim_top(K)).join(titles, "item_id", "left")
+    named = decode_items(wb.sim_top(K), wb.lookups()[1], titles).join(wb.lookups()[0], "userIndex")
     return rounded(named.select("userId", "item_id", "title", "total_score",
                                 F.col("rank").cast("int").alias("rank")))
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from reelpath.session import checkpoint_root
 
@@ -81,9 +80,7 @@ def export_sample_csv(df: DataFrame, path: str, fraction: float = 0.001, n: int
     A row is in when the md5 of its values and the seed falls under
     ``fraction``, so the extract is the same on any cluster; of more than ``n``
     the smallest hashes stay."""
-    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in df.columns])
-    keyed = df.withColumn("_h", F.md5(text.cast("binary")))
-    share = F.conv(F.substring("_h", 1, 8), 16, 10).cast("double") / float(1 << 32)
-    keyed.where(share < fraction).orderBy("_h", *df.columns).limit(n).drop("_h").write.mode("overwrite").option(
+    from reelpath.operators.features import sample_rows
+    sample_rows(df, fraction, seed).orderBy("_h", *df.columns).limit(n).drop("_h").write.mode("overwrite").option(
         "header", "true").csv(path)
     return path

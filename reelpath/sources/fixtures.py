@@ -2,7 +2,7 @@
 
 Each view exists twice: as a Spark ``DataFrame`` builder and as a DuckDB SQL
 body (``FIXTURE_SQL``) used by the oracle queries.  The two must stay in
-step; ``tests/test_fixtures.py`` checks that they agree.
+step; ``tests/test_fixtures_streaming.py`` checks that they agree.
 
 The mapping (FIXTURES.md):
 
