@@ -1,6 +1,5 @@
 """Words, n-grams and edge cases that every operator shares."""
 
-import numpy as np
 import pyarrow as pa
 import pytest
 
