@@ -14,9 +14,9 @@ Texts are range-partitioned by ``doc_id`` before they are encoded, so the ids
 themselves never pass a shuffle.  Encoding cuts a text at single spaces between
 two other characters: byte-level BPE always starts a new pre-token there, so a
 piece (one word, its leading space included) has the same ids alone and within
-the text.  Pieces are looked up in a bounded per-task table and only new pieces
-go to the tokenizer.  Texts with other white space next to a space are encoded
-whole.
+the text.  Pieces are looked up in a bounded table per worker and only new pieces
+go to the tokenizer.  Texts with other white space next to a space, or white
+space beyond ASCII, are encoded whole.
 
 Defined cases: a null or empty text has the end id alone; rows that repeat a
 ``doc_id`` are separate rows, ordered by their text's hash; a null ``doc_id``
@@ -33,16 +33,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from reelpath.llm.common import Words, text_pieces
 from reelpath.session import scratch_path
 
 END_ID = 0
 ROW_INDEX_STRIDE = 1_000
 STRIPE_BYTES = 16 << 20
 BLOOM_FPP = 0.01
-#: pieces remembered per task
-TABLE_PIECES = 400_000
-#: rows per record batch given back, so that a batch of long documents stays small
-OUT_IDS = 1 << 20
+#: pieces remembered per Python worker
+TABLE_PIECES = 1_000_000
+#: new pieces given to the tokenizer at a time
+LEARN_PIECES = 4_000
 
 SCHEMA = "doc_id long, file_start long, n_tokens long, ids array<int>"
 
@@ -52,97 +53,168 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def space_table() -> np.ndarray:
+    t = np.ones(256, bool)
+    t[32] = False
+    return t
+
+
+def odd_documents(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Documents in which a space stands at an end or beside other white space,
+    or which have white space beyond ASCII; these are encoded whole."""
+    n = len(buf)
+    space = buf == 32
+    white = ((buf >= 9) & (buf <= 13)) | ((buf >= 28) & (buf <= 31)) | space
+    bad = np.zeros(n + 1, bool)
+    if n > 1:
+        bad[1:n] = (space[1:] & white[:-1]) | (white[1:] & space[:-1])
+    filled = offs[:-1] < offs[1:]
+    bad[offs[:-1][filled]] = space[offs[:-1][filled]]
+    bad[offs[1:][filled] - 1] |= space[offs[1:][filled] - 1]
+    for at in np.flatnonzero((buf == 0xC2) | (buf == 0xE1) | (buf == 0xE2) | (buf == 0xE3)):
+        if bytes(buf[at:at + 2]) in (b"\xc2\x85", b"\xc2\xa0") or bytes(buf[at:at + 3]).decode(errors="replace").isspace():
+            bad[at] = True
+    return np.unique(np.searchsorted(offs, np.flatnonzero(bad), side="right") - 1)
+
+
 class PieceEncoder:
-    """Encodes texts piece by piece with a table of known pieces."""
+    """Encodes texts piece by piece with a table of known pieces.
+
+    Pieces are found and told apart by hash in numpy; the tokenizer sees each
+    new piece once, many joined into one text: a piece has one space, its first
+    character, so its tokens start at the token that begins with a space."""
 
     def __init__(self, tokenizer, table_pieces: int = TABLE_PIECES):
-        import re
         self.tokenizer, self.limit = tokenizer, table_pieces
-        self.odd = re.compile(r"\s \S|\S \s|\s  |  \s|^ | $|  ").search
-        self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        self.special = [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.opens[[i for v, i in vocabulary.items() if v.startswith("\u0120")]] = True     # its sign for a space
+        self.table = space_table()
         self.reset()
 
     def reset(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat = np.zeros(1 << 16, np.int32)
-        self.ends = np.zeros(1 << 14, np.int64)
-        self.used = 0
-
-    def learn(self, pieces: list[str]) -> None:
-        coded = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        lens = np.fromiter(map(len, coded), np.int64, len(coded))
-        n, total = len(self.known), int(lens.sum())
+        """Forget all pieces.  The table is two sorted arrays (hash, place) and
+        the ids by place; it takes about 40 bytes a piece."""
+        self.keys, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.flat, self.ends = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64)
+        self.used = self.count = 0
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key, -1 for new ones."""
+        if not len(self.keys):
+            return np.full(len(keys), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.place[at], -1).astype(np.int64)
+
+    def add(self, keys: np.ndarray, ids: np.ndarray, lens: np.ndarray) -> None:
+        n, total = self.count, len(ids)
         while self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while n + len(pieces) + 1 > len(self.ends):
+        while n + len(keys) + 1 > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.flat[self.used:self.used + total] = [i for ids in coded for i in ids]
-        self.ends[n + 1:n + 1 + len(pieces)] = self.used + np.cumsum(lens)
-        self.known.update(zip(pieces, range(n, n + len(pieces))))
+        self.flat[self.used:self.used + total] = ids
+        self.ends[n + 1:n + 1 + len(keys)] = self.used + np.cumsum(lens)
         self.used += total
+        self.count += len(keys)
+
+    def learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
+        """Encode new pieces (``keys`` sorted) and put them into the table."""
+        first = self.count
+        alone = [k for k, p in enumerate(pieces) if p[:1] != b" " or p[-1:].isspace()]
+        for lo in range(0, len(alone), LEARN_PIECES):
+            part = alone[lo:lo + LEARN_PIECES]
+            coded = [e.ids for e in self.tokenizer.encode_batch_fast([pieces[k].decode() for k in part],
+                                                                     add_special_tokens=False)]
+            self.add(keys[part], np.array([i for ids in coded for i in ids], np.int32),
+                     np.fromiter(map(len, coded), np.int64, len(coded)))
+        left = np.ones(len(pieces), bool)
+        left[alone] = False
+        joined = np.flatnonzero(left)
+        for lo in range(0, len(joined), LEARN_PIECES):
+            part = joined[lo:lo + LEARN_PIECES]
+            text = b"".join([pieces[k] for k in part.tolist()]).decode()
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+            starts = np.flatnonzero(self.opens[ids])
+            self.add(keys[part], ids, np.diff(np.append(starts, len(ids))))
+        fresh = np.concatenate([keys[alone], keys[joined]])
+        every = np.concatenate([self.keys, fresh])
+        order = np.argsort(every, kind="stable")
+        self.keys = every[order]
+        self.place = np.concatenate([self.place, np.arange(first, self.count, dtype=np.int32)])[order]
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids, ids per text) of ``texts``."""
-        pieces: list[str] = []
-        counts = []
-        whole: dict[int, list[int]] = {}
-        for k, t in enumerate(texts):
-            if not t:
-                counts.append(0)
-            elif self.odd(t) or any(s in t for s in self.special):
-                whole[k] = self.tokenizer.encode(t, add_special_tokens=False).ids
-                counts.append(0)
-            else:
-                first, *rest = t.split(" ")
-                pieces.append(first)
-                pieces += [" " + p for p in rest]
-                counts.append(1 + len(rest))
-        new = list(set(pieces) - self.known.keys())
-        if len(self.known) + len(new) > self.limit and self.known:
+    def encode(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, ids per document) of a text piece (see ``text_pieces``)."""
+        raw = buf.tobytes()
+        whole = set(odd_documents(buf, offs).tolist())
+        for s in self.special:
+            at = raw.find(s)
+            while at >= 0:
+                whole.add(int(np.searchsorted(offs, at, side="right")) - 1)
+                at = raw.find(s, at + 1)
+        w = Words(buf, offs, self.table)
+        docs = w.docs()
+        keep = ~np.isin(docs, list(whole)) if whole else np.ones(len(docs), bool)
+        spaced = w.starts > offs[docs]
+        keys = w.hashes() * np.uint64(2) + spaced.astype(np.uint64)
+        distinct, first, inv = np.unique(keys[keep], return_index=True, return_inverse=True)
+        at = self.places(distinct)
+        new = np.flatnonzero(at < 0)
+        if self.count + len(new) > self.limit:
             self.reset()
-            new = list(set(pieces))
-        if new:
-            self.learn(new)
-        at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-        lo, hi = self.ends[at], self.ends[at + 1]
-        lens = hi - lo
-        ids = self.flat[np.repeat(lo - np.concatenate([[0], np.cumsum(lens)[:-1]]), lens) + np.arange(int(lens.sum()))] \
-            if len(at) else np.zeros(0, np.int32)
-        cuts = np.concatenate([[0], np.cumsum(lens)])[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
-        per = np.diff(cuts)
+            new = np.arange(len(distinct))
+        if len(new):
+            where = np.flatnonzero(keep)[first[new]]
+            lo, hi = (w.starts[where] - spaced[where]).tolist(), w.ends[where].tolist()
+            self.learn(distinct[new], [raw[a:b] for a, b in zip(lo, hi)])
+            at[new] = self.places(distinct[new])
+        lo = self.ends[at][inv]
+        lens = self.ends[at + 1][inv] - lo
+        out_at = np.cumsum(lens) - lens
+        ids = self.flat[np.repeat(lo - out_at, lens) + np.arange(int(lens.sum()))]
+        per = np.bincount(docs[keep], weights=lens, minlength=len(offs) - 1).astype(np.int64)
         if whole:
-            parts = np.split(ids, cuts[1:-1])
-            for k, more in whole.items():
-                parts[k] = np.asarray(more, np.int32)
+            parts = np.split(ids, np.cumsum(per)[:-1])
+            for d in whole:
+                if d < len(parts):
+                    text = raw[offs[d]:offs[d + 1]].decode()
+                    parts[d] = np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
             per = np.fromiter(map(len, parts), np.int64, len(parts))
             ids = np.concatenate(parts)
         return ids, per
 
 
+def worker_encoder(tokenizer_path: str) -> PieceEncoder:
+    """The encoder of this Python worker: the tasks it runs one after another
+    share the tokenizer and the table of known pieces."""
+    import os
+    import sys
+    import types
+
+    from tokenizers import Tokenizer
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"           # Spark runs one task per core
+    held = sys.modules.setdefault("_reelpath_worker", types.ModuleType("_reelpath_worker")).__dict__
+    if held.get("path") != tokenizer_path:
+        held.update(path=tokenizer_path, encoder=PieceEncoder(Tokenizer.from_file(tokenizer_path)))
+    return held["encoder"]
+
+
 def encoder(tokenizer_path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-        enc = PieceEncoder(Tokenizer.from_file(tokenizer_path))
+        enc = worker_encoder(tokenizer_path)
         start = 0
         for b in batches:
-            texts = b.column("text").to_pylist()
-            lo = 0
-            while lo < len(texts):
-                hi, chars = lo, 0
-                while hi < len(texts) and (hi == lo or chars + len(texts[hi] or "") <= OUT_IDS):
-                    chars += len(texts[hi] or "")
-                    hi += 1
-                ids, per = enc.encode(texts[lo:hi])
+            for lo, hi, buf, offs in text_pieces(b.column("text")):
+                ids, per = enc.encode(buf, offs)
                 # the end id goes after each document's ids
                 ids = np.insert(ids, np.cumsum(per), end_id).astype(np.int32)
                 per = per + 1
-                offs = np.concatenate([[0], np.cumsum(per)])
+                ends = np.concatenate([[0], np.cumsum(per)])
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").slice(lo, hi - lo).cast(pa.int64()), pa.array(start + offs[:-1]), pa.array(per),
-                     pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(ids))],
+                    [b.column("doc_id").slice(lo, hi - lo).cast(pa.int64()), pa.array(start + ends[:-1]), pa.array(per),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))],
                     names=["doc_id", "file_start", "n_tokens", "ids"])
-                start += int(offs[-1])
-                lo = hi
+                start += int(ends[-1])
     return run
 
 
