@@ -18,15 +18,16 @@ by weighted Jaccard similarity of ``THRESHOLD`` or more over ``1 + log tf``; the
 idf is left out here, because a large group of near copies makes its own
 shingles common and would hide behind its own popularity.
 
-The classes are the connected components of the verified links.  No bucket of a
-band expands into all its pairs.  First every member of a bucket is verified
-against the bucket's smallest id; then, in rounds, each bucket whose members
-still lie in different classes names up to ``NAMED`` members, chosen by hash,
-and the members of other classes are verified against those.  A bucket of up to
-``NAMED[-1]`` members is thereby verified whole.  In a larger bucket two texts
-stay apart if they are similar to each other but to none of the members named
-in any of their ``BANDS`` buckets, nor to a text that links them; the README
-gives the measured share.
+The classes are the connected components of the verified links.  First every
+member of a bucket is verified against the bucket's smallest id; then, in
+rounds, each bucket whose members still lie in different classes names up to
+``NAMED`` members, chosen by hash, and the members of other classes are verified
+against those.  These rounds only save work.  The finish is exact: over all
+members of buckets that are still split, a prefix-filter join on the shingles
+gives every pair of different classes that can reach ``THRESHOLD``, and these
+are verified.  Texts list their shingles rarest first.  The first shingle that
+two texts share bounds their common weight by what either text has from there
+on, so a pair is left out only where that bound already rules it out.
 
 Defined cases: a text of one to four words is a single shingle; texts without a
 word are copies only of exactly equal texts (null and empty are equal); rows
@@ -55,7 +56,9 @@ BLOCKS = 64
 BANDS = 12
 ROWS = 4
 TABLE_BITS = 14
-#: members that a bucket names in each round
+#: room for rounding in the bounds of the finish
+SLACK = 1e-6
+#: members that a bucket names in each linking round
 NAMED = (4, 16)
 
 
@@ -201,6 +204,16 @@ def _similarity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["a", "b", "similarity"])
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` checkpointed, without the size estimate of the plan behind it.
+
+    A checkpoint keeps that estimate, and joins multiply estimates: over rounds
+    the driver would come to spend minutes on numbers of millions of digits."""
+    done, spark = df.checkpoint(), df.sparkSession
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(
+        done._jdf.queryExecution().toRdd(), done._jdf.schema(), False), spark)
+
+
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose similarity reaches ``THRESHOLD``."""
     one = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("h1"), F.col("weights").alias("w1"))
@@ -209,23 +222,62 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         .mapInArrow(_similarity, "a long, b long, similarity double").where(F.col("similarity") >= THRESHOLD)
 
 
+def _prefixes(idf: np.ndarray):
+    """Rows (gram, rest): the shingles, rarest first, from which on a text still
+    holds ``THRESHOLD`` of its weight, with the weight from there on."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, labels = b.column("doc_id").to_numpy(), b.column("class").to_numpy()
+            at, grams, rests, totals = [], [], [], []
+            for i in range(b.num_rows):
+                h = np.frombuffer(b.column("hashes")[i].as_buffer(), np.uint64)
+                w = np.frombuffer(b.column("weights")[i].as_buffer(), np.float32).astype(np.float64)
+                order = np.lexsort((h, -idf[(h >> np.uint64(64 - BITS)).astype(np.int64)]))
+                rest = np.cumsum(w[order][::-1])[::-1]
+                n = int((rest >= THRESHOLD * rest[0] * (1 - SLACK)).sum()) if len(rest) else 0
+                grams.append(h[order[:n]].astype(np.int64))
+                rests.append(rest[:n])
+                at.append(np.full(n, i))
+                totals.append(np.full(n, rest[0] if n else 0.0))
+            if at:
+                at = np.concatenate(at)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[at]), pa.array(labels[at]), *(pa.array(np.concatenate(x)) for x in (grams, rests, totals))],
+                    names=["doc_id", "class", "gram", "rest", "total"])
+    return run
+
+
+def unlinked_pairs(members: DataFrame, sets: DataFrame, idf: np.ndarray) -> DataFrame:
+    """Every pair (a, b) of ``members`` (doc_id, class) in different classes that
+    can reach ``THRESHOLD``; exact, whatever the size of a bucket."""
+    p = sets.join(members, "doc_id").select("doc_id", "class", "hashes", "weights") \
+        .mapInArrow(_prefixes(idf), "doc_id long, class long, gram long, rest double, total double").transform(settled)
+    mixed = p.groupBy("gram").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("gram")
+    p = p.join(mixed, "gram").transform(settled)
+    x, y = (p.select("gram", *(F.col(c).alias(c + k) for c in ("doc_id", "class", "rest", "total"))) for k in "12")
+    need = THRESHOLD / (1 + THRESHOLD) * (1 - SLACK)
+    can = (F.col("doc_id1") < F.col("doc_id2")) & (F.col("class1") != F.col("class2")) & \
+        (F.least("rest1", "rest2") >= need * (F.col("total1") + F.col("total2")))
+    return x.join(y, (x["gram"] == y["gram"]) & can).select(F.col("doc_id1").alias("a"), F.col("doc_id2").alias("b")).distinct()
+
+
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(node, class): the smallest node reachable over ``links`` (a, b).
 
     Each round gives a node the smallest label among its neighbours and then
     the label of its label, so label chains halve; it ends when none changes."""
     label = nodes.select("node", F.col("node").alias("class"))
-    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
+    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().transform(settled)
     if both.isEmpty():
         return label
-    touched = both.select(F.col("a").alias("node")).distinct().withColumn("class", F.col("node")).checkpoint()
+    touched = both.select(F.col("a").alias("node")).distinct().withColumn("class", F.col("node")).transform(settled)
     while True:
         seen = both.join(touched.select(F.col("node").alias("b"), "class"), "b").groupBy(F.col("a").alias("node")) \
             .agg(F.min("class").alias("near"))
         step = touched.join(seen, "node").select("node", F.col("class").alias("old"),
-                                                 F.least("class", "near").alias("class")).checkpoint()
+                                                 F.least("class", "near").alias("class")).transform(settled)
         jump = step.select(F.col("node").alias("class"), F.col("class").alias("far"))
-        nxt = step.join(jump, "class").select("node", F.least("class", "far").alias("class"), "old").checkpoint()
+        nxt = step.join(jump, "class").select("node", F.least("class", "far").alias("class"), "old").transform(settled)
         changed = nxt.where("class <> old").limit(1).count()
         touched = nxt.select("node", "class")
         if not changed:
@@ -234,6 +286,24 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return label.join(rest, "node", "left").select("node", F.coalesce("found", "class").alias("class"))
 
 
+def relabelled(found: DataFrame, links: DataFrame) -> DataFrame:
+    """``found`` (node, class) after further links (a, b); only the classes that
+    they touch are walked."""
+    ends = [found.select(F.col("node").alias(c), F.col("class").alias("class_" + c)) for c in "ab"]
+    pairs = links.join(ends[0], "a").join(ends[1], "b").where("class_a <> class_b") \
+        .select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct().transform(settled)
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    to = components(nodes, pairs).select(F.col("node").alias("class"), F.col("class").alias("to")).transform(settled)
+    return found.join(broadcast_if_small(to), "class", "left").select("node", F.coalesce("to", "class").alias("class"))
+
+
+def still_split(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one class, with their class."""
+    placed = shared.join(found.select(F.col("node").alias("doc_id"), "class"), "doc_id")
+    split = placed.groupBy("band", "key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi")
+    return placed.join(split.select("band", "key"), ["band", "key"])
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """(doc_id, copy_of, class_id, n_links): per document the smallest id with an
     equal text, its class, and the number of verified links of its text."""
@@ -245,33 +315,34 @@ def classes(docs: DataFrame) -> DataFrame:
         .mapInArrow(_sign(idf), "doc_id long, copy binary, n_shingles long, bands array<long>")
     # rows that repeat an id are one document, by its smallest text hash
     signed = signed.groupBy("doc_id").agg(F.min(F.struct("copy", "n_shingles", "bands")).alias("s")) \
-        .select("doc_id", "s.*").checkpoint()
+        .select("doc_id", "s.*").transform(settled)
     reps = signed.groupBy("copy").agg(F.min("doc_id").alias("rep"))
-    member = signed.select("doc_id", "copy").join(reps, "copy").select("doc_id", "rep").checkpoint()
+    member = signed.select("doc_id", "copy").join(reps, "copy").select("doc_id", "rep").transform(settled)
     texts = signed.join(broadcast_if_small(reps.select(F.col("rep").alias("doc_id"))), "doc_id", "left_semi") \
         .where("n_shingles > 0")
     keys = texts.select("doc_id", F.posexplode("bands").alias("band", "key"))
     size = keys.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("doc_id").alias("low")).where("n > 1")
-    shared = keys.join(size.drop("n"), ["band", "key"]).checkpoint()
-    first = shared.where("doc_id <> low").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct().checkpoint()
-    wanted = first.select(F.col("a").alias("doc_id")).union(first.select(F.col("b").alias("doc_id"))).distinct().checkpoint()
+    shared = keys.join(size.drop("n"), ["band", "key"]).transform(settled)
+    first = shared.where("doc_id <> low").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct().transform(settled)
+    wanted = first.select(F.col("a").alias("doc_id")).union(first.select(F.col("b").alias("doc_id"))).distinct().transform(settled)
     rows = base.join(broadcast_if_small(wanted), "doc_id", "left_semi")
     sets = rows.mapInArrow(_weighted_sets, "doc_id long, hashes binary, weights binary") \
-        .groupBy("doc_id").agg(F.min(F.struct("hashes", "weights")).alias("s")).select("doc_id", "s.*").checkpoint()
+        .groupBy("doc_id").agg(F.min(F.struct("hashes", "weights")).alias("s")).select("doc_id", "s.*").transform(settled)
     nodes = wanted.select(F.col("doc_id").alias("node"))
-    links = verify(first, sets).checkpoint()
-    found = components(nodes, links).checkpoint()
+    links = verify(first, sets).transform(settled)
+    found = components(nodes, links).transform(settled)
     for named in NAMED:
-        placed = shared.join(found.select(F.col("node").alias("doc_id"), "class"), "doc_id")
-        split = placed.groupBy("band", "key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi")
-        open_ = placed.join(split.select("band", "key"), ["band", "key"]).checkpoint()
+        open_ = still_split(shared, found).transform(settled)
         order = Window.partitionBy("band", "key").orderBy(F.xxhash64("doc_id", F.lit(named)), "doc_id")
         to = open_.withColumn("r", F.row_number().over(order)).where(F.col("r") <= named) \
             .select("band", "key", F.col("doc_id").alias("to"), F.col("class").alias("to_class"))
         pairs = open_.join(to, ["band", "key"]).where("class <> to_class").select(
             F.least("doc_id", "to").alias("a"), F.greatest("doc_id", "to").alias("b")).distinct()
-        links = links.union(verify(pairs, sets)).checkpoint()
-        found = components(nodes, links).checkpoint()
+        more = verify(pairs, sets).transform(settled)
+        links, found = links.union(more), relabelled(found, more).transform(settled)
+    left = still_split(shared, found).select("doc_id", "class").distinct().transform(settled)
+    more = verify(unlinked_pairs(left, sets, idf), sets).transform(settled)
+    links, found = links.union(more).distinct(), relabelled(found, more).transform(settled)
     degree = links.select(F.col("a").alias("n")).union(links.select(F.col("b").alias("n"))).groupBy("n") \
         .agg(F.count("*").alias("n_links"))
     return member.join(found.withColumnRenamed("node", "rep"), "rep", "left") \
@@ -283,5 +354,5 @@ def classes(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` per class: that of the class's smallest id.  Rows
     without an id stay; rows that repeat the id stay together."""
-    gone = classes(docs).where("doc_id <> class_id").select("doc_id").checkpoint()
+    gone = classes(docs).where("doc_id <> class_id").select("doc_id").transform(settled)
     return docs.join(broadcast_if_small(gone), "doc_id", "left_anti").select(*docs.columns)

@@ -151,6 +151,19 @@ def test_near_duplicates_equal_brute_force(spark):
     assert all(find(i) == find(c) for i, c in cls.items())
 
 
+def test_a_large_bucket_is_compared_whole(spark, monkeypatch):
+    def one_bucket(idf, sign=near_dup._sign):
+        def run(batches):
+            for b in sign(idf)(batches):
+                bands = pa.array([[1]] * b.num_rows, pa.list_(pa.int64()))
+                yield b.set_column(b.schema.get_field_index("bands"), "bands", bands)
+        return run
+    monkeypatch.setattr(near_dup, "_sign", one_bucket)
+    texts = [" ".join(f"w{pair}x{k}" for k in range(60)) + f" end{pair}x{side}" for pair in range(40) for side in range(2)]
+    got = {r.doc_id: r.class_id for r in near_dup.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i in range(80)}
+
+
 # -- 4 mixing
 
 def test_mix_equals_sql(spark):
