@@ -21,13 +21,16 @@ products are exact while they stay below 2^53; an empty table gives no rows.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelpath.llm.common import broadcast_if_small
 from reelpath.session import checkpoint_root
 
 K = 20
@@ -54,8 +57,10 @@ def scaled_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
 
 
 def _pack(rows_per_block: int):
-    """Sorted vector rows to blocks of one dimension."""
+    """Sorted vector rows to blocks of one dimension, numbered by partition and
+    counter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = itertools.count(TaskContext.get().partitionId() << 32)
         held: dict[int, list] = {}
 
         def block(dim):
@@ -64,9 +69,9 @@ def _pack(rows_per_block: int):
             with np.errstate(divide="ignore", invalid="ignore"):
                 reach = np.where(bounds > 0, bounds / norms, -1.0).min()
             return pa.RecordBatch.from_arrays(
-                [pa.array([dim], pa.int32()), pa.array([norms.max()]), pa.array([reach]),
+                [pa.array([next(number)], pa.int64()), pa.array([dim], pa.int32()), pa.array([norms.max()]), pa.array([reach]),
                  *(pa.array([x.tobytes()], pa.binary()) for x in (ids, vecs, bounds))],
-                names=["dim", "top", "reach", "ids", "vecs", "bounds"])
+                names=["bucket", "dim", "top", "reach", "ids", "vecs", "bounds"])
 
         for b in batches:
             dims = b.column("dim").to_numpy()
@@ -97,7 +102,7 @@ def packed(vectors: DataFrame, rows_per_block: int) -> DataFrame:
     v = vectors if "bound" in vectors.columns else vectors.withColumn("bound", F.lit(float("-inf")))
     order = ["dim", F.desc("norm"), "vec_id"]
     return v.repartitionByRange(*order).sortWithinPartitions(*order).select("vec_id", "v", "dim", "bound") \
-        .mapInArrow(_pack(rows_per_block), "dim int, top double, reach double, ids binary, vecs binary, bounds binary")
+        .mapInArrow(_pack(rows_per_block), "bucket long, dim int, top double, reach double, ids binary, vecs binary, bounds binary")
 
 
 def best_of(scores: np.ndarray, q: np.ndarray, ids: np.ndarray, cols: np.ndarray, k: int):
@@ -173,11 +178,14 @@ def _pairs(queries: DataFrame, buckets: DataFrame, k: int) -> DataFrame:
     Buckets are dealt to groups of ``GROUP_BUCKETS``; a query block goes to
     each group of its dimension, so the work spreads however few dimensions
     there are."""
-    n = F.row_number().over(Window.orderBy("dim", F.desc("top"), "ids"))   # one row per bucket
-    b = buckets.withColumn("grp", F.floor((n - 1) / GROUP_BUCKETS))
+    # numbered without the vectors, which stay where they are until the join
+    n = F.row_number().over(Window.orderBy("dim", F.desc("top"), "bucket"))
+    groups = buckets.select("bucket", "dim", "top").withColumn("grp", F.floor((n - 1) / GROUP_BUCKETS)) \
+        .select("bucket", "dim", "grp")
+    b = buckets.join(broadcast_if_small(groups.select("bucket", "grp"), buckets.count()), "bucket")
     q = queries.select("dim", F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs"),
                        F.col("bounds").alias("q_bounds"), "reach")
-    q = q.join(F.broadcast(b.select("dim", "grp").distinct()), "dim")
+    q = q.join(F.broadcast(groups.select("dim", "grp").distinct()), "dim")
     live = F.col("top") >= F.col("reach") * (1 - 1e-9)
     return q.join(b.select("dim", "grp", "top", "ids", "vecs"), ["dim", "grp"]).where(live) \
         .select("dim", "q_ids", "q_vecs", "q_bounds", "ids", "vecs").mapInArrow(_search(k), HITS)
@@ -196,8 +204,8 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFram
     checkpoint_root(vectors.sparkSession)
     queries = queries.groupBy("vec_id").agg(F.min(F.struct("v", "dim", "norm")).alias("q")).select("vec_id", "q.*")
     buckets = packed(vectors, BUCKET_ROWS).checkpoint()
-    longest = Window.partitionBy("dim").orderBy(F.desc("top"), "ids")
-    seed = buckets.withColumn("r", F.row_number().over(longest)).where("r = 1").drop("r")
+    longest = buckets.groupBy("dim").agg(F.max(F.struct("top", "bucket")).alias("m")).select("m.bucket")
+    seed = buckets.join(F.broadcast(longest), "bucket", "left_semi").checkpoint()
     first = _ranked(_pairs(packed(queries, QUERY_ROWS), seed, k), k)
     bound = first.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("bound")).where(F.col("n") == k)
     known = queries.join(bound.select(F.col("query_id").alias("vec_id"), F.col("bound").cast("double")), "vec_id", "left") \
