@@ -1,7 +1,11 @@
 """Near duplicates: improved consistent weighted sampling over TF-IDF shingles.
 
 A document is the weighted set of its shingles of five words; a shingle weighs
-``(1 + log tf) * idf``.  Document frequencies are counted over all documents in
+``(1 + log tf) * (1 + DAMP * idf / largest idf)``, in the sketches and in the
+verification alike, so the bands reach every pair that verification accepts with
+the probability of its verified similarity.  The idf is damped, because a large
+group of near copies makes its own shingles common and would hide behind its own
+popularity.  Document frequencies are counted over all documents in
 ``2^BITS`` hashed classes of shingles (feature hashing), a table of fixed size.
 A class then holds about ``documents * shingles / 2^BITS`` occurrences, so the
 idf of a rare shingle is ``log(2^BITS / shingles per document)`` at every corpus
@@ -14,9 +18,7 @@ that its hash indexes, with other bits for each sample.  ``ROWS`` samples make
 a band; documents that share a band are candidates.
 
 Exact copies (equal lower-case text) collapse first.  Candidates are verified
-by weighted Jaccard similarity of ``THRESHOLD`` or more over ``1 + log tf``; the
-idf is left out here, because a large group of near copies makes its own
-shingles common and would hide behind its own popularity.
+by weighted Jaccard similarity of ``THRESHOLD`` or more.
 
 The classes are the connected components of the verified links.  First every
 member of a bucket is verified against the bucket's smallest id; then, in
@@ -56,6 +58,8 @@ BLOCKS = 64
 BANDS = 12
 ROWS = 4
 TABLE_BITS = 14
+#: weight that the rarest shingle has over a shingle of every document
+DAMP = 0.1
 #: room for rounding in the bounds of the finish
 SLACK = 1e-6
 #: members that a bucket names in each linking round
@@ -110,6 +114,10 @@ def idf_table(docs: DataFrame) -> np.ndarray:
     return np.log(1 + n / np.maximum(df, 1)).astype(np.float32)
 
 
+def shingle_weights(g: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    return (1 + np.log(tf)) * (1 + DAMP * idf[(g >> np.uint64(64 - BITS)).astype(np.int64)] / idf.max())
+
+
 def sampling_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """r and log c (Gamma(2, 1)) and beta (uniform) per sample and table entry."""
     size = (BANDS * ROWS, 1 << TABLE_BITS)
@@ -157,8 +165,7 @@ def _sign(idf: np.ndarray):
             words = []
             for lo, hi, buf, offs in text_pieces(b.column("text"), 1 << 20):
                 d, g, tf = shingles(buf, offs, table)
-                w = (1 + np.log(tf)) * idf[(g >> np.uint64(64 - BITS)).astype(np.int64)]
-                keys.append(weighted_samples(d, g, w, hi - lo, tables))
+                keys.append(weighted_samples(d, g, shingle_weights(g, tf, idf), hi - lo, tables))
                 words.append(np.bincount(d, minlength=hi - lo))
             keys = np.concatenate(keys).astype(np.int64) if keys else np.zeros((0, BANDS), np.int64)
             offsets = np.arange(len(keys) + 1, dtype=np.int32) * BANDS
@@ -169,19 +176,21 @@ def _sign(idf: np.ndarray):
     return run
 
 
-def _weighted_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _weighted_sets(idf: np.ndarray):
     """Packed (hash, weight) arrays of each document, for verification."""
-    table = word_bytes()
-    for b in batches:
-        hs, ws = [], []
-        for lo, hi, buf, offs in text_pieces(b.column("text")):
-            d, g, tf = shingles(buf, offs, table)
-            w = (1 + np.log(tf)).astype(np.float32)
-            cut = np.searchsorted(d, np.arange(hi - lo + 1))
-            hs += [g[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:])]
-            ws += [w[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:])]
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(hs, pa.binary()), pa.array(ws, pa.binary())],
-                                         names=["doc_id", "hashes", "weights"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = word_bytes()
+        for b in batches:
+            hs, ws = [], []
+            for lo, hi, buf, offs in text_pieces(b.column("text")):
+                d, g, tf = shingles(buf, offs, table)
+                w = shingle_weights(g, tf, idf).astype(np.float32)
+                cut = np.searchsorted(d, np.arange(hi - lo + 1))
+                hs += [g[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:])]
+                ws += [w[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:])]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(hs, pa.binary()), pa.array(ws, pa.binary())],
+                                             names=["doc_id", "hashes", "weights"])
+    return run
 
 
 def weighted_jaccard(h1: np.ndarray, w1: np.ndarray, h2: np.ndarray, w2: np.ndarray) -> float:
@@ -326,7 +335,7 @@ def classes(docs: DataFrame) -> DataFrame:
     first = shared.where("doc_id <> low").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct().transform(settled)
     wanted = first.select(F.col("a").alias("doc_id")).union(first.select(F.col("b").alias("doc_id"))).distinct().transform(settled)
     rows = base.join(broadcast_if_small(wanted), "doc_id", "left_semi")
-    sets = rows.mapInArrow(_weighted_sets, "doc_id long, hashes binary, weights binary") \
+    sets = rows.mapInArrow(_weighted_sets(idf), "doc_id long, hashes binary, weights binary") \
         .groupBy("doc_id").agg(F.min(F.struct("hashes", "weights")).alias("s")).select("doc_id", "s.*").transform(settled)
     nodes = wanted.select(F.col("doc_id").alias("node"))
     links = verify(first, sets).transform(settled)

@@ -164,6 +164,15 @@ def test_a_large_bucket_is_compared_whole(spark, monkeypatch):
     assert got == {i: i - i % 2 for i in range(80)}
 
 
+def test_pairs_of_a_hot_group_are_found(spark):
+    hot = " ".join(f"hot{k}" for k in range(100))
+    texts = [" ".join([hot] + [f"p{i // 2}q{k}" for k in range(6)] + [f"o{i}x{k}" for k in range(11)]) for i in range(120)]
+    texts += [" ".join(f"r{i}w{k}" for k in range(30)) for i in range(240)]
+    got = {r.doc_id: r.class_id for r in near_dup.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert all(got[i] == i - i % 2 for i in range(1, 120, 2) if got[i] != i) and all(got[i] == i for i in range(120, 360))
+    assert sum(got[i] == i - 1 for i in range(1, 120, 2)) >= 58
+
+
 # -- 4 mixing
 
 def test_mix_equals_sql(spark):
