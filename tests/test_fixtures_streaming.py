@@ -11,7 +11,7 @@ from reelpath.sources.fixtures import FIXTURE_SQL, SPARK_FIXTURES, TABLES, fixtu
 from reelpath.streaming.rollup import (events_to_playtime, playtime_partials, rollup_view,
                                        start_rollup)
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _cell(v):

@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry
 from reelpath.sources.fixtures import TABLES
 
-from conftest import SF_ORACLE, SF_SMALL
+from paths import SF_ORACLE, SF_SMALL
 
 SPOT = ["confidence_labels", "indexed_train", "completion_ratings", "funnel_items",
         "similarity_recs", "ranking_metrics", "taste_neighbours", "als_checks", "cold_user_recs",

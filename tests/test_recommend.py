@@ -104,7 +104,7 @@ def test_similar_items_roundtrip(spark):
 
 
 def test_grid_sweep_isolates_a_failing_point(spark, monkeypatch):
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     from reelpath.plans import queries
     monkeypatch.setattr(queries, "GRID", {"rank": [2, 0], "max_iter": [2]})
     rows = {r.params: r for r in queries.grid_sweep(spark, SF_SMALL).collect()}
@@ -113,7 +113,7 @@ def test_grid_sweep_isolates_a_failing_point(spark, monkeypatch):
 
 
 def test_grid_sweep_isolates_an_error_in_the_metrics(spark, monkeypatch):
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     from reelpath.plans import queries
     monkeypatch.setattr(queries, "GRID", {"rank": [2, 3], "max_iter": [2]})
     real, calls = evaluate.ranking_metrics, []
