@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelpath.llm import decontam, html_extract, language, mixing, near_dup, ngram_lm, pii, token_orc, topk, toxicity
+from reelpath.llm import (decontam, fim, html_extract, language, merkle, mixing, near_dup, ngram_lm, pii, token_orc, topk,
+                          toxicity)
 from reelpath.llm.common import read_table
 
 
@@ -52,6 +53,18 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.tokens_round_trip(read_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(read_table(spark, sf_dir, "documents"))
+
+
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fim.transform(read_table(spark, sf_dir, "documents"))
+    back = fim.restored(F.col("output"), F.col("form"))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                       F.sha2(back.cast("binary"), 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_decontam": op2_decontam,
@@ -63,9 +76,88 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_html_extract": op9_html_extract,
     "op10_token_orc": op10_token_orc,
+    "op11_merkle": op11_merkle,
+    "op13_fim": op13_fim,
 }
 
+def _merkle_sql(levels: int = 6, over: int = 2) -> str:
+    """The trees level by level (up to 8^levels documents a language and
+    8^over languages), and each proof folded along them."""
+    empty = "coalesce({}, '')"
+    doc = ["doc_id", "source", "lang", "n_chars", "text"]
+
+    def leaf(text: str) -> str:
+        values = [text if c == "text" else f"CAST({c} AS VARCHAR)" for c in doc]
+        return "sha256(" + " || ".join(f"coalesce(octet_length(encode({v})) || ':' || {v}, '-')" for v in values) + ")"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    bits = ("list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda b, y: "
+            "CASE WHEN b % 2 = 1 THEN xor(b // 2, 3988292384) ELSE b // 2 END)")
+    crc = ("xor(list_reduce(list_prepend(4294967295, list_transform(range(1, 1 + length(i)), lambda k: "
+           f"CAST(ascii(substr(i, CAST(k AS INT), 1)) AS BIGINT))), lambda c, x: {bits}), 4294967295)")
+    cte = [f"""d AS (SELECT doc_id, lang, {leaf('text')} AS leaf, {leaf(lower)} AS lowered,
+                     coalesce(CAST(doc_id AS VARCHAR), '') AS i FROM documents)""",
+           f"c AS (SELECT *, CASE WHEN {crc} % 3 = 0 THEN lowered ELSE leaf END AS shown FROM d)",
+           """l AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM c)""",
+           "t0 AS (SELECT lang AS g, pos, leaf AS h FROM l)"]
+
+    def level(name: str, k: int) -> list[str]:
+        near = "PARTITION BY g, pos // 8 ORDER BY pos"
+        return [f"""{name}{k}n AS (SELECT *, count(*) OVER (PARTITION BY g) AS n,
+            lag(h, 1) OVER ({near}) AS b1, lag(h, 2) OVER ({near}) AS b2, lag(h, 3) OVER ({near}) AS b3,
+            lag(h, 4) OVER ({near}) AS b4, lag(h, 5) OVER ({near}) AS b5, lag(h, 6) OVER ({near}) AS b6,
+            lag(h, 7) OVER ({near}) AS b7, lead(h, 1) OVER ({near}) AS a1, lead(h, 2) OVER ({near}) AS a2,
+            lead(h, 3) OVER ({near}) AS a3, lead(h, 4) OVER ({near}) AS a4, lead(h, 5) OVER ({near}) AS a5,
+            lead(h, 6) OVER ({near}) AS a6, lead(h, 7) OVER ({near}) AS a7 FROM {name}{k})""",
+                f"""{name}{k}s AS (SELECT g, pos, n, h, {' || '.join(empty.format(f'b{j}') for j in range(7, 0, -1))} AS lhs,
+            {' || '.join(empty.format(f'a{j}') for j in range(1, 8))} AS rhs FROM {name}{k}n)""",
+                f"""{name}{k + 1} AS (SELECT g, pos // 8 AS pos, CASE WHEN max(n) > 1 THEN sha256(string_agg(h, '' ORDER BY pos))
+            ELSE max(h) END AS h FROM {name}{k}s GROUP BY g, pos // 8)"""]
+
+    for k in range(levels):
+        cte += level("t", k)
+    cte += [f"""s0 AS (SELECT row_number() OVER (ORDER BY g IS NOT NULL, encode(g)) - 1 AS pos, h, g AS lang
+               FROM t{levels})""",
+            "r0 AS (SELECT 0 AS g, pos, h FROM s0)"]
+    for k in range(over):
+        cte += level("r", k)
+    cte.append("f0 AS (SELECT l.doc_id, l.leaf, l.lang, l.pos, l.shown AS x, '' AS p FROM l)")
+
+    def step(name: str, k: int, n: int, match: str) -> str:
+        return f"""f{n + 1} AS (SELECT f.doc_id, f.leaf, f.lang, f.pos // 8 AS pos,
+            CASE WHEN s.n > 1 THEN sha256(s.lhs || f.x || s.rhs) ELSE f.x END AS x,
+            CASE WHEN s.n > 1 THEN f.p || s.lhs || s.rhs ELSE f.p END AS p
+            FROM f{n} f JOIN {name}{k}s s ON {match} AND s.pos = f.pos)"""
+
+    for k in range(levels):
+        cte.append(step("t", k, k, "s.g IS NOT DISTINCT FROM f.lang"))
+    cte.append(f"""f{levels + 1} AS (SELECT f.doc_id, f.leaf, f.lang, s.pos, f.x, f.p
+               FROM f{levels} f JOIN s0 s ON s.lang IS NOT DISTINCT FROM f.lang)""")
+    for k in range(over):
+        cte.append(step("r", k, levels + 1 + k, "s.g = 0"))
+    return "WITH " + ",\n".join(cte) + f"""
+SELECT f.doc_id, f.leaf, s.h AS subroot, r.h AS root, sha256(f.p) AS proof_sha256, f.x AS folded_root, f.x = r.h AS verified
+FROM f{levels + 1 + over} f JOIN s0 s ON s.lang IS NOT DISTINCT FROM f.lang CROSS JOIN r{over} r"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_merkle": _merkle_sql(),
+    "op13_fim": """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS us,
+        CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+        CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, CAST(len(us) AS BIGINT) AS n, least(h1 % (len(us) + 1), h2 % (len(us) + 1)) AS i,
+        greatest(h1 % (len(us) + 1), h2 % (len(us) + 1)) AS j,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+             WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+s AS (SELECT *, array_to_string(list_slice(us, 1, i), '') AS p, array_to_string(list_slice(us, i + 1, j), '') AS m,
+        array_to_string(list_slice(us, j + 1, n), '') AS z FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || z || '<M>' || m
+              ELSE '<S>' || z || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM s""",
     "op4_mixing": """
 WITH d AS (
   SELECT doc_id, source,
