@@ -115,8 +115,11 @@ class Words:
         if not len(self.starts):
             return np.zeros(n + 1, np.uint64)
         order = np.cumsum(self.first, dtype=np.int32) - 1
-        at = (np.arange(n, dtype=np.int32) - self.starts.astype(np.int32)[order]) & 1023
-        part = uniform_words(1024, 7)[at]
+        at = np.arange(n, dtype=np.int32) - self.starts.astype(np.int32)[order]
+        part = uniform_words(1024, 7)[at & 1023]
+        far = np.flatnonzero(at >= 1024)            # later places get multipliers of their own
+        if len(far):
+            part[far] = mix64(part[far] + (at[far] >> 10).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         part *= self.buf.astype(np.uint64) + np.uint64(1)
         out = np.zeros(n + 1, np.uint64)
         np.cumsum(part, out=out[1:])

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelpath.llm import (decontam, fim, html_extract, language, merkle, mixing, near_dup, ngram_lm, pii, token_orc, topk,
-                          toxicity)
+from reelpath.llm import (decontam, fim, html_extract, language, merkle, mixing, near_dup, ngram_lm, pii, quality, token_orc,
+                          topk, toxicity)
 from reelpath.llm.common import read_table
 
 
@@ -57,6 +57,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(read_table(spark, sf_dir, "documents"))
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read_table(spark, sf_dir, "documents"))
+
+
 def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fim.transform(read_table(spark, sf_dir, "documents"))
     back = fim.restored(F.col("output"), F.col("form"))
@@ -77,6 +81,7 @@ QUERIES = {
     "op9_html_extract": op9_html_extract,
     "op10_token_orc": op10_token_orc,
     "op11_merkle": op11_merkle,
+    "op12_quality": op12_quality,
     "op13_fim": op13_fim,
 }
 
