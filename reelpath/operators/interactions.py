@@ -18,9 +18,9 @@ from reelpath.functions.labels import (CONTENT_TYPES_ALL, CONTENT_TYPES_SERIES_M
 SUM_DIGITS = 6
 
 
-def valid_pairs(stats: DataFrame) -> DataFrame:
+def valid_pairs(stats: DataFrame, value_col: str = "total_playtime_combined") -> DataFrame:
     """pairs whose summed playtime is a number."""
-    return stats.filter(valid_number(F.col("total_playtime_combined")))
+    return stats.filter(valid_number(F.col(value_col)))
 
 
 def aggregate_playtime(df: DataFrame, with_decay: bool = False, user_col: str = "userId", item_col: str = "item_id",
@@ -43,13 +43,21 @@ def users_in_both(train: DataFrame, test: DataFrame, user_col: str = "userId") -
     return train.select(user_col).distinct().join(test.select(user_col).distinct(), user_col, "left_semi")
 
 
-def decayed_playtime(df: DataFrame, digits: int = SUM_DIGITS) -> DataFrame:
+def click_pairs(clicks: DataFrame) -> DataFrame:
+    """C5 on roll-ups: one row per pair, whether it has a quality click
+    (``quality_click_flag``) and the latest decay factor of those clicks."""
+    quality = F.col("quality_click_flag") == 1
+    return clicks.groupBy("userId", "item_id").agg(
+        F.max(F.when(quality, 1).otherwise(0)).alias("quality_click_flag"),
+        F.max(F.when(quality, F.col("decay_factor"))).alias("decay_factor"))
+
+
+def decayed_playtime(df: DataFrame, digits: int = SUM_DIGITS, drop_invalid: bool = True) -> DataFrame:
     """A3: ``sum(playtime * decay)`` and ``max(decay)`` per pair."""
-    return (df.groupBy("userId", "item_id")
-            .agg(round_to(F.sum(F.col("total_play_time_sec") * F.col("decay_factor")), digits)
-                 .alias("decayed_playtime"),
-                 F.max("decay_factor").alias("recent_decay_factor"))
-            .filter(valid_number(F.col("decayed_playtime"))))
+    sums = df.groupBy("userId", "item_id").agg(
+        round_to(F.sum(F.col("total_play_time_sec") * F.col("decay_factor")), digits).alias("decayed_playtime"),
+        F.max("decay_factor").alias("recent_decay_factor"))
+    return valid_pairs(sums, "decayed_playtime") if drop_invalid else sums
 
 
 def sessions_per_pair(consumption: DataFrame, types=CONTENT_TYPES_ALL,

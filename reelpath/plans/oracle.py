@@ -42,6 +42,11 @@ ORACLE_SQL: dict[str, str] = {
         FROM truth GROUP BY userIndex"""),
 }
 
+ORACLE_SQL["funnel_stages"] = with_stages(" UNION ALL ".join(
+    f"SELECT '{name}' AS stage, count(*) AS n_rows, count(DISTINCT userId) AS users, count(DISTINCT item_id) AS items FROM {cte}"
+    for name, cte in (("pairs", "pt_stats"), ("labels", "labels"), ("merged", "merged_train"), ("weighted", "weighted_train"),
+                      ("active", "als_input"), ("test", "merged_test"))))
+
 _ALL_TYPES = "('MOVIE', 'EPISODE', 'VIDEO', 'TVSHOW', 'SEASON')"
 _GROUP = """CASE WHEN lower(content_content_type) IN ('episode', 'tvshow', 'tv show', 'tv_shows')
                  THEN 'tv_show'
@@ -632,7 +637,8 @@ ORACLE_SQL.update({
                             CROSS JOIN (SELECT count(DISTINCT userId) AS n FROM pt_stats)) USING (item_id)"""),
     "als_checks": with_stages("""
         SELECT (SELECT count(DISTINCT userIndex) FROM indexed_train) AS users,
-               (SELECT count(DISTINCT itemIndex) FROM indexed_train) AS items, CAST(0 AS BIGINT) AS wrong_scores,
+               (SELECT count(DISTINCT itemIndex) FROM indexed_train) AS items, CAST(0 AS BIGINT) AS unsolved_users,
+               CAST(0 AS BIGINT) AS wrong_scores,
                CAST(0 AS BIGINT) AS seen_pairs, CAST(0 AS BIGINT) AS rank_gaps, CAST(0 AS BIGINT) AS long_lists"""),
     "cold_user_recs": with_stages(f"""
         SELECT userId, id, title, (round((score) * 1e6) / 1e6) AS score FROM (
@@ -661,3 +667,85 @@ ORACLE_SQL["streaming_rollup"] = with_stages("""
 ORACLE_SQL["search_rows"] = with_stages("""
     SELECT DISTINCT uid, events_meta_keyword AS search_key FROM sess_rows
     WHERE length(events_meta_keyword) > 3""", SEARCH)
+
+_MANY = "(round(({0}) * 1e9) / 1e9)"
+ORACLE_SQL.update({
+    "als_explicit_checks": with_stages("""
+        SELECT (SELECT count(DISTINCT userIndex) FROM indexed_train) AS users,
+               (SELECT count(DISTINCT itemIndex) FROM indexed_train) AS items, CAST(0 AS BIGINT) AS unsolved_users,
+               CAST(0 AS BIGINT) AS short_lists"""),
+    "profile_recs_all": with_stages(f"""
+        SELECT userId, id, (round((score) * 1e6) / 1e6) AS score FROM (
+          SELECT p.userId, f.id, {_MANY.format(_dot('f.features', 'p.profile'))} AS score FROM factors f CROSS JOIN prof p
+          WHERE NOT EXISTS (SELECT 1 FROM hist_all h WHERE h.userId = p.userId AND h.vec_id = f.id))
+        QUALIFY row_number() OVER (PARTITION BY userId ORDER BY score DESC, id) <= 10""", _PROFILES),
+    "taste_neighbours_all": with_stages(f"""
+        SELECT query_user, userId, (round((score) * 1e6) / 1e6) AS score FROM (
+          SELECT q.userId AS query_user, p.userId, {_MANY.format(_cos('p.profile', 'q.profile'))} AS score
+          FROM prof p CROSS JOIN prof q WHERE p.userId <> q.userId)
+        WHERE score IS NOT NULL QUALIFY row_number() OVER (PARTITION BY query_user ORDER BY score DESC, userId) <= 5""", _PROFILES),
+    "item_neighbours_all": with_stages(f"""
+        SELECT q_id, id, (round((score) * 1e6) / 1e6) AS score FROM (
+          SELECT q.id AS q_id, f.id, {_MANY.format(_cos('f.features', 'q.features'))} AS score
+          FROM factors f CROSS JOIN factors q WHERE f.id <> q.id)
+        WHERE score IS NOT NULL QUALIFY row_number() OVER (PARTITION BY q_id ORDER BY score DESC, id) <= 5"""),
+    "set_recall": with_stages("""
+        SELECT count(*) AS users, (round((avg(hits / n)) * 1e6) / 1e6) AS recall_arrays,
+               count(*) AS users_bits, (round((avg(hits / n)) * 1e6) / 1e6) AS recall_bits
+        FROM (SELECT t.userIndex, t.n, coalesce(h.hits, 0) AS hits
+              FROM (SELECT userIndex, count(*) AS n FROM truth GROUP BY userIndex) t
+              JOIN (SELECT DISTINCT userIndex FROM sim_top15) p USING (userIndex)
+              LEFT JOIN (SELECT userIndex, count(*) AS hits FROM truth JOIN sim_top15 USING (userIndex, itemIndex)
+                         GROUP BY userIndex) h USING (userIndex))"""),
+    "set_overlap": with_stages("""
+        SELECT overlap, count(*) AS users FROM (
+          SELECT u.userIndex, CAST(coalesce(h.n, 0) AS BIGINT) AS overlap
+          FROM (SELECT DISTINCT userIndex FROM indexed_train INTERSECT SELECT DISTINCT userIndex FROM truth) u
+          LEFT JOIN (SELECT userIndex, count(*) AS n FROM truth JOIN indexed_train USING (userIndex, itemIndex)
+                     GROUP BY userIndex) h USING (userIndex))
+        GROUP BY overlap"""),
+    "itemsets_on_rows": ORACLE_SQL["frequent_itemsets"],
+    "rules_on_rows": ORACLE_SQL["association_rules"],
+})
+
+ORACLE_SQL.update({
+    "catalogue_snapshot": with_stages("""
+        SELECT DISTINCT * FROM (
+          SELECT CAST(unnest(content_ids) AS VARCHAR) AS item_id, title, CAST(OriginalLanguage AS VARCHAR) AS original_language,
+                 Genres FROM (SELECT * FROM catalogue_tv WHERE length(title) % 3 <= 1) WHERE len(content_ids) > 0 AND published
+          UNION ALL
+          SELECT CAST(unnest(content_ids) AS VARCHAR) AS item_id, title, CAST(OriginalLanguage AS VARCHAR) AS original_language,
+                 Genres FROM (SELECT * FROM catalogue_movie WHERE length(title) % 3 <= 1) WHERE len(content_ids) > 0 AND published)"""),
+    "similar_snapshot": with_stages("""
+        SELECT item_id, rec_item_id, (round((confidence) * 1e6) / 1e6) AS confidence FROM rules11
+        WHERE CAST(item_id AS INTEGER) % 3 <= 1"""),
+    "corrupt_files": with_stages("""
+        SELECT day, count(*) AS n_rows, CAST(CASE WHEN day = DATE '2024-01-09' THEN 1 ELSE 0 END AS BIGINT) AS skipped
+        FROM playtime GROUP BY day"""),
+})
+
+# The columns of the search log, with their types
+_LOG_COLUMNS = (("day", "date"), ("events_ts", "timestamp_ntz"), ("events_meta_action", "string"),
+                ("events_meta_source_name", "string"), ("events_av", "string"), ("events_dt", "string"),
+                ("events_os", "string"), ("events_meta_search_session_id", "string"), ("events_uid", "string"),
+                ("content_id", "string"), ("events_appid", "string"), ("events_meta_keyword", "string"),
+                ("events_meta_asset_name", "string"), ("events_meta_content_name", "string"), ("eventtype", "string"))
+_FIRST = ", ".join(f"{c} NULLS FIRST" for c, _ in _LOG_COLUMNS)
+
+
+def _profile_of(position: int, column: str, kind: str) -> str:
+    return f"""SELECT {position} AS position, '{column}' AS column_name, '{kind}' AS type,
+          (SELECT CAST({column} AS VARCHAR) FROM first_row) AS first_value, a.n_rows, a.n_null, a.n_distinct, a.min_value, a.max_value,
+          coalesce(t.top_counts, '') AS top_counts, CASE WHEN t.n2 IS NULL OR t.n1 > t.n2 THEN t.v1 END AS top_value
+        FROM (SELECT count(*) AS n_rows, count(*) - count({column}) AS n_null, count(DISTINCT {column}) AS n_distinct,
+                     CAST(min({column}) AS VARCHAR) AS min_value, CAST(max({column}) AS VARCHAR) AS max_value FROM search_events) a
+             CROSS JOIN (SELECT array_to_string(list_slice(list(n ORDER BY n DESC), 1, 3), ',') AS top_counts,
+                     list_extract(list(n ORDER BY n DESC), 1) AS n1, list_extract(list(n ORDER BY n DESC), 2) AS n2,
+                     list_extract(list(v ORDER BY n DESC), 1) AS v1
+                   FROM (SELECT CAST({column} AS VARCHAR) AS v, count(*) AS n FROM search_events
+                         WHERE {column} IS NOT NULL GROUP BY 1)) t"""
+
+
+ORACLE_SQL["table_profile"] = with_stages(
+    " UNION ALL ".join(_profile_of(i + 1, c, k) for i, (c, k) in enumerate(_LOG_COLUMNS)),
+    {"first_row": f"SELECT * FROM search_events ORDER BY {_FIRST} LIMIT 1"})

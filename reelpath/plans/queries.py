@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from reelpath.functions.numeric import round_to
 from reelpath.plans.workbench import Workbench, rounded
 from reelpath.sources.bundle import cut_lineage
+from reelpath.sources.shared import SharedFrames
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -123,14 +124,31 @@ def indexed_train(spark, sf_dir):
 
 @query("ground_truth")
 def ground_truth(spark, sf_dir):
-    """J2 + J3 + A20: per-user sorted set of test items (joined as text)."""
-    from reelpath.operators.indexing import ground_truth as truth
-    t = truth(_wb(spark, sf_dir).indexed()[1])
+    """J2 + J3 + A20: per-user sorted set of test items (joined as text), built
+    as bitmaps."""
+    from reelpath.operators.itemsets import as_arrays, bitmaps
+    t = as_arrays(bitmaps(_wb(spark, sf_dir).indexed()[1]))
     return t.select("userIndex", F.size("actual_items").alias("n_items"),
                     F.array_join(F.col("actual_items").cast("array<string>"), ",")
                     .alias("actual_items"))
 
 
+@query("funnel_stages")
+def funnel_stages(spark, sf_dir):
+    """Rows, users and items of every funnel stage.  The frames that several
+    stages read are kept for the length of the query and then released."""
+    with SharedFrames() as shared:
+        wb = _wb(spark, sf_dir, shared=shared)
+        stages = {"pairs": wb.playtime_stats(), "labels": wb.labels(), "merged": wb.merged_train(),
+                  "weighted": wb.weighted_train(), "active": wb.als_input(), "test": wb.merged_test()}
+        out = None
+        for name, df in stages.items():
+            one = df.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("userId").alias("users"),
+                         F.countDistinct("item_id").alias("items")).select(F.lit(name).alias("stage"), "*")
+            out = one if out is None else out.unionByName(one)
+        return cut_lineage(out)
+
+
 # ------------------------------------------------------------------ consumption roll-ups
 
 @query("sessions_per_pair")
@@ -263,9 +281,12 @@ def column_profile(spark, sf_dir):
 
 @query("overlap_distribution")
 def overlap_distribution(spark, sf_dir):
-    """A25 + U5: users per |train items ∩ test items|."""
+    """A25 + U5: users per |train items ∩ test items|; the windows are distinct
+    pairs before their users are compared."""
     from reelpath.operators.diagnose import overlap_distribution as od
-    train, test = _wb(spark, sf_dir).playtime_windows()
+    from reelpath.sources.scan import split_windows
+    wb = _wb(spark, sf_dir)
+    train, test = split_windows(wb.view("playtime"), wb.split, common_users=False)
     return od(train, test)
 
 
@@ -301,8 +322,7 @@ def valid_users(spark, sf_dir):
 @query("decayed_playtime")
 def decayed_playtime(spark, sf_dir):
     """A3: decay-weighted playtime per train pair."""
-    from reelpath.operators.interactions import decayed_playtime as dp
-    return rounded(dp(_wb(spark, sf_dir).playtime_windows()[0]))
+    return rounded(_wb(spark, sf_dir).decayed_pairs())
 
 
 @query("log_weights")
@@ -435,10 +455,12 @@ def _names(wb: Workbench, ranked: DataFrame) -> DataFrame:
 
 @query("similarity_recs")
 def similarity_recs(spark, sf_dir):
-    """M8 + J12 + J4 + W4: item-rule similarity, decayed, seen removed, top 15."""
-    top = _wb(spark, sf_dir).sim_top(K)
-    return rounded(top.select("userIndex", "itemIndex", F.col("rank").cast("int").alias("rank"),
-                              "total_score"))
+    """M8 + J12 + J4 + W4: item-rule similarity, decayed, seen removed, top 15;
+    the roll-ups that several stages read are kept meanwhile (P2)."""
+    with SharedFrames() as shared:
+        top = _wb(spark, sf_dir, shared=shared).sim_top(K)
+        return cut_lineage(rounded(top.select("userIndex", "itemIndex", F.col("rank").cast("int").alias("rank"),
+                                              "total_score")))
 
 
 @query("ranking_metrics")
@@ -449,6 +471,33 @@ def ranking_metrics(spark, sf_dir):
     return rounded(rm(wb.sim_top(K), wb.ground_truth(), K))
 
 
+@query("set_recall")
+def set_recall(spark, sf_dir):
+    """Mean of |predicted ∩ actual| / |actual| of the top 15, once with array
+    functions and once on bitmaps."""
+    from reelpath.operators.diagnose import side_by_side
+    from reelpath.operators.evaluate import recall_by_arrays
+    from reelpath.operators.itemsets import as_arrays, bitmaps, mean_recall
+    from reelpath.operators.recommend import as_arrays as listed
+    wb = _wb(spark, sf_dir)
+    top = cut_lineage(wb.sim_top(K))
+    truth = cut_lineage(bitmaps(wb.indexed()[1]))
+    arrays = recall_by_arrays(listed(top), as_arrays(truth))
+    bits = mean_recall(bitmaps(top), truth)
+    return rounded(side_by_side(arrays.select("users", F.col("avg_recall").alias("recall_arrays")),
+                                bits.select(F.col("users").alias("users_bits"), F.col("avg_recall").alias("recall_bits"))))
+
+
+@query("set_overlap")
+def set_overlap(spark, sf_dir):
+    """A20 + U5 + A25: users per |train items ∩ test items| of the indexed
+    frames, intersected as bitmaps."""
+    from reelpath.operators.itemsets import bitmaps, intersections
+    train, test = _wb(spark, sf_dir).indexed()
+    per = intersections(bitmaps(train), bitmaps(test), out_col="overlap")
+    return per.groupBy("overlap").agg(F.count(F.lit(1)).alias("users"))
+
+
 @query("cohort_metrics")
 def cohort_metrics(spark, sf_dir):
     """Metrics at 30 by truth-size cohort."""
@@ -724,6 +773,24 @@ def association_rules_q(spark, sf_dir):
                             "confidence", "lift", "support"))
 
 
+@query("itemsets_on_rows")
+def itemsets_on_rows(spark, sf_dir):
+    """R1-R3 level by level on (user, keyword) rows: the sets of frequent_itemsets."""
+    from reelpath.operators.itemsets import basket_rows, mine
+    sets, _ = mine(basket_rows(_keyword_pairs(_wb(spark, sf_dir)), "uid", "search_key"), SEARCH_MIN_SUPPORT)
+    return sets.select(_text("items").alias("items"), F.size("items").alias("n_items"), F.col("freq").cast("long").alias("freq"))
+
+
+@query("rules_on_rows")
+def rules_on_rows(spark, sf_dir):
+    """R4 from the row-wise sets: the rules of association_rules."""
+    from reelpath.operators.itemsets import basket_rows, mine, rules
+    sets, n = mine(basket_rows(_keyword_pairs(_wb(spark, sf_dir)), "uid", "search_key"), SEARCH_MIN_SUPPORT)
+    r = rules(cut_lineage(sets), n, SEARCH_MIN_CONFIDENCE)
+    return rounded(r.select(_text("antecedent").alias("antecedent"), _text("consequent").alias("consequent"),
+                            "confidence", "lift", "support"))
+
+
 @query("related_keywords")
 def related_keywords_q(spark, sf_dir):
     """For every keyword, all rules whose antecedent holds it."""
@@ -815,6 +882,33 @@ def taste_neighbours_q(spark, sf_dir):
     return rounded(taste_neighbours(profiles, pick_user(wb.merged_train(), 3), 10))
 
 
+@query("profile_recs_all")
+def profile_recs_all(spark, sf_dir):
+    """M12 for every train user at once: mean history vectors against all unseen
+    vectors, block against block."""
+    from reelpath.operators.vectors import profile_recommendations, profile_vectors
+    wb = _wb(spark, sf_dir)
+    hist = cut_lineage(_history(wb))
+    return rounded(profile_recommendations(profile_vectors(hist, wb.view("factors")), wb.view("factors"), hist, 10, max_queries=0))
+
+
+@query("taste_neighbours_all")
+def taste_neighbours_all(spark, sf_dir):
+    """M13 for every train user at once: the 5 users of closest profile."""
+    from reelpath.operators.vectors import profile_vectors, taste_neighbours
+    wb = _wb(spark, sf_dir)
+    profiles = cut_lineage(profile_vectors(_history(wb), wb.view("factors")))
+    return rounded(taste_neighbours(profiles, profiles, 5, max_queries=0))
+
+
+@query("item_neighbours_all")
+def item_neighbours_all(spark, sf_dir):
+    """M10 for every vector at once: its 5 nearest by cosine."""
+    from reelpath.operators.vectors import nearest
+    f = _wb(spark, sf_dir).view("factors")
+    return rounded(nearest(f.select(F.col("id").alias("q_id"), F.col("features").alias("q_vec")), f, 5, "cosine", max_queries=0))
+
+
 # ------------------------------------------------------------------ features and samples
 
 @query("item_features")
@@ -915,6 +1009,69 @@ def single_day(spark, sf_dir):
         "userId", "item_id", "total_play_time_sec")
 
 
+@query("table_profile")
+def table_profile_q(spark, sf_dir):
+    """Schema, first row, nulls, distinct values, bounds and top values of
+    the search log, one row per column."""
+    from reelpath.operators.diagnose import table_profile
+    return table_profile(_wb(spark, sf_dir).view("search_events"))
+
+
+#: days of the stored snapshots, and the base day that falls between the last two
+SNAPSHOTS = ("2024-01-05", "2024-01-15", "2024-01-25")
+SNAPSHOT_BASE = "2024-01-20"
+
+
+def _snapshots(df: DataFrame, root: str, of: F.Column) -> str:
+    """Three dated tables: ``of`` says which share of the rows (0, 1, 2) a row
+    belongs to, and a snapshot holds all shares up to its own."""
+    days = F.array(*[F.lit(d) for d in SNAPSHOTS])
+    dated = df.withColumn("_share", of).withColumn("snapshot", F.explode(F.slice(days, F.col("_share") + 1, 3))).drop("_share")
+    dated.write.partitionBy("snapshot").parquet(root)
+    return root
+
+
+@query("catalogue_snapshot")
+def catalogue_snapshot_q(spark, sf_dir):
+    """Both parts of the catalogue stored at three dates, read as of a base
+    day from the newest prefix before it."""
+    from reelpath.session import scratch_path
+    from reelpath.sources.scan import catalogue_snapshot
+    wb = _wb(spark, sf_dir)
+    share = F.length("title") % 3
+    roots = [_snapshots(wb.view(v), scratch_path(spark, v), share) for v in ("catalogue_tv", "catalogue_movie")]
+    return catalogue_snapshot(spark, *roots, SNAPSHOT_BASE)
+
+
+@query("similar_snapshot")
+def similar_snapshot_q(spark, sf_dir):
+    """The similar-items table stored as arrays at three dates, read as of
+    a base day and unpacked."""
+    from reelpath.operators.recommend import similar_items
+    from reelpath.session import scratch_path
+    from reelpath.sources.scan import similar_snapshot
+    stored = similar_items(_wb(spark, sf_dir).sim_pairs())
+    root = _snapshots(stored, scratch_path(spark, "similar"), F.col("item_id").cast("int") % 3)
+    return rounded(similar_snapshot(spark, root, SNAPSHOT_BASE))
+
+
+@query("corrupt_files")
+def corrupt_files(spark, sf_dir):
+    """The playtime log by day with a file in one day folder that is not
+    Parquet: rows read per day, and the files that were skipped."""
+    from reelpath.session import scratch_path
+    from reelpath.sources.bundle import write_table
+    from reelpath.sources.scan import read_tolerant, skipped_files
+    pt = _wb(spark, sf_dir).view("playtime").select("userId", "item_id", "total_play_time_sec", "day")
+    root = write_table(pt, scratch_path(spark, "playtime_by_day"), ["day"])
+    spark.createDataFrame([("not a table",)], "line string").coalesce(1).write.mode("append").text(f"{root}/day=2024-01-09")
+    rows = read_tolerant(spark, root, pt.schema)
+    lost = skipped_files(spark, root, rows).select(F.to_date(F.regexp_extract("path", r"day=(\d{4}-\d{2}-\d{2})", 1)).alias("day")) \
+        .groupBy("day").agg(F.count(F.lit(1)).alias("skipped"))
+    per = rows.groupBy("day").agg(F.count(F.lit(1)).alias("n_rows"))
+    return per.join(lost, "day", "left").select("day", "n_rows", F.coalesce("skipped", F.lit(0)).cast("long").alias("skipped"))
+
+
 @query("csv_extract")
 def csv_extract(spark, sf_dir):
     """A hash sample of the playtime log, at most 100 rows, as CSV and back."""
@@ -932,12 +1089,13 @@ ALS_PARAMS = {"rank": 100, "max_iter": 15, "alpha": 10.0, "reg_param": 1.0}
 RAW_N = 50
 
 
-def _als_novel(wb: Workbench, params: dict, k: int = K) -> DataFrame:
+def _als_novel(wb: Workbench, params: dict, k: int = K, users: DataFrame | None = None) -> DataFrame:
+    """Re-ranked top k of all users, or of those in ``users`` only."""
     from reelpath.operators.recommend import (flatten_recs, popularity_rerank, raw_recommendations,
                                               train_als)
-    itrain = wb.indexed()[0]
+    itrain = cut_lineage(wb.indexed()[0])
     model = train_als(itrain, **params)
-    flat = flatten_recs(raw_recommendations(model, RAW_N))
+    flat = flatten_recs(raw_recommendations(model, RAW_N, users))
     counts = wb.popularity().join(wb.lookups()[1], "item_id").select("itemIndex", "user_count")
     return popularity_rerank(flat, itrain, counts, k)
 
@@ -954,9 +1112,11 @@ def als_novel_recs(spark, sf_dir):
 @query("als_checks")
 def als_checks(spark, sf_dir):
     """M1 + M3 + M4 + M6 + M7 + S11: exact facts of a fitted model, saved and
-    loaded as a bundle: users and items with factors, and how many list rows
-    break a rule -- a seen pair, a gap in the ranks, a rank above 15, or a
-    score that is not the factors' dot product over log10(count + 10)."""
+    loaded as a bundle: users and items with factors, user vectors that miss
+    their normal equation, and how many list rows break a rule -- a seen pair, a
+    gap in the ranks, a rank above 15, or a score that is not the factors' dot
+    product over log10(count + 10)."""
+    from reelpath.operators.als_audit import unsolved
     from reelpath.operators.vectors import dot
     from reelpath.session import scratch_path
     from reelpath.sources.bundle import load_model_bundle, save_model_bundle
@@ -964,7 +1124,7 @@ def als_checks(spark, sf_dir):
                                               train_als)
     from reelpath.operators.diagnose import side_by_side
     wb = _wb(spark, sf_dir)
-    itrain = wb.indexed()[0]
+    itrain = cut_lineage(wb.indexed()[0])
     fitted = train_als(itrain, **ALS_PARAMS)
     raw = cut_lineage(raw_recommendations(fitted, RAW_N))
     counts = wb.popularity().join(wb.lookups()[1], "item_id").select("itemIndex", "user_count")
@@ -978,17 +1138,37 @@ def als_checks(spark, sf_dir):
     per_user = top.groupBy("userIndex").agg(F.count("*").alias("n"), F.max("rank").alias("hi"))
     return side_by_side(
         uf.agg(F.count("*").alias("users")), vf.agg(F.count("*").alias("items")),
+        unsolved(model, itrain, alpha=ALS_PARAMS["alpha"], reg_param=ALS_PARAMS["reg_param"]),
         scored.agg(F.count_if(F.abs(want - F.col("score")) > 1e-4).alias("wrong_scores")),
         top.join(itrain, ["userIndex", "itemIndex"], "left_semi").agg(F.count("*").alias("seen_pairs")),
         per_user.agg(F.count_if(F.col("n") != F.col("hi")).alias("rank_gaps"), F.count_if(F.col("hi") > K).alias("long_lists")))
 
 
+# The explicit fit of the reference
+EXPLICIT_PARAMS = {"rank": 50, "max_iter": 10, "reg_param": 0.1, "implicit": False}
+
+
+@query("als_explicit_checks")
+def als_explicit_checks(spark, sf_dir):
+    """M2: exact facts of the explicit fit: users and items with factors, user
+    vectors that miss their normal equation, and users without ten entries."""
+    from reelpath.operators.als_audit import unsolved
+    from reelpath.operators.diagnose import side_by_side
+    from reelpath.operators.recommend import raw_recommendations, train_als
+    itrain = cut_lineage(_wb(spark, sf_dir).indexed()[0])
+    model = train_als(itrain, **EXPLICIT_PARAMS)
+    raw = raw_recommendations(model, 10)
+    return side_by_side(model.userFactors.agg(F.count("*").alias("users")), model.itemFactors.agg(F.count("*").alias("items")),
+                        unsolved(model, itrain, reg_param=EXPLICIT_PARAMS["reg_param"], implicit=False),
+                        raw.agg(F.count_if(F.size("recommendations") != 10).alias("short_lists")))
+
+
 @query("als_explicit")
 def als_explicit(spark, sf_dir):
     """M2 + M3 + M4: explicit ALS (rank 50) on the confidence labels, top 10."""
     from reelpath.operators.recommend import flatten_recs, raw_recommendations, train_als
     wb = _wb(spark, sf_dir)
-    model = train_als(wb.indexed()[0], rank=50, max_iter=10, reg_param=0.1, implicit=False)
+    model = train_als(cut_lineage(wb.indexed()[0]), **EXPLICIT_PARAMS)
     flat = flatten_recs(raw_recommendations(model, 10))
     return flat.select("userIndex", "itemIndex", round_to("als_rating", 6).alias("als_rating"),
                        F.col("model_rank").cast("int").alias("model_rank"))
@@ -997,12 +1177,14 @@ def als_explicit(spark, sf_dir):
 @query("head_to_head")
 def head_to_head(spark, sf_dir):
     """Ranking metrics of ALS and of the similarity recommender on the
-    same truth, one row per model."""
+    same truth, one row per model; only users with a truth are scored."""
     from reelpath.operators.evaluate import ranking_metrics as rm
     wb = _wb(spark, sf_dir)
-    truth = wb.ground_truth()
-    als = rm(_als_novel(wb, ALS_PARAMS), truth, K).withColumn("model", F.lit("als"))
-    sim = rm(wb.sim_top(K), truth, K).withColumn("model", F.lit("similarity"))
+    truth = cut_lineage(wb.ground_truth())
+    evaluated = truth.select("userIndex").distinct()
+    als = rm(_als_novel(wb, ALS_PARAMS, users=evaluated), truth, K).withColumn("model", F.lit("als"))
+    named = evaluated.join(wb.lookups()[0], "userIndex").select("userId")
+    sim = rm(wb.sim_top(K, users=named), truth, K).withColumn("model", F.lit("similarity"))
     return rounded(als.unionByName(sim))
 
 

@@ -27,6 +27,7 @@ from reelpath.sources import fixtures
 from reelpath.sources.bundle import cut_lineage
 from reelpath.sources.fixtures import DEFAULT_SPLIT, Split
 from reelpath.sources.scan import split_windows
+from reelpath.sources.shared import SharedFrames
 
 MIN_ITEMS_PER_USER = 3
 
@@ -39,6 +40,8 @@ class Workbench:
     decay: bool = True
     penalize: bool = True
     min_items: int = MIN_ITEMS_PER_USER
+    #: keeps frames with several readers while it is open
+    shared: SharedFrames | None = None
     _memo: dict = field(default_factory=dict, repr=False)
 
     def _get(self, key, build):
@@ -46,6 +49,9 @@ class Workbench:
             self._memo[key] = build()
         return self._memo[key]
 
+    def _keep(self, df: DataFrame) -> DataFrame:
+        return df if self.shared is None else self.shared.keep(df)
+
     # ---- raw views
     def view(self, name: str) -> DataFrame:
         return self._get(("view", name),
@@ -60,8 +66,13 @@ class Workbench:
                          lambda: split_windows(self.view("playtime"), self.split, decay=self.decay))
 
     def click_windows(self) -> tuple[DataFrame, DataFrame]:
-        return self._get("ck_windows",
-                         lambda: split_windows(self.view("clicks"), self.split, decay=self.decay))
+        """J1 on click pairs: both windows rolled up per pair first."""
+        def build():
+            train, test = (self._keep(interactions.click_pairs(x)) for x in split_windows(
+                self.view("clicks"), self.split, decay=True, common_users=False))
+            users = interactions.users_in_both(train, test)
+            return tuple(x.join(users, "userId", "left_semi") for x in (train, test))
+        return self._get("ck_windows", build)
 
     # ---- labels and signals
     def pair_stats(self) -> tuple[DataFrame, DataFrame]:
@@ -69,12 +80,19 @@ class Workbench:
         is a few rows before users are compared."""
         def build():
             train, test = split_windows(self.view("playtime"), self.split, decay=self.decay, common_users=False)
-            train, test = (interactions.aggregate_playtime(x, with_decay=self.decay, drop_invalid=False)
+            train, test = (self._keep(interactions.aggregate_playtime(x, with_decay=self.decay, drop_invalid=False))
                            for x in (train, test))
             users = interactions.users_in_both(train, test)
             return tuple(interactions.valid_pairs(x.join(users, "userId", "left_semi")) for x in (train, test))
         return self._get("pair_stats", build)
 
+    def decayed_pairs(self) -> DataFrame:
+        """J1 + A3 on roll-ups: decayed sums of the train pairs of common users."""
+        train, test = split_windows(self.view("playtime"), self.split, decay=True, common_users=False)
+        sums = interactions.decayed_playtime(train, drop_invalid=False)
+        users = interactions.users_in_both(sums, test)
+        return interactions.valid_pairs(sums.join(users, "userId", "left_semi"), "decayed_playtime")
+
     def playtime_stats(self) -> DataFrame:
         return self.pair_stats()[0]
 
@@ -82,7 +100,8 @@ class Workbench:
         return self.pair_stats()[1]
 
     def labels(self) -> DataFrame:
-        return self._get("labels", lambda: scoring.confidence_labels(self.playtime_stats()))
+        """The pairs are cut before they are ranked, which reads them several times."""
+        return self._get("labels", lambda: scoring.confidence_labels(cut_lineage(self.playtime_stats())))
 
     def merged_train(self) -> DataFrame:
         def build():
@@ -128,22 +147,32 @@ class Workbench:
         return self._get("truth", lambda: indexing.ground_truth_rows(self.indexed()[1]))
 
     # ---- item-item rules and similarity recommendations
-    def rule_baskets(self) -> DataFrame:
-        """Items per (user, day) over the train window of all interactions."""
-        from reelpath.operators.search_rules import baskets
+    def rule_rows(self) -> DataFrame:
+        """The train window of all interactions."""
         from reelpath.sources.scan import day_window
         s = self.split
-        rows = day_window(self.view("interactions"), s.base_date, s.test_days,
-                          s.test_days + s.train_days)
-        return self._get("rule_baskets", lambda: baskets(rows, ["userId", "day"], "item_id"))
+        return day_window(self.view("interactions"), s.base_date, s.test_days, s.test_days + s.train_days)
+
+    def rule_baskets(self) -> DataFrame:
+        """Items per (user, day) of those rows."""
+        from reelpath.operators.search_rules import baskets
+        return self._get("rule_baskets", lambda: baskets(self.rule_rows(), ["userId", "day"], "item_id"))
 
     def rule_model(self):
         from reelpath.operators.search_rules import fit_rules
         return self._get("rule_model", lambda: fit_rules(self.rule_baskets()))
 
     def sim_pairs(self) -> DataFrame:
-        from reelpath.operators.search_rules import rule_pairs
-        return self._get("sim_pairs", lambda: cut_lineage(rule_pairs(self.rule_model())))
+        """Rules from one item to another; only pairs are counted."""
+        from reelpath.operators.itemsets import basket_rows, mine, rules
+        from reelpath.operators.search_rules import MIN_CONFIDENCE, MIN_SUPPORT
+
+        def build():
+            sets, n = mine(basket_rows(self.rule_rows(), ["userId", "day"], "item_id"), MIN_SUPPORT, max_size=2)
+            r = rules(cut_lineage(sets), n, MIN_CONFIDENCE)
+            return cut_lineage(r.select(F.element_at("antecedent", 1).alias("item_id"),
+                                        F.element_at("consequent", 1).alias("rec_item_id"), "confidence", "lift", "support"))
+        return self._get("sim_pairs", build)
 
     def sim_scores(self, drop_seen: bool = True, users: DataFrame | None = None) -> DataFrame:
         """Scores of all users, or of those in ``users`` only."""
