@@ -167,6 +167,50 @@ def column_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     return longf.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: distinct values up to which a profile's count is exact (2^k), and values tracked for the top counts
+EXACT_DISTINCT_BITS = 16
+TOP_TRACKED = 10_000
+
+
+def _top_counts(sketch: str) -> tuple[F.Column, F.Column]:
+    """(counts, falling; the one most common value or null) of a frequent-item
+    estimate, nulls left out."""
+    known = F.filter(sketch, lambda x: x["item"].isNotNull())
+    counts = F.sort_array(F.transform(known, lambda x: x["count"]), asc=False)
+    most, next_ = F.get(counts, F.lit(0)), F.get(counts, F.lit(1))
+    leaders = F.transform(F.filter(known, lambda x: x["count"] == most), lambda x: x["item"])
+    return counts, F.when(next_.isNull() | (most > next_), F.get(leaders, F.lit(0)))
+
+
+def table_profile(df: DataFrame, top: int = 3) -> DataFrame:
+    """One row per column: position, name, type, value in the first row
+    (rows ordered by all columns), rows, nulls, distinct values, bounds, the
+    ``top`` largest counts and the most common value (null if two tie).
+
+    One pass: everything is a mergeable aggregate of fixed size.  Distinct values
+    are counted by theta sketches, exact up to 2^16 and estimated beyond, and top
+    counts by frequent-item sketches, exact up to ``TOP_TRACKED`` values."""
+    aggs = [F.count(F.lit(1)).alias("_rows"), F.min(F.struct(*[F.col(c) for c in df.columns])).alias("_first")]
+    for i, c in enumerate(df.columns):
+        text = F.col(c).cast("string")
+        aggs += [F.count(c).alias(f"_n{i}"), F.min(c).alias(f"_lo{i}"), F.max(c).alias(f"_hi{i}"),
+                 F.theta_sketch_agg(text, EXACT_DISTINCT_BITS).alias(f"_d{i}"),
+                 F.expr(f"approx_top_k(CAST(`{c}` AS STRING), {top + 2}, {TOP_TRACKED})").alias(f"_t{i}")]
+    one = df.agg(*aggs)
+    rows = []
+    for i, (c, kind) in enumerate(df.dtypes):
+        counts, common = _top_counts(f"_t{i}")
+        rows.append(F.struct(
+            F.lit(i + 1).alias("position"), F.lit(c).alias("column_name"), F.lit(kind).alias("type"),
+            F.col(f"_first.`{c}`").cast("string").alias("first_value"), F.col("_rows").alias("n_rows"),
+            (F.col("_rows") - F.col(f"_n{i}")).alias("n_null"),
+            F.coalesce(F.theta_sketch_estimate(f"_d{i}"), F.lit(0)).cast("long").alias("n_distinct"),
+            F.col(f"_lo{i}").cast("string").alias("min_value"), F.col(f"_hi{i}").cast("string").alias("max_value"),
+            F.array_join(F.transform(F.slice(counts, 1, top), lambda x: x.cast("string")), ",").alias("top_counts"),
+            common.alias("top_value")))
+    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def overlap_distribution(train: DataFrame, test: DataFrame, user_col: str = "userId",
                          item_col: str = "item_id") -> DataFrame:
     """A25 + U5: per user |train items ∩ test items|, users per overlap size.

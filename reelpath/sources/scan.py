@@ -139,3 +139,54 @@ def split_windows(df: DataFrame, split: Split = DEFAULT_SPLIT, decay: bool = Fal
         train = train.join(users, user_col, "left_semi")
         test = test.join(users, user_col, "left_semi")
     return train, test
+
+
+def newest_snapshot(spark: SparkSession, root: str, base_day: str, key: str = "snapshot",
+                    schema: StructType | None = None) -> DataFrame:
+    """The newest dated prefix (``root/<key>=YYYY-MM-DD``) at or before
+    ``base_day``.  The date comes from the partition column alone, and the read is
+    pruned to that one prefix.  With no such prefix, an empty frame; a root that
+    does not exist gives a typed empty frame when ``schema`` is given."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    try:
+        df = reader.parquet(root)
+    except AnalysisException as e:
+        if schema is None or not _missing(e):
+            raise
+        return spark.createDataFrame([], schema)
+    day = F.col(key).cast("date")
+    newest = df.where(day <= F.lit(base_day).cast("date")).select(key).distinct().agg(F.max(day)).first()[0]
+    if newest is None:
+        return df.where(F.lit(False))
+    return df.where(day == F.lit(newest.isoformat()).cast("date"))
+
+
+def catalogue_snapshot(spark: SparkSession, tv_root: str, movie_root: str, base_day: str) -> DataFrame:
+    """The catalogue of ``base_day``, both parts from their newest prefix."""
+    from reelpath.operators.clean import catalogue_items
+    return catalogue_items(newest_snapshot(spark, tv_root, base_day).drop("snapshot"),
+                           newest_snapshot(spark, movie_root, base_day).drop("snapshot"))
+
+
+def similar_snapshot(spark: SparkSession, root: str, base_day: str) -> DataFrame:
+    """The similar-items rows (item_id, rec_item_id, confidence) of the
+    newest stored table, unpacked from its arrays."""
+    from reelpath.operators.recommend import read_similar
+    return read_similar(newest_snapshot(spark, root, base_day))
+
+
+def read_tolerant(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """A Parquet root of which unreadable files are skipped.  The schema is
+    given, so that no file's footer is needed to plan the read."""
+    return spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(root)
+
+
+def skipped_files(spark: SparkSession, root: str, rows: DataFrame) -> DataFrame:
+    """(path, length) of the files below ``root`` that gave ``rows`` (read
+    by :func:`read_tolerant`) no row: unreadable ones and empty ones.
+
+    The files are listed as a table, without their contents, and compared with
+    the paths that rows come from; neither list passes the driver."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length")
+    read = rows.select(F.col("_metadata.file_path").alias("path")).distinct()
+    return listed.where(~F.element_at(F.split("path", "/"), -1).rlike("^[._]")).join(read, "path", "left_anti")
