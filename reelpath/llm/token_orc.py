@@ -15,8 +15,10 @@ themselves never pass a shuffle.  Encoding cuts a text at single spaces between
 two other characters: byte-level BPE always starts a new pre-token there, so a
 piece (one word, its leading space included) has the same ids alone and within
 the text.  Pieces are looked up in a bounded table per worker and only new pieces
-go to the tokenizer.  Texts with other white space next to a space, or white
-space beyond ASCII, are encoded whole.
+go to the tokenizer.  A piece is found by its hash and then compared byte by
+byte, with the table's copy and with the piece that stands for it; a document
+with a piece of which only the hash agrees is encoded whole.  So are texts with other
+white space next to a space, or white space beyond ASCII.
 
 Defined cases: a null or empty text has the end id alone; rows that repeat a
 ``doc_id`` are separate rows, ordered by their text's hash; a null ``doc_id``
@@ -40,8 +42,9 @@ END_ID = 0
 ROW_INDEX_STRIDE = 1_000
 STRIPE_BYTES = 16 << 20
 BLOOM_FPP = 0.01
-#: pieces remembered per Python worker
+#: pieces remembered per Python worker, and their bytes
 TABLE_PIECES = 1_000_000
+TABLE_BYTES = 32 << 20
 #: new pieces given to the tokenizer at a time
 LEARN_PIECES = 4_000
 
@@ -77,6 +80,22 @@ def odd_documents(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return np.unique(np.searchsorted(offs, np.flatnonzero(bad), side="right") - 1)
 
 
+def same_bytes(a: np.ndarray, a_starts: np.ndarray, a_lens: np.ndarray, b: np.ndarray, b_starts: np.ndarray,
+               b_lens: np.ndarray) -> np.ndarray:
+    """Whether each range of ``a`` holds the same bytes as its range of ``b``."""
+    out = a_lens == b_lens
+    if not out.all():
+        out[out] = same_bytes(a, a_starts[out], a_lens[out], b, b_starts[out], b_lens[out])
+        return out
+    if len(out):
+        ends = np.cumsum(b_lens)
+        step = np.arange(int(ends[-1]), dtype=np.int64)
+        differ = a[np.repeat(a_starts - (ends - b_lens), b_lens) + step] != b[np.repeat(b_starts - (ends - b_lens), b_lens) + step]
+        if differ.any():
+            out[np.searchsorted(ends, np.flatnonzero(differ), side="right")] = False
+    return out
+
+
 class PieceEncoder:
     """Encodes texts piece by piece with a table of known pieces.
 
@@ -94,11 +113,12 @@ class PieceEncoder:
         self.reset()
 
     def reset(self) -> None:
-        """Forget all pieces.  The table is two sorted arrays (hash, place) and
-        the ids by place; it takes about 40 bytes a piece."""
+        """Forget all pieces.  The table is two sorted arrays (hash, place), and
+        the ids and the bytes by place; it takes about 60 bytes a piece."""
         self.keys, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         self.flat, self.ends = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64)
-        self.used = self.count = 0
+        self.bytes, self.byte_ends = np.zeros(1 << 16, np.uint8), np.zeros(1 << 14, np.int64)
+        self.used = self.count = self.held = 0
 
     def places(self, keys: np.ndarray) -> np.ndarray:
         """Place of each key, -1 for new ones."""
@@ -118,6 +138,23 @@ class PieceEncoder:
         self.used += total
         self.count += len(keys)
 
+    def remember(self, pieces: list[bytes]) -> None:
+        """Keep the bytes of the pieces that are added next, in their order."""
+        lens = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        total = int(lens.sum())
+        while self.held + total > len(self.bytes):
+            self.bytes = np.concatenate([self.bytes, np.zeros_like(self.bytes)])
+        while self.count + len(pieces) + 1 > len(self.byte_ends):
+            self.byte_ends = np.concatenate([self.byte_ends, np.zeros_like(self.byte_ends)])
+        self.bytes[self.held:self.held + total] = np.frombuffer(b"".join(pieces), np.uint8)
+        self.byte_ends[self.count + 1:self.count + 1 + len(pieces)] = self.held + np.cumsum(lens)
+        self.held += total
+
+    def known(self, places: np.ndarray, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Whether the bytes of each piece are those of its place in the table."""
+        lo = self.byte_ends[places]
+        return same_bytes(self.bytes, lo, self.byte_ends[places + 1] - lo, buf, starts, ends - starts)
+
     def learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
         """Encode new pieces (``keys`` sorted) and put them into the table."""
         first = self.count
@@ -126,6 +163,7 @@ class PieceEncoder:
             part = alone[lo:lo + LEARN_PIECES]
             coded = [e.ids for e in self.tokenizer.encode_batch_fast([pieces[k].decode() for k in part],
                                                                      add_special_tokens=False)]
+            self.remember([pieces[k] for k in part])
             self.add(keys[part], np.array([i for ids in coded for i in ids], np.int32),
                      np.fromiter(map(len, coded), np.int64, len(coded)))
         left = np.ones(len(pieces), bool)
@@ -136,6 +174,7 @@ class PieceEncoder:
             text = b"".join([pieces[k] for k in part.tolist()]).decode()
             ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
             starts = np.flatnonzero(self.opens[ids])
+            self.remember([pieces[k] for k in part.tolist()])
             self.add(keys[part], ids, np.diff(np.append(starts, len(ids))))
         fresh = np.concatenate([keys[alone], keys[joined]])
         every = np.concatenate([self.keys, fresh])
@@ -154,25 +193,37 @@ class PieceEncoder:
                 at = raw.find(s, at + 1)
         w = Words(buf, offs, self.table)
         docs = w.docs()
-        keep = ~np.isin(docs, list(whole)) if whole else np.ones(len(docs), bool)
         spaced = w.starts > offs[docs]
+        starts, ends = w.starts - spaced, w.ends
         keys = w.hashes() * np.uint64(2) + spaced.astype(np.uint64)
-        distinct, first, inv = np.unique(keys[keep], return_index=True, return_inverse=True)
+        if whole:
+            keep = ~np.isin(docs, list(whole))
+            docs, starts, ends, keys = docs[keep], starts[keep], ends[keep], keys[keep]
+        distinct, first, inv = np.unique(keys, return_index=True, return_inverse=True)
         at = self.places(distinct)
         new = np.flatnonzero(at < 0)
-        if self.count + len(new) > self.limit:
+        size = int((ends - starts)[first[new]].sum())
+        if self.count + len(new) > self.limit or self.held + size > TABLE_BYTES:
             self.reset()
-            new = np.arange(len(distinct))
+            at[:], new = -1, np.arange(len(distinct))
+        old = np.flatnonzero(at >= 0)
+        agrees = np.ones(len(distinct), bool)
+        agrees[old] = self.known(at[old], buf, starts[first[old]], ends[first[old]])
         if len(new):
-            where = np.flatnonzero(keep)[first[new]]
-            lo, hi = (w.starts[where] - spaced[where]).tolist(), w.ends[where].tolist()
+            lo, hi = starts[first[new]].tolist(), ends[first[new]].tolist()
             self.learn(distinct[new], [raw[a:b] for a, b in zip(lo, hi)])
             at[new] = self.places(distinct[new])
+        # every piece is compared with the one that stands for its key
+        good = agrees[inv] & same_bytes(buf, starts[first][inv], (ends - starts)[first][inv], buf, starts, ends - starts)
+        if not good.all():
+            whole.update(docs[~good].tolist())
+            keep = ~np.isin(docs, list(whole))
+            docs, inv = docs[keep], inv[keep]
         lo = self.ends[at][inv]
         lens = self.ends[at + 1][inv] - lo
         out_at = np.cumsum(lens) - lens
         ids = self.flat[np.repeat(lo - out_at, lens) + np.arange(int(lens.sum()))]
-        per = np.bincount(docs[keep], weights=lens, minlength=len(offs) - 1).astype(np.int64)
+        per = np.bincount(docs, weights=lens, minlength=len(offs) - 1).astype(np.int64)
         if whole:
             parts = np.split(ids, np.cumsum(per)[:-1])
             for d in whole:
@@ -223,7 +274,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str | None = None,
     """Encode every document and write the ORC data set to ``path``."""
     keys = ["doc_id", "_hash"]
     slim = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash"))
-    spread = slim.repartitionByRange(partitions, "doc_id") if partitions else slim.repartitionByRange("doc_id")
+    # by both keys, so that an id of very many rows spans many files
+    spread = slim.repartitionByRange(partitions, *keys) if partitions else slim.repartitionByRange(*keys)
     ordered = spread.sortWithinPartitions(*keys).select("doc_id", "text")
     coded = ordered.mapInArrow(encoder(tokenizer_path or default_tokenizer(), end_id), SCHEMA)
     coded.write.mode("overwrite").option("orc.bloom.filter.columns", "doc_id") \
