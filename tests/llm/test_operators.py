@@ -334,6 +334,58 @@ def test_pages_without_semantic_tags():
         "Second one is long enough, too, so that it counts as text."]
 
 
+PARAGRAPHS = ["First paragraph of some length, with text and commas in it, and it goes on for a while.",
+              "Second one is long enough, too, so that it counts as text of the article here."]
+MODELS = [html_extract.PRIOR, {}, {"words 5": 2.0, "words 4": 1.0, "tag p": 1.5, "links 4": -4.0, "tag li": -2.0, "words 1": -1.0}]
+
+
+@pytest.mark.parametrize("odds", MODELS)
+def test_an_article_stays_whatever_is_mentioned_around_it(odds):
+    p = "".join(f"<p>{x}</p>" for x in PARAGRAPHS)
+    for page in (f'<article class="post has-sidebar">{p}</article>', f'<main id="content-with-comments">{p}</main>',
+                 f'<section class="promo-layout"><article>{p}</article></section>', f"<svg/><article>{p}</article>",
+                 f'<div class="post-share-page"><article>{p}</article></div>', f'<form id="aspnetForm"><main>{p}</main></form>',
+                 f'<aside><main>{p}</main></aside>', f'<article>{p}</article><svg/><nav>menu</nav>', f'<div role="main">{p}</div>'):
+        assert html_extract.main_blocks(page, odds) == PARAGRAPHS, page
+
+
+@pytest.mark.parametrize("odds", MODELS)
+def test_named_boilerplate_goes_even_where_it_reads_like_text(odds):
+    p, text = "".join(f"<p>{x}</p>" for x in PARAGRAPHS), "<p>I read all of it, twice, and liked every single word that you wrote.</p>"
+    for page in (f'<article>{p}</article><section id="comments"><article class="comment">{text}{text}</article></section>',
+                 f'<article>{p}</article><div class="comment-list">{text}{text}{text}</div>',
+                 f'<article>{p}<div class="ad-container">{text}</div></article>', f'<nav>{text}</nav><article>{p}</article>',
+                 f'<article>{p}</article><aside><article>{text}</article></aside>', f'<article>{p}<p hidden>x</p></article>',
+                 f'<article>{p}</article><form>{text}</form>', f'<div id="cookie-notice">{text}</div><article>{p}</article>'):
+        assert html_extract.main_blocks(page, odds) == PARAGRAPHS, page
+
+
+def test_the_flow_turns_blocks_against_their_own_cost():
+    """A short line between paragraphs costs more in than out by itself, also
+    inside a marked page; its neighbours turn it.  A name against it they do not."""
+    odds = {"words 5": 2.0, "words 4": 2.0, "words 1": -1.4}
+    page = f"<div><p>{PARAGRAPHS[0]}</p><p>Aha!</p><p>{PARAGRAPHS[1]}</p></div>"
+
+    def own(source, odds):
+        b = html_extract.page_blocks(source)[1]
+        return max(-html_extract.CLIP, sum(odds.get(f, 0.0) for f in html_extract.form(b))) + b.says
+
+    assert own(page, odds) < 0 and html_extract.main_blocks(page, odds) == [PARAGRAPHS[0], "Aha!", PARAGRAPHS[1]]
+    assert html_extract.main_blocks("<div><p>Aha!</p></div>", odds) == []
+    marked = f"<article><p>{PARAGRAPHS[0]}</p><p class='with-ads'>Aha!</p><p>{PARAGRAPHS[1]}</p></article>"
+    low = {**odds, "words 1": -2.4}
+    assert own(marked, low) < 0 and html_extract.main_blocks(marked, low) == [PARAGRAPHS[0], "Aha!", PARAGRAPHS[1]]
+    assert html_extract.main_blocks(marked.replace("with-ads", "banner"), low) == PARAGRAPHS
+
+
+def test_pages_of_odd_tables(spark):
+    long = "<article>" + "<p>word and word, again.</p>" * 60_000 + "</article>"
+    rows = [(1, "u", long, 5, "x"), (1, "u", "<article><p>a b c.</p></article>", 5, "x")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int, text string")
+    got = sorted(html_extract.extract(df).collect(), key=lambda r: -r.n_chars)
+    assert [r.n_chars for r in got] == [60_000 * 22 - 1, 6] and got[0].asDict().keys() == {"page_id", "url", "text", "n_chars"}
+
+
 # -- 10 token output
 
 def test_pieces_encode_like_whole_texts():
