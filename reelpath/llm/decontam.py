@@ -18,9 +18,14 @@ many items share makes no candidates by itself, and nothing is lost.  The
 benchmark's window hashes are sent to the tasks as a filter while they number at
 most ``BROADCAST_WINDOWS``; beyond, all windows of the documents go to the join.
 
-Defined cases: items with fewer than ``WINDOW`` words, or without any window of
-enough plain words, cannot be told from chance and take no part; null and empty
-texts contain nothing; rows that repeat a doc_id count as one document; items
+Items without such a window -- fewer than ``WINDOW`` words, or hardly a plain
+word, as in arithmetic -- are matched whole: the hash of their complete
+lower-case word sequence against the documents' runs of as many words, or, for
+items of fewer than ``MIN_WHOLE`` words, against whole documents only, since
+a word or two of a text prove nothing.
+
+Defined cases: items without a word take no part; null and empty texts contain
+nothing; rows that repeat a doc_id count as one document; items
 that repeat an item_id count as one item with the windows of both; null ids are
 ids like others; an empty table gives no rows; other columns are ignored.
 """
@@ -34,13 +39,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelpath.llm.common import Words, broadcast_if_small, gram_hashes, text_pieces, word_bytes
+from reelpath.llm.common import Words, broadcast_if_small, gram_hashes, mix64, text_pieces, tidy, word_bytes
 from reelpath.session import checkpoint_root
 
 WINDOW = 5
 MIN_PLAIN = 2
 COVERAGE = 0.5
 BROADCAST_WINDOWS = 2_000_000
+#: words from which on an item without windows is searched inside documents
+MIN_WHOLE = 3
+RUN_BASE = 0x9FB21C651E98DF25
 
 #: words that count as units after a number
 UNITS = ("mm cm m km mi ft in inch inches foot feet yard yards mile miles meter meters metre metres g kg mg lb lbs oz "
@@ -67,6 +75,71 @@ def unit_hashes() -> np.ndarray:
     return np.sort(Words(buf, np.array([0, len(buf)]), word_bytes()).hashes())
 
 
+def run_hashes(h: np.ndarray, docs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, first word) of each run of ``n`` words within one document, in
+    the same steps for any ``n``: differences of running sums over powers of an
+    odd number, which has an inverse modulo 2^64."""
+    m = len(h) - n + 1
+    if m <= 0:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    # per document, so that a run's hash does not depend on where the document starts
+    inverse = np.uint64(pow(RUN_BASE, -1, 1 << 64))
+    powers = np.cumprod(np.full(len(h), inverse, np.uint64))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * powers)])
+    at = np.flatnonzero(docs[:m] == docs[n - 1:])
+    lift = np.cumprod(np.full(len(h) + n, np.uint64(RUN_BASE), np.uint64))
+    return mix64((sums[at + n] - sums[at]) * lift[at + n - 1] + np.uint64(n)), at
+
+
+def whole_runs(known: dict[int, np.ndarray] | None, lengths: list[int], key: str, entire: bool):
+    """Rows (key, hash, n) of runs of the given lengths; only hashes in ``known``
+    if given.  Shorter lengths than ``MIN_WHOLE`` are compared with documents of
+    just so many words.  With ``entire``, of every document the one run that it is."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = word_bytes()
+        for b in batches:
+            ids = b.column(key)
+            for lo, hi, buf, offs in text_pieces(b.column("text")):
+                w = Words(lower_bytes(buf), offs, table)
+                h, docs = w.hashes(), w.docs()
+                for n in (np.unique(w.counts[w.counts > 0]).tolist() if entire else lengths):
+                    g, at = run_hashes(h, docs, n)
+                    if entire or n < MIN_WHOLE:
+                        ok = w.counts[docs[at]] == n
+                        g, at = g[ok], at[ok]
+                    if known is not None:
+                        ok = np.isin(g, known[n])
+                        g, at = g[ok], at[ok]
+                    if len(g):
+                        yield pa.RecordBatch.from_arrays(
+                            [ids.take(pa.array(lo + docs[at])), pa.array(g.astype(np.int64)),
+                             pa.array(np.full(len(g), n), pa.int64())], names=[key, "hash", "n"])
+    return run
+
+
+def _whole_matches(docs: DataFrame, benchmark: DataFrame, items: DataFrame) -> DataFrame:
+    """The leaks of items that have no window."""
+    without = benchmark.join(items.select(F.col("item_id").alias("w_item")).distinct(),
+                             benchmark["item_id"].eqNullSafe(F.col("w_item")), "left_anti")
+    kinds = dict(docs.dtypes)["doc_id"], dict(benchmark.dtypes)["item_id"]
+    short = without.select("item_id", "text").mapInArrow(
+        whole_runs(None, [], "item_id", True), f"item_id {kinds[1]}, hash long, n long").distinct().checkpoint()
+    lengths = sorted(r.n for r in short.select("n").distinct().collect())
+    known = None
+    if short.count() <= BROADCAST_WINDOWS:
+        rows = short.select("n", "hash").collect()                       # at most BROADCAST_WINDOWS pairs of numbers
+        known = {n: np.array([r.hash for r in rows if r.n == n], np.int64).astype(np.uint64) for n in lengths}
+    none = F.lit(False)
+    if not lengths:
+        runs = docs.select("doc_id", F.lit(0).cast("long").alias("hash"), F.lit(0).cast("long").alias("n")).where(none)
+    else:
+        runs = docs.select("doc_id", "text").mapInArrow(tidy(whole_runs(known, lengths, "doc_id", False)),
+                                                        f"doc_id {kinds[0]}, hash long, n long")
+    return runs.distinct().join(broadcast_if_small(short), ["hash", "n"]).select("doc_id", "item_id").distinct().select(
+        "doc_id", "item_id", F.lit(1).cast("long").alias("n_windows"), F.lit(1).cast("long").alias("matched"),
+        F.lit(1.0).alias("coverage"), none.alias("reparameterised"))
+
+
 class Template:
     """Template words of one text piece: ``docs``, ``ids`` (hash or placeholder),
     ``values`` (hash of what a placeholder stands for) and ``slot``."""
@@ -141,7 +214,7 @@ def template_windows(known: np.ndarray | None, key: str):
 
 def _windows(df: DataFrame, key: str, known: np.ndarray | None = None) -> DataFrame:
     kind = dict(df.dtypes)[key]
-    return df.select(key, "text").mapInArrow(template_windows(known, key),
+    return df.select(key, "text").mapInArrow(tidy(template_windows(known, key)),
                                              f"{key} {kind}, pos long, hash long, slots array<long>")
 
 
@@ -176,10 +249,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     pairs = hits.select("doc_id", "hash").distinct().join(small, "hash").select("doc_id", "item_id").distinct()
     pairs = pairs.checkpoint()
     wanted = pairs.select(F.col("doc_id").alias("p_doc"), F.col("item_id").alias("p_item"))
-    matched = hits.join(broadcast_if_small(items, n), "hash") \
-        .withColumn("shift", F.col("pos") - F.col("item_pos"))
-    matched = matched.join(wanted, matched["doc_id"].eqNullSafe(wanted["p_doc"]) &
-                           matched["item_id"].eqNullSafe(wanted["p_item"]), "left_semi").checkpoint()
+    # first the document's candidate items, then their windows: a window that many
+    # documents and items share meets no item that is no candidate
+    asked = hits.join(wanted, hits["doc_id"].eqNullSafe(wanted["p_doc"])).drop("p_doc")
+    known_items = broadcast_if_small(items.withColumnRenamed("hash", "i_hash"))
+    matched = asked.join(known_items, (F.col("hash") == F.col("i_hash")) & F.col("p_item").eqNullSafe(F.col("item_id"))) \
+        .drop("p_item", "i_hash").withColumn("shift", F.col("pos") - F.col("item_pos")).checkpoint()
     # one value of the item must stay one value of the document
     slots = matched.withColumn("s", F.explode(F.arrays_zip("item_slots", "slots"))) \
         .groupBy("doc_id", "item_id", "shift", F.col("s.item_slots").alias("v")) \
@@ -192,9 +267,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
                         (matched["shift"] == odd["o_shift"]), "left").where(~F.coalesce("odd", F.lit(False)))
     found = good.groupBy("doc_id", "item_id").agg(F.count_distinct("item_pos").alias("matched"),
                                                   F.max(F.coalesce("other", F.lit(False))).alias("reparameterised"))
-    return found.join(size, found["item_id"].eqNullSafe(size["z_item"])) \
+    by_windows = found.join(size, found["item_id"].eqNullSafe(size["z_item"])) \
         .withColumn("coverage", F.col("matched") / F.col("n_windows")).where(F.col("coverage") >= coverage) \
         .select("doc_id", "item_id", "n_windows", "matched", "coverage", "reparameterised")
+    return by_windows.unionByName(_whole_matches(docs, benchmark, items))
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:

@@ -100,6 +100,110 @@ def test_leaks_without_the_filter_are_the_same(spark, monkeypatch):
     assert sorted(QUERIES["op2_decontam"](spark, SF).collect()) == want and want
 
 
+def test_items_without_windows_are_matched_whole(spark, monkeypatch):
+    items = [(1, "Name four sorting methods"), (2, "Compute 12 + 34 * 5 - 7"), (3, "Paris"), (4, "Why now?"), (None, "one two three"),
+             (6, "..."), (7, "A question with a number of plain words in it")]
+    docs = ["Please name FOUR sorting methods, briefly.", "so compute 12 + 34 * 5 - 7 now", "Paris is a town", "paris!", "why now", None, "",
+            "why now of all times", "one two. Three", "compute 12 + 34 * 5 - 8", "one two", "x a question with a number of plain words in it"]
+    want = {(0, 1), (1, 2), (3, 3), (4, 4), (8, None), (11, 7)}
+    for most in (decontam.BROADCAST_WINDOWS, 0):
+        monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", most)
+        got = decontam.find_leaks(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"),
+                                  spark.createDataFrame(items, "item_id long, text string")).collect()
+        assert {(r.doc_id, r.item_id) for r in got} == want
+
+
+def test_runs_of_any_length_hash_alike_everywhere():
+    rng = np.random.default_rng(2)
+    h = rng.integers(0, 50, 400).astype(np.uint64)
+    docs = np.repeat(np.arange(8), 50)
+    for n in (1, 2, 7, 50):
+        g, at = decontam.run_hashes(h, docs, n)
+        assert len(at) == 8 * (51 - n)
+        by = collections.defaultdict(set)
+        for x, i in zip(g.tolist(), at.tolist()):
+            by[x].add(tuple(h[i:i + n].tolist()))
+        assert all(len(v) == 1 for v in by.values()) and len(by) == len({tuple(h[i:i + n].tolist()) for i in at})
+
+
+def plain_template(text):
+    """Template words and slot values by the definition, word by word."""
+    words = [(m.start(), m.group()) for m in re.finditer(r"[A-Za-z0-9\u0080-\U0010ffff]+", text)]
+    out, prev = [], None
+    for k, (at, w) in enumerate(words):
+        end = prev[0] + len(prev[1]) if prev else 0
+        opens = prev is None or re.search(r"[.!?\n]", text[end:at])
+        number = w[0] in "0123456789"
+        if number and prev and prev[1][0] in "0123456789" and at == end + 1 and text[end] in ",.":
+            out[-1] = ("#", out[-1][1] + "," + w)
+        elif number:
+            out.append(("#", w))
+        elif prev and prev[1][0] in "0123456789" and w.lower() in decontam.UNITS:
+            out.append(("unit", w.lower()))
+        elif w[0].isupper() and len(w) > 1 and not opens and w[1].islower():
+            out.append(("name", w.lower()))
+        else:
+            out.append((w.lower(), None))
+        prev = (at, w)
+    return out
+
+
+def plain_leaks(docs, items):
+    """Slot-consistent coverage of every document and item, all alignments."""
+    def windows(t):
+        return [(k, tuple("\0" + x if v is not None else x for x, v in t[k:k + 5]), [v for _, v in t[k:k + 5] if v is not None])
+                for k in range(len(t) - 4) if sum(v is None for _, v in t[k:k + 5]) >= decontam.MIN_PLAIN]
+    found = set()
+    item_windows = {i: windows(plain_template(x)) for i, x in items.items()}
+    for d, text in docs.items():
+        mine = collections.defaultdict(list)
+        for k, w, v in windows(plain_template(text)):
+            mine[w].append((k, v))
+        for i, ws in item_windows.items():
+            shifts = collections.defaultdict(list)
+            for p, w, v in ws:
+                for k, u in mine.get(w, ()):
+                    shifts[k - p].append((p, v, u))
+            good = set()
+            for rows in shifts.values():
+                maps = collections.defaultdict(set)
+                for _, v, u in rows:
+                    for x, y in zip(v, u):
+                        maps[x].add(y)
+                if all(len(s) == 1 for s in maps.values()):
+                    good |= {p for p, _, _ in rows}
+            if ws and len(good) / len(ws) >= decontam.COVERAGE:
+                found.add((d, i))
+    return found
+
+
+def test_leaks_equal_brute_force_with_placeholders_and_slots(spark):
+    rnd = random.Random(12)
+    names, words = ["Tom", "Anna", "Maria", "Paul"], "gives apples with pears together in the small blue basket today".split()
+
+    def question(values, who):
+        return (f"If {who[0]} has {values[0]} apples and gives {values[1]} kg to {who[1]} in the blue basket how many of the {values[0]} apples "
+                f"does {who[0]} keep today")
+    items = {1: question((12, 3), ("Tom", "Anna")), 2: "Small blue basket today with 5 kg of pears and 7 apples in the small basket",
+             3: "gives apples with pears together 1,000 in the small"}
+    docs = {}
+    for d in range(120):
+        parts = [rnd.choice(words + [str(rnd.randint(1, 9)), "kg", "Paul"]) for _ in range(rnd.randint(0, 25))]
+        if rnd.random() < 0.6:
+            v = (rnd.randint(1, 20), rnd.randint(1, 20))
+            text = question(v, rnd.sample(names, 2))
+            if rnd.random() < 0.4:
+                text = text.replace(f"the {v[0]} apples", f"the {v[0] + 1} apples")        # a slot that breaks the rule
+            parts.insert(rnd.randint(0, len(parts)), "x. " + text)
+        if rnd.random() < 0.3:
+            parts.append(rnd.choice([items[2], items[3], items[2].replace("5", "9")]))
+        docs[d] = " ".join(parts)
+    got = decontam.find_leaks(spark.createDataFrame(list(docs.items()), "doc_id long, text string"),
+                              spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()
+    want = plain_leaks(docs, items)
+    assert {(r.doc_id, r.item_id) for r in got} == want and 40 < len(want) < 200
+
+
 # -- 3 near duplicates
 
 def test_samples_collide_like_weighted_jaccard():
