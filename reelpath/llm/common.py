@@ -9,7 +9,8 @@ of any prefix of a word comes from the same running sum.
 
 from __future__ import annotations
 
-from typing import Iterator, Tuple
+import contextlib
+from typing import Callable, Iterator, Tuple
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,47 @@ def broadcast_if_small(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, records: int = 1_000) -> Iterator[None]:
+    """Arrow batches of at most ``records`` rows for the jobs that run inside:
+    rows of long texts and packed sets are held several times, by the JVM and by
+    the worker, while a batch is on its way."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if 0 < int(before) <= records:
+        yield
+        return
+    spark.conf.set(key, str(records))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def tidy(run: Callable, keep: str = "") -> Callable:
+    """``run`` over batches, as a task that begins without what another
+    operator's tasks kept in the reused worker (all but ``keep``), and gives
+    freed memory back to the system when it ends."""
+    def give_back() -> None:
+        import ctypes
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):             # not every system's allocator has it
+            pass
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import sys
+        held = sys.modules.get("_reelpath_worker")
+        if held is not None:
+            for name in [k for k in vars(held) if not k.startswith("__") and k != keep]:
+                delattr(held, name)
+        give_back()
+        yield from run(batches)
+        give_back()
+    return task
+
+
 def text_pieces(col: pa.Array, piece_bytes: int = PIECE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) over a string array; nulls are empty."""
     if col.null_count:

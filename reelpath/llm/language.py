@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelpath.llm.common import Words, broadcast_if_small, id_remainder, sum_blocks, text_pieces, word_bytes
+from reelpath.llm.common import Words, broadcast_if_small, id_remainder, sum_blocks, text_pieces, tidy, word_bytes
 from reelpath.session import checkpoint_root
 
 FOLDS, HELD_OUT = 3, 1
@@ -85,7 +85,7 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
         raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
     if not langs:
         return [], np.zeros((1 << BITS, 0), np.float32)
-    partial = rows.select("lang", F.lower("text").alias("text")).mapInArrow(_count(langs), "lang string, cells binary")
+    partial = rows.select("lang", F.lower("text").alias("text")).mapInArrow(tidy(_count(langs)), "lang string, cells binary")
     got = {r.lang: np.frombuffer(r.cells, np.int64) for r in sum_blocks(partial, ["lang"]).collect()}
     n = np.stack([got.get(x, np.zeros(1 << BITS, np.int64)) for x in langs], axis=1) + SMOOTHING
     return langs, np.log(n / n.sum(0)).astype(np.float32)
@@ -177,7 +177,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray] | None = None)
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     rows = docs.select(F.col("doc_id"), letters.alias("letters"), F.lower("text").alias("text"))
     kind = dict(docs.dtypes)["doc_id"]
-    got = rows.mapInArrow(_predict(langs, log_p),
+    got = rows.mapInArrow(tidy(_predict(langs, log_p)),
                           f"doc_id {kind}, letters boolean, pred string, top double, shares array<double>")
     known = F.col("letters") & F.col("pred").isNotNull()
     return got.select("doc_id", held.alias("held_out"),

@@ -26,8 +26,8 @@ rounds, each bucket whose members still lie in different classes names up to
 ``NAMED`` members, chosen by hash, and the members of other classes are verified
 against those.  These rounds only save work.  The finish is exact: over all
 members of buckets that are still split, a prefix-filter join on the shingles
-gives every pair of different classes that can reach ``THRESHOLD``, and these
-are verified.  Texts list their shingles rarest first.  The first shingle that
+and on size classes gives every pair of different classes that can reach
+``THRESHOLD``, and these are verified.  Texts list their shingles rarest first.  The first shingle that
 two texts share bounds their common weight by what either text has from there
 on, so a pair is left out only where that bound already rules it out.
 
@@ -44,11 +44,11 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelpath.llm.common import (Words, broadcast_if_small, gram_hashes, sum_blocks, text_pieces, uniform_words,
-                                 word_bytes)
+from reelpath.llm.common import (Words, broadcast_if_small, gram_hashes, small_batches, sum_blocks, text_pieces, tidy,
+                                 uniform_words, word_bytes)
 from reelpath.session import checkpoint_root
 
 SHINGLE = 5
@@ -62,6 +62,8 @@ TABLE_BITS = 14
 DAMP = 0.1
 #: room for rounding in the bounds of the finish
 SLACK = 1e-6
+#: ratio between the weights of neighbouring size classes in the finish
+SIZE_STEP = 1.05
 #: members that a bucket names in each linking round
 NAMED = (4, 16)
 
@@ -105,7 +107,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def idf_table(docs: DataFrame) -> np.ndarray:
     """idf by shingle class, over all rows of ``docs``; fixed size."""
-    partial = docs.select(F.lower("text").alias("text")).mapInArrow(_frequencies, "block int, cells binary")
+    partial = docs.select(F.lower("text").alias("text")).mapInArrow(tidy(_frequencies), "block int, cells binary")
     got = sorted(sum_blocks(partial, ["block"]).collect())
     if not got:
         return np.ones(1 << BITS, np.float32)
@@ -181,15 +183,15 @@ def _weighted_sets(idf: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = word_bytes()
         for b in batches:
-            hs, ws = [], []
             for lo, hi, buf, offs in text_pieces(b.column("text")):
                 d, g, tf = shingles(buf, offs, table)
                 w = shingle_weights(g, tf, idf).astype(np.float32)
                 cut = np.searchsorted(d, np.arange(hi - lo + 1))
-                hs += [g[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:])]
-                ws += [w[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:])]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(hs, pa.binary()), pa.array(ws, pa.binary())],
-                                             names=["doc_id", "hashes", "weights"])
+                hs = [g[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:])]
+                ws = [w[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id").slice(lo, hi - lo), pa.array(hs, pa.binary()), pa.array(ws, pa.binary())],
+                    names=["doc_id", "hashes", "weights"])
     return run
 
 
@@ -228,7 +230,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     one = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("h1"), F.col("weights").alias("w1"))
     two = sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("h2"), F.col("weights").alias("w2"))
     return pairs.join(one, "a").join(two, "b").select("a", "b", "h1", "w1", "h2", "w2") \
-        .mapInArrow(_similarity, "a long, b long, similarity double").where(F.col("similarity") >= THRESHOLD)
+        .mapInArrow(tidy(_similarity), "a long, b long, similarity double").where(F.col("similarity") >= THRESHOLD)
 
 
 def _prefixes(idf: np.ndarray):
@@ -256,18 +258,47 @@ def _prefixes(idf: np.ndarray):
     return run
 
 
+def size_class(total: Column) -> Column:
+    return F.floor(F.log(total) / np.log(SIZE_STEP)).cast("long")
+
+
+def asking_sides(p: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Prefix rows as the lighter text of a pair, one for each size class that it
+    can reach, and as the heavier one, in its own size class."""
+    need = THRESHOLD / (1 + THRESHOLD) * (1 - SLACK)
+    x, y = (p.select("gram", *(F.col(c).alias(c + k) for c in ("doc_id", "class", "rest", "total", "minor"))) for k in "12")
+    most = F.col("rest1") / need - F.col("total1")
+    x = x.withColumn("most", most).where(F.col("most") >= F.col("total1") * (1 - SLACK)) \
+        .withColumn("size", F.explode(F.sequence(size_class(F.col("total1") * (1 - SLACK)), size_class(F.col("most")))))
+    return x, y.withColumn("size", size_class(F.col("total2")))
+
+
 def unlinked_pairs(members: DataFrame, sets: DataFrame, idf: np.ndarray) -> DataFrame:
     """Every pair (a, b) of ``members`` (doc_id, class) in different classes that
-    can reach ``THRESHOLD``; exact, whatever the size of a bucket."""
+    can reach ``THRESHOLD``; exact, whatever the size of a bucket.
+
+    Of two texts the lighter one asks.  With ``rest`` of its weight from a shared
+    shingle on, it can only reach partners up to a total of ``rest / need - total``,
+    so it joins the size classes from its own total to there, and no partner at
+    all where that is below its own total: texts that share a passage too short
+    never meet.  In a shingle that one class dominates, members of that class are
+    not joined with each other."""
     p = sets.join(members, "doc_id").select("doc_id", "class", "hashes", "weights") \
-        .mapInArrow(_prefixes(idf), "doc_id long, class long, gram long, rest double, total double").transform(settled)
-    mixed = p.groupBy("gram").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi").select("gram")
-    p = p.join(mixed, "gram").transform(settled)
-    x, y = (p.select("gram", *(F.col(c).alias(c + k) for c in ("doc_id", "class", "rest", "total"))) for k in "12")
+        .mapInArrow(tidy(_prefixes(idf)), "doc_id long, class long, gram long, rest double, total double").transform(settled)
+    counts = p.groupBy("gram", "class").agg(F.count("*").alias("n"))
+    mixed = counts.groupBy("gram").agg(F.max(F.struct("n", "class"))["class"].alias("major"), F.count("*").alias("classes")) \
+        .where("classes > 1").select("gram", "major")
+    p = p.join(mixed, "gram").withColumn("minor", F.col("class") != F.col("major")).drop("major").transform(settled)
+    x, y = asking_sides(p)
     need = THRESHOLD / (1 + THRESHOLD) * (1 - SLACK)
-    can = (F.col("doc_id1") < F.col("doc_id2")) & (F.col("class1") != F.col("class2")) & \
-        (F.least("rest1", "rest2") >= need * (F.col("total1") + F.col("total2")))
-    return x.join(y, (x["gram"] == y["gram"]) & can).select(F.col("doc_id1").alias("a"), F.col("doc_id2").alias("b")).distinct()
+    lighter = (F.col("total1") < F.col("total2")) | ((F.col("total1") == F.col("total2")) & (F.col("doc_id1") < F.col("doc_id2")))
+    can = lighter & (F.col("class1") != F.col("class2")) & (F.least("rest1", "rest2") >= need * (F.col("total1") + F.col("total2")))
+
+    def met(one: DataFrame, two: DataFrame) -> DataFrame:
+        on = (one["gram"] == two["gram"]) & (one["size"] == two["size"])
+        return one.join(two, on & can).select(F.least("doc_id1", "doc_id2").alias("a"), F.greatest("doc_id1", "doc_id2").alias("b"))
+
+    return met(x.where("minor1"), y).union(met(x.where("not minor1"), y.where("minor2"))).distinct()
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -317,25 +348,32 @@ def classes(docs: DataFrame) -> DataFrame:
     """(doc_id, copy_of, class_id, n_links): per document the smallest id with an
     equal text, its class, and the number of verified links of its text."""
     checkpoint_root(docs.sparkSession)
+    with small_batches(docs.sparkSession):
+        return _classes(docs)
+
+
+def _classes(docs: DataFrame) -> DataFrame:
     text = F.lower(F.coalesce(F.col("text"), F.lit("")))
     base = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     idf = idf_table(base)
     signed = base.withColumn("copy", F.unhex(F.md5(F.col("text").cast("binary")))) \
-        .mapInArrow(_sign(idf), "doc_id long, copy binary, n_shingles long, bands array<long>")
+        .mapInArrow(tidy(_sign(idf)), "doc_id long, copy binary, n_shingles long, bands array<long>")
     # rows that repeat an id are one document, by its smallest text hash
     signed = signed.groupBy("doc_id").agg(F.min(F.struct("copy", "n_shingles", "bands")).alias("s")) \
         .select("doc_id", "s.*").transform(settled)
-    reps = signed.groupBy("copy").agg(F.min("doc_id").alias("rep"))
-    member = signed.select("doc_id", "copy").join(reps, "copy").select("doc_id", "rep").transform(settled)
-    texts = signed.join(broadcast_if_small(reps.select(F.col("rep").alias("doc_id"))), "doc_id", "left_semi") \
-        .where("n_shingles > 0")
+    # only texts with copies need a representative, so a text of very many copies is one row of a small table
+    reps = signed.groupBy("copy").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").drop("n").transform(settled)
+    member = signed.select("doc_id", "copy", "n_shingles", "bands").join(broadcast_if_small(reps), "copy", "left") \
+        .withColumn("rep", F.coalesce("rep", "doc_id")).drop("copy").transform(settled)
+    texts = member.where((F.col("doc_id") == F.col("rep")) & (F.col("n_shingles") > 0)).drop("rep")
+    member = member.select("doc_id", "rep")
     keys = texts.select("doc_id", F.posexplode("bands").alias("band", "key"))
     size = keys.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("doc_id").alias("low")).where("n > 1")
     shared = keys.join(size.drop("n"), ["band", "key"]).transform(settled)
     first = shared.where("doc_id <> low").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct().transform(settled)
     wanted = first.select(F.col("a").alias("doc_id")).union(first.select(F.col("b").alias("doc_id"))).distinct().transform(settled)
     rows = base.join(broadcast_if_small(wanted), "doc_id", "left_semi")
-    sets = rows.mapInArrow(_weighted_sets(idf), "doc_id long, hashes binary, weights binary") \
+    sets = rows.mapInArrow(tidy(_weighted_sets(idf)), "doc_id long, hashes binary, weights binary") \
         .groupBy("doc_id").agg(F.min(F.struct("hashes", "weights")).alias("s")).select("doc_id", "s.*").transform(settled)
     nodes = wanted.select(F.col("doc_id").alias("node"))
     links = verify(first, sets).transform(settled)

@@ -16,7 +16,8 @@ a count partition adds up and answers every chunk with the totals in the order
 asked; a chunk joins the answers to its documents' n-grams and sums per
 document.  Partition and chunk sizes are fixed by ``CHUNK_BYTES``, so their
 numbers grow with the corpus; packed rows never outnumber exploded n-grams.
-N-grams are told apart by 56 bits of hash.
+N-grams are told apart by 56 bits of hash.  :func:`relational_scores` is the
+same plan with one row per n-gram.
 
 Defined cases: null, empty and wordless texts have 0 tokens and score 0; rows
 that repeat a doc_id are separate documents; a single document is scored
@@ -197,3 +198,62 @@ def score_documents(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, c
         sender(order, n), "part int, chunk long, n long, hashes binary, counts binary")
     told = asked.groupBy("part").applyInArrow(answer, "part int, chunk long, n long, totals binary")
     return base.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(scorer(order, alpha), SCORES)
+
+
+# ------------------------------------------------------------------ the same scores as plain joins
+
+GRAMS = "row long, start long, k int, gram long"
+
+
+def exploder(order: int):
+    """(row, first word, order, hash) of every n-gram of every document."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sizes, grams = chunk_grams(b.column("text"), order)
+            rows, first = b.column("row").to_numpy(), np.cumsum(sizes) - sizes
+            for k, (h, d, at) in enumerate(grams, 1):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows[d]), pa.array(at - first[d]), pa.array(np.full(len(h), k, np.int32)), pa.array(h.astype(np.int64))],
+                    names=["row", "start", "k", "gram"])
+    return run
+
+
+def relational_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA) -> DataFrame:
+    """What :func:`score_documents` returns, as joins of one row per n-gram.
+
+    The plainer form of the same plan: exploded n-grams, a count table grouped by
+    hash, an equi-join of the two, sums per document.  It moves every n-gram three
+    times as a row of its own, many times the input, where the packed form moves
+    sorted hashes as differences; the README has the figures."""
+    checkpoint_root(docs.sparkSession)
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.coalesce("text", F.lit(""))).alias("text")) \
+        .withColumn("row", F.monotonically_increasing_id()).checkpoint()
+    grams = base.select("row", "text").mapInArrow(exploder(order), GRAMS).checkpoint()
+    own = grams.groupBy("row", "gram").agg(F.count(F.lit(1)).alias("own"))
+    total = own.groupBy("gram").agg(F.sum("own").alias("total"))
+    elsewhere = own.join(total, "gram").select("row", "gram", (F.col("total") - F.col("own")).alias("left"))
+    known = grams.join(elsewhere, ["row", "gram"]).select("row", "start", "k", "left").checkpoint()
+    sizes = known.where("k = 1").groupBy("row").agg(F.count(F.lit(1)).alias("n_tokens")).checkpoint()
+    words = sizes.agg(F.sum("n_tokens")).first()[0] or 0
+    # an n-gram scores its last word, and is the context of the word after it
+    scores = known.select("row", (F.col("start") + F.col("k") - 1).alias("token"), "k", F.col("left").alias("n"),
+                          F.lit(None).cast("long").alias("context"))
+    contexts = known.where(F.col("k") < order).select("row", (F.col("start") + F.col("k")).alias("token"), (F.col("k") + 1).alias("k"),
+                                                       F.lit(None).cast("long").alias("n"), F.col("left").alias("context"))
+    rest = F.greatest(F.lit(words) - F.col("n_tokens"), F.lit(1))
+    each = scores.union(contexts).groupBy("row", "token", "k").agg(F.max("n").alias("n"), F.max("context").alias("context")) \
+        .where(F.col("n").isNotNull()).join(sizes, "row")
+    context = F.when(F.col("k") == 1, rest).otherwise(F.col("context"))
+    fits = (F.col("n") > 0) & (context > 0)
+    longest = F.max(F.when(fits, F.struct("k", (F.log("n") - F.log(context)).alias("p"))))
+    most = F.least(F.col("token") + 1, F.lit(order))
+    per = each.groupBy("row", "token", "n_tokens").agg(longest.alias("best")) \
+        .withColumn("k", F.coalesce("best.k", F.lit(0))) \
+        .withColumn("p", F.coalesce(F.col("best.p"), -F.log(rest)) +
+                    (most - F.greatest(F.col("k"), F.lit(1))) * F.lit(float(np.log(alpha))))
+    sums = per.groupBy("row").agg(F.sum("p").alias("log_score"),
+                                  F.array(*[F.count_if(F.col("k") == k) for k in range(order + 1)]).alias("longest"))
+    none = F.array(*[F.lit(0).cast("long") for _ in range(order + 1)])
+    return base.select("row", "doc_id").join(sizes, "row", "left").join(sums, "row", "left").select(
+        "doc_id", F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"),
+        F.coalesce("log_score", F.lit(0.0)).alias("log_score"), F.coalesce("longest", none).alias("longest"))

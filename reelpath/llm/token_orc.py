@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reelpath.llm.common import Words, text_pieces
+from reelpath.llm.common import Words, small_batches, text_pieces, tidy
 from reelpath.session import scratch_path
 
 END_ID = 0
@@ -48,6 +48,9 @@ TABLE_BYTES = 32 << 20
 #: new pieces given to the tokenizer at a time
 LEARN_PIECES = 4_000
 
+#: name of the encoder among what a worker keeps between tasks
+HELD = "encoder"
+
 SCHEMA = "doc_id long, file_start long, n_tokens long, ids array<int>"
 
 
@@ -245,9 +248,11 @@ def worker_encoder(tokenizer_path: str) -> PieceEncoder:
     from tokenizers import Tokenizer
     os.environ["TOKENIZERS_PARALLELISM"] = "false"           # Spark runs one task per core
     held = sys.modules.setdefault("_reelpath_worker", types.ModuleType("_reelpath_worker")).__dict__
-    if held.get("path") != tokenizer_path:
-        held.update(path=tokenizer_path, encoder=PieceEncoder(Tokenizer.from_file(tokenizer_path)))
-    return held["encoder"]
+    path, one = held.get(HELD, ("", None))
+    if path != tokenizer_path:
+        one = PieceEncoder(Tokenizer.from_file(tokenizer_path))
+        held[HELD] = tokenizer_path, one
+    return one
 
 
 def encoder(tokenizer_path: str, end_id: int):
@@ -277,10 +282,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str | None = None,
     # by both keys, so that an id of very many rows spans many files
     spread = slim.repartitionByRange(partitions, *keys) if partitions else slim.repartitionByRange(*keys)
     ordered = spread.sortWithinPartitions(*keys).select("doc_id", "text")
-    coded = ordered.mapInArrow(encoder(tokenizer_path or default_tokenizer(), end_id), SCHEMA)
-    coded.write.mode("overwrite").option("orc.bloom.filter.columns", "doc_id") \
-        .option("orc.bloom.filter.fpp", BLOOM_FPP).option("orc.row.index.stride", ROW_INDEX_STRIDE) \
-        .option("orc.stripe.size", STRIPE_BYTES).option("orc.compress", "ZSTD").orc(path)
+    coded = ordered.mapInArrow(tidy(encoder(tokenizer_path or default_tokenizer(), end_id), HELD), SCHEMA)
+    with small_batches(docs.sparkSession):
+        coded.write.mode("overwrite").option("orc.bloom.filter.columns", "doc_id") \
+            .option("orc.bloom.filter.fpp", BLOOM_FPP).option("orc.row.index.stride", ROW_INDEX_STRIDE) \
+            .option("orc.stripe.size", STRIPE_BYTES).option("orc.compress", "ZSTD").orc(path)
     return path
 
 
@@ -309,7 +315,7 @@ def ids_digest(rows: DataFrame) -> DataFrame:
                                               pa.array(crc, pa.int64())],
                                              names=["doc_id", "start", "n_tokens", "ids_crc32"])
     return rows.select("doc_id", "start", "n_tokens", "ids") \
-        .mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+        .mapInArrow(tidy(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def tokens_round_trip(docs: DataFrame, path: str | None = None, tokenizer_path: str | None = None) -> DataFrame:

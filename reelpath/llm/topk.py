@@ -16,7 +16,8 @@ Defined cases: vectors that are null, empty or hold null or non-finite
 components, and rows with a null ``vec_id``, take no part; only vectors of a
 query's dimension are its candidates; a query's candidates are the rows with
 another ``vec_id``; rows that repeat a ``vec_id`` are separate candidates;
-products are exact while they stay below 2^53; an empty table gives no rows.
+products are exact while they stay below 2^53; a component whose floor(64 x) is
+no 64-bit whole number takes the nearest one; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,8 +39,8 @@ SCALE = 64.0
 #: vectors per bucket and queries per block
 BUCKET_ROWS = 4096
 QUERY_ROWS = 512
-#: buckets that share one copy of the query blocks
-GROUP_BUCKETS = 4
+#: vectors of the buckets that share one copy of the query blocks
+GROUP_ROWS = 4 * BUCKET_ROWS
 #: above this cosine threshold a bucket prunes by coordinate
 COORDINATE_FROM = 0.5
 
@@ -156,39 +157,64 @@ def search_block(qi: np.ndarray, qv: np.ndarray, bound: np.ndarray, ids: np.ndar
 
 
 def _search(k: int):
+    """The k best products of each query of a block within a group of buckets.
+
+    Rows of one query block and group follow each other, longest vectors first;
+    what a bucket gives raises the bounds for the next one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, bounds = None, [], np.zeros(0)
+
+        def best() -> Iterator[pa.RecordBatch]:
+            if held:
+                q, v, s = (np.concatenate([h[j] for h in held]).astype(np.int64) for j in range(3))
+                order = np.lexsort((v, -s, q))
+                q, v, s = q[order], v[order], s[order]
+                place = np.arange(len(q)) - np.searchsorted(q, q)
+                yield pa.RecordBatch.from_arrays([pa.array(x[place < k]) for x in (q, v, s)],
+                                                 names=["query_id", "vec_id", "score"])
+            held.clear()
+
         for b in batches:
             for r in b.to_pylist():
-                dim = r["dim"]
+                dim, key = r["dim"], (r["dim"], r["grp"], r["q_ids"])
+                if key != now:
+                    yield from best()
+                    now, bounds = key, np.frombuffer(r["q_bounds"], "<f8").copy()
                 qi, ids = np.frombuffer(r["q_ids"], "<i8"), np.frombuffer(r["ids"], "<i8")
                 qv = np.frombuffer(r["q_vecs"], "<f8").reshape(-1, dim)
                 vecs = np.frombuffer(r["vecs"], "<f8").reshape(-1, dim)
-                bounds = np.frombuffer(r["q_bounds"], "<f8")
-                out = [(np.full(len(v), q), v, s) for q, v, s in search_block(qi, qv, bounds, ids, vecs, k)]
-                if out:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate([o[j] for o in out]).astype(np.int64)) for j in range(3)],
-                        names=["query_id", "vec_id", "score"])
+                at = {q: i for i, q in enumerate(qi.tolist())}
+                for q, v, s in search_block(qi, qv, bounds, ids, vecs, k):
+                    held.append((np.full(len(v), q), v, s))
+                    if len(s) == k:
+                        bounds[at[int(q)]] = max(bounds[at[int(q)]], s[-1])
+        yield from best()
     return run
 
 
 def _pairs(queries: DataFrame, buckets: DataFrame, k: int) -> DataFrame:
     """Search every query block against every bucket that can reach it.
 
-    Buckets are dealt to groups of ``GROUP_BUCKETS``; a query block goes to
-    each group of its dimension, so the work spreads however few dimensions
-    there are."""
+    Buckets are dealt, longest first, to groups of ``GROUP_ROWS`` vectors.  A
+    query block goes to the groups of its dimension whose longest vector can
+    reach the block's least demanding bound, and to no other, so blocks are
+    pruned before they are shuffled."""
     # numbered without the vectors, which stay where they are until the join
-    n = F.row_number().over(Window.orderBy("dim", F.desc("top"), "bucket"))
-    groups = buckets.select("bucket", "dim", "top").withColumn("grp", F.floor((n - 1) / GROUP_BUCKETS)) \
-        .select("bucket", "dim", "grp")
-    b = buckets.join(broadcast_if_small(groups.select("bucket", "grp"), buckets.count()), "bucket")
+    slim = buckets.select("bucket", "dim", "top", (F.octet_length("ids") / 8).alias("n"))
+    order = Window.orderBy("dim", F.desc("top"), "bucket")
+    upto = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    groups = slim.select("bucket", "dim", "top", F.row_number().over(order).alias("place"),
+                         F.floor(F.coalesce(upto, F.lit(0.0)) / GROUP_ROWS).alias("grp"))
+    n = buckets.count()
+    b = buckets.join(broadcast_if_small(groups.select("bucket", "grp", "place"), n), "bucket")
     q = queries.select("dim", F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs"),
                        F.col("bounds").alias("q_bounds"), "reach")
-    q = q.join(F.broadcast(groups.select("dim", "grp").distinct()), "dim")
+    longest = groups.groupBy("dim", "grp").agg(F.max("top").alias("longest"))
+    q = q.join(broadcast_if_small(longest, n), "dim").where(F.col("longest") >= F.col("reach") * (1 - 1e-9))
     live = F.col("top") >= F.col("reach") * (1 - 1e-9)
-    return q.join(b.select("dim", "grp", "top", "ids", "vecs"), ["dim", "grp"]).where(live) \
-        .select("dim", "q_ids", "q_vecs", "q_bounds", "ids", "vecs").mapInArrow(_search(k), HITS)
+    return q.drop("longest").join(b.select("dim", "grp", "place", "top", "ids", "vecs"), ["dim", "grp"]).where(live) \
+        .select("dim", "grp", "q_ids", "q_vecs", "q_bounds", "place", "ids", "vecs") \
+        .sortWithinPartitions("dim", "grp", "q_ids", "place").mapInArrow(_search(k), HITS)
 
 
 def _ranked(hits: DataFrame, k: int) -> DataFrame:

@@ -255,6 +255,71 @@ def test_near_duplicates_equal_brute_force(spark):
     assert all(find(i) == find(c) for i, c in cls.items())
 
 
+def weighted_sets(spark, texts):
+    """(documents, packed sets, idf) as the operator makes them."""
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    idf = near_dup.idf_table(df)
+    sets = df.select("doc_id", F.lower("text").alias("text")).mapInArrow(
+        near_dup._weighted_sets(idf), "doc_id long, hashes binary, weights binary").checkpoint()
+    return df, sets, idf
+
+
+def similarities(sets):
+    """Weighted Jaccard of all pairs that share a shingle, hot ones included."""
+    rows = {r.doc_id: (np.frombuffer(r.hashes, np.uint64), np.frombuffer(r.weights, np.float32)) for r in sets.collect()}
+    return {(a, b): near_dup.weighted_jaccard(*rows[a], *rows[b]) for a, b in itertools.combinations(sorted(rows), 2)}
+
+
+def varied_texts(seed, n=150):
+    """Families of texts with words replaced here and there; a third of all
+    texts also share one long passage."""
+    rnd = random.Random(seed)
+    passage = [f"hot{k}" for k in range(60)]
+    out = []
+    while len(out) < n:
+        words = [f"w{rnd.randrange(10 ** 6)}" for _ in range(rnd.randint(40, 160))]
+        if rnd.random() < 0.34:
+            words[10:10] = passage
+        for _ in range(rnd.choice([1, 1, 2, 4])):
+            mine = list(words)
+            for _ in range(rnd.choice([0, 1, 1, 2, 3, 5])):
+                mine[rnd.randrange(len(mine))] = f"n{rnd.randrange(10 ** 6)}"
+            out.append(" ".join(mine[rnd.choice([0, 0, 3]):]))
+    return out
+
+
+def test_recall_of_all_pairs_hot_shingles_included(spark):
+    texts = varied_texts(3, 400)
+    df, sets, _ = weighted_sets(spark, texts)
+    near = [k for k, s in similarities(sets).items() if s >= near_dup.THRESHOLD]
+    cls = {r.doc_id: r.class_id for r in near_dup.classes(df).collect()}
+    found = sum(cls[a] == cls[b] for a, b in near)
+    assert len(near) > 100 and found / len(near) >= 0.99, (found, len(near))
+
+
+@pytest.mark.parametrize("one_class", [False, True])
+def test_the_finish_gives_every_pair(spark, one_class):
+    df, sets, idf = weighted_sets(spark, varied_texts(5))
+    sim = similarities(sets)
+    label = (lambda i: 0 if i % 3 else i) if one_class else (lambda i: i)
+    members = spark.createDataFrame([(i, label(i)) for i in range(df.count())], "doc_id long, class long")
+    got = {(r.a, r.b) for r in near_dup.unlinked_pairs(members, sets, idf).collect()}
+    assert {k for k, s in sim.items() if s >= near_dup.THRESHOLD and label(k[0]) != label(k[1])} <= got
+    assert not any(label(a) == label(b) for a, b in got) and got
+
+
+def test_a_shared_passage_too_short_joins_nothing(spark):
+    passage = " ".join(f"hot{k}" for k in range(100))
+    texts = [f"{passage} " + " ".join(f"d{i}x{k}" for k in range(14 + i % 2)) for i in range(400)]
+    df, sets, idf = weighted_sets(spark, texts)
+    p = sets.join(df.select("doc_id", F.col("doc_id").alias("class")), "doc_id").select("doc_id", "class", "hashes", "weights").mapInArrow(
+        near_dup._prefixes(idf), "doc_id long, class long, gram long, rest double, total double").withColumn("minor", F.lit(True))
+    assert p.groupBy("gram").count().agg(F.max("count")).first()[0] == 400           # hot shingles are in the prefixes
+    x, y = near_dup.asking_sides(p)
+    shared = x.join(y, ["gram", "size"]).where("doc_id1 <> doc_id2").count()
+    assert shared < 10 * 400, shared
+
+
 def test_a_large_bucket_is_compared_whole(spark, monkeypatch):
     def one_bucket(idf, sign=near_dup._sign):
         def run(batches):
@@ -366,6 +431,97 @@ def test_backoff_scores_equal_brute_force(spark):
         assert got[i].log_score == pytest.approx(score, rel=1e-9, abs=1e-9)
 
 
+def test_packed_and_relational_scores_are_the_same(spark):
+    odd = [(1, None), (1, ""), (2, "one"), (2, "one two"), (None, "one two three one two three"), (5, "... !"), (6, "two three " * 40)]
+    for docs in (read_table(spark, SF, "documents").select("doc_id", "text"), spark.createDataFrame(odd, "doc_id long, text string"),
+                 spark.createDataFrame([], "doc_id long, text string")):
+        key = lambda r: (r.doc_id or 0, r.n_tokens, list(r.longest))
+        a, b = (sorted(f(docs).collect(), key=key) for f in (ngram_lm.score_documents, ngram_lm.relational_scores))
+        assert list(map(key, a)) == list(map(key, b)) and len(a) == docs.count()
+        assert all(x.log_score == pytest.approx(y.log_score, rel=1e-9, abs=1e-9) for x, y in zip(a, b))
+
+
+# -- 5 languages: the selection against the plain algorithm
+
+def plain_selection(like):
+    """Proportions of the selected languages of one document, step by step."""
+    n, langs = like.shape
+
+    def em(share):
+        for _ in range(language.EM_STEPS):
+            r = like * share
+            share = (r / r.sum(1, keepdims=True)).mean(0)
+        return share, np.log((like * share).sum(1)).sum()
+
+    def value(ll, k):
+        return ll - language.PENALTY * k * 0.5 * math.log(max(n, 2))
+
+    share, ll = em(np.full(langs, 1 / langs))
+    best, current, best_value = share, share, value(ll, langs)
+    for left in range(langs - 1, 0, -1):
+        trial = current.copy()
+        trial[min((s, j) for j, s in enumerate(trial) if s > 0)[1]] = 0
+        if not trial.sum():                          # the others have vanished already
+            break
+        share, ll = em(trial / trial.sum())
+        if value(ll, left) < best_value:
+            break
+        best, current, best_value = share, share, value(ll, left)
+    return best
+
+
+def test_language_selection_equals_the_plain_algorithm():
+    rng = np.random.default_rng(4)
+    sizes = rng.integers(1, 60, 80)
+    splits = np.concatenate([[0], np.cumsum(sizes)])
+    rows = []
+    for n in sizes:
+        of = rng.choice(4, n, p=rng.dirichlet([0.3] * 4))
+        like = rng.uniform(0.01, 0.4, (n, 4))
+        like[np.arange(n), of] = 1.0
+        rows.append(like)
+    got = language.select_languages(np.concatenate(rows), splits)
+    counts = set()
+    for like, share in zip(rows, got):
+        want = plain_selection(like)
+        assert np.allclose(share, want, atol=1e-9) and share.sum() == pytest.approx(1)
+        counts.add(int((share > 0).sum()))
+    assert len(counts) >= 3
+
+
+def test_language_of_every_document_equals_brute_force(spark):
+    """Trigram likelihoods, mixture and selection, document by document."""
+    docs = read_table(spark, SF, "documents")
+    rows = docs.collect()
+    words = lambda t: re.findall(rb"[a-zA-Z\x80-\xff]+", (t or "").lower().encode())
+
+    def classes(w):
+        b = b" " + w + b" "
+        return [((b[k] << 16 | b[k + 1] << 8 | b[k + 2]) * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> 64 - language.BITS for k in range(len(w))]
+
+    counts = collections.defaultdict(collections.Counter)
+    for r in rows:
+        if r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 3 != 1:
+            for w in words(r.text):
+                counts[r.lang].update(classes(w))
+    langs = sorted(counts)
+    total = {x: sum(c.values()) + language.SMOOTHING * 2 ** language.BITS for x, c in counts.items()}
+    cache = {}
+    got = {r.doc_id: r for r in language.identify(docs).collect()}
+    assert got.keys() == {r.doc_id for r in rows} and got[rows[0].doc_id].langs == langs
+    for r in rows:
+        mine = words(r.text)
+        if not mine:
+            assert got[r.doc_id].lang_pred == "und"
+            continue
+        for w in mine:
+            if w not in cache:
+                cache[w] = np.array([sum(math.log((counts[x][c] + language.SMOOTHING) / total[x]) for c in classes(w)) for x in langs])
+        ll = np.array([cache[w] for w in mine])
+        want = plain_selection(np.exp(ll - ll.max(1, keepdims=True)))
+        assert got[r.doc_id].lang_pred == langs[int(want.argmax())] and got[r.doc_id].score == pytest.approx(want.max(), abs=2e-3)
+
+
 # -- 8 personal data
 
 PATTERNS = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
