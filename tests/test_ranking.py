@@ -101,6 +101,34 @@ def test_hot_user_is_small_before_users_are_compared(spark):
     assert users.where("userId = 'hot'").count() == 1 and users.where("userId = 'u1'").count() == 0
 
 
+def test_hot_user_of_clicks_is_small_before_users_are_compared(spark):
+    """The same for clicks and decayed sums, and equal to the join of raw rows."""
+    from reelpath.operators import interactions, scoring
+    rows = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("u"), F.col("id") % 500)).alias("userId"),
+        (F.col("id") % 7).cast("string").alias("item_id"), (F.col("id") % 4 == 0).cast("int").alias("quality_click_flag"),
+        (1 - F.col("id") % 10 / 20).alias("decay_factor"), F.lit(2.0).alias("total_play_time_sec"))
+    test = rows.where("userId <> 'u1'")
+    pairs = interactions.click_pairs(rows)
+    assert pairs.where("userId = 'hot'").count() == 7
+    users = interactions.users_in_both(pairs, interactions.click_pairs(test))
+    got = scoring.click_signals(pairs.join(users, "userId", "left_semi"))
+    raw = scoring.click_signals(rows.join(test.select("userId").distinct(), "userId", "left_semi"))
+    assert sorted(map(tuple, got.select(*raw.columns).collect())) == sorted(map(tuple, raw.collect())) and got.count() > 100
+    sums = interactions.decayed_playtime(rows, drop_invalid=False)
+    assert sums.where("userId = 'hot'").count() == 7
+    assert interactions.users_in_both(sums, test).where("userId = 'u1'").count() == 0
+
+
+def test_labels_read_their_input_once(spark):
+    """The pairs are cut before they are ranked: the plan holds no file scan, and
+    the ranking pass does not repeat the roll-up."""
+    from paths import SF_SMALL
+    from reelpath.plans.queries import QUERIES
+    plan = QUERIES["confidence_labels"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and "Scan ExistingRDD" in plan
+
+
 def test_top_k_uses_map_side_group_limit(spark):
     from reelpath.operators.recommend import top_k
     df = spark.range(1000).select((F.col("id") % 3).cast("int").alias("userIndex"),
