@@ -37,6 +37,8 @@ WEIGHTS = (5, 2, 1)
 TOTAL_SHARE = 1.5
 MAX_COPIES = 2.0
 
+#: sources whose rules may be broadcast
+MAX_RULES = 100_000
 #: cells per level of the search for the cut in the ranking
 CELLS = 4096
 
@@ -90,6 +92,15 @@ def decide(docs: DataFrame, seed: int = 17, weights: tuple = WEIGHTS, total_shar
 
     Reads the texts once; everything after works on the slim checkpointed
     table of ids, sources and sizes."""
+    both = _decided(docs, seed, weights, total_share, max_copies)
+    n = F.when(F.col("size") > 0, F.col("whole") + F.col("extra")).otherwise(0).cast("long")
+    return both.select("doc_id", "source", "size", "source_size", "target", n.alias("copies"),
+                       (n * F.col("size")).alias("taken"))
+
+
+def _decided(docs: DataFrame, seed: int = 17, weights: tuple = WEIGHTS, total_share: float = TOTAL_SHARE,
+             max_copies: float = MAX_COPIES) -> DataFrame:
+    """:func:`decide` before the copies are summed: u, whole, extra, moved."""
     checkpoint_root(docs.sparkSession)
     slim = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
                        uniform(F.col("doc_id"), seed).alias("u")).checkpoint()
@@ -99,7 +110,7 @@ def decide(docs: DataFrame, seed: int = 17, weights: tuple = WEIGHTS, total_shar
     plan = goal.select(F.col("source").alias("g_source"), "source_size", "target", copies.alias("whole")) \
         .withColumn("open", F.greatest(F.lit(0.0), F.col("target") - F.col("whole") * F.col("source_size")))
     same = slim["source"].eqNullSafe(plan["g_source"])
-    d = slim.join(F.broadcast(plan), same).drop("g_source") if goal.count() <= 100_000 else \
+    d = slim.join(F.broadcast(plan), same).drop("g_source") if goal.count() <= MAX_RULES else \
         slim.join(plan, same).drop("g_source")
     cell = F.floor(F.col("u") * CELLS).cast("int")
     fine = F.floor((F.col("u") * CELLS - cell) * CELLS).cast("int")
@@ -133,10 +144,7 @@ def decide(docs: DataFrame, seed: int = 17, weights: tuple = WEIGHTS, total_shar
     cut = cut.withColumn("extra", (nearer & has_open).cast("int")).drop("upto")
     both = sure.unionByName(cut).select("doc_id", "source", "size", "u", "source_size", "target", "whole", "extra",
                                         has_open.alias("has_open")).checkpoint()
-    both = _close_gap(both)
-    n = F.when(F.col("size") > 0, F.col("whole") + F.col("extra")).otherwise(0).cast("long")
-    return both.select("doc_id", "source", "size", "source_size", "target", n.alias("copies"),
-                       (n * F.col("size")).alias("taken"))
+    return _close_gap(both)
 
 
 def _close_gap(d: DataFrame) -> DataFrame:
@@ -155,32 +163,54 @@ def _close_gap(d: DataFrame) -> DataFrame:
     out = with_gap.join(best, with_gap["source"].eqNullSafe(best["b_source"]), "left")
     moved = movable & (F.col("u") == F.col("b.u")) & F.col("doc_id").eqNullSafe(F.col("b.doc_id")) & \
         (F.col("size") == F.col("b.size"))
-    extra = F.when(F.coalesce(moved, F.lit(False)), 1 - F.col("extra")).otherwise(F.col("extra"))
-    return out.withColumn("extra", extra).drop("b_source", "b", "gap")
+    extra = F.when(F.col("moved"), 1 - F.col("extra")).otherwise(F.col("extra"))
+    return out.withColumn("moved", F.coalesce(moved, F.lit(False))).withColumn("extra", extra).drop("b_source", "b", "gap")
+
+
+def rules_by_source(decided: DataFrame) -> DataFrame:
+    """What ``decided`` (see :func:`decide`) amounts to per source: whole copies,
+    the last place (u, doc_id, size) with one copy more, and the one place that
+    was moved to close the gap.  As exact as the rows where no id repeats."""
+    place = F.struct("u", "doc_id", "size")
+    taken = F.when(F.col("moved"), 1 - F.col("extra")).otherwise(F.col("extra")) == 1
+    return decided.groupBy(F.col("source").alias("_mix_of")).agg(
+        F.max("whole").alias("_mix_whole"), F.max(F.when(taken, place)).alias("_mix_cut"),
+        F.max(F.when(F.col("moved"), place)).alias("_mix_moved"))
+
+
+def _mix_by_rules(docs: DataFrame, decided: DataFrame, seed: int) -> DataFrame:
+    """The mix without a shuffle of the texts: a row follows from its own id,
+    size and source and its source's rule."""
+    rules = rules_by_source(decided).checkpoint()
+    n = rules.count()
+    rows = docs.withColumn("_mix_size", word_count(F.col("text"))) \
+        .withColumn("_mix_place", F.struct(uniform(F.col("doc_id"), seed).alias("u"), F.col("doc_id").alias("doc_id"),
+                                           F.col("_mix_size").alias("size")))
+    got = rows.join(F.broadcast(rules) if n <= MAX_RULES else rules, rows["source"].eqNullSafe(rules["_mix_of"]))
+    prefix = F.coalesce(F.col("_mix_place") <= F.col("_mix_cut"), F.lit(False))
+    moved = F.coalesce(F.col("_mix_place") == F.col("_mix_moved"), F.lit(False))
+    copies = F.when(F.col("_mix_size") > 0, F.col("_mix_whole") + (prefix != moved).cast("int")).otherwise(0)
+    return got.withColumn("_mix_copies", copies.cast("int")).where("_mix_copies > 0") \
+        .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(*docs.columns)
 
 
 def mix_documents(docs: DataFrame, seed: int = 17, **options) -> DataFrame:
     """The mixed corpus: each row of ``docs`` as often as the mix takes it.
 
-    Rows that share a ``doc_id`` are matched to their decisions by their rank
-    among the rows of that id, so repeated rows stay separate."""
+    Where no id repeats, every row decides by itself from its source's rule.
+    Otherwise rows that share a ``doc_id`` are matched to their decisions by their
+    rank among the rows of that id, so repeated rows stay separate."""
+    repeated = docs.groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
+    if not repeated:
+        return _mix_by_rules(docs, _decided(docs, seed, **options), seed)
     of_id = Window.partitionBy("doc_id", "_mix_size").orderBy("_mix_source")
     rows = docs.withColumn("_mix_size", word_count(F.col("text"))).withColumn("_mix_source", F.col("source"))
-    chosen = decide(docs, seed, **options).where("copies > 0")
-    repeated = docs.groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
-    keys = ["doc_id", "_mix_size", "_mix_source"]
-    if repeated:
-        rows = rows.withColumn("_mix_n", F.row_number().over(of_id))
-        chosen = chosen.withColumn("_mix_n", F.row_number().over(
-            Window.partitionBy("doc_id", "size").orderBy("source")))
-        keys.append("_mix_n")
+    rows = rows.withColumn("_mix_n", F.row_number().over(of_id))
+    chosen = decide(docs, seed, **options).where("copies > 0").withColumn(
+        "_mix_m", F.row_number().over(Window.partitionBy("doc_id", "size").orderBy("source")))
     chosen = chosen.select(F.col("doc_id").alias("_mix_id"), F.col("size").alias("_mix_words"), F.col("source").alias("_mix_of"),
-                           F.col("copies").alias("_mix_copies"), *(["_mix_n"] if repeated else []))
-    if repeated:
-        chosen = chosen.withColumnRenamed("_mix_n", "_mix_m")
+                           F.col("copies").alias("_mix_copies"), "_mix_m")
     match = rows["doc_id"].eqNullSafe(chosen["_mix_id"]) & (rows["_mix_size"] == chosen["_mix_words"]) & \
-        rows["_mix_source"].eqNullSafe(chosen["_mix_of"])
-    if repeated:
-        match = match & (rows["_mix_n"] == chosen["_mix_m"])
+        rows["_mix_source"].eqNullSafe(chosen["_mix_of"]) & (rows["_mix_n"] == chosen["_mix_m"])
     return rows.join(chosen, match).withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int")))) \
         .select(*docs.columns)

@@ -43,8 +43,10 @@ ROW_INDEX_STRIDE = 1_000
 STRIPE_BYTES = 16 << 20
 BLOOM_FPP = 0.01
 #: pieces remembered per Python worker, and their bytes
-TABLE_PIECES = 1_000_000
+TABLE_PIECES = 500_000
 TABLE_BYTES = 32 << 20
+#: bytes of text that are encoded at a time
+PIECE_BYTES = 1 << 20
 #: new pieces given to the tokenizer at a time
 LEARN_PIECES = 4_000
 
@@ -260,7 +262,7 @@ def encoder(tokenizer_path: str, end_id: int):
         enc = worker_encoder(tokenizer_path)
         start = 0
         for b in batches:
-            for lo, hi, buf, offs in text_pieces(b.column("text")):
+            for lo, hi, buf, offs in text_pieces(b.column("text"), PIECE_BYTES):
                 ids, per = enc.encode(buf, offs)
                 # the end id goes after each document's ids
                 ids = np.insert(ids, np.cumsum(per), end_id).astype(np.int32)

@@ -441,6 +441,26 @@ def test_packed_and_relational_scores_are_the_same(spark):
         assert all(x.log_score == pytest.approx(y.log_score, rel=1e-9, abs=1e-9) for x, y in zip(a, b))
 
 
+@pytest.mark.parametrize("seed", [17, 3])
+def test_rows_of_the_mix_follow_the_decisions(spark, seed):
+    """Without repeated ids the rows decide by their source's rule, with them by a
+    join; both give each document as often as decide says."""
+    docs = read_table(spark, SF_LARGER, "documents").withColumn("_mix_size", F.lit(1)).withColumn("u", F.lit("x"))
+    docs = docs.withColumn("source", F.when(F.col("doc_id") % 7 > 0, F.col("source"))) \
+        .withColumn("text", F.when(F.col("doc_id") % 50 > 0, F.col("text")))
+    want = {r.doc_id: r.copies for r in mixing.decide(docs, seed).collect()}
+    mixed = mixing.mix_documents(docs, seed)
+    got = collections.Counter(r.doc_id for r in mixed.collect())
+    assert mixed.columns == docs.columns and all(got[i] == n for i, n in want.items()) and set(want.values()) >= {0, 1, 2}
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan          # no text is shuffled
+    twice = docs.union(docs.where("doc_id < 20"))
+    want = collections.Counter()
+    for r in mixing.decide(twice, seed).collect():
+        want[r.doc_id] += r.copies
+    assert collections.Counter(r.doc_id for r in mixing.mix_documents(twice, seed).collect()) == +want
+
+
 # -- 5 languages: the selection against the plain algorithm
 
 def plain_selection(like):
