@@ -62,8 +62,8 @@ TABLE_BITS = 14
 DAMP = 0.1
 #: room for rounding in the bounds of the finish
 SLACK = 1e-6
-#: ratio between the weights of neighbouring size classes in the finish
-SIZE_STEP = 1.05
+#: ratio between the weights of neighbouring size classes in the finish: a text reaches its own and the next
+SIZE_STEP = 1 / THRESHOLD
 #: members that a bucket names in each linking round
 NAMED = (4, 16)
 
@@ -263,14 +263,22 @@ def size_class(total: Column) -> Column:
 
 
 def asking_sides(p: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Prefix rows as the lighter text of a pair, one for each size class that it
-    can reach, and as the heavier one, in its own size class."""
+    """Prefix rows (doc_id, class, gram, rest, total, major) as the lighter text of a
+    pair, one for each size class that it can reach, and as the heavier one, in its
+    own.  ``major`` is the class that has several texts in the shingle, or null.
+    ``side`` 0 joins texts outside it with all, 1 those inside it with the others."""
     need = THRESHOLD / (1 + THRESHOLD) * (1 - SLACK)
-    x, y = (p.select("gram", *(F.col(c).alias(c + k) for c in ("doc_id", "class", "rest", "total", "minor"))) for k in "12")
+    inside = F.coalesce(F.col("class") == F.col("major"), F.lit(False))
+    x, y = (p.withColumn("inside", inside).select("gram", "inside", "major", *(F.col(c).alias(c + k) for c in (
+        "doc_id", "class", "rest", "total"))) for k in "12")
     most = F.col("rest1") / need - F.col("total1")
     x = x.withColumn("most", most).where(F.col("most") >= F.col("total1") * (1 - SLACK)) \
-        .withColumn("size", F.explode(F.sequence(size_class(F.col("total1") * (1 - SLACK)), size_class(F.col("most")))))
-    return x, y.withColumn("size", size_class(F.col("total2")))
+        .withColumn("size", F.explode(F.sequence(size_class(F.col("total1") * (1 - SLACK)), size_class(F.col("most"))))) \
+        .withColumn("side", F.col("inside").cast("int")).drop("inside", "major", "most")
+    both = F.col("major").isNotNull() & ~F.col("inside")
+    y = y.withColumn("size", size_class(F.col("total2"))) \
+        .withColumn("side", F.explode(F.when(both, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))).drop("inside", "major")
+    return x, y
 
 
 def unlinked_pairs(members: DataFrame, sets: DataFrame, idf: np.ndarray) -> DataFrame:
@@ -286,19 +294,14 @@ def unlinked_pairs(members: DataFrame, sets: DataFrame, idf: np.ndarray) -> Data
     p = sets.join(members, "doc_id").select("doc_id", "class", "hashes", "weights") \
         .mapInArrow(tidy(_prefixes(idf)), "doc_id long, class long, gram long, rest double, total double").transform(settled)
     counts = p.groupBy("gram", "class").agg(F.count("*").alias("n"))
-    mixed = counts.groupBy("gram").agg(F.max(F.struct("n", "class"))["class"].alias("major"), F.count("*").alias("classes")) \
-        .where("classes > 1").select("gram", "major")
-    p = p.join(mixed, "gram").withColumn("minor", F.col("class") != F.col("major")).drop("major").transform(settled)
-    x, y = asking_sides(p)
+    mixed = counts.groupBy("gram").agg(F.max(F.struct("n", "class")).alias("m"), F.count("*").alias("classes")) \
+        .where("classes > 1").select("gram", F.when(F.col("m.n") > 1, F.col("m.class")).alias("major"))
+    x, y = asking_sides(p.join(mixed, "gram").transform(settled))
     need = THRESHOLD / (1 + THRESHOLD) * (1 - SLACK)
     lighter = (F.col("total1") < F.col("total2")) | ((F.col("total1") == F.col("total2")) & (F.col("doc_id1") < F.col("doc_id2")))
     can = lighter & (F.col("class1") != F.col("class2")) & (F.least("rest1", "rest2") >= need * (F.col("total1") + F.col("total2")))
-
-    def met(one: DataFrame, two: DataFrame) -> DataFrame:
-        on = (one["gram"] == two["gram"]) & (one["size"] == two["size"])
-        return one.join(two, on & can).select(F.least("doc_id1", "doc_id2").alias("a"), F.greatest("doc_id1", "doc_id2").alias("b"))
-
-    return met(x.where("minor1"), y).union(met(x.where("not minor1"), y.where("minor2"))).distinct()
+    on = (x["gram"] == y["gram"]) & (x["size"] == y["size"]) & (x["side"] == y["side"])
+    return x.join(y, on & can).select(F.least("doc_id1", "doc_id2").alias("a"), F.greatest("doc_id1", "doc_id2").alias("b")).distinct()
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:

@@ -313,10 +313,10 @@ def test_a_shared_passage_too_short_joins_nothing(spark):
     texts = [f"{passage} " + " ".join(f"d{i}x{k}" for k in range(14 + i % 2)) for i in range(400)]
     df, sets, idf = weighted_sets(spark, texts)
     p = sets.join(df.select("doc_id", F.col("doc_id").alias("class")), "doc_id").select("doc_id", "class", "hashes", "weights").mapInArrow(
-        near_dup._prefixes(idf), "doc_id long, class long, gram long, rest double, total double").withColumn("minor", F.lit(True))
+        near_dup._prefixes(idf), "doc_id long, class long, gram long, rest double, total double").withColumn("major", F.lit(None).cast("long"))
     assert p.groupBy("gram").count().agg(F.max("count")).first()[0] == 400           # hot shingles are in the prefixes
     x, y = near_dup.asking_sides(p)
-    shared = x.join(y, ["gram", "size"]).where("doc_id1 <> doc_id2").count()
+    shared = x.join(y, ["gram", "size", "side"]).where("doc_id1 <> doc_id2").count()
     assert shared < 10 * 400, shared
 
 
