@@ -25,17 +25,22 @@ own number of components only.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from typing import Tuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelpath.operators.ranking import rank_within
 from reelpath.session import checkpoint_root
 
+# what runs in the workers is shipped by value: they need numpy and pyarrow, not this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK_ROWS = 4096
 CHUNK_ROWS = 2048
 DIGITS = 9
