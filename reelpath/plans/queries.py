@@ -480,7 +480,7 @@ def set_recall(spark, sf_dir):
     from reelpath.operators.itemsets import as_arrays, bitmaps, mean_recall
     from reelpath.operators.recommend import as_arrays as listed
     wb = _wb(spark, sf_dir)
-    top = cut_lineage(wb.sim_top(K))
+    top = wb.sim_top(K)
     truth = cut_lineage(bitmaps(wb.indexed()[1]))
     arrays = recall_by_arrays(listed(top), as_arrays(truth))
     bits = mean_recall(bitmaps(top), truth)
@@ -512,7 +512,7 @@ def catalogue_coverage(spark, sf_dir):
     from reelpath.operators.evaluate import catalogue_coverage as cc
     wb = _wb(spark, sf_dir)
     items = wb.lookups()[1]
-    top = cut_lineage(wb.sim_top(50))
+    top = wb.sim_top(50)
     return rounded(cc(top.filter(F.col("rank") <= K), items).withColumn("k", F.lit(K))
                    .unionByName(cc(top, items).withColumn("k", F.lit(50))))
 
@@ -618,8 +618,8 @@ def novel_by_arrays(spark, sf_dir):
     from reelpath.operators.recommend import history_arrays, unseen_first
     wb = _wb(spark, sf_dir)
     raw = wb.sim_top(30, drop_seen=False)
-    arrays = (raw.groupBy("userIndex")
-              .agg(F.array_sort(F.collect_list(F.struct("rank", "itemIndex"))).alias("recommendations")))
+    arrays = cut_lineage(raw.groupBy("userIndex")
+                         .agg(F.array_sort(F.collect_list(F.struct("rank", "itemIndex"))).alias("recommendations")))
     novel = unseen_first(arrays, history_arrays(wb.indexed()[0], arrays), K)
     return novel.select("userIndex", F.posexplode("predicted_items").alias("p", "itemIndex")) \
         .select("userIndex", "itemIndex", (F.col("p") + 1).cast("int").alias("rank"))

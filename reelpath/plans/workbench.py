@@ -174,20 +174,20 @@ class Workbench:
                                         F.element_at("consequent", 1).alias("rec_item_id"), "confidence", "lift", "support"))
         return self._get("sim_pairs", build)
 
-    def sim_scores(self, drop_seen: bool = True, users: DataFrame | None = None) -> DataFrame:
-        """Scores of all users, or of those in ``users`` only."""
-        from reelpath.operators import recommend
-        train = self.als_input() if users is None else self.als_input().join(users.select("userId"), "userId", "left_semi")
-        return recommend.similarity_scores(train, self.sim_pairs(), drop_watched=drop_seen)
+    def sim_train(self, users: DataFrame | None = None) -> DataFrame:
+        """The history that votes: of all users, or of those in ``users`` only."""
+        return self.als_input() if users is None else self.als_input().join(users.select("userId"), "userId", "left_semi")
 
     def sim_indexed(self, drop_seen: bool = True, users: DataFrame | None = None) -> DataFrame:
-        from reelpath.operators.recommend import with_indexes
-        ids, items = self.lookups()
-        return with_indexes(self.sim_scores(drop_seen, users), ids, items)
+        """Scores by id, dealt by user."""
+        from reelpath.operators.recommend import similarity_scores, with_indexes
+        train, pairs = with_indexes(self.sim_train(users), self.sim_pairs(), *self.lookups())
+        return similarity_scores(train, cut_lineage(pairs), drop_seen, "userIndex", "itemIndex")
 
     def sim_top(self, k: int = 15, drop_seen: bool = True, users: DataFrame | None = None) -> DataFrame:
+        """The ``k`` best of each user, cut: the metrics read them several times."""
         from reelpath.operators.recommend import top_k
-        return top_k(self.sim_indexed(drop_seen, users), k, score_col="total_score")
+        return cut_lineage(top_k(self.sim_indexed(drop_seen, users), k, score_col="total_score"))
 
     # ---- catalogue
     def metadata(self) -> DataFrame:

@@ -149,3 +149,31 @@ def test_vectors_answer_every_query(spark):
     q = v.where("id < 3").toDF("q_id", "q_vec")
     got = vectors.nearest(q, v, 2, "dot").groupBy("q_id").count().collect()
     assert {r.q_id: r["count"] for r in got} == {0: 2, 1: 2, 2: 2}
+
+
+def _votes_by_hand(train, pairs, drop_watched):
+    sums = {}
+    for u, i, d in train:
+        for a, b, c in pairs:
+            if a == i:
+                sums[u, b] = sums.get((u, b), 0.0) + c * d
+    seen = {(u, i) for u, i, _ in train} if drop_watched else set()
+    return sorted((u, b, round(v, 9)) for (u, b), v in sums.items() if (u, b) not in seen)
+
+
+def test_similarity_votes_are_made_where_the_user_is(spark, monkeypatch):
+    monkeypatch.setattr(recommend, "TRAIN_ROWS", 50, raising=False)
+    train = [(f"u{u}", f"i{i}", 1.0 / (1 + (u + i) % 4)) for u in range(30) for i in range(9) if (u * i) % 4 != 1]
+    pairs = [(f"i{a}", f"i{b}", 0.1 + ((a * 3 + b) % 7) / 10) for a in range(8) for b in range(9) if a != b and (a + b) % 3]
+    t = spark.createDataFrame(train, "userId string, item_id string, recent_decay_factor double")
+    p = spark.createDataFrame(pairs, "item_id string, rec_item_id string, confidence double")
+    for drop in (True, False):
+        want = _votes_by_hand(train, pairs, drop)
+        scores = recommend.similarity_scores(t, p, drop)
+        assert sorted(tuple(r) for r in scores.collect()) == want
+        # only the history is shuffled, by user: no exchange of votes or of their partial sums
+        plan = scores._jdf.queryExecution().executedPlan().toString()
+        dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(userId" in line]
+        assert dealt and all("rec_item_id" not in line for line in dealt)
+        by_shuffle = recommend.similarity_scores(t, p, drop, max_rules=0)
+        assert sorted(tuple(r) for r in by_shuffle.collect()) == want
