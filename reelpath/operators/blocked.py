@@ -1,11 +1,14 @@
 """Best inner products of any number of queries against any number of vectors
 (M3, M10-M13), exact, in blocks.
 
-Vectors are numbered by falling length and packed into blocks of ``BLOCK_ROWS``;
-queries are packed into chunks of ``CHUNK_ROWS``.  A chunk and a block meet in an
-equi-join on (chunk, block), so every pair of them is a task's row of its own and
-nothing is broadcast or gathered; a task multiplies the two matrices and keeps
-the best of each query.
+Vectors are numbered by falling length and packed into blocks of ``BLOCK_ROWS``.
+Queries are dealt to rows and blocks to columns of a grid, and a cell of the grid
+is a cogroup: nothing is broadcast, and a task holds one cell, at most about
+``CELL_BYTES`` of vectors from either side.  It multiplies ``CHUNK_ROWS`` queries
+with a block at a time and keeps the best of each query over all blocks of the
+cell.  A query is shuffled once for each column and a vector once for each row, not
+once for each block: a round has about ``CELLS`` cells unless a side needs more
+for its size.
 
 Blocks are searched in rounds that double: after a round, a query whose worst
 kept product is above its length times the length of the longest vector left is
@@ -31,6 +34,7 @@ from typing import Tuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,6 +47,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_ROWS = 4096
 CHUNK_ROWS = 2048
+#: cells of a round, and bytes of vectors that either side brings to a cell
+CELLS = 36
+CELL_BYTES = 32 * 2 ** 20
 DIGITS = 9
 
 
@@ -75,46 +82,67 @@ def _pack_vectors(key: Tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch])
          pa.array([_matrix(t)], pa.binary())], names=["dim", "block", "top", "ids", "vecs"])
 
 
-def _pack_queries(key: Tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    t = pa.Table.from_batches(batches)
-    ends = pa.array([0, t.num_rows], pa.int32())
-
-    def listed(name: str) -> pa.ListArray:
-        return pa.ListArray.from_arrays(ends, t.column(name).combine_chunks())
-
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([key[0].as_py()], pa.int32()), pa.array([key[1].as_py()], pa.int64()), listed("q_id"), listed("len"),
-         listed("need"), listed("floor"), pa.array([_matrix(t)], pa.binary())],
-        names=["dim", "chunk", "q_ids", "lens", "needs", "floors", "q_vecs"])
-
-
-def _products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The best products of each query of a chunk within a block."""
-    for b in batches:
-        for i in range(b.num_rows):
-            dim = b.column("dim")[i].as_py()
-            q = np.frombuffer(b.column("q_vecs")[i].as_buffer(), np.float64).reshape(-1, dim)
-            v = np.frombuffer(b.column("vecs")[i].as_buffer(), np.float64).reshape(-1, dim)
-            lens, needs, floors = (b.column(c)[i].values.to_numpy() for c in ("lens", "needs", "floors"))
-            q_ids, ids = b.column("q_ids")[i].values, b.column("ids")[i].values
-            order = ids.to_numpy(zero_copy_only=False)
-            open_ = np.flatnonzero(lens * b.column("top")[i].as_py() * (1 + 1e-12) + 10.0 ** -DIGITS >= floors)
-            if not len(open_):
-                continue
-            p = np.round((q[open_] @ v.T) * 10.0 ** DIGITS) / 10.0 ** DIGITS
-            who, which = [], []
-            for row, at in zip(p, open_):
-                good = np.flatnonzero(row >= floors[at])
-                if len(good) > needs[at]:
-                    cut = np.partition(row[good], len(good) - needs[at])[len(good) - needs[at]]
-                    good = good[row[good] >= cut]
-                    if len(good) > needs[at]:                     # ties at the cut: smaller ids stay
-                        good = good[np.lexsort((order[good], -row[good]))[:needs[at]]]
-                who.append(np.full(len(good), at)), which.append(good)
-            who, which = np.concatenate(who), np.concatenate(which)
-            yield pa.RecordBatch.from_arrays(
-                [q_ids.take(pa.array(who)), pa.array(needs[who]), ids.take(pa.array(which)),
-                 pa.array(p[np.searchsorted(open_, who), which])], names=["q_id", "need", "id", "score"])
+def _rows(flat: pa.Array, dim: int) -> np.ndarray:
+    return np.ascontiguousarray(flat.to_numpy(zero_copy_only=False), np.float64).reshape(-1, dim)
+
+
+def _cell(key: Tuple[pa.Scalar, ...], queries: pa.Table, blocks: pa.Table) -> pa.Table:
+    """The best products of each query of a cell over the blocks of the cell."""
+    dim, out = key[0].as_py(), []
+    if queries.num_rows and blocks.num_rows:
+        queries, blocks = queries.combine_chunks(), blocks.sort_by("block")
+        held = blocks.column("ids").combine_chunks()
+        ids, ends = held.flatten(), np.concatenate([[0], np.cumsum(held.value_lengths().to_numpy())])
+        place = np.empty(len(ids), np.int64)                          # place of each id in the order of ids
+        place[pa.compute.array_sort_indices(ids).to_numpy()] = np.arange(len(ids))
+        tops = blocks.column("top").to_pylist()
+        vecs = [np.frombuffer(m.as_buffer(), np.float64).reshape(-1, dim) for m in blocks.column("vecs")]
+        for lo in range(0, queries.num_rows, CHUNK_ROWS):
+            part = queries.slice(lo, CHUNK_ROWS)
+            who, which, score = _chunk(part, dim, vecs, tops, ends, place)
+            out.append(pa.Table.from_arrays(
+                [part.column("q_id").take(pa.array(who)), part.column("need").take(pa.array(who)), ids.take(pa.array(which)),
+                 pa.array(score)], names=["q_id", "need", "id", "score"]))
+    if out:
+        return pa.concat_tables(out)
+    found = blocks.schema.field("ids").type.value_type
+    return pa.schema([("q_id", queries.schema.field("q_id").type), ("need", pa.int32()), ("id", found),
+                      ("score", pa.float64())]).empty_table()
+
+
+def _chunk(part: pa.Table, dim: int, vecs: list, tops: list, ends: np.ndarray, place: np.ndarray) -> tuple:
+    """(query, vector, score) of the best products of some queries, as positions."""
+    q = _rows(part.column("vec").combine_chunks().flatten(), dim)
+    lens, needs = part.column("len").to_numpy(), part.column("need").to_numpy()
+    floors = part.column("floor").to_numpy().copy()
+    who, which, score = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
+    for v, top, start in zip(vecs, tops, ends):
+        open_ = np.flatnonzero(lens * top * (1 + 1e-12) + 10.0 ** -DIGITS >= floors)
+        if not len(open_):
+            continue
+        p = np.round((q[open_] @ v.T) * 10.0 ** DIGITS) / 10.0 ** DIGITS
+        for row, at in zip(p, open_):
+            good = np.flatnonzero(row >= floors[at])
+            if len(good) >= needs[at]:
+                cut = np.partition(row[good], len(good) - needs[at])[len(good) - needs[at]]
+                floors[at] = max(floors[at], cut)
+                good = good[row[good] >= cut]
+                if len(good) > needs[at]:                     # ties at the cut: smaller ids stay
+                    good = good[np.lexsort((place[start + good], -row[good]))[:needs[at]]]
+            who.append(np.full(len(good), at)), which.append(start + good), score.append(row[good])
+    who, which, score = np.concatenate(who), np.concatenate(which), np.concatenate(score)
+    kept = score >= floors[who]
+    who, which, score = who[kept], which[kept], score[kept]
+    order = np.lexsort((place[which], -score, who))
+    who, which, score = who[order], which[order], score[order]
+    first = np.searchsorted(who, who)                         # where the entries of the query begin
+    kept = np.arange(len(who)) - first < needs[who]
+    return who[kept], which[kept], score[kept]
+
+
+def _parts(size: int, most: int, wanted: int) -> int:
+    """Parts of a side of the grid: as many as wanted, and more where they would pass ``CELL_BYTES``."""
+    return max(1, min(most, max(wanted, -(-size // CELL_BYTES))))
 
 
 def search(queries: DataFrame, vectors: DataFrame, n: int, metric: str = "dot", leave_out: DataFrame | None = None,
@@ -140,25 +168,26 @@ def search(queries: DataFrame, vectors: DataFrame, n: int, metric: str = "dot",
     packed = ranked.select("dim", block.alias("block"), "id", "vec", "len").groupBy("dim", "block").applyInArrow(
         _pack_vectors, f"dim int, block long, top double, ids array<{kinds[1]}>, vecs binary").checkpoint()
     tops = packed.select("dim", "block", "top")
-    blocks = (packed.agg(F.max("block")).first()[0] or 0) + 1
+    last, dim = packed.agg(F.max("block"), F.max("dim")).first()
+    blocks, widest = (last or 0) + 1, 8 * (dim or 1)
     asked = q.count()
     stats = {"made": 0, "all": asked * packed.count(), "rounds": 0}
     best, open_, lo, width = None, q, 0, 1
     while lo < blocks and asked:
-        chunks = max(1, -(-asked // CHUNK_ROWS))
-        chunk = F.pmod(F.xxhash64("q_id"), F.lit(chunks))
-        pack = open_.withColumn("chunk", chunk).groupBy("dim", "chunk").applyInArrow(
-            _pack_queries, f"dim int, chunk long, q_ids array<{kinds[0]}>, lens array<double>, needs array<int>, "
-                           "floors array<double>, q_vecs binary")
-        some = packed.where((F.col("block") >= lo) & (F.col("block") < lo + width))
-        left = pack.withColumn("block", F.explode(F.sequence(F.lit(lo).cast("long"), F.lit(min(lo + width, blocks) - 1).cast("long"))))
-        right = some.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))))
-        got = left.join(right, ["dim", "chunk", "block"]).mapInArrow(
-            _products, f"q_id {kinds[0]}, need int, id {kinds[1]}, score double")
+        to = min(lo + width, blocks)
+        columns = _parts((to - lo) * BLOCK_ROWS * widest, to - lo, round(CELLS ** 0.5))
+        rows = _parts(asked * widest, asked, -(-CELLS // columns))
+        some = packed.where((F.col("block") >= lo) & (F.col("block") < to))
+        left = open_.withColumn("row", F.pmod(F.xxhash64("q_id"), F.lit(rows))) \
+            .withColumn("column", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(columns - 1).cast("long"))))
+        right = some.withColumn("column", F.col("block") % columns) \
+            .withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(rows - 1).cast("long"))))
+        got = left.groupBy("dim", "row", "column").cogroup(right.groupBy("dim", "row", "column")).applyInArrow(
+            _cell, f"q_id {kinds[0]}, need int, id {kinds[1]}, score double")
         got = got if best is None else got.unionByName(best)
         w = Window.partitionBy("q_id").orderBy(F.col("score").desc(), "id")
         best = got.withColumn("place", F.row_number().over(w)).where("place <= need").drop("place").checkpoint()
-        stats["made"] += asked * (min(lo + width, blocks) - lo)
+        stats["made"] += asked * (to - lo)
         stats["rounds"] += 1
         lo, width = lo + width, max(1, lo + width)
         if lo < blocks:

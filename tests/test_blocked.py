@@ -202,3 +202,22 @@ def test_pair_rules_equal_the_mined_model(spark):
     key = lambda df: sorted((r.item_id, r.rec_item_id, round(r.confidence, 9), round(r.lift, 9), round(r.support, 9))
                             for r in df.collect())
     assert key(wb.sim_pairs()) == key(rule_pairs(wb.rule_model()))
+
+
+def test_a_cell_answers_once_for_all_its_blocks():
+    """Best of each query over every block of a cell, not of each block by itself."""
+    import numpy as np
+    import pyarrow as pa
+    rng = np.random.default_rng(3)
+    q, v = rng.integers(-3, 4, (9, 4)).astype(float), rng.integers(-3, 4, (40, 4)).astype(float)
+    length = lambda m: np.sqrt((m * m).sum(axis=1))
+    queries = pa.table({"q_id": pa.array(range(9), pa.int64()), "vec": list(map(list, q)), "len": length(q),
+                        "need": pa.array([4] * 9, pa.int32()), "floor": [float("-inf")] * 9})
+    blocks = pa.table({"block": [0, 1, 2, 3], "top": [100.0] * 4, "ids": [list(range(10 * b, 10 * b + 10)) for b in range(4)],
+                       "vecs": pa.array([v[10 * b:10 * b + 10].tobytes() for b in range(4)], pa.binary())})
+    got = blocked._cell((pa.scalar(4), pa.scalar(0), pa.scalar(0)), queries, blocks).to_pylist()
+    want = [(i, j, float(q[i] @ v[j])) for i in range(9) for j in sorted(range(40), key=lambda j: (-(q[i] @ v[j]), j))[:4]]
+    assert [(r["q_id"], r["id"], r["score"]) for r in got] == want
+    # a side is cut by size only beyond the wanted parts, and never into more parts than it has rows
+    assert blocked._parts(10, 1000, 6) == 6 and blocked._parts(10, 3, 6) == 3
+    assert blocked._parts(10 * blocked.CELL_BYTES, 1000, 6) == 10
