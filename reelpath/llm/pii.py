@@ -13,11 +13,10 @@ candidate is a positive example when its own check holds (:func:`weak_label`) --
 check digit, issuer digit and grouping of a card; octets or a parsable IPv6
 address; country code, grouping or a telephone word nearby; a spelled or plain
 address with a top-level domain of letters -- and it is not cut out of a longer word
-or number.  They are fitted on a sample of at most ``TRAIN_CANDIDATES``
-candidates chosen by hash.  For each kind the threshold is calibrated on a part
-of the sample that the trees have not seen: the lowest score from which on at
-least ``PRECISION`` of the candidates are positive, and above 1 (nothing is
-added) where no score reaches that.
+or number.  Every candidate takes part: by hash, seven tenths are fitted on, and
+for each kind the threshold is calibrated on all the others, which the trees have
+not seen: the lowest score from which on at least ``PRECISION`` of the candidates
+are positive, and above 1 (nothing is added) where no score reaches that.
 
 Accepted candidates that overlap a base span give way to it.  The others are
 taken greedily: higher scores (in hundredths) first, then longer spans, then
@@ -45,7 +44,6 @@ from pyspark.sql import functions as F
 from reelpath.session import checkpoint_root
 
 KINDS = ("email", "ip", "card", "phone")
-TRAIN_CANDIDATES = 20_000
 PRECISION = 0.95
 TREES, DEPTH = 10, 4
 #: characters of context on either side
@@ -244,16 +242,14 @@ def learn(candidates: DataFrame):
     n = {r.positive: r.n for r in candidates.groupBy("positive").agg(F.count("*").alias("n")).collect()}
     if not n.get(0) or not n.get(1):
         return None
-    share = min(1.0, TRAIN_CANDIDATES / (n[0] + n[1]))
-    part = F.pmod(F.col("h"), F.lit(1_000_000))
-    sample = candidates.where(part < int(share * 1_000_000)).select(
+    examples = candidates.select(
         "kind", F.col("positive").cast("double").alias("label"), array_to_vector("x").alias("features"),
-        (F.pmod(F.shiftright("h", 20), F.lit(10)) < 7).alias("seen")).checkpoint()
-    fit_on = sample.where("seen")
+        (F.pmod(F.shiftright("h", 20), F.lit(10)) < 7).alias("seen"))
+    fit_on = examples.where("seen")
     if fit_on.select("label").distinct().count() < 2:
         return None
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=5, maxBins=32).fit(fit_on)
-    judged = probability(model, sample.where("not seen"))
+    judged = probability(model, examples.where("not seen"))
     bins = judged.groupBy("kind", F.floor(F.col("p") * 100).alias("bin")).agg(
         F.sum("label").alias("good"), F.count("*").alias("n")).collect()          # at most 404 rows
     limits = {}
