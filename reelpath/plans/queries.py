@@ -1199,23 +1199,33 @@ def grid_sweep(spark, sf_dir):
     """The parameter grid, one metrics row per point (coverage of the
     top 50, precision/recall/MAP of the re-ranked top 15).  A point's row is
     computed before the next point starts; one that fails anywhere gives a row
-    with status 'failed' and its error instead of stopping the sweep."""
+    with status 'failed' and its error instead of stopping the sweep.  A fit goes
+    on from the longest one before it with the same other parameters, or from the
+    start factors, which depend on the rank alone."""
     from itertools import product
 
     from reelpath.operators.evaluate import catalogue_coverage, ranking_metrics as rm
-    from reelpath.operators.recommend import (flatten_recs, popularity_rerank, raw_recommendations,
+    from reelpath.operators.recommend import (als_counts, flatten_recs, popularity_rerank, raw_recommendations,
                                               train_als)
     wb = _wb(spark, sf_dir)
     itrain = cut_lineage(wb.indexed()[0])
     items = wb.lookups()[1]
     counts = cut_lineage(wb.popularity().join(items, "item_id").select("itemIndex", "user_count"))
     truth = cut_lineage(wb.ground_truth())
+    sizes = als_counts(itrain)
     keys = sorted(GRID)
-    rows = []
+    rows, fits = [], {}
     for values in product(*[GRID[k] for k in keys]):
         label = ",".join(f"{k}={v}" for k, v in zip(keys, values))
         try:
-            model = train_als(itrain, **dict(ALS_PARAMS, **dict(zip(keys, values))))
+            params = dict(ALS_PARAMS, **dict(zip(keys, values)))
+            steps, rank = params.pop("max_iter"), params["rank"]
+            if rank not in fits:
+                fits[rank] = train_als(itrain, max_iter=0, counts=sizes, **params), 0
+            others = tuple(sorted(params.items()))
+            known = fits.get(others, fits[rank])
+            model = train_als(itrain, max_iter=steps, counts=sizes, resume=known if known[1] < steps else fits[rank], **params)
+            fits[others] = max(known, (model, steps), key=lambda fit: fit[1])
             flat = cut_lineage(flatten_recs(raw_recommendations(model, RAW_N)))
             metrics = rm(popularity_rerank(flat, itrain, counts, K), truth, K)
             m = rounded(metrics.crossJoin(F.broadcast(catalogue_coverage(flat, items).select("coverage")))).first()
